@@ -100,7 +100,7 @@ def pipe_join(items: Column) -> Column:
 
 def pipe_items(text: Column) -> Column:
     """Items of a pipe-separated string, blanks trimmed, empties dropped."""
-    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), F.trim)
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), r"\|"), lambda x: F.trim(x))
     return F.filter(parts, lambda x: x != "")
 
 

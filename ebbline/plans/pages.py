@@ -14,7 +14,7 @@ OUTCOMES = ("ok", "not_found", "no_table", "error")
 
 
 def _exploded(pages: DataFrame, ids: Column) -> DataFrame:
-    return pages.select(F.explode(ids).cast("long").alias("app_id"))
+    return pages.select(F.explode(ids).alias("app_id")).select(F.col("app_id").cast("long").alias("app_id"))
 
 
 def list_page_ids(pages: DataFrame) -> DataFrame:
@@ -33,9 +33,13 @@ def sweep(pages: DataFrame, ids: Column) -> DataFrame:
     return readable.filter(first_empty.isNull() | (F.col("page_no") < first_empty))
 
 
+def page_link_ids(pages: DataFrame) -> DataFrame:
+    """Ids of search pages, each once per page."""
+    return _exploded(pages, page_ids(F.col("html")))
+
+
 def sweep_ids(pages: DataFrame) -> DataFrame:
-    ids = page_ids(F.col("html"))
-    return _exploded(sweep(pages, ids), ids)
+    return page_link_ids(sweep(pages, page_ids(F.col("html"))))
 
 
 def candidate_ids(*sources: DataFrame) -> DataFrame:

@@ -89,10 +89,11 @@ def tag_vocabulary(joined: DataFrame, top_genres: int = TOP_K_GENRES, top_catego
     A tag counts once per occurrence. Both kinds are counted in one pass; only the
     counted tags are ranked.
     """
-    tagged = [
-        F.transform(clean_items(F.col(field)), lambda x, k=kind: F.struct(F.lit(k).alias("kind"), x.alias("tag")))
-        for kind, field in TAG_FIELDS.items()
-    ]
+
+    def tagged_items(kind: str, field: str) -> Column:
+        return F.transform(clean_items(F.col(field)), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("tag")))
+
+    tagged = [tagged_items(kind, field) for kind, field in TAG_FIELDS.items()]
     counts = (
         joined.select(F.explode(F.concat(*tagged)).alias("item"))
         .groupBy("item.kind", "item.tag")

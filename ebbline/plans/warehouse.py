@@ -92,12 +92,13 @@ def upsert_dates(dim: DataFrame | None, monthly: DataFrame) -> DataFrame:
 def tag_items(typed: DataFrame, kinds: tuple[str, ...] = ("genre", "category")) -> DataFrame:
     """``(app_id, kind, tag_name, tag_norm)``, one row per list item of each kind."""
     field = {"genre": "genres_csv", "category": "categories_csv"}
-    tagged = [
-        F.transform(pipe_items(F.col(field[k])), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x.alias("tag_name")))
-        for k in kinds
-    ]
+
+    def tagged(kind: str) -> Column:
+        items = pipe_items(F.col(field[kind]))
+        return F.transform(items, lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("tag_name")))
+
     return (
-        typed.select("app_id", F.explode(F.concat(*tagged)).alias("item"))
+        typed.select("app_id", F.explode(F.concat(*[tagged(k) for k in kinds])).alias("item"))
         .select("app_id", "item.kind", "item.tag_name")
         .withColumn("tag_norm", warehouse_norm(F.col("tag_name")))
     )
