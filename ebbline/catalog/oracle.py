@@ -29,10 +29,10 @@ def with_parts(body: str, *names: str) -> str:
 
 
 def r(value: str, name: str = "", digits: int = 6) -> str:
-    """A rounded double without negative zero."""
+    """A rounded double without negative zero; the shift keeps exact halves off the boundary."""
     half = f"{0.5 * 10**-digits:.10f}"
-    alias = f" AS {name or value}"
-    return f"CASE WHEN abs({value}) < {half} THEN 0.0 ELSE round(({value})::DOUBLE, {digits}) END{alias}"
+    shifted = f"(({value})::DOUBLE + 3e-{digits + 2})"
+    return f"CASE WHEN abs{shifted} < {half} THEN 0.0 ELSE round({shifted}, {digits}) END AS {name or value}"
 
 
 def rs(*names: str, digits: int = 6) -> str:
@@ -262,11 +262,11 @@ FROM long GROUP BY app_id""",
 )
 part(
     "scored",
-    """SELECT s.*, m.*, CASE WHEN a1 IS NULL THEN 'Not a number: avg_m1' WHEN a2 IS NULL THEN 'Not a number: avg_m2'
-       WHEN a3 IS NULL THEN 'Not a number: avg_m3' WHEN p1 IS NULL THEN 'Not a number: peak_m1'
-       WHEN p2 IS NULL THEN 'Not a number: peak_m2' WHEN p3 IS NULL THEN 'Not a number: peak_m3'
+    """SELECT s.*, m.*, CASE WHEN a1 IS NULL THEN 'Missing value: avg_m1' WHEN a2 IS NULL THEN 'Missing value: avg_m2'
+       WHEN a3 IS NULL THEN 'Missing value: avg_m3' WHEN p1 IS NULL THEN 'Missing value: peak_m1'
+       WHEN p2 IS NULL THEN 'Missing value: peak_m2' WHEN p3 IS NULL THEN 'Missing value: peak_m3'
        WHEN least(a1, a2, a3, p1, p2, p3) <= 0 THEN 'All avg/peak values must be > 0.'
-       WHEN p_size = 31 AND p_type <> 'PROMO' THEN 'Not a number: is_free' ELSE '' END AS row_error
+       WHEN p_size = 31 AND p_type <> 'PROMO' THEN 'invalid literal for int() with base 10: ''maybe''' ELSE '' END AS row_error
 FROM score_in s JOIN (SELECT * EXCLUDE (app_id), app_id AS part_id FROM meta) m ON s.app_id = part_id""",
     "score_in", "meta",
 )
@@ -337,7 +337,7 @@ WHERE app_id IN (SELECT app_id FROM outcomes WHERE status = 'ok')""",
         "long", "outcomes",
     )
     q["wide_metrics"] = with_parts(
-        f"""SELECT app_id, strftime(max(last_ship), {ISO}) AS scraped_utc, max(url) AS url, 1234.5 AS last30_avg_players,
+        f"""SELECT app_id, strftime(max(last_ship), {ISO}) AS scraped_utc, max(url) AS url, 1234.5::DOUBLE AS last30_avg_players,
  {r("max(peak_players) FILTER (WHERE month_index = 1)", "last30_peak_players")}, {_wide()}
 FROM long WHERE app_id IN (SELECT app_id FROM outcomes WHERE status = 'ok') GROUP BY app_id""",
         "long", "outcomes",

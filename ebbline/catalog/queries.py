@@ -38,11 +38,16 @@ def query_as(name: str) -> Callable[[Query], Query]:
 
 
 def shown(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded (without negative zero) and dates as text, so two engines print alike."""
+    """Doubles rounded (without negative zero) and dates as text, so two engines print alike.
+
+    A shift far below the last digit moves exact halves off the rounding boundary:
+    a sum in another order may miss them by one bit.
+    """
 
     def column(name: str, kind: str) -> Column:
         value = F.col(name)
         if kind == "double":
+            value = value + 0.03 * 10**-digits
             return F.when(F.abs(value) < 0.5 * 10**-digits, 0.0).otherwise(F.round(value, digits)).alias(name)
         if kind == "date":
             return value.cast("string").alias(name)

@@ -27,12 +27,18 @@ def strip(text: Column) -> Column:
 
 def finite(value: Column) -> Column:
     """NULL for NaN and the infinities; the one form of 'missing' is NULL."""
-    return F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), None).otherwise(value)
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def to_number(text: Column) -> Column:
     """Lenient decimal: thousands commas dropped; blank, ``-`` and junk are NULL."""
     bare = F.replace(strip(text), F.lit(","), F.lit(""))
+    return strict_number(bare)
+
+
+def strict_number(text: Column) -> Column:
+    """Decimal without thousands commas; anything else is NULL."""
+    bare = strip(text)
     return finite(F.when(bare.rlike(_DECIMAL), bare.try_cast("double")))
 
 

@@ -20,7 +20,8 @@ def hash_positions(df: DataFrame, keys: list[str], salt: object = "") -> DataFra
     The keys must be unique. A hash prefix cuts the rows into 4,096 even buckets;
     each is ranked by itself and shifted by the sizes of the buckets before it. The
     only unpartitioned window runs over those at most 4,096 sizes, which is also
-    what bounds the broadcast.
+    what bounds the broadcast. The join is a left one on unique keys, so Catalyst
+    drops it, and the ranking, from a query that does not read the position.
     """
     hashed = df.withColumn("_hash", key_hash(keys, salt)).withColumn("_bucket", F.substring("_hash", 1, _HEX_DIGITS))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -34,7 +35,7 @@ def hash_positions(df: DataFrame, keys: list[str], salt: object = "") -> DataFra
     inside = Window.partitionBy("_bucket").orderBy("_hash", *keys)
     return (
         hashed.withColumn("_rank", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_bucket")
+        .join(F.broadcast(offsets), "_bucket", "left")
         .withColumn("_position", F.col("_before") + F.col("_rank"))
         .drop("_hash", "_bucket", "_rank", "_before")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbline.functions.text import finite
+
 _ACCURACY = 10_000  # rank error of the sketch: 1/10,000
 _MARGIN = 0.001  # ten times that, on both sides of the middle
 
@@ -15,9 +17,10 @@ def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataF
     A mergeable sketch first brackets the middle. Then everything below the bracket
     is only counted, and the distinct values inside it (some 0.2% of the ranks) are
     ranked. A group may hold any share of the rows; a missed bracket is an error,
-    not a wrong number. All-NULL columns give no row.
+    not a wrong number. NaN and the infinities
+    are missing values; a column without values gives no row.
     """
-    long = df.select(*groups, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(
         groups, columns, "column_name", "value"
     )
     long = long.filter("value is not null")

@@ -142,6 +142,7 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
     positions = F.sequence(F.lit(2), F.size("series") - horizon - 1)
     rows = eligible.select(
         "app_id", "is_free", "price_usd", "release_date_str", "genres", "categories",
+        parse_release_month(F.col("release_date_str")).alias("_released"),
         F.inline(F.transform(positions, window_at)),
     )
     values = [f"_{measure}{name}" for measure in ("avg", "peak") for name in ("2", "1", "0", "y")]
@@ -149,7 +150,7 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
     shape = shape_features(
         tuple(F.col(f"_avg{n}") for n in "210"), tuple(F.col(f"_peak{n}") for n in "210")
     )
-    age = months_between(parse_release_month(F.col("release_date_str")), parse_month(F.col("month_k_label")))
+    age = months_between(F.col("_released"), parse_month(F.col("month_k_label")))
     return positive.select(
         "app_id",
         "k_index",

@@ -6,21 +6,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions.series import SHAPE_FEATURES, base_log, shape_features
-from ebbline.functions.text import comma_items, scoring_norm, to_int, to_number
+from ebbline.functions.text import comma_items, scoring_norm, strict_number, to_int
 from ebbline.plans.boosting import QuantileModel, column_name, predict
 from ebbline.plans.panel import TAG_FIELDS
 from ebbline.schemas import PREDICT_REQUIRED
 
-# The error texts.
+# The error texts, and the spellings of a missing value.
 NOT_POSITIVE = "All avg/peak values must be > 0."
 MISSING_COLUMN = "Missing column: "
-NOT_NUMERIC = "Not a number: "
+MISSING_VALUE = "Missing value: "
+NOT_A_NUMBER = "could not convert string to float: '"
+NOT_AN_INTEGER = "invalid literal for int() with base 10: '"
+MISSING_WORDS = ("", "nan", "null", "none", "na", "n/a")
 
 MEASURES = ("avg_m1", "avg_m2", "avg_m3", "peak_m1", "peak_m2", "peak_m3")
 
 
 def _text(rows: DataFrame, name: str) -> Column:
-    return F.col(name).cast("string") if name in rows.columns else F.lit(None).cast("string")
+    """The column as text, NULL where it is absent or spells a missing value."""
+    if name not in rows.columns:
+        return F.lit(None).cast("string")
+    value = F.col(name).cast("string")
+    return F.when(~F.lower(F.trim(value)).isin(*MISSING_WORDS), value)
+
+
+def _quoted(prefix: str, value: Column) -> Column:
+    return F.concat(F.lit(prefix), value, F.lit("'"))
+
+
+def _flag(rows: DataFrame) -> Column:
+    text = F.lower(F.trim(_text(rows, "is_free")))
+    whole = to_int(F.regexp_replace(text, r"\.0+$", ""))
+    return F.when(text == "true", 1).when(text == "false", 0).otherwise(whole)
 
 
 def validate(rows: DataFrame) -> DataFrame:
@@ -30,21 +47,18 @@ def validate(rows: DataFrame) -> DataFrame:
         if name not in rows.columns:
             error = error.when(F.lit(True), MISSING_COLUMN + name)
     for name in MEASURES:
-        error = error.when(to_number(_text(rows, name)).isNull(), NOT_NUMERIC + name)
-    least = F.least(*[to_number(_text(rows, name)) for name in MEASURES])
+        raw = _text(rows, name)
+        error = error.when(raw.isNull(), MISSING_VALUE + name)
+        error = error.when(strict_number(raw).isNull(), _quoted(NOT_A_NUMBER, raw))
+    least = F.least(*[strict_number(_text(rows, name)) for name in MEASURES])
     error = error.when(least <= 0, NOT_POSITIVE)
-    error = error.when(_flag(rows).isNull(), NOT_NUMERIC + "is_free")
-    price = _text(rows, "price_usd")
-    error = error.when(F.coalesce(F.trim(price), F.lit("")).isin("", "nan", "NaN").eqNullSafe(False)
-                       & to_number(price).isNull(), NOT_NUMERIC + "price_usd")
+    flag, price = _text(rows, "is_free"), _text(rows, "price_usd")
+    error = error.when(flag.isNull(), MISSING_VALUE + "is_free")
+    error = error.when(_flag(rows).isNull(), _quoted(NOT_AN_INTEGER, flag))
+    error = error.when(price.isNotNull() & strict_number(price).isNull(), _quoted(NOT_A_NUMBER, price))
     return rows.withColumn("row_error", error.otherwise(""))
 
 
-def _flag(rows: DataFrame) -> Column:
-    text = F.lower(F.trim(_text(rows, "is_free")))
-    return F.when(text == "true", 1).when(text == "false", 0).otherwise(to_int(F.regexp_replace(text, r"\.0+$", "")))
-
-
 def match_tags(items: Column, vocabulary: list[str]) -> Column:
     """Vocabulary tags meant by free-text items, by their scoring key; the first tag of a key wins.
 
@@ -70,7 +84,7 @@ def feature_rows(validated: DataFrame, vocabulary: dict[str, list[str]]) -> Data
     ok = F.col("row_error") == ""
 
     def number(name: str) -> Column:
-        return F.when(ok, to_number(_text(validated, name)))
+        return F.when(ok, strict_number(_text(validated, name)))
 
     shape = shape_features(
         tuple(number(f"avg_m{i}") for i in (1, 2, 3)), tuple(number(f"peak_m{i}") for i in (1, 2, 3))

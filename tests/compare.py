@@ -41,6 +41,14 @@ def rows_by_name(names: list[str], rows) -> list[tuple]:
     return sorted(([plain(row[i]) for i in order] for row in rows), key=repr)
 
 
+def kind(type_name: str) -> str:
+    """One name for the types that print alike in both engines."""
+    name = str(type_name).lower()
+    if name in ("tinyint", "smallint", "int", "integer", "bigint", "long"):
+        return "integer"
+    return {"varchar": "string", "float": "double"}.get(name, name)
+
+
 def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> list[str]:
     """Differences in names, number of rows or values; none means equal."""
     result = query(spark, sf_dir)
@@ -51,6 +59,11 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> list[str]:
     problems = []
     if sorted(result.columns) != sorted(names):
         problems.append(f"{name}: columns {sorted(result.columns)} != {sorted(names)}")
+    our_kinds = {n: kind(t) for n, t in result.dtypes}
+    their_kinds = {d[0]: kind(d[1]) for d in cursor.description}
+    unlike = {n: (k, their_kinds[n]) for n, k in our_kinds.items() if n in their_kinds and k != their_kinds[n]}
+    if unlike:
+        problems.append(f"{name}: types {unlike}")
     if len(ours) != len(theirs):
         problems.append(f"{name}: {len(ours)} rows, SQL has {len(theirs)}")
     different = [(a, b) for a, b in zip(ours, theirs) if a != b]
