@@ -13,6 +13,7 @@ from ebbline.functions import dates, html, series, text
 from ebbline.operators.checks import duplicate_keys, orphans
 from ebbline.operators.dedup import latest
 from ebbline.operators.split import apply_split, group_split, sample_ids
+from ebbline.operators.versions import hash_part, read_live
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, training, warehouse
 from ebbline.session import new_path
 from ebbline.sources import readers, writers
@@ -712,6 +713,7 @@ def incremental_upsert(spark, sf):
     target, checkpoint = new_path(spark, "upserted"), new_path(spark, "upsert-progress")
     source = _event_files(spark, sf)
     stream = incremental.stream_files(spark, source, EVENT_SCHEMA, 10)
-    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], "event_type")
-    rows = incremental.read_upserted(spark, target, stream.schema, "event_type")
+    stream = stream.withColumn("bucket", hash_part(EVENT_KEYS, 16))
+    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], "bucket")
+    rows = read_live(spark, target, stream.schema, "bucket")
     return shown(rows.select(*EVENT_KEYS, "event_id", "value"))

@@ -8,14 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ebbline import params, schemas
+from ebbline.operators import versions
 from ebbline.operators.checks import require_columns
+from ebbline.operators.membership import parse_wanted
 from ebbline.operators.split import sample_ids
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, warehouse
 from ebbline.plans.training import model_rows
 from ebbline.sources import readers, writers
 
+FACT = "fact_monthly"
 MART_NAMES = (
     "app_persistence", "decay_curve", "genre_retention", "category_retention", "price_tier_retention", "growth_decay"
 )
@@ -36,8 +40,8 @@ def pull_metrics(
     wanted = sample_ids(readers.read_ids(spark, ids_path), max_ids).select("app_id")
     if resume and _has_parts(spark, out):
         wanted = pages.pending_ids(wanted, readers.read_parts(spark, out, schemas.METRICS_WIDE))
-    parsed = pages.parse_pages(raw_pages.join(wanted, "app_id", "left_semi"))
-    writers.write_parts(pages.wide_metrics(parsed), out)
+    wide = parse_wanted(raw_pages, wanted, lambda raw: pages.wide_metrics(pages.parse_pages(raw)))
+    writers.write_parts(wide, out)
     return pages.run_counters(readers.read_parts(spark, out, schemas.METRICS_WIDE))
 
 
@@ -48,45 +52,59 @@ def pull_metadata(
     wanted = pages.ok_ids(readers.read_parts(spark, metrics, schemas.METRICS_WIDE))
     if resume and _has_parts(spark, parts):
         wanted = pages.pending_ids(wanted, readers.read_parts(spark, parts, schemas.METADATA))
-    parsed = metadata.parse_documents(documents.join(wanted, "app_id", "left_semi"))
-    writers.write_parts(parsed, parts)
+    writers.write_parts(parse_wanted(documents, wanted, metadata.parse_documents), parts)
     pages.failure_log(readers.read_parts(spark, parts, schemas.METADATA), "fetch_or_parse").write.mode(
         "overwrite"
     ).parquet(failures)
-    writers.compact_parts(spark, parts, merged)
+    writers.compact_parts(spark, parts, merged, schemas.METADATA)
 
 
 def prepare_load(spark: SparkSession, merged: str, out: str) -> None:
     writers.write_csv(metadata.load_format(readers.read_parts(spark, merged, schemas.METADATA)), out)
 
 
+def read_star(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
+    """The star tables as of a load."""
+    star = {
+        name: spark.read.schema(schema).parquet(f"{root}/{name}/v{version}")
+        for name, schema in warehouse.STAR_SCHEMAS.items()
+        if name != FACT
+    }
+    star[FACT] = versions.read_live(spark, f"{root}/{FACT}", _fact_schema(), "date_sk", version + 1)
+    return star
+
+
 def load_warehouse(
-    spark: SparkSession, monthly_csv: str, metadata_csv: str, out: str, previous: str | None = None
+    spark: SparkSession, monthly_csv: str, metadata_csv: str, root: str, version: int, previous: int | None = None
 ) -> dict[str, DataFrame]:
-    """Load both CSVs into a new version of the star below ``out``, on top of ``previous``.
+    """Load both CSVs as a new version of the star at ``root``, on top of an earlier one.
 
-    Tables are stored in dependency order and read back, so no table is computed twice.
+    Tables are stored in dependency order and read back, so none is computed twice.
+    The fact is kept in one part per month, and a load rewrites only its months.
     """
-    star = {n: spark.read.schema(s).parquet(f"{previous}/{n}") for n, s in warehouse.STAR_SCHEMAS.items()} if previous else {}
+    old = read_star(spark, root, previous) if previous is not None else {}
     typed = warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv))
     monthly = readers.read_monthly_long(spark, monthly_csv)
 
     def store(name: str, table: DataFrame) -> DataFrame:
-        table.write.mode("overwrite").parquet(f"{out}/{name}")
-        return spark.read.schema(warehouse.STAR_SCHEMAS[name]).parquet(f"{out}/{name}")
+        path = f"{root}/{name}/v{version}"
+        table.write.mode("overwrite").parquet(path)
+        return spark.read.schema(warehouse.STAR_SCHEMAS[name]).parquet(path)
 
-    done = {}
-    done["dim_app"] = store("dim_app", warehouse.upsert_apps(star.get("dim_app"), typed))
-    done["dim_date"] = store("dim_date", warehouse.upsert_dates(star.get("dim_date"), monthly))
+    apps = store("dim_app", warehouse.upsert_apps(old.get("dim_app"), typed))
+    dates = store("dim_date", warehouse.upsert_dates(old.get("dim_date"), monthly))
     items = warehouse.tag_items(typed)
     for kind in ("genre", "category"):
-        tags = store(f"dim_{kind}", warehouse.upsert_tags(star.get(f"dim_{kind}"), items, kind))
-        done[f"dim_{kind}"] = tags
-        name = f"bridge_app_{kind}"
-        done[name] = store(name, warehouse.insert_bridge(star.get(name), items, done["dim_app"], tags, kind))
-    rows = warehouse.fact_rows(monthly, done["dim_app"], done["dim_date"])
-    done["fact_monthly"] = store("fact_monthly", warehouse.upsert_fact(star.get("fact_monthly"), rows))
-    return done
+        tags = store(f"dim_{kind}", warehouse.upsert_tags(old.get(f"dim_{kind}"), items, kind))
+        bridge = f"bridge_app_{kind}"
+        store(bridge, warehouse.insert_bridge(old.get(bridge), items, apps, tags, kind))
+    rows = warehouse.fact_rows(monthly, apps, dates).to(_fact_schema())
+    versions.upsert_parts(spark, f"{root}/{FACT}", rows, "date_sk", version, warehouse.upsert_fact)
+    return read_star(spark, root, version)
+
+
+def _fact_schema() -> StructType:
+    return StructType.fromDDL(warehouse.STAR_SCHEMAS[FACT])
 
 
 def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -1,0 +1,99 @@
+"""A table in parts, where an upsert rewrites only the parts it touches.
+
+Layout: ``<root>/data/<part>=<p>/version=<v>/`` and ``<root>/versions/version=<v>/``,
+the list of the parts that version ``v`` wrote. The list is written last, so a
+version that failed half-way is never read, and repeating it overwrites it. One
+writer is assumed. The part column should cut the table evenly (a date, a hash
+bucket of the key): a part is the unit that is rewritten.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from ebbline.operators.membership import bounded_rows
+
+
+def hash_part(keys: list[str], parts: int) -> Column:
+    """An even part number of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+
+
+def _live(spark: SparkSession, root: str, schema: StructType, part: str, before: int | None) -> DataFrame | None:
+    """``(part, version)``: the newest listed version of each part."""
+    listed = StructType([schema[part], StructField("version", LongType())])
+    try:
+        rows = spark.read.schema(listed).parquet(f"{root}/versions")
+    except AnalysisException:
+        return None
+    if before is not None:
+        rows = rows.filter(F.col("version") < before)
+    return rows.groupBy(part).agg(F.max("version").alias("version"))
+
+
+def _only(live: list[Row], part: str) -> Column:
+    """The live directories as a filter on partition columns, which prunes the file list."""
+    by_version: dict[int, list] = {}
+    for row in live:
+        by_version.setdefault(row["version"], []).append(row[part])
+    conditions = [(F.col("version") == v) & F.col(part).isin(*parts) for v, parts in by_version.items()]
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
+def read_live(
+    spark: SparkSession, root: str, schema: StructType, part: str, before: int | None = None,
+    touched: DataFrame | None = None,
+) -> DataFrame | None:
+    """The rows of the newest versions, of the touched parts only if given; None before the first version."""
+    live = _live(spark, root, schema, part, before)
+    if live is None:
+        return None
+    if touched is not None:
+        live = live.join(touched, part, "left_semi")
+    stored = StructType([f for f in schema.fields if f.name != part] + [schema[part], StructField("version", LongType())])
+    pairs = bounded_rows(live)
+    if pairs == []:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(stored).parquet(f"{root}/data")
+    rows = rows.filter(_only(pairs, part)) if pairs else rows.join(live, [part, "version"], "left_semi")
+    return rows.select(*schema.names)
+
+
+def write_version(table: DataFrame, root: str, part: str, version: int) -> None:
+    """Write all rows of some parts as their new version, then list it.
+
+    Rows are rebalanced by part first, so a part gets few files and a large one
+    is spread over several tasks.
+    """
+    (
+        table.hint("rebalance", part)
+        .withColumn("version", F.lit(version))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(part, "version")
+        .parquet(f"{root}/data")
+    )
+
+
+def upsert_parts(
+    spark: SparkSession, root: str, new: DataFrame, part: str, version: int,
+    merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+) -> None:
+    """``merge(old rows of the touched parts, new rows)`` becomes their next version.
+
+    ``merge`` may not leave a part without rows. Every version before this one is the
+    base, so a repeated version gives the same table.
+    """
+    touched = new.select(part).distinct().persist()
+    try:
+        old = read_live(spark, root, new.schema, part, version, touched)
+        write_version(merge(old, new).select(*new.columns), root, part, version)
+        touched.coalesce(1).write.mode("overwrite").parquet(f"{root}/versions/version={version}")
+    finally:
+        touched.unpersist()

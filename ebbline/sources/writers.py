@@ -11,13 +11,16 @@ def write_parts(df: DataFrame, path: str, mode: str = "append", rows_per_file: i
     df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 
 
-def compact_parts(spark: SparkSession, source: str, target: str, files: int | None = None) -> None:
-    """Rewrite many small parts as few files.
+def compact_parts(
+    spark: SparkSession, source: str, target: str, schema: str | None = None, files: int | None = None
+) -> None:
+    """Rewrite many small parts as few files; without a schema those of the parts are merged.
 
     Without ``files`` the scan already packs small parts into partitions of
     ``spark.sql.files.maxPartitionBytes``, and each becomes one file: no shuffle.
     """
-    parts = spark.read.option("mergeSchema", "true").parquet(source)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    parts = reader.parquet(source)
     if files:
         parts = parts.coalesce(files)
     parts.write.mode("overwrite").parquet(target)

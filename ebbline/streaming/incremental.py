@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ebbline.operators.dedup import latest
 from ebbline.operators.upsert import delete_insert
+from ebbline.operators.versions import upsert_parts
 
 
 def stream_files(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -52,70 +52,25 @@ def read_ingested(spark: SparkSession, target: str, keys: list[str], order: list
 
 
 def upsert_batches(
-    stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str], part: str
+    stream: DataFrame, root: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str], part: str
 ) -> StreamingQuery:
-    """Keep ``target`` at the latest row per key, rewriting only the parts a batch touches.
+    """Keep the table at ``root`` at the latest row per key, rewriting only the parts a batch touches.
 
-    ``part`` is a column that the key determines (a month, a hash bucket). Every
-    touched part is written anew as ``part=<p>/version=<batch id>``; readers take the
-    greatest version of each part. A late row loses against a newer stored one. A
-    repeated batch starts from the versions before it, so it gives the same result.
+    ``part`` is a column that the key determines. A late row loses against a newer
+    stored one. The batch id is the version, so a repeated batch changes nothing.
     """
 
+    def newest(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        if old is None:
+            return new
+        rivals = old.join(new.select(*keys), keys, "left_semi")
+        return delete_insert(old, latest(new.unionByName(rivals), keys, order, ties), keys)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = latest(batch, keys, order, ties).persist()
+        reduced = latest(batch, keys, order, ties).persist()
         try:
-            touched = new.select(part).distinct()
-            stored = _versions(spark, target, batch.schema, part, before=batch_id)
-            if stored is not None:
-                old = stored.join(F.broadcast(touched), part, "left_semi") if _few(touched) else stored.join(
-                    touched, part, "left_semi"
-                )
-                winners = latest(new.unionByName(old.join(new.select(*keys), keys, "left_semi")), keys, order, ties)
-                new_version = delete_insert(old, winners, keys)
-            else:
-                new_version = new
-            for_write = new_version.withColumn("version", F.lit(batch_id))
-            (
-                for_write.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(part, "version")
-                .parquet(target)
-            )
+            upsert_parts(batch.sparkSession, root, reduced, part, batch_id, newest)
         finally:
-            new.unpersist()
+            reduced.unpersist()
 
     return run_available(stream, checkpoint, merge)
-
-
-_BROADCAST_PARTS = 10_000
-
-
-def _few(parts: DataFrame) -> bool:
-    return parts.limit(_BROADCAST_PARTS + 1).count() <= _BROADCAST_PARTS
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(location)
-
-
-def _versions(spark: SparkSession, target: str, schema, part: str, before: int | None = None) -> DataFrame | None:
-    """The live rows: greatest version of each part, of the versions before a batch."""
-    if not _exists(spark, target):
-        return None
-    columns = [f.name for f in schema.fields]
-    rows = spark.read.parquet(target)
-    rows = rows.withColumn(part, F.col(part).cast(schema[part].dataType))
-    if before is not None:
-        rows = rows.filter(F.col("version") < before)
-    live = rows.select(part, "version").distinct().groupBy(part).agg(F.max("version").alias("version"))
-    return rows.join(live, [part, "version"], "left_semi").select(*columns)
-
-
-def read_upserted(spark: SparkSession, target: str, schema, part: str) -> DataFrame:
-    rows = _versions(spark, target, schema, part)
-    if rows is None:
-        raise FileNotFoundError(f"Nothing was upserted into: {target}")
-    return rows

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ebbline import jobs, schemas
 from ebbline.catalog import bind, queries
+from ebbline.operators import versions
 from ebbline.plans import boosting, evaluate, panel, scoring
 from ebbline.session import new_path
 from ebbline.sources import readers, writers
@@ -120,8 +121,8 @@ def test_warehouse_job_twice_and_mart_export(spark, sf_dir):
     root = new_path(spark, "warehouse")
     writers.write_csv(bind.monthly_long(spark, sf_dir), f"{root}/monthly")
     writers.write_csv(bind.landing(spark, sf_dir), f"{root}/meta")
-    first = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/v1")
-    second = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/v2", f"{root}/v1")
+    first = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star", 1)
+    second = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star", 2, 1)
     for name, table in first.items():
         assert table.count() == second[name].count() and table.exceptAll(second[name]).count() == 0, name
     jobs.export_marts(second, f"{root}/marts")
@@ -169,7 +170,7 @@ def test_upserts_resume_and_late_rows_lose(spark):
     def run():
         stream = incremental.stream_files(spark, source, STREAM, 1)
         incremental.upsert_batches(stream, target, progress, ["k", "part"], ["t"], ["v"], "part")
-        rows = incremental.read_upserted(spark, target, stream.schema, "part").collect()
+        rows = versions.read_live(spark, target, stream.schema, "part").collect()
         return sorted((r["k"], r["part"], r["t"], r["v"]) for r in rows)
 
     add_file(spark, source, [(1, "a", 5, 1.0), (1, "a", 6, 2.0), (2, "b", 5, 3.0)])
