@@ -20,9 +20,15 @@ from ebbline.plans.training import model_rows
 from ebbline.sources import readers, writers
 
 FACT = "fact_monthly"
-MART_NAMES = (
-    "app_persistence", "decay_curve", "genre_retention", "category_retention", "price_tier_retention", "growth_decay"
-)
+# The marts and the names of their views.
+MART_VIEWS = {
+    "app_persistence": "v_app_persistence_6m",
+    "decay_curve": "v_player_decay_curve",
+    "genre_retention": "v_genre_retention_6m",
+    "category_retention": "v_category_retention_6m",
+    "price_tier_retention": "v_price_tier_retention",
+    "growth_decay": "v_top_growth_decay_6m",
+}
 
 
 def collect_ids(list_pages: DataFrame, sweep_pages: DataFrame | None, out: str) -> None:
@@ -123,6 +129,14 @@ def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def register_views(star: dict[str, DataFrame]) -> None:
+    """The star tables and the marts as temporary views, for SQL."""
+    for name, table in star.items():
+        table.createOrReplaceTempView(name)
+    for name, mart in build_marts(star).items():
+        mart.createOrReplaceTempView(MART_VIEWS[name])
+
+
 def export_marts(star: dict[str, DataFrame], out: str) -> None:
     """The marts as headed CSV folders."""
     for name, mart in build_marts(star).items():

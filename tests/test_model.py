@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline import jobs, schemas
+from ebbline.__main__ import main as command_line
 from ebbline.catalog import bind, queries
 from ebbline.operators import versions
 from ebbline.plans import boosting, evaluate, panel, scoring
@@ -113,7 +114,7 @@ def test_steps_from_pages_to_forecast(spark, sf_dir):
     summary = jobs.train(spark, f"{root}/panel", f"{root}/vocab", f"{root}/split", f"{root}/out", config).first()
     assert summary["n_train"] + summary["n_test"] == spark.read.parquet(f"{root}/panel").count()
     writers.write_csv(bind.score_input(spark, sf_dir), f"{root}/input")
-    jobs.predict(spark, f"{root}/input", f"{root}/out/model", f"{root}/forecast")
+    command_line(["predict", "--input", f"{root}/input", "--model", f"{root}/out/model", "--out", f"{root}/forecast"])
     assert spark.read.options(**readers.CSV_OPTIONS).csv(f"{root}/forecast").count() == n
 
 
@@ -127,8 +128,10 @@ def test_warehouse_job_twice_and_mart_export(spark, sf_dir):
         assert table.count() == second[name].count() and table.exceptAll(second[name]).count() == 0, name
     jobs.export_marts(second, f"{root}/marts")
     built = jobs.build_marts(second)
-    for name in jobs.MART_NAMES:
+    for name in jobs.MART_VIEWS:
         assert spark.read.options(**readers.CSV_OPTIONS).csv(f"{root}/marts/{name}").count() == built[name].count() > 0
+    jobs.register_views(second)
+    assert spark.sql("select count(*) from v_price_tier_retention where game_count > 0").first()[0] == built["price_tier_retention"].count()
     shown = jobs.build_charts(built)
     assert shown["life_cycle"].count() == 12 and shown["trend_lines"].count() == 2
 
