@@ -57,6 +57,13 @@ def shown(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[column(n, k) for n, k in df.dtypes])
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read back: for plans that read them more than once."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # --- sources and sinks -------------------------------------------------------
 
 
@@ -372,8 +379,9 @@ def tag_topk(spark, sf):
 @query
 def panel_multihot(spark, sf):
     """The 0/1 columns of each panel row, written side by side in vocabulary order."""
-    words = panel.collect_vocabulary(panel.tag_vocabulary(_joined(spark, sf), 10, 40))
-    hot = panel.multihot_columns(_panel(spark, sf), words)
+    joined = stored(_joined(spark, sf), "joined")
+    words = panel.collect_vocabulary(panel.tag_vocabulary(joined, 10, 40))
+    hot = panel.multihot_columns(panel.build_panel(joined), words)
 
     def digits(prefix: str) -> Column:
         names = [c for c in hot.columns if c.startswith(prefix)]
@@ -390,7 +398,9 @@ def _typed(spark, sf) -> DataFrame:
 
 
 def _star(spark, sf) -> dict[str, DataFrame]:
-    return warehouse.build_star(_typed(spark, sf), bind.monthly_long(spark, sf))
+    """The star over stored staging, as each table reads staging again."""
+    typed, monthly = stored(_typed(spark, sf), "typed"), stored(bind.monthly_long(spark, sf), "monthly")
+    return warehouse.build_star(typed, monthly)
 
 
 @query
@@ -440,7 +450,7 @@ def fact_monthly(spark, sf):
 @query
 def fact_upsert(spark, sf):
     """An older load of months 4 to 12, then a reload of months 1 to 6."""
-    monthly = bind.monthly_long(spark, sf)
+    monthly = stored(bind.monthly_long(spark, sf), "monthly")
     apps, calendar = warehouse.upsert_apps(None, _typed(spark, sf)), warehouse.upsert_dates(None, monthly)
     old = monthly.filter("month_index >= 4").withColumn("avg_players", F.col("avg_players") + 100)
     fact = warehouse.fact_rows(old, apps, calendar)
@@ -541,7 +551,7 @@ def top_changes(spark, sf):
 
 @query
 def decay_curve_measures(spark, sf):
-    return shown(marts.curve_measures(bind.monthly_long(spark, sf)), 4)
+    return shown(marts.curve_measures(stored(bind.monthly_long(spark, sf), "monthly")), 4)
 
 
 @query
@@ -563,6 +573,10 @@ def _rows(spark, sf) -> DataFrame:
     return training.model_rows(_panel(spark, sf))
 
 
+def _stored_rows(spark, sf) -> DataFrame:
+    return stored(_rows(spark, sf), "model-rows")
+
+
 def _predictions(spark, sf) -> DataFrame:
     """A fixed stand-in forecast: half of the recent trend, with a band of 0.3."""
     middle = 0.5 * F.col("trend3_log_avg")
@@ -576,13 +590,13 @@ def model_rows(spark, sf):
 
 @query_as("group_split")
 def entity_split(spark, sf):
-    return group_split(_rows(spark, sf))
+    return group_split(_stored_rows(spark, sf))
 
 
 @query
 def split_rows(spark, sf):
     """Rows per side under a saved split that lists only some entities: the others train."""
-    rows = _rows(spark, sf)
+    rows = _stored_rows(spark, sf)
     saved = group_split(rows.filter("is_free = 0"))
     sides = apply_split(rows, saved)
     return sides.groupBy("is_test").agg(F.count("*").alias("n_rows"), F.count_distinct("app_id").alias("n_entities"))
@@ -596,7 +610,7 @@ def all_missing_cols(spark, sf):
 
 @query
 def impute_medians(spark, sf):
-    rows = _rows(spark, sf)
+    rows = _stored_rows(spark, sf)
     columns = list(series.NUMERIC_FEATURES)
     medians = training.fit_medians(rows, columns)
     filled = training.impute(rows, medians)
@@ -621,12 +635,9 @@ def downtrend_slice(spark, sf):
 
 
 def _fitted(spark, sf):
-    path, words_path = new_path(spark, "panel"), new_path(spark, "vocabulary")
-    joined = _joined(spark, sf)
-    panel.build_panel(joined).write.parquet(path)
-    panel.tag_vocabulary(joined).coalesce(1).write.parquet(words_path)
-    words = panel.collect_vocabulary(spark.read.parquet(words_path))
-    return boosting.fit(spark.read.parquet(path), words, SMALL_BOOSTING)
+    joined = stored(_joined(spark, sf), "joined")
+    words = panel.collect_vocabulary(panel.tag_vocabulary(joined))
+    return boosting.fit(stored(panel.build_panel(joined), "panel"), words, SMALL_BOOSTING)
 
 
 @query

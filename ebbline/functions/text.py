@@ -32,13 +32,20 @@ def finite(value: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Lenient decimal: thousands commas dropped; blank, ``-`` and junk are NULL."""
-    bare = F.replace(strip(text), F.lit(","), F.lit(""))
-    return strict_number(bare)
+    return decimal(without_commas(text))
+
+
+def without_commas(text: Column) -> Column:
+    return F.replace(strip(text), F.lit(","), F.lit(""))
 
 
 def strict_number(text: Column) -> Column:
     """Decimal without thousands commas; anything else is NULL."""
-    bare = strip(text)
+    return decimal(strip(text))
+
+
+def decimal(bare: Column) -> Column:
+    """Stripped text as a finite double."""
     return finite(F.when(bare.rlike(_DECIMAL), bare.try_cast("double")))
 
 
@@ -48,6 +55,13 @@ def to_int(text: Column) -> Column:
     return F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("int"))
 
 
+def to_id(text: Column) -> Column:
+    """Lenient long id; a decimal one loses its fraction."""
+    bare = F.trim(text)
+    whole = F.when(bare.rlike(r"^[+-]?[0-9]+$"), bare.try_cast("long"))
+    return F.coalesce(whole, strict_number(bare).try_cast("long"))
+
+
 def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 

@@ -37,6 +37,15 @@ def _live(spark: SparkSession, root: str, schema: StructType, part: str, before:
     return rows.groupBy(part).agg(F.max("version").alias("version"))
 
 
+def last_version(spark: SparkSession, root: str) -> int | None:
+    """The newest listed version."""
+    try:
+        listed = spark.read.schema("version long").parquet(f"{root}/versions")
+    except AnalysisException:
+        return None
+    return listed.agg(F.max("version")).first()[0]
+
+
 def _only(live: list[Row], part: str) -> Column:
     """The live directories as a filter on partition columns, which prunes the file list."""
     by_version: dict[int, list] = {}
@@ -88,8 +97,12 @@ def upsert_parts(
     """``merge(old rows of the touched parts, new rows)`` becomes their next version.
 
     ``merge`` may not leave a part without rows. Every version before this one is the
-    base, so a repeated version gives the same table.
+    base, so a repeated version gives the same table. A version older than the newest
+    one is refused: it would never be read.
     """
+    newest = last_version(spark, root)
+    if newest is not None and version < newest:
+        raise ValueError(f"Version {version} is older than version {newest} of {root}")
     touched = new.select(part).distinct().persist()
     try:
         old = read_live(spark, root, new.schema, part, version, touched)

@@ -23,7 +23,7 @@ def parse_documents(documents: DataFrame) -> DataFrame:
     """
     node = F.element_at(F.from_json("payload", schemas.PAYLOAD, {"mode": "PERMISSIVE"}), F.col("app_id").cast("string"))
     # from_json cannot tell a broken document from an empty one; the JSON path parser can.
-    is_json = F.get_json_object("payload", "$").isNotNull()
+    is_json = F.get_json_object("payload", "$").isNotNull() | (F.trim("payload") == "null")
     read = documents.select("app_id", "scraped_utc", "payload", node.alias("node"), is_json.alias("_is_json"))
     status = (
         F.when(F.col("payload").isNotNull() & ~F.col("_is_json"), "error")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.series import SHAPE_FEATURES, base_log, shape_features
+from ebbline.functions.series import SHAPE_FEATURES, STATIC_FEATURES, base_log, shape_features
 from ebbline.functions.text import comma_items, scoring_norm, strict_number, to_int
 from ebbline.plans.boosting import QuantileModel, column_name, predict
 from ebbline.plans.panel import TAG_FIELDS
@@ -40,6 +40,13 @@ def _flag(rows: DataFrame) -> Column:
     return F.when(text == "true", 1).when(text == "false", 0).otherwise(whole)
 
 
+def _with_numbers(rows: DataFrame) -> DataFrame:
+    """Each number parsed once, as ``_n_<name>``; the formulas then read plain columns."""
+    names = (*MEASURES, "price_usd", "age_months", "age_since_release_months")
+    numbers = {f"_n_{name}": strict_number(_text(rows, name)) for name in names}
+    return rows.withColumns(numbers | {"_n_is_free": _flag(rows)})
+
+
 def validate(rows: DataFrame) -> DataFrame:
     """Add ``row_error``: empty for a usable row, else the first thing wrong with it. No row is lost."""
     error = F
@@ -49,14 +56,14 @@ def validate(rows: DataFrame) -> DataFrame:
     for name in MEASURES:
         raw = _text(rows, name)
         error = error.when(raw.isNull(), MISSING_VALUE + name)
-        error = error.when(strict_number(raw).isNull(), _quoted(NOT_A_NUMBER, raw))
-    least = F.least(*[strict_number(_text(rows, name)) for name in MEASURES])
+        error = error.when(F.col(f"_n_{name}").isNull(), _quoted(NOT_A_NUMBER, raw))
+    least = F.least(*[F.col(f"_n_{name}") for name in MEASURES])
     error = error.when(least <= 0, NOT_POSITIVE)
     flag, price = _text(rows, "is_free"), _text(rows, "price_usd")
     error = error.when(flag.isNull(), MISSING_VALUE + "is_free")
-    error = error.when(_flag(rows).isNull(), _quoted(NOT_AN_INTEGER, flag))
-    error = error.when(price.isNotNull() & strict_number(price).isNull(), _quoted(NOT_A_NUMBER, price))
-    return rows.withColumn("row_error", error.otherwise(""))
+    error = error.when(F.col("_n_is_free").isNull(), _quoted(NOT_AN_INTEGER, flag))
+    error = error.when(price.isNotNull() & F.col("_n_price_usd").isNull(), _quoted(NOT_A_NUMBER, price))
+    return _with_numbers(rows).select(*rows.columns, error.otherwise("").alias("row_error"))
 
 
 def match_tags(items: Column, vocabulary: list[str]) -> Column:
@@ -69,11 +76,9 @@ def match_tags(items: Column, vocabulary: list[str]) -> Column:
     keys = F.array(*[scoring_norm(F.lit(tag)) for tag in vocabulary])
     tags = F.array(*[F.lit(tag) for tag in vocabulary])
 
-    def original(item: Column) -> Column:
-        at = F.array_position(keys, scoring_norm(item))
-        return F.when((scoring_norm(item) != "") & (at > 0), F.get(tags, (at - 1).cast("int")))
-
-    return F.array_distinct(F.filter(F.transform(items, original), lambda x: x.isNotNull()))
+    wanted = F.filter(F.transform(items, scoring_norm), lambda x: x != "")
+    places = F.filter(F.transform(wanted, lambda x: F.array_position(keys, x)), lambda at: at > 0)
+    return F.array_distinct(F.transform(places, lambda at: F.get(tags, (at - 1).cast("int"))))
 
 
 def feature_rows(validated: DataFrame, vocabulary: dict[str, list[str]]) -> DataFrame:
@@ -82,21 +87,18 @@ def feature_rows(validated: DataFrame, vocabulary: dict[str, list[str]]) -> Data
     Month 1 is the oldest of the three. The formulas are the panel's own.
     """
     ok = F.col("row_error") == ""
-
-    def number(name: str) -> Column:
-        return F.when(ok, strict_number(_text(validated, name)))
-
+    numbers = _with_numbers(validated)
+    numbers = numbers.withColumns({c: F.when(ok, F.col(c)) for c in numbers.columns if c.startswith("_n_")})
     shape = shape_features(
-        tuple(number(f"avg_m{i}") for i in (1, 2, 3)), tuple(number(f"peak_m{i}") for i in (1, 2, 3))
+        tuple(F.col(f"_n_avg_m{i}") for i in (1, 2, 3)), tuple(F.col(f"_n_peak_m{i}") for i in (1, 2, 3))
     )
-    columns = {f"f_{name}": shape[name] for name in SHAPE_FEATURES}
-    columns["f_is_free"] = F.when(ok, _flag(validated))
-    for name in ("price_usd", "age_months", "age_since_release_months"):
-        columns[f"f_{name}"] = number(name)
+    columns = {name: shape[name] for name in SHAPE_FEATURES}
+    for name in STATIC_FEATURES:
+        columns[name] = F.col(f"_n_{name}")
     for kind, field in TAG_FIELDS.items():
         tags = match_tags(comma_items(_text(validated, field)), vocabulary.get(kind, []))
-        columns[f"f_{field}"] = F.when(ok, tags)
-    return validated.withColumns(columns)
+        columns[field] = F.when(ok, tags)
+    return numbers.select(*validated.columns, *[c.alias(f"f_{name}") for name, c in columns.items()])
 
 
 def align(features: DataFrame, names: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbline import schemas
 from ebbline.functions.dates import parse_date, parse_month
-from ebbline.functions.text import blank_to_null, bool_flag, pipe_items, to_int, to_number, warehouse_norm
+from ebbline.functions.text import blank_to_null, bool_flag, pipe_items, strict_number, to_int, warehouse_norm
 from ebbline.operators.checks import duplicate_keys, null_keys, orphans
 from ebbline.operators.keys import assign_keys
 from ebbline.operators.upsert import absent, delete_insert
@@ -20,7 +20,7 @@ def typed_metadata(landing: DataFrame) -> DataFrame:
     return landing.select(
         to_int(F.col("app_id")).alias("app_id"),
         bool_flag(F.col("is_free")).alias("is_free"),
-        to_number(F.col("price_usd")).alias("price_usd"),
+        strict_number(F.col("price_usd")).alias("price_usd"),
         *[blank_to_null(F.col(c)).alias(c) for c in ("release_date_str", "genres_csv", "categories_csv", "scraped_utc")],
     ).filter("app_id is not null")
 

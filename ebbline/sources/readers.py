@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline import schemas
-from ebbline.functions.text import to_int
+from ebbline.functions.text import to_id
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
@@ -18,7 +18,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     name = next((n for n in ("app_id", "appid") if n in raw.columns), None)
     if name is None:
         raise ValueError(f"Id file must contain 'app_id'. Found: {raw.columns}")
-    return raw.select(to_int(F.col(name)).cast("long").alias("app_id")).dropna().distinct()
+    return raw.select(to_id(F.col(name)).alias("app_id")).dropna().distinct()
 
 
 def read_monthly_long(spark: SparkSession, path: str) -> DataFrame:

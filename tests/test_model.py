@@ -147,8 +147,8 @@ def test_readers_fail_on_missing_input(spark):
 
 def test_ids_accept_the_other_column_name(spark):
     path = new_path(spark, "appid")
-    writers.write_csv(spark.createDataFrame([("3",), ("1",), ("",), ("3",), ("x",)], "appid string"), path)
-    assert sorted(r[0] for r in readers.read_ids(spark, path).collect()) == [1, 3]
+    writers.write_csv(spark.createDataFrame([("3",), ("1",), ("",), ("3",), ("x",), ("99999999999",), ("7.0",)], "appid string"), path)
+    assert sorted(r[0] for r in readers.read_ids(spark, path).collect()) == [1, 3, 7, 99999999999]
 
 
 def test_csv_fields_with_quotes_commas_and_blanks_survive(spark):

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.operators import checks, dedup, keys, quantile, split, upsert
+from ebbline.operators import checks, dedup, keys, membership, quantile, split, upsert, versions
+from ebbline.session import new_path
 
 
 def skewed(spark, n=20_000):
@@ -110,6 +111,37 @@ def test_delete_insert_keeps_other_keys_and_repeats(spark):
     assert {tuple(r) for r in once.collect()} == {(1, 1.0), (2, 9.0), (3, 3.0)} == {tuple(r) for r in twice.collect()}
 
 
+def test_versions_refuse_to_go_back_and_repeat_the_last(spark):
+    root = new_path(spark, "versions")
+    rows = spark.createDataFrame([(1, "a"), (2, "b b/c")], "k int, part string")
+
+    def merge(old, new):
+        return new if old is None else upsert.delete_insert(old, new, ["k"])
+
+    def table():
+        return sorted(map(tuple, versions.read_live(spark, root, rows.schema, "part").collect()))
+
+    versions.upsert_parts(spark, root, rows, "part", 3, merge)
+    versions.upsert_parts(spark, root, rows.filter("k = 2"), "part", 5, merge)
+    assert table() == [(1, "a"), (2, "b b/c")]
+    versions.upsert_parts(spark, root, rows.filter("k = 2"), "part", 5, merge)
+    assert table() == [(1, "a"), (2, "b b/c")]
+    with pytest.raises(ValueError, match="older"):
+        versions.upsert_parts(spark, root, rows, "part", 4, merge)
+    plan = versions.read_live(spark, root, rows.schema, "part")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_wanted_rows_are_parsed_without_shuffling_raw_text(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(membership, "is_small", lambda ids: False)
+    raw = spark.range(10).select(F.col("id").alias("app_id"), F.lit("<p>").alias("html"))
+    ids = spark.createDataFrame([(3,), (3,), (99,)], "app_id long")
+    parsed = membership.parse_wanted(raw, ids, lambda df: df.select("app_id", F.length("html").alias("n")))
+    assert [tuple(r) for r in parsed.collect()] == [(3, 3)]
+
+
 def test_checks_find_violations(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k int, t string")
     assert [r["n_rows"] for r in checks.duplicate_keys(df, ["k", "t"], "c").collect()] == [2]

@@ -135,9 +135,11 @@ def test_documents(spark):
         (6, '{"6": {"succ'),
         (7, payload(7, price_overview={"final": "999", "currency": "USD"})),
         (8, json.dumps({"8": {"success": True}})),
+        (9, "null"), (10, None), (11, "[]"),
     ]
     df = spark.createDataFrame([(*g, "t") for g in given], "app_id long, payload string, scraped_utc string")
     got = {r["app_id"]: r for r in metadata.parse_documents(df).collect()}
+    assert [got[i]["status"] for i in (9, 10, 11)] == ["no_data"] * 3
     assert [got[i]["status"] for i in (1, 2, 3, 4, 6, 7, 8)] == ["ok", "ok", "no_data", "no_data", "error", "ok", "ok"]
     assert (got[1]["price_usd"], got[1]["genres"], got[1]["release_date_str"]) == (9.99, ["Action", "Indie"], "Dec 2020")
     assert (got[2]["price_usd"], got[2]["is_free"], got[2]["release_date_str"], got[2]["genres"]) == (None, False, None, [])
