@@ -9,7 +9,7 @@ a fraction of that. Rows never leave the executors; a round brings at most
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -180,43 +180,45 @@ def fit(panel: DataFrame, vocabulary: dict[str, list[str]], config: BoostingConf
     return model, train, test
 
 
-def _tree_sum(matrix: np.ndarray, trees: list[dict], depth: int) -> np.ndarray:
-    total = np.zeros(len(matrix))
-    rows = np.arange(len(matrix))
-    for tree in trees:
-        at = np.zeros(len(matrix), dtype=np.int64)
-        for _ in range(depth):
-            goes_left = matrix[rows, tree["feature"][at]] <= tree["threshold"][at]
-            at = np.where(goes_left, tree["left"][at], tree["right"][at])
-        total += tree["value"][at]
-    return total
-
-
 def column_name(q: float) -> str:
     return f"delta_q{round(q * 100):02d}"
 
 
-def predict(rows: DataFrame, model: QuantileModel) -> DataFrame:
-    """Add one predicted log change per quantile, evaluated in Arrow batches.
+def tree_evaluator(model: QuantileModel) -> Callable[[Iterator[pd.Series]], Iterator[pd.DataFrame]]:
+    """Batches of feature arrays to one predicted log change per quantile.
 
-    The model is a few hundred small trees, fixed by the number of rounds, so it
-    travels with the task. Crossing quantiles are left as they are.
+    The result refers to numpy and pandas only, so workers need not have this package.
+    The model is a few hundred small trees, fixed by the number of rounds.
     """
     quantiles = sorted(model.trees)
     packed = {q: [{k: np.asarray(v) for k, v in t.items()} for t in model.trees[q]] for q in quantiles}
     depth = max((_depth(t) for q in quantiles for t in model.trees[q]), default=0)
-    start, rate = dict(model.start), model.learning_rate
-    names = [column_name(q) for q in quantiles]
+    starts, rate = dict(model.start), model.learning_rate
+    names = {q: column_name(q) for q in quantiles}
+
+    def forecast(matrix: np.ndarray, q: float) -> np.ndarray:
+        total = np.zeros(len(matrix))
+        rows = np.arange(len(matrix))
+        for tree in packed[q]:
+            at = np.zeros(len(matrix), dtype=np.int64)
+            for _ in range(depth):
+                goes_left = matrix[rows, tree["feature"][at]] <= tree["threshold"][at]
+                at = np.where(goes_left, tree["left"][at], tree["right"][at])
+            total += tree["value"][at]
+        return starts[q] + rate * total
 
     def evaluate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             matrix = np.stack(batch.to_numpy()) if len(batch) else np.zeros((0, 1))
-            yield pd.DataFrame(
-                {n: start[q] + rate * _tree_sum(matrix, packed[q], depth) for n, q in zip(names, quantiles)}
-            )
+            yield pd.DataFrame({names[q]: forecast(matrix, q) for q in quantiles})
 
-    returns = ", ".join(f"{n} double" for n in names)
-    apply = F.pandas_udf(evaluate, returns)
+    return evaluate
+
+
+def predict(rows: DataFrame, model: QuantileModel) -> DataFrame:
+    """Add one predicted log change per quantile, evaluated in Arrow batches. Crossing is left as it is."""
+    returns = ", ".join(f"{column_name(q)} double" for q in sorted(model.trees))
+    apply = F.pandas_udf(tree_evaluator(model), returns)
     vectored = feature_vector(rows, model, "_features")
     keyed = vectored.withColumn("_predicted", apply(vector_to_array("_features")))
     return keyed.select(*rows.columns, "_predicted.*")

@@ -1,9 +1,13 @@
 """Boosting, model tables, jobs end to end, and incremental runs."""
 
 import math
+import os
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from ebbline import jobs, schemas
@@ -85,6 +89,16 @@ def test_model_tables_round_trip(spark, fitted):
     assert a.exceptAll(boosting.predict(test, again).select(*a.columns)).count() == 0
 
 
+def test_evaluator_loads_where_the_package_is_absent(fitted, tmp_path):
+    """Workers of a cluster unpickle it without this repository on their path."""
+    path = tmp_path / "evaluator"
+    path.write_bytes(cloudpickle.dumps(boosting.tree_evaluator(fitted[0])))
+    code = f"import pickle; f = pickle.load(open({str(path)!r}, 'rb')); print(callable(f))"
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "True", done.stderr
+
+
 def test_scoring_keeps_all_rows_and_inputs(spark, sf_dir, fitted):
     model, _, _ = fitted
     given = bind.score_input(spark, sf_dir)
