@@ -21,11 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Activity per part and calendar month. Partial aggregation runs before the shuffle."""
+def monthly(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFrame:
+    """Activity per part and calendar month. Partial aggregation runs before the shuffle.
+
+    The id gets its type here, below the shuffles: a later cast would hide that the
+    rows are already partitioned by it.
+    """
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_partkey").alias("app_id"), F.trunc(F.col("l_shipdate"), "MM").alias("month"))
+        .groupBy(F.col("l_partkey").cast(id_type).alias("app_id"), F.trunc(F.col("l_shipdate"), "MM").alias("month"))
         .agg(
             F.avg(F.when(F.col("l_discount") > 0, F.col("l_quantity"))).alias("avg_players"),
             F.max(F.when(F.col("l_tax") > 0, F.col("l_extendedprice")).otherwise(0.0)).alias("peak_players"),
@@ -34,11 +38,11 @@ def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def newest_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def newest_months(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFrame:
     """The twelve newest observed months of each part, numbered from the newest."""
     order = Window.partitionBy("app_id").orderBy(F.desc("month"))
     return (
-        monthly(spark, sf_dir)
+        monthly(spark, sf_dir, id_type)
         .withColumn("month_index", F.row_number().over(order))
         .filter(F.col("month_index") <= MONTHS_KEPT)
         .withColumn("month_label", F.date_format("month", "MMMM yyyy"))
@@ -50,8 +54,8 @@ def page_url() -> Column:
 
 
 def monthly_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_months(spark, sf_dir).select(
-        F.col("app_id").cast("int").alias("app_id"),
+    return newest_months(spark, sf_dir, "int").select(
+        "app_id",
         F.col("month_index").cast("int").alias("month_index"),
         "month_label",
         "avg_players",
