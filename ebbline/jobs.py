@@ -17,6 +17,7 @@ from ebbline.operators.membership import parse_wanted
 from ebbline.operators.split import sample_ids
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, warehouse
 from ebbline.plans.training import model_rows
+from ebbline.session import new_path
 from ebbline.sources import readers, writers
 
 FACT = "fact_monthly"
@@ -85,12 +86,19 @@ def load_warehouse(
 ) -> dict[str, DataFrame]:
     """Load both CSVs as a new version of the star at ``root``, on top of an earlier one.
 
-    Tables are stored in dependency order and read back, so none is computed twice.
+    The files are staged once, replacing the staging of the load before. Tables are
+    stored in dependency order and read back, so none is computed twice.
     The fact is kept in one part per month, and a load rewrites only its months.
     """
     old = read_star(spark, root, previous) if previous is not None else {}
-    typed = warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv))
-    monthly = readers.read_monthly_long(spark, monthly_csv)
+
+    def stage(name: str, rows: DataFrame) -> DataFrame:
+        path = f"{root}/staging/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    typed = stage("metadata", warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv)))
+    monthly = stage("monthly", readers.read_monthly_long(spark, monthly_csv))
 
     def store(name: str, table: DataFrame) -> DataFrame:
         path = f"{root}/{name}/v{version}"
@@ -161,6 +169,9 @@ def make_panel(spark: SparkSession, metrics: str, merged: str, vocabulary_out: s
     joined = panel.metrics_with_metadata(
         readers.read_parts(spark, metrics, schemas.METRICS_WIDE), readers.read_parts(spark, merged, schemas.METADATA)
     )
+    path = new_path(spark, "joined")
+    joined.write.parquet(path)
+    joined = spark.read.schema(joined.schema).parquet(path)
     panel.tag_vocabulary(joined).coalesce(1).write.mode("overwrite").parquet(vocabulary_out)
     panel.build_panel(joined).write.mode("overwrite").parquet(out)
 
