@@ -20,6 +20,10 @@ def _pull_metrics(spark: SparkSession, a: argparse.Namespace) -> None:
     jobs.pull_metrics(spark, spark.read.parquet(a.pages), a.ids, a.out, a.max_ids).show()
 
 
+def _stream_metrics(spark: SparkSession, a: argparse.Namespace) -> None:
+    jobs.stream_metrics(spark, a.pages, a.out, a.checkpoint, a.progress).show()
+
+
 def _pull_metadata(spark: SparkSession, a: argparse.Namespace) -> None:
     jobs.pull_metadata(spark, spark.read.parquet(a.documents), a.metrics, a.parts, a.merged, a.failures)
 
@@ -37,6 +41,7 @@ def _train(spark: SparkSession, a: argparse.Namespace) -> None:
 STEPS = {
     "collect-ids": (_collect_ids, {"list-pages": str, "sweep-pages": None, "out": str}),
     "pull-metrics": (_pull_metrics, {"pages": str, "ids": str, "out": str, "max-ids": params.MAX_IDS}),
+    "stream-metrics": (_stream_metrics, {"pages": str, "out": str, "checkpoint": str, "progress": str}),
     "pull-metadata": (_pull_metadata, {"documents": str, "metrics": str, "parts": str, "merged": str, "failures": str}),
     "prepare-load": (lambda s, a: jobs.prepare_load(s, a.merged, a.out), {"merged": str, "out": str}),
     "load-warehouse": (

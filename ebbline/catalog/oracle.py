@@ -353,6 +353,7 @@ FROM long WHERE app_id IN (SELECT app_id FROM outcomes WHERE status = 'ok') GROU
         + " FROM outcomes",
         "outcomes",
     )
+    q["stream_counters"] = q["run_counters"]
     q["ok_ids"] = with_parts("SELECT app_id FROM outcomes WHERE status = 'ok'", "outcomes")
     q["pending_ids"] = with_parts("SELECT app_id FROM outcomes WHERE status <> 'ok'", "outcomes")
     q["failure_log"] = f"""SELECT {META_UTC} AS utc, p_partkey AS app_id, 'fetch_or_parse' AS stage, 'malformed_json' AS error

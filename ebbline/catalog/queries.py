@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ebbline import schemas
+from ebbline import jobs, schemas
 from ebbline.catalog import bind
 from ebbline.functions import dates, html, series, text
 from ebbline.operators.checks import duplicate_keys, orphans
@@ -695,6 +696,15 @@ def backtransform(spark, sf):
 
 # --- incremental -------------------------------------------------------------
 
+
+@query
+def stream_counters(spark, sf):
+    """Rendered pages as arriving files, parsed in micro-batches; the counters of all batches."""
+    source, root = new_path(spark, "page-files"), new_path(spark, "page-stream")
+    bind.activity_pages(spark, sf).select(*[f.name for f in StructType.fromDDL(schemas.RAW_PAGES)]).write.parquet(source)
+    return jobs.stream_metrics(spark, source, f"{root}/metrics", f"{root}/checkpoint", f"{root}/progress", 3)
+
+
 EVENT_KEYS = ["user_id", "event_type"]
 
 

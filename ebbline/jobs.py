@@ -19,6 +19,7 @@ from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, pa
 from ebbline.plans.training import model_rows
 from ebbline.session import new_path
 from ebbline.sources import readers, writers
+from ebbline.streaming import incremental
 
 FACT = "fact_monthly"
 # The marts and the names of their views.
@@ -52,6 +53,19 @@ def pull_metrics(
     return pages.run_counters(readers.read_parts(spark, out, schemas.METRICS_WIDE))
 
 
+def stream_metrics(
+    spark: SparkSession, raw_pages: str, out: str, checkpoint: str, progress: str, files_per_batch: int = 1000
+) -> DataFrame:
+    """Parse the page files that arrived since the last run, one part per micro-batch; return all counters.
+
+    ``out`` holds one row per fetch; the panel takes the latest usable one.
+    """
+    stream = incremental.stream_files(spark, raw_pages, schemas.RAW_PAGES, files_per_batch)
+    parsed = pages.wide_metrics(pages.parse_pages(stream))
+    incremental.ingest(parsed, out, checkpoint, pages.run_counters, progress)
+    return spark.read.parquet(progress).agg(*[F.sum(c).alias(c) for c in ("processed", *pages.OUTCOMES)])
+
+
 def pull_metadata(
     spark: SparkSession, documents: DataFrame, metrics: str, parts: str, merged: str, failures: str, resume: bool = True
 ) -> None:

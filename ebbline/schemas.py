@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ebbline.params import MONTHS_KEPT
 
-RAW_PAGES = "page_id long, url string, html string, status_code int"
+RAW_PAGES = "app_id long, url string, html string, status_code int, error string, scraped_utc string"
 
 MONTH_COLUMNS = [
     (f"month{i}_label", f"month{i}_avg_players", f"month{i}_peak_players") for i in range(1, MONTHS_KEPT + 1)

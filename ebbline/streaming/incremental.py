@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ebbline.operators.dedup import latest
@@ -33,14 +34,24 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     return query
 
 
-def ingest(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+def ingest(
+    stream: DataFrame, target: str, checkpoint: str,
+    summarize: Callable[[DataFrame], DataFrame] | None = None, progress: str | None = None,
+) -> StreamingQuery:
     """Append each micro-batch as its own partition ``batch_id=n``.
 
-    A batch that is repeated after a failure overwrites its own partition only.
+    A batch that is repeated after a failure overwrites its own partition only. With
+    ``summarize`` the written rows of each batch are summed up, with the time, as a
+    row of the ``progress`` table, which is overwritten by batch in the same way.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        path = f"{target}/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        if summarize is not None:
+            written = batch.sparkSession.read.schema(batch.schema).parquet(path)
+            record = summarize(written).withColumn("updated_utc", F.current_timestamp())
+            record.coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
 
     return run_available(stream, checkpoint, write)
 

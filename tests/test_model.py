@@ -215,6 +215,20 @@ def test_ingest_repeats_nothing_and_latest_wins(spark):
     assert run() == (3, [(1, 0.5), (2, 3.0)])
 
 
+def test_page_stream_resumes_and_feeds_the_panel_input(spark, sf_dir):
+    root = new_path(spark, "page-stream")
+    raw = bind.activity_pages(spark, sf_dir).select("app_id", "url", "html", "status_code", "error", "scraped_utc")
+    paths = [f"{root}/{n}" for n in ("pages", "metrics", "checkpoint", "progress")]
+    raw.filter("status_code = 200").coalesce(2).write.parquet(paths[0])
+    first = jobs.stream_metrics(spark, *paths, 1).first()
+    assert first == jobs.stream_metrics(spark, *paths, 1).first()
+    raw.filter("status_code is null or status_code <> 200").coalesce(1).write.mode("append").parquet(paths[0])
+    last = jobs.stream_metrics(spark, *paths, 1).first()
+    assert last["processed"] == raw.count() and last["ok"] == first["ok"] and first["error"] == 0 < last["error"]
+    metrics = readers.read_parts(spark, paths[1], schemas.METRICS_WIDE)
+    assert panel.with_history(metrics.filter("status = 'ok'")).count() > 0
+
+
 def test_back_transform(spark):
     got = spark.range(1).select(scoring.back_transform(F.lit(100.0), F.lit(0.5)), scoring.back_transform(F.lit(0.0), F.lit(0.0))).first()
     assert got[0] == pytest.approx(100 * math.exp(0.5)) and got[1] == pytest.approx(1e-9)
