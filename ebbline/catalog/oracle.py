@@ -511,11 +511,11 @@ JOIN (SELECT * EXCLUDE (app_sk) FROM apps) USING (app_id)""",
     q["model_rows"] = with_parts(f"SELECT app_id, k_index::INT AS k_index, {rs('y_log_avg', 'base_log', 'delta')} FROM rows_", "rows_")
     position = dense(["app_id"], SEED)
     q["group_split"] = with_parts(
-        f"""SELECT app_id, {position} <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM (SELECT DISTINCT app_id FROM rows_)""", "rows_"
+        f"""SELECT app_id, {position} <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test FROM (SELECT DISTINCT app_id FROM rows_)""", "rows_"
     )
     q["split_rows"] = with_parts(
         f"""SELECT coalesce(is_test, false) AS is_test, count(*) AS n_rows, count(DISTINCT app_id) AS n_entities FROM rows_ LEFT JOIN (
- SELECT app_id, {position} <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM (SELECT DISTINCT app_id FROM rows_ WHERE is_free = 0))
+ SELECT app_id, {position} <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test FROM (SELECT DISTINCT app_id FROM rows_ WHERE is_free = 0))
  USING (app_id) GROUP BY 1""",
         "rows_",
     )

@@ -13,7 +13,7 @@ def group_split(rows: DataFrame, key: str = "app_id", share: float = TEST_SHARE,
     """``(key, is_test)``: the first ``ceil(share * n)`` entities in seeded hash order."""
     entities = rows.select(key).dropna().distinct()
     placed = hash_positions(entities, [key], seed)
-    cut = F.ceil(F.col("_total") * F.lit(share) - F.lit(1e-9))
+    cut = F.ceil(F.col("_total") * F.lit(share))
     return placed.select(key, (F.col("_position") <= cut).alias("is_test"))
 
 

@@ -75,7 +75,7 @@ def test_new_keys_follow_the_old_ones(spark):
     assert sorted(r["sk"] for r in new.collect()) == [42, 43, 44]
 
 
-@pytest.mark.parametrize("n", [1, 5, 1309])
+@pytest.mark.parametrize("n", [1, 5, 35, 1309])
 def test_split_size_and_disjointness(spark, n):
     rows = spark.range(n).select(F.col("id").alias("app_id"), F.explode(F.array(F.lit(1), F.lit(2))).alias("x"))
     sides = split.apply_split(rows, split.group_split(rows))
