@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ebbline.catalog.oracle import ORACLE_SQL
+from ebbline.catalog.queries import QUERIES
 from tests.compare import compare, connect
 
 # Fixed value: the queries whose result SQL cannot state (fitted models).
@@ -14,14 +16,14 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, con, sf_dir, name):
-    assert compare(spark, con, name, queries()[name], oracle_sql()[name], sf_dir) == []
+    assert compare(spark, con, name, QUERIES[name], ORACLE_SQL[name], sf_dir) == []
 
 
 def test_every_query_has_sql_but_the_fitted_ones():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == WITHOUT_SQL
+    assert set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_entry(spark):
@@ -29,11 +31,11 @@ def test_entry(spark):
 
 
 def test_no_cross_join_in_any_plan(spark, sf_dir):
-    for name in sorted(set(queries()) - WITHOUT_SQL):
-        plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    for name in sorted(set(QUERIES) - WITHOUT_SQL):
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
 def test_repeated_keys_are_limited_before_the_shuffle(spark, sf_dir):
-    plan = queries()["dedup_latest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["dedup_latest"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
