@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontaminate, line_rules, mixing, sharding, simhash
+from ebbline.llm import (
+    decontaminate,
+    html_mincut,
+    langid,
+    line_rules,
+    mixing,
+    pu_quality,
+    secret_scan,
+    sharding,
+    simhash,
+    token_store,
+)
 from ebbline.llm.common import stored, table
+from ebbline.session import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,6 +36,23 @@ def op1_decontamination(spark, sf):
     return decontaminate.find(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def remainder(modulus: int) -> Column:
+    """The fold of a document: crc32 of its id as text, modulo."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus, F.lit(-1))
+
+
+@query
+def op2_secret_scan(spark, sf):
+    return secret_scan.secrets(table(spark, sf, "documents"))
+
+
+@query
+def op3_token_store(spark, sf):
+    path = new_path(spark, "tokens")
+    token_store.write(table(spark, sf, "documents"), path)
+    return token_store.documents(token_store.read(spark, path))
+
+
 @query
 def op4_quality_rules(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -44,6 +73,27 @@ def op6_sharding(spark, sf):
     )
 
 
+@query
+def op5_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang").withColumn("held_out", remainder(3) == 1)
+    model = langid.learn(docs.filter("not held_out"))
+    return langid.identify(docs, model, keep=("doc_id", "held_out"))
+
+
+@query
+def op7_quality_classifier(spark, sf):
+    fold = remainder(4) == 2
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("held_out", fold)
+    labels = table(spark, sf, "labels").select("doc_id", "quality").filter(~fold)
+    model = pu_quality.learn(docs.filter("not held_out"), labels)
+    return pu_quality.score(docs, model, keep=("doc_id", "held_out"))
+
+
+@query
+def op8_html_extraction(spark, sf):
+    return html_mincut.extract(table(spark, sf, "pages"))
+
+
 @query
 def op9_simhash(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
