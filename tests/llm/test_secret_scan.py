@@ -1,0 +1,55 @@
+import random
+import re
+
+from ebbline.llm import secret_scan as s
+from ebbline.llm.queries import QUERIES
+from tests.llm import edge
+
+
+def plain_candidates(text):
+    return [(m.start(), m.group()) for m in re.finditer(r"(?<![\w+/=-])[A-Za-z0-9_+/=-]{16,}+(?![\w+/=-])", text)]
+
+
+def test_candidates_and_their_places(spark):
+    texts = [
+        "key=abcdefghijklmnop1234 end", "ñabcdefghijklmnopqrstu abcdefghijklmnopqrst, \"0123456789abcdef\"x", "short words only", "",
+        "a" * 16 + " " + "b" * 15 + " " + "c" * 400, "0123456789abcdef0123456789abcdef", "x 0123456789abcdefg\n\nABCDEFGHIJKLMNOPQRST y",
+    ]
+    docs = spark.createDataFrame([(i, t, "p") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = sorted((r.doc_id, r.start, r.value) for r in s.candidates(docs).collect())
+    assert found == sorted((i, a, v) for i, t in enumerate(texts) for a, v in plain_candidates(t))
+
+
+def test_planted_tokens_of_the_given_table(spark):
+    sf_dir, want = "/root/testdata/sf0.01", set()  # the smallest table holds none
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect():
+        want |= {(r.doc_id, m.start(1)) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', r.text)}
+    found = {(r.doc_id, r.start) for r in QUERIES["op2_secret_scan"](spark, sf_dir).collect()}
+    assert want and found == want
+
+
+def test_reviewed_labels_and_unclear_cases(spark):
+    rng = random.Random(1)
+    rows, labels = [], []
+    for i in range(400):
+        secret = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        word = "".join(rng.choice(["stein", "burg", "land", "feld"]) for _ in range(5))
+        rows.append((i, f"some words before {secret if i % 2 else word} and some after it", "p"))
+        labels.append((i, 18, i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    reviewed = spark.createDataFrame(labels[:200], "doc_id long, start long, label int")
+    scores = {r.doc_id: r.score for r in s.scan(docs, reviewed).collect()}
+    assert all((scores[i] > 0.5) == bool(i % 2) for i in range(400))
+
+
+def test_dictionary_counts_documents_not_words(spark):
+    docs = spark.createDataFrame([("once once once",), ("twice Twice",), ("twice",), ("twice thrice",), (None,)], "text string")
+    assert {r.word for r in s.dictionary(docs, min_docs=3).collect()} == {"twice"}
+
+
+def test_edge_rows(spark):
+    assert s.secrets(edge.clashing(spark)).count() == 0
+    assert s.secrets(edge.empty(spark)).count() == 0
+    one = spark.createDataFrame([(1, 'token = "0123456789abcdef0123456789abcdef"', None)] * 2, "doc_id long, text string, source string")
+    rows = s.secrets(one).collect()  # only one label: nothing to tell apart
+    assert [(r.start, r.n_chars, r.preview, r.score) for r in rows] == [(9, 32, "0123...", 1.0)] * 2
