@@ -38,13 +38,12 @@ def monthly(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFram
     )
 
 
-def newest_months(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFrame:
-    """The twelve newest observed months of each part, numbered from the newest."""
+def numbered_months(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFrame:
+    """All observed months of each part, numbered from the newest."""
     order = Window.partitionBy("app_id").orderBy(F.desc("month"))
     return (
         monthly(spark, sf_dir, id_type)
         .withColumn("month_index", F.row_number().over(order))
-        .filter(F.col("month_index") <= MONTHS_KEPT)
         .withColumn("month_label", F.date_format("month", "MMMM yyyy"))
     )
 
@@ -54,7 +53,7 @@ def page_url() -> Column:
 
 
 def monthly_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_months(spark, sf_dir, "int").select(
+    return numbered_months(spark, sf_dir, "int").select(
         "app_id",
         F.col("month_index").cast("int").alias("month_index"),
         "month_label",
@@ -66,10 +65,10 @@ def monthly_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _month_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per part with its at most twelve months, newest first."""
+    """One row per part with all its months, newest first."""
     fields = F.struct("month_index", "month_label", "avg_players", "peak_players")
     return (
-        newest_months(spark, sf_dir)
+        numbered_months(spark, sf_dir)
         .groupBy("app_id")
         .agg(F.array_sort(F.collect_list(fields)).alias("months"), F.max("last_ship").alias("last_ship"))
     )
@@ -94,7 +93,7 @@ def metrics_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rendered activity pages. Series with many zero peaks are 'not found', some fail, some have no table."""
+    """Rendered activity pages of all months. Those with many zero peaks of late are 'not found', some fail, some have no table."""
 
     def line(label: Column, avg: Column, peak: Column) -> Column:
         cells = [label, avg, F.lit("+1.0"), F.lit("+0.5%"), peak]
@@ -112,8 +111,9 @@ def activity_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<html><table class='nav'><tr><th>Menu</th></tr></table><TABLE id=\"monthly\">" + headers),
         trailing, months, F.lit("</TABLE></html>"),
     )
-    zeros = F.size(F.filter("months", lambda m: m["peak_players"] == 0))
-    missing = F.size(F.filter("months", lambda m: m["avg_players"].isNull()))
+    late = F.slice("months", 1, MONTHS_KEPT)
+    zeros = F.size(F.filter(late, lambda m: m["peak_players"] == 0))
+    missing = F.size(F.filter(late, lambda m: m["avg_players"].isNull()))
     return _month_array(spark, sf_dir).select(
         "app_id",
         page_url().alias("url"),
@@ -211,7 +211,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("app_id"),
-        F.when(F.col("p_size") == 17, F.substring(payload, 1, 30)).otherwise(payload).alias("payload"),
+        F.when(F.col("p_size") == 17, F.concat(F.lit('{"open": '), payload)).otherwise(payload).alias("payload"),
         F.lit(METADATA_UTC).alias("scraped_utc"),
     )
 

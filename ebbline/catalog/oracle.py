@@ -61,18 +61,24 @@ part(
     f"""SELECT app_id, month_index, strftime(month, '%B %Y') AS month_label, avg_players, peak_players,
        strftime(last_ship, {ISO}) AS scraped_utc, last_ship,
        'https://activity.example.org/app/' || app_id || '?view="avg, peak"' AS url
-FROM (SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY month DESC) AS month_index FROM monthly)
-WHERE month_index <= 12""",
+FROM (SELECT *, row_number() OVER (PARTITION BY app_id ORDER BY month DESC) AS month_index FROM monthly)""",
     "monthly",
 )
+part("newest", "SELECT * FROM long WHERE month_index <= 12", "long")
 part(
     "outcomes",
     f"""SELECT app_id, max(url) AS url, strftime(max(last_ship), {ISO}) AS scraped_utc,
        CASE WHEN zeros >= 2 THEN 'not_found' WHEN missing >= 3 THEN 'error' WHEN missing = 2 THEN 'no_table' ELSE 'ok' END AS status
 FROM (SELECT *, count(*) FILTER (WHERE peak_players = 0) OVER (PARTITION BY app_id) AS zeros,
-             count(*) FILTER (WHERE avg_players IS NULL) OVER (PARTITION BY app_id) AS missing FROM long)
+             count(*) FILTER (WHERE avg_players IS NULL) OVER (PARTITION BY app_id) AS missing FROM newest)
 GROUP BY app_id, zeros, missing""",
-    "long",
+    "newest",
+)
+part(
+    "open_ids",
+    """SELECT l_partkey AS app_id FROM lineitem UNION SELECT o_custkey FROM orders
+EXCEPT SELECT app_id FROM outcomes WHERE status <> 'error'""",
+    "outcomes",
 )
 part(
     "meta",
@@ -180,8 +186,8 @@ part(
     "valid",
     """SELECT app_id, month_label, avg_players, peak_players, count(*) OVER (PARTITION BY app_id) AS n_valid,
        row_number() OVER (PARTITION BY app_id ORDER BY month_index DESC) - 1 AS k_index
-FROM long WHERE avg_players IS NOT NULL AND peak_players IS NOT NULL""",
-    "long",
+FROM newest WHERE avg_players IS NOT NULL AND peak_players IS NOT NULL""",
+    "newest",
 )
 part(
     "lagged",
@@ -248,7 +254,7 @@ part(
 )
 part(
     "vocab",
-    "SELECT * FROM vocab_ranked WHERE rank <= CASE kind WHEN 'genre' THEN 10 ELSE 40 END",
+    "SELECT * FROM vocab_ranked WHERE rank <= CASE kind WHEN 'genre' THEN 80 ELSE 120 END",
     "vocab_ranked",
 )
 part(
@@ -283,19 +289,17 @@ def _wide() -> str:
     return ", ".join(out)
 
 
-PART_SHOWN = """SELECT o.app_id, status, CASE WHEN status = 'not_found' THEN 404 WHEN status = 'no_table' THEN 200 END AS status_code,
- CASE WHEN status = 'error' THEN 'timeout' END AS error,
- max(month_label) FILTER (WHERE month_index = 1 AND status = 'ok') AS month1_label,
- {0}, {1}
-FROM outcomes o JOIN long USING (app_id) GROUP BY o.app_id, status""".format(
-    r("max(avg_players) FILTER (WHERE month_index = 1 AND status = 'ok')", "month1_avg_players"),
-    r("max(peak_players) FILTER (WHERE month_index = 12 AND status = 'ok')", "month12_peak_players"),
-)
+PART_SHOWN = f"""SELECT app_id, status, CASE WHEN status = 'not_found' THEN 404 WHEN status = 'no_table' THEN 200 END AS status_code,
+ CASE WHEN status = 'error' THEN 'timeout' END AS error, scraped_utc, url, CASE WHEN status = 'ok' THEN 1234.5::DOUBLE END AS last30_avg_players,
+ {r("max(peak_players) FILTER (WHERE month_index = 1)", "last30_peak_players")}, {_wide()}
+FROM (SELECT o.app_id, status, o.scraped_utc, o.url, month_index, CASE WHEN status = 'ok' THEN month_label END AS month_label, CASE WHEN status = 'ok' THEN avg_players END AS avg_players,
+      CASE WHEN status = 'ok' THEN peak_players END AS peak_players FROM outcomes o JOIN newest USING (app_id))
+GROUP BY ALL"""
 PANEL_DOUBLES = (
     "age_months", "age_since_release_months", "y_avg", "y_peak", "y_log_avg", "y_log_peak",
     *[c for c in NUMERIC_FEATURES if c not in ("is_free", "age_months", "age_since_release_months")],
 )
-EVENTS_LATEST = """SELECT user_id, event_type, event_id, {0} FROM (
+EVENTS_LATEST = """SELECT user_id, event_type, event_id, props, {0} FROM (
  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""".format(r("value"))
 SCORE_NORM = (
     "trim(regexp_replace(regexp_replace(translate(lower({0}), '_-', '  '), '[\\s\\x0B\\x1C-\\x1F\\x{{85}}\\p{{Z}}]+', ' ', 'g'),"
@@ -313,7 +317,7 @@ def _sql() -> dict[str, str]:
     q["load_staging"] = with_parts(
         f"SELECT app_id, month_index, month_label, {rs('avg_players', 'peak_players')}, scraped_utc, url FROM long", "long"
     )
-    q["scan_parts"] = q["compact_parts"] = with_parts(PART_SHOWN, "outcomes", "long")
+    q["scan_parts"] = q["compact_parts"] = with_parts(PART_SHOWN, "outcomes", "newest")
     q["prep_meta"] = with_parts(
         f"""SELECT app_id, CASE WHEN is_free THEN 'TRUE' ELSE 'FALSE' END AS is_free, {rs('price_usd')},
  coalesce(release_date_str, '') AS release_date_str, array_to_string(genres, '|') AS genres_csv,
@@ -324,8 +328,8 @@ def _sql() -> dict[str, str]:
     q["extract_links"] = f"SELECT page_id, unnest(regexp_extract_all(html, '{word}', 1)) AS link FROM pages"
     q["extract_links_union"] = """SELECT app_id, count(*) AS n_pages FROM (
  SELECT l_partkey AS app_id FROM lineitem UNION ALL SELECT l_suppkey FROM lineitem WHERE l_suppkey <> l_partkey) GROUP BY 1"""
-    long_word = ANCHOR.format("[a-z]{6,}")
-    q["sweep_until_empty"] = f"""WITH p AS (SELECT page_id AS page_no, len(regexp_extract_all(html, '{long_word}', 1)) AS n_ids
+    short_word = ANCHOR.format("[a-z]{2,}")
+    q["sweep_until_empty"] = f"""WITH p AS (SELECT page_id AS page_no, len(regexp_extract_all(html, '{short_word}', 1)) AS n_ids
  FROM pages WHERE url NOT LIKE 'http://%')
 SELECT page_no, n_ids::INT AS n_ids FROM p WHERE page_no < coalesce((SELECT min(page_no) FROM p WHERE n_ids = 0), 9223372036854775807)"""
     q["candidate_ids"] = """SELECT o_custkey AS app_id FROM orders UNION SELECT l_partkey FROM lineitem UNION SELECT l_suppkey FROM lineitem"""
@@ -350,16 +354,16 @@ FROM long WHERE app_id IN (SELECT app_id FROM outcomes WHERE status = 'ok') GROU
     q["run_counters"] = with_parts(
         "SELECT count(*) AS processed, "
         + ", ".join(f"count(*) FILTER (WHERE status = '{s}') AS {s}" for s in ("ok", "not_found", "no_table", "error"))
-        + " FROM outcomes",
-        "outcomes",
+        + ", (SELECT count(*) FROM open_ids) AS pending FROM outcomes",
+        "outcomes", "open_ids",
     )
-    q["stream_counters"] = q["run_counters"]
+    q["stream_counters"] = q["run_counters"].replace(", (SELECT count(*) FROM open_ids) AS pending", "")
     q["ok_ids"] = with_parts("SELECT app_id FROM outcomes WHERE status = 'ok'", "outcomes")
-    q["pending_ids"] = with_parts("SELECT app_id FROM outcomes WHERE status <> 'ok'", "outcomes")
+    q["pending_ids"] = with_parts("SELECT app_id FROM open_ids", "open_ids")
     q["failure_log"] = f"""SELECT {META_UTC} AS utc, p_partkey AS app_id, 'fetch_or_parse' AS stage, 'malformed_json' AS error
  FROM part WHERE p_size = 17"""
     q["sample_ids"] = f"""SELECT app_id, {dense(["app_id"], SEED)} AS position
- FROM (SELECT DISTINCT l_partkey AS app_id FROM lineitem ORDER BY 1 LIMIT 1500)"""
+ FROM (SELECT DISTINCT l_partkey AS app_id FROM lineitem)"""
     q["parse_meta"] = with_parts(
         f"""SELECT app_id, status, {META_UTC} AS scraped_utc, CASE WHEN status = 'ok' THEN is_free END AS is_free,
  {r("CASE WHEN status = 'ok' AND p_brand <> 'Brand#5' THEN price_usd END", "price_usd")},
@@ -382,7 +386,7 @@ FROM (SELECT *, CASE p_size WHEN 17 THEN 'error' WHEN 13 THEN 'no_data' ELSE 'ok
  SELECT p_partkey AS app_id, CASE p_type WHEN 'ECONOMY' THEN [w[1], w[2]] WHEN 'LARGE' THEN [w[1], w[2]]
   WHEN 'MEDIUM' THEN [w[1], w[2] || ', ' || p_brand] WHEN 'PROMO' THEN [p_name] ELSE []::VARCHAR[] END AS items
  FROM (SELECT *, string_split(p_name, ' ') AS w FROM part))"""
-    q["dedup_latest"] = f"""SELECT event_id, user_id, event_type, {r("value")}, strftime(ts, {ISO}) AS scraped_utc FROM (
+    q["dedup_latest"] = f"""SELECT event_id, user_id, event_type, props, {r("value")}, strftime(ts, {ISO}) AS scraped_utc FROM (
  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, {ISO}) DESC, event_id DESC) AS n FROM events) WHERE n = 1"""
     q["price_tier"] = with_parts(f"SELECT app_id, {TIER.format(free='is_free', price='price_usd')} AS price_tier FROM meta", "meta")
     q["parse_release"] = with_parts(
@@ -406,11 +410,12 @@ UNION ALL SELECT md5(text), md5({NORM.format('text')}), length({NORM.format('tex
 
     q["metrics_with_meta"] = with_parts(
         f"""SELECT app_id, 'ok' AS status, 'ok' AS status_meta, strftime(max(last_ship), {ISO}) AS scraped_utc, {META_UTC} AS scraped_utc_meta,
- max(month_label) FILTER (WHERE month_index = 1) AS month1_label, {r("max(avg_players) FILTER (WHERE month_index = 1)", "month1_avg_players")},
- is_free, {rs("price_usd")}, release_date_str FROM long JOIN meta USING (app_id) GROUP BY app_id, is_free, price_usd, release_date_str""",
+ max(url) AS url, NULL::INT AS status_code, NULL::VARCHAR AS error, {_wide()}, is_free, {rs("price_usd")}, release_date_str,
+ array_to_string(genres, '|') AS genres, array_to_string(categories, '|') AS categories
+FROM long JOIN meta USING (app_id) GROUP BY app_id, is_free, price_usd, release_date_str, genres, categories""",
         "long", "meta",
     )
-    q["unpivot_months"] = with_parts(f"SELECT app_id, month_index, month_label, {rs('avg_players', 'peak_players')} FROM long", "long")
+    q["unpivot_months"] = with_parts(f"SELECT app_id, month_index, month_label, {rs('avg_players', 'peak_players')} FROM newest", "newest")
     q["chrono_series"] = with_parts(f"SELECT app_id, k_index, month_label, {rs('avg_players', 'peak_players')} FROM valid", "valid")
     q["min_history"] = with_parts("SELECT DISTINCT app_id, n_valid::INT AS n_valid FROM valid WHERE n_valid >= 12", "valid")
     q["panel"] = with_parts(
@@ -424,6 +429,9 @@ UNION ALL SELECT md5(text), md5({NORM.format('text')}), length({NORM.format('tex
         "panel_base",
     )
     q["tag_topk"] = with_parts("SELECT kind, tag, tag_count, rank::INT AS rank FROM vocab", "vocab")
+    q["tag_topk_narrow"] = with_parts(
+        "SELECT kind, tag, tag_count, rank::INT AS rank FROM vocab_ranked WHERE rank <= CASE kind WHEN 'genre' THEN 10 ELSE 40 END", "vocab_ranked"
+    )
     hot = """(SELECT string_agg(CASE WHEN list_contains({0}, tag) THEN '1' ELSE '0' END, '' ORDER BY rank) FROM vocab WHERE kind = '{1}')"""
     q["panel_multihot"] = with_parts(
         f"""SELECT app_id, k_index::INT AS k_index, {hot.format('genres', 'genre')} AS genre_hot,
@@ -453,14 +461,30 @@ JOIN (SELECT * EXCLUDE (app_sk) FROM apps) USING (app_id)""",
  {r('peak_players')}, scraped_utc FROM fact""",
         "fact",
     )
-    q["check_keys"] = """SELECT 'unique lineitem' AS check_name, l_orderkey || '|' || l_linenumber AS key_value, count(*) AS n_rows
- FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
-    q["check_refs"] = """SELECT 'orders -> customer in credit' AS check_name, o_custkey::VARCHAR AS key_value, count(*) AS n_rows
- FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey"""
+    q["check_keys"] = with_parts(
+        """SELECT 'unique dim_app(' || k || ')' AS check_name, v AS key_value, 2 AS n_rows FROM (
+ SELECT 'app_sk' AS k, app_sk::VARCHAR AS v FROM apps WHERE price_tier = 'Free'
+ UNION ALL SELECT 'app_id', app_id::VARCHAR FROM apps WHERE price_tier = 'Free')
+UNION ALL SELECT 'not null fact_monthly(app_sk,date_sk)', NULL, count(*) FROM fact WHERE NOT coalesce(peak_players > 0, false) HAVING count(*) > 0
+UNION ALL SELECT 'unique lineitem', l_orderkey || '|' || l_linenumber AS key_value, count(*) AS n_rows
+ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+        "apps", "fact",
+    )
+    q["check_refs"] = with_parts(
+        """SELECT 'fact_monthly.app_sk -> dim_app' AS check_name, app_sk::VARCHAR AS key_value, count(*) AS n_rows
+ FROM fact JOIN apps USING (app_sk) WHERE price_tier = '60_plus' GROUP BY app_sk
+UNION ALL SELECT 'bridge_app_' || kind || '.app_sk -> dim_app', app_sk::VARCHAR, count(*)
+ FROM bridges JOIN apps USING (app_sk) WHERE price_tier = '60_plus' GROUP BY kind, app_sk
+UNION ALL SELECT 'fact_monthly.date_sk -> dim_date', date_sk::VARCHAR, count(*) FROM fact WHERE month_index = 5 GROUP BY date_sk
+UNION ALL SELECT 'orders -> customer in credit' AS check_name, o_custkey::VARCHAR AS key_value, count(*) AS n_rows
+ FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_custkey""",
+        "fact", "apps", "bridges",
+    )
 
     ratio = ("avg_players_recent", "avg_players_6mo_ago", "persistence_6m_ratio")
     group = ("avg_retention_ratio", "avg_players_recent", "avg_players_6mo_ago")
     q["mart_app_persistence"] = with_parts(f"SELECT app_id, app_sk, price_tier, is_free, {rs(*ratio)} FROM persistence", "persistence")
+    q["mart_persistence_two_loads"] = with_parts(f"SELECT app_id, price_tier, is_free, {rs(*ratio)} FROM persistence", "persistence")
     q["mart_decay_curve"] = with_parts(
         f"SELECT month_index, month_label, row_count, {rs('avg_avg_players', 'avg_peak_players')} FROM curve", "curve"
     )
@@ -474,8 +498,10 @@ JOIN (SELECT * EXCLUDE (app_sk) FROM apps) USING (app_id)""",
             "tag_mart",
         )
     q["mart_price_tier"] = with_parts(f"SELECT price_tier, is_free, game_count, {rs(*group)} FROM tier_mart", "tier_mart")
+    q["mart_view"] = q["mart_price_tier"]
     trend = f"app_id, price_tier, is_free, {rs(*ratio)}, trend_bucket, {rs('abs_log_change')}"
     q["mart_growth_decay"] = with_parts(f"SELECT {trend} FROM growth", "growth")
+    q["mart_export"] = q["mart_growth_decay"]
     q["mart_star_decay"] = with_parts(
         f"""SELECT month_index, month_label, count(*) AS row_count, {r('avg(avg_players)', 'avg_avg_players')}, {r('avg(peak_players)', 'avg_peak_players')}
  FROM long JOIN apps USING (app_id) GROUP BY month_index, month_label""",
@@ -483,7 +509,8 @@ JOIN (SELECT * EXCLUDE (app_sk) FROM apps) USING (app_id)""",
     )
     q["life_cycle_chart"] = with_parts(
         f"""SELECT month_index, {r('avg(avg_avg_players)', 'avg_avg_players')}, {r('avg(avg_peak_players)', 'avg_peak_players')},
- {r('sum(avg_peak_players * row_count) / sum(row_count)', 'weighted_peak_players')}, sum(row_count)::BIGINT AS row_count FROM curve GROUP BY month_index""",
+ {r('sum(avg_peak_players * row_count) / sum(row_count)', 'weighted_peak_players')}, sum(row_count)::BIGINT AS row_count FROM curve
+ WHERE month_index <= 12 GROUP BY month_index""",
         "curve",
     )
     q["price_range_chart"] = with_parts(
@@ -571,6 +598,46 @@ FROM (SELECT app_id, {features}, (p_type = 'PROMO')::INT AS is_free, price_usd F
  UNION ALL SELECT app_id, {", ".join("NULL" for _ in range(21))}, NULL, NULL FROM scored WHERE row_error <> '')""",
         "scored",
     )
+    trend3 = "(ln(a3) - ln(a1))"
+
+    def delta(q: float, start: float, trend: str) -> str:
+        """The stated model: three trees of one split, halved."""
+        return (
+            f"({start} + 0.5 * (CASE WHEN {trend} <= 0.25 THEN {-0.2 - q!r} ELSE 0.3 END"
+            f" + CASE WHEN coalesce(price_usd, 20.0) <= 30.0 THEN 0.1 ELSE {q} END"
+            f" + {{age}}))"
+        )
+
+    levels = {10: (0.1, -0.4), 50: (0.5, 0.0), 90: (0.9, 0.4)}
+    q["score_literal_model"] = with_parts(
+        "SELECT app_id, row_error, "
+        + ", ".join(
+            r(f"CASE WHEN row_error = '' THEN exp(ln(greatest(a3, 1e-9)) + {delta(*levels[k], trend3).format(age='-0.05')}) END", f"pred_p{k}_players")
+            for k in levels
+        )
+        + " FROM scored",
+        "scored",
+    )
+    age = "CASE WHEN age_months <= 2.0 THEN 9.0 ELSE -0.05 END"
+    part(
+        "literal",
+        "SELECT *, " + ", ".join(f"{delta(*levels[k], 'trend3_log_avg').format(age=age)} AS d{k}" for k in levels)
+        + f", dense_rank() OVER (ORDER BY md5('{SEED}|' || app_id), app_id) <= ceil(0.2::DOUBLE * (SELECT count(DISTINCT app_id) FROM rows_)) AS is_test FROM rows_",
+        "rows_",
+    )
+    q["train_summary"] = with_parts(
+        "SELECT "
+        + ", ".join([
+            r(rp, "rmse_persistence_log"), r(rq, "rmse_q50_log"), r(f"{rp} - {rq}", "delta_rmse_vs_persistence"),
+            share(f"{y} >= {b} + d10 AND {y} <= {b} + d90", "coverage_10_90"), share(f"{y} < {b} + d10", "p_below_10"),
+            share(f"{y} < {b} + d50", "p_below_50"), share("(d50 > 0) = (delta > 0)", "directional_acc_q50_delta"),
+            share("d50 > 0", "pred_pos_rate_q50_delta"), share("delta > 0", "true_pos_rate_delta"), "count(*) AS n_test",
+        ])
+        + """, (SELECT count(*) FROM literal WHERE NOT is_test) AS n_train, 3 AS n_features,
+ 'boosted regression trees, pinball loss, downtrend weight' AS model_family, 'delta = y_log_avg - ln(avg_k)' AS target,
+ 'trend3_log_avg' AS weight_feature, -0.05::DOUBLE AS weight_threshold, 1.8::DOUBLE AS weight_multiplier FROM literal WHERE is_test""",
+        "literal",
+    )
     matched = """(SELECT coalesce(string_agg(tag, '|' ORDER BY tag), '') FROM (
  SELECT tag FROM vocab_ranked v WHERE v.kind = '{1}' AND v.rank <= {2}
   AND list_contains(list_transform({0}, lambda x: {3}), {4})))"""

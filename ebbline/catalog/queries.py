@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WORD = r"""[^"'\s>/]+"""
-LONG_WORD = "[a-z]{6,}"
+LOWER_WORD = "[a-z]{2,}"
 PANEL_KEY = ("app_id", "k_index")
 SMALL_BOOSTING = boosting.BoostingConfig(rounds=10)
 
@@ -72,7 +72,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def scan_ids(spark, sf):
     path = new_path(spark, "ids")
     raw = bind.table(spark, sf, "lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_partkey")).alias("app_id"))
-    writers.write_csv(raw.distinct(), path)
+    writers.write_ids(raw, path)
     return readers.read_ids(spark, path)
 
 
@@ -86,27 +86,23 @@ def load_staging(spark, sf):
 def _stored_parts(spark, sf) -> str:
     """Ragged parts: usable pages with all columns, the others without metrics."""
     path = new_path(spark, "metrics-parts")
-    wide = pages.wide_metrics(pages.parse_pages(bind.activity_pages(spark, sf)))
+    wide = stored(pages.wide_metrics(pages.parse_pages(bind.activity_pages(spark, sf))), "wide")
     writers.write_parts(wide.filter("status = 'ok'").drop("status_code", "error"), path)
     failed = wide.filter("status <> 'ok'").select("app_id", "status", "scraped_utc", "url", "status_code", "error")
     writers.write_parts(failed, path)
     return path
 
 
-PART_COLUMNS = ("app_id", "status", "status_code", "error", "month1_label", "month1_avg_players", "month12_peak_players")
-
-
 @query
 def scan_parts(spark, sf):
-    parts = readers.read_parts(spark, _stored_parts(spark, sf), schemas.METRICS_WIDE)
-    return shown(parts.select(*PART_COLUMNS))
+    return shown(readers.read_parts(spark, _stored_parts(spark, sf), schemas.METRICS_WIDE))
 
 
 @query
 def compact_parts(spark, sf):
     source, target = _stored_parts(spark, sf), new_path(spark, "metrics-merged")
     writers.compact_parts(spark, source, target)
-    return shown(readers.read_parts(spark, target, schemas.METRICS_WIDE).select(*PART_COLUMNS))
+    return shown(readers.read_parts(spark, target, schemas.METRICS_WIDE))
 
 
 @query
@@ -141,7 +137,7 @@ def extract_links_union(spark, sf):
 
 @query
 def sweep_until_empty(spark, sf):
-    ids = html.anchor_ids(F.col("html"), "/", LONG_WORD)
+    ids = html.anchor_ids(F.col("html"), "/", LOWER_WORD)
     return pages.sweep(bind.sweep_pages(spark, sf), ids).select("page_no", F.size(ids).alias("n_ids"))
 
 
@@ -151,6 +147,12 @@ def candidate_ids(spark, sf):
     return pages.candidate_ids(pages.list_page_ids(bind.list_pages(spark, sf)), shop)
 
 
+def _wanted(spark, sf) -> DataFrame:
+    """Ids that were asked for: some never get a page."""
+    parts = bind.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("app_id"))
+    return pages.candidate_ids(parts, bind.table(spark, sf, "orders").select(F.col("o_custkey").alias("app_id")))
+
+
 def _parsed(spark, sf) -> DataFrame:
     return pages.parse_pages(bind.activity_pages(spark, sf))
 
@@ -174,7 +176,7 @@ def classify_outcome(spark, sf):
 
 @query
 def run_counters(spark, sf):
-    return pages.run_counters(_parsed(spark, sf))
+    return pages.run_counters(stored(_parsed(spark, sf), "parsed"), _wanted(spark, sf))
 
 
 @query
@@ -189,13 +191,12 @@ def failure_log(spark, sf):
 
 @query_as("sample_ids")
 def sample_id_order(spark, sf):
-    return sample_ids(bind.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("app_id")), 1500)
+    return sample_ids(bind.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("app_id")))
 
 
 @query
 def pending_ids(spark, sf):
-    candidates = bind.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("app_id")).distinct()
-    return pages.pending_ids(candidates, pages.ok_ids(_parsed(spark, sf)))
+    return pages.pending_ids(_wanted(spark, sf), _parsed(spark, sf))
 
 
 @query
@@ -253,7 +254,7 @@ def parse_list_field(spark, sf):
 @query
 def dedup_latest(spark, sf):
     events = bind.table(spark, sf, "events").withColumn("scraped_utc", F.date_format("ts", bind.ISO_FORMAT))
-    return shown(latest(events.drop("ts"), ["user_id"], ["scraped_utc"], ["event_id"]).drop("props"))
+    return shown(latest(events.drop("ts"), ["user_id"], ["scraped_utc"], ["event_id"]))
 
 
 @query
@@ -337,12 +338,8 @@ def _panel(spark, sf) -> DataFrame:
 
 @query
 def metrics_with_meta(spark, sf):
-    return shown(
-        _joined(spark, sf).select(
-            "app_id", "status", "status_meta", "scraped_utc", "scraped_utc_meta", "month1_label", "month1_avg_players",
-            "is_free", "price_usd", "release_date_str",
-        )
-    )
+    lists = {c: text.pipe_join(F.col(c)) for c in ("genres", "categories")}
+    return shown(_joined(spark, sf).withColumns(lists))
 
 
 @query
@@ -374,14 +371,22 @@ def panel_null_rate(spark, sf):
 
 @query
 def tag_topk(spark, sf):
-    return panel.tag_vocabulary(_joined(spark, sf), 10, 40)
+    return panel.tag_vocabulary(_joined(spark, sf))
+
+
+@query
+def tag_topk_narrow(spark, sf):
+    """A narrower vocabulary, as a table on its own: written as one file and read back."""
+    path = new_path(spark, "vocabulary")
+    panel.tag_vocabulary(_joined(spark, sf), 10, 40).coalesce(1).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query
 def panel_multihot(spark, sf):
     """The 0/1 columns of each panel row, written side by side in vocabulary order."""
     joined = stored(_joined(spark, sf), "joined")
-    words = panel.collect_vocabulary(panel.tag_vocabulary(joined, 10, 40))
+    words = panel.collect_vocabulary(panel.tag_vocabulary(joined))
     hot = panel.multihot_columns(panel.build_panel(joined), words)
 
     def digits(prefix: str) -> Column:
@@ -398,10 +403,26 @@ def _typed(spark, sf) -> DataFrame:
     return warehouse.typed_metadata(bind.landing(spark, sf))
 
 
-def _star(spark, sf) -> dict[str, DataFrame]:
-    """The star over stored staging, as each table reads staging again."""
-    typed, monthly = stored(_typed(spark, sf), "typed"), stored(bind.monthly_long(spark, sf), "monthly")
-    return warehouse.build_star(typed, monthly)
+def _star(spark, sf, old: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The star, each table stored once as a load stores it."""
+    return warehouse.build_star(_typed(spark, sf), bind.monthly_long(spark, sf), old, lambda name, table: stored(table, name))
+
+
+def _repeated(typed: DataFrame) -> DataFrame:
+    """Metadata with an older, dearer row beside that of each cheap app: the older ones must not count."""
+    fresh = typed.withColumn("scraped_utc", F.lit(bind.METADATA_UTC))
+    older = fresh.filter("price_usd < 50").withColumns(
+        {"price_usd": F.col("price_usd") + 9, "scraped_utc": F.lit("2023-01-01T00:00:00+00:00")}
+    )
+    return fresh.unionByName(older)
+
+
+def _repeated_months(monthly: DataFrame) -> DataFrame:
+    """Months with an older row beside each of the first three, and the rows of the first month twice."""
+    older = monthly.filter("month_index <= 3").withColumns(
+        {"avg_players": F.col("avg_players") + 7, "scraped_utc": F.lit("1970-01-01T00:00:00+00:00")}
+    )
+    return monthly.unionByName(older).unionByName(monthly.filter("month_index = 1"))
 
 
 @query
@@ -421,8 +442,8 @@ def dim_tags(spark, sf):
 
 @query
 def dim_app_upsert(spark, sf):
-    """Load the cheap half of the apps at another price, then upsert all of them."""
-    typed = _typed(spark, sf)
+    """Load the cheap half of the apps at another price, then upsert all of them, from staging that repeats ids."""
+    typed = warehouse.latest_metadata(_repeated(_typed(spark, sf)))
     first = typed.filter("price_usd < 50").withColumn("price_usd", F.col("price_usd") + 5)
     return shown(warehouse.upsert_apps(warehouse.upsert_apps(None, first), typed))
 
@@ -430,12 +451,12 @@ def dim_app_upsert(spark, sf):
 @query
 def bridge_tags(spark, sf):
     """Load the pairs of the apps that have a release text, then insert those of all apps."""
-    typed = _typed(spark, sf)
-    apps, items = warehouse.upsert_apps(None, typed), warehouse.tag_items(typed)
+    typed = stored(_typed(spark, sf), "typed")
+    apps, items = stored(warehouse.upsert_apps(None, typed), "dim_app"), stored(warehouse.tag_items(typed), "items")
     early = warehouse.tag_items(typed.filter("release_date_str is not null"))
     found = []
     for kind in ("genre", "category"):
-        tags = warehouse.upsert_tags(None, items, kind)
+        tags = stored(warehouse.upsert_tags(None, items, kind), "tags")
         before = warehouse.insert_bridge(None, early, apps, tags, kind)
         pairs = warehouse.insert_bridge(before, items, apps, tags, kind)
         found.append(pairs.toDF("app_sk", "tag_sk").withColumn("kind", F.lit(kind)))
@@ -450,9 +471,10 @@ def fact_monthly(spark, sf):
 
 @query
 def fact_upsert(spark, sf):
-    """An older load of months 4 to 12, then a reload of months 1 to 6."""
-    monthly = stored(bind.monthly_long(spark, sf), "monthly")
-    apps, calendar = warehouse.upsert_apps(None, _typed(spark, sf)), warehouse.upsert_dates(None, monthly)
+    """An older load from month 4 on, then a reload of months 1 to 6, from staging that repeats months."""
+    monthly = stored(warehouse.latest_months(_repeated_months(bind.monthly_long(spark, sf))), "monthly")
+    apps = stored(warehouse.upsert_apps(None, _typed(spark, sf)), "dim_app")
+    calendar = stored(warehouse.upsert_dates(None, monthly), "dim_date")
     old = monthly.filter("month_index >= 4").withColumn("avg_players", F.col("avg_players") + 100)
     fact = warehouse.fact_rows(old, apps, calendar)
     return shown(warehouse.upsert_fact(fact, warehouse.fact_rows(monthly.filter("month_index <= 6"), apps, calendar)))
@@ -460,17 +482,27 @@ def fact_upsert(spark, sf):
 
 @query
 def check_keys(spark, sf):
-    """Violated keys: none in the star, some in the raw shipments."""
+    """Violated keys: of a sound star none, of one with repeated apps and months without a key those, and of the raw shipments."""
+    star = _star(spark, sf)
+    apps, fact = star["dim_app"], star["fact_monthly"]
+    broken = star | {
+        "dim_app": apps.unionByName(apps.filter("price_tier = 'Free'")),
+        "fact_monthly": fact.withColumn("date_sk", F.when(F.col("peak_players") > 0, F.col("date_sk"))),
+    }
     raw = duplicate_keys(bind.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], "unique lineitem")
-    return warehouse.check_keys(_star(spark, sf)).unionByName(raw)
+    sound = warehouse.check_keys(star).withColumn("check_name", F.concat(F.lit("sound star: "), "check_name"))
+    return warehouse.check_keys(broken).unionByName(sound).unionByName(raw)
 
 
 @query
 def check_refs(spark, sf):
-    """Missing parents: none in the star, some in the raw tables."""
+    """Missing parents: of a sound star none, of one that lost a month and the dear apps those, and of the raw tables."""
     customers = bind.table(spark, sf, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))
     raw = orphans(bind.table(spark, sf, "orders"), customers, "o_custkey", "orders -> customer in credit")
-    return warehouse.check_references(_star(spark, sf)).unionByName(raw)
+    star = _star(spark, sf)
+    broken = star | {"dim_date": star["dim_date"].filter("month_index <> 5"), "dim_app": star["dim_app"].filter("price_tier <> '60_plus'")}
+    sound = warehouse.check_references(star).withColumn("check_name", F.concat(F.lit("sound star: "), "check_name"))
+    return warehouse.check_references(broken).unionByName(sound).unionByName(raw)
 
 
 # --- marts and charts --------------------------------------------------------
@@ -493,6 +525,33 @@ def mart_app_persistence(spark, sf):
     return shown(_persistence(spark, sf))
 
 
+@query
+def mart_persistence_two_loads(spark, sf):
+    """A load without each app's newest month, then the whole one on top: the marts must read the newest months."""
+    monthly = bind.monthly_long(spark, sf)
+    before = monthly.filter("month_index > 1").withColumn("month_index", F.col("month_index") - 1)
+    first = warehouse.build_star(_typed(spark, sf), before, None, lambda name, table: stored(table, name))
+    star = _star(spark, sf, first)
+    rows = warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])
+    return shown(marts.app_persistence(rows, star["dim_app"]).drop("app_sk"))
+
+
+@query
+def mart_view(spark, sf):
+    """A mart by SQL over the registered views."""
+    jobs.register_views(_star(spark, sf))
+    return shown(spark.sql("select * from v_price_tier_retention"))
+
+
+@query
+def mart_export(spark, sf):
+    """A mart as it is read back from its CSV export."""
+    path = new_path(spark, "marts")
+    jobs.export_marts(_star(spark, sf), path)
+    columns = "app_id int, price_tier string, is_free boolean, avg_players_recent double, avg_players_6mo_ago double, persistence_6m_ratio double, trend_bucket string, abs_log_change double"
+    return shown(spark.read.options(**readers.CSV_OPTIONS).schema(columns).csv(f"{path}/growth_decay"))
+
+
 @query
 def mart_decay_curve(spark, sf):
     return shown(marts.decay_curve(bind.monthly_long(spark, sf)))
@@ -574,8 +633,8 @@ def _rows(spark, sf) -> DataFrame:
     return training.model_rows(_panel(spark, sf))
 
 
-def _stored_rows(spark, sf) -> DataFrame:
-    return stored(_rows(spark, sf), "model-rows")
+def _stored_rows(spark, sf, *columns: str) -> DataFrame:
+    return stored(_rows(spark, sf).select(*columns), "model-rows")
 
 
 def _predictions(spark, sf) -> DataFrame:
@@ -591,13 +650,13 @@ def model_rows(spark, sf):
 
 @query_as("group_split")
 def entity_split(spark, sf):
-    return group_split(_stored_rows(spark, sf))
+    return group_split(stored(_rows(spark, sf).select("app_id").distinct(), "model-ids"))
 
 
 @query
 def split_rows(spark, sf):
     """Rows per side under a saved split that lists only some entities: the others train."""
-    rows = _stored_rows(spark, sf)
+    rows = _stored_rows(spark, sf, "app_id", "is_free")
     saved = group_split(rows.filter("is_free = 0"))
     sides = apply_split(rows, saved)
     return sides.groupBy("is_test").agg(F.count("*").alias("n_rows"), F.count_distinct("app_id").alias("n_entities"))
@@ -611,8 +670,8 @@ def all_missing_cols(spark, sf):
 
 @query
 def impute_medians(spark, sf):
-    rows = _stored_rows(spark, sf)
     columns = list(series.NUMERIC_FEATURES)
+    rows = _stored_rows(spark, sf, *columns)
     medians = training.fit_medians(rows, columns)
     filled = training.impute(rows, medians)
     sums = filled.agg(*[F.avg(c).alias(c) for c in columns]).unpivot([], columns, "column_name", "mean_filled")
@@ -688,6 +747,37 @@ def score_forecast(spark, sf):
     return shown(spark.read.options(**readers.CSV_OPTIONS).schema(f"{columns}, {forecasts}").csv(path))
 
 
+def _step(feature: int, threshold: float, left: float, right: float) -> dict:
+    """A tree of one split."""
+    return {"feature": [feature, -1, -1], "threshold": [threshold, 0.0, 0.0], "left": [1, 1, 2], "right": [2, 1, 2], "value": [0.0, left, right]}
+
+
+def literal_model() -> boosting.QuantileModel:
+    """A stated model, so that its forecasts can be stated in SQL too."""
+    model = boosting.QuantileModel(["trend3_log_avg", "price_usd", "age_months"], {"trend3_log_avg": 0.0, "price_usd": 20.0, "age_months": 3.0}, {}, 0.5)
+    model.start = {0.1: -0.4, 0.5: 0.0, 0.9: 0.4}
+    model.trees = {q: [_step(0, 0.25, -0.2 - q, 0.3), _step(1, 30.0, 0.1, q), _step(2, 2.0, 9.0, -0.05)] for q in model.start}
+    return model
+
+
+@query
+def score_literal_model(spark, sf):
+    """Forecasts of a stated model that was saved and loaded."""
+    path = new_path(spark, "literal-model")
+    boosting.save_model(spark, literal_model(), path)
+    scored = scoring.score(bind.score_input(spark, sf), boosting.load_model(spark, path))
+    return shown(scored.select("app_id", "pred_p10_players", "pred_p50_players", "pred_p90_players", "row_error"))
+
+
+@query
+def train_summary(spark, sf):
+    """Metrics of the stated model on the held-out panel rows, with the sizes that a training run reports."""
+    rows = stored(_rows(spark, sf), "model-rows")
+    sides = apply_split(rows, group_split(rows))
+    summary = jobs.summarize(literal_model(), sides.filter("not is_test"), sides.filter("is_test"))
+    return shown(summary.drop("quantiles", "crossing_rate"))
+
+
 @query
 def backtransform(spark, sf):
     rows = _rows(spark, sf)
@@ -709,14 +799,14 @@ EVENT_KEYS = ["user_id", "event_type"]
 
 
 def _event_files(spark, sf) -> str:
-    """The events as one file per day, the way increments arrive."""
+    """The events in a folder per day, the way increments arrive; a large day is several files."""
     path = new_path(spark, "event-days")
     days = bind.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
-    days.repartition("day").write.partitionBy("day").parquet(path)
+    days.hint("rebalance", "day").write.partitionBy("day").parquet(path)
     return path
 
 
-EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, day date"
+EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string, day date"
 
 
 @query
@@ -726,7 +816,7 @@ def incremental_ingest(spark, sf):
     stream = incremental.stream_files(spark, source, EVENT_SCHEMA, 10)
     incremental.ingest(stream, target, checkpoint)
     rows = incremental.read_ingested(spark, target, EVENT_KEYS, ["ts"], ["event_id"])
-    return shown(rows.select(*EVENT_KEYS, "event_id", "value"))
+    return shown(rows.select(*EVENT_KEYS, "event_id", "props", "value"))
 
 
 @query
@@ -737,4 +827,4 @@ def incremental_upsert(spark, sf):
     stream = stream.withColumn("bucket", hash_part(EVENT_KEYS, 16))
     incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], "bucket")
     rows = read_live(spark, target, stream.schema, "bucket")
-    return shown(rows.select(*EVENT_KEYS, "event_id", "value"))
+    return shown(rows.select(*EVENT_KEYS, "event_id", "props", "value"))

@@ -44,13 +44,17 @@ def collect_ids(list_pages: DataFrame, sweep_pages: DataFrame | None, out: str)
 def pull_metrics(
     spark: SparkSession, raw_pages: DataFrame, ids_path: str, out: str, max_ids: int = params.MAX_IDS, resume: bool = True
 ) -> DataFrame:
-    """Parse the pages of the chosen ids that are not done yet, append parts, return the counters."""
-    wanted = sample_ids(readers.read_ids(spark, ids_path), max_ids).select("app_id")
+    """Parse the pages of the wanted ids that are not done yet, append parts, return the counters.
+
+    ``max_ids`` above zero takes only so many of the least ids; those left out count as pending.
+    """
+    every = readers.read_ids(spark, ids_path)
+    wanted = sample_ids(every, max_ids).select("app_id")
     if resume and _has_parts(spark, out):
         wanted = pages.pending_ids(wanted, readers.read_parts(spark, out, schemas.METRICS_WIDE))
     wide = parse_wanted(raw_pages, wanted, lambda raw: pages.wide_metrics(pages.parse_pages(raw)))
     writers.write_parts(wide, out)
-    return pages.run_counters(readers.read_parts(spark, out, schemas.METRICS_WIDE))
+    return pages.run_counters(readers.read_parts(spark, out, schemas.METRICS_WIDE), every)
 
 
 def stream_metrics(
@@ -100,8 +104,9 @@ def load_warehouse(
 ) -> dict[str, DataFrame]:
     """Load both CSVs as a new version of the star at ``root``, on top of an earlier one.
 
-    The files are staged once, replacing the staging of the load before. Tables are
-    stored in dependency order and read back, so none is computed twice.
+    The files are staged once, replacing the staging of the load before; of repeated
+    keys the row fetched last is staged. Tables are stored in dependency order and read
+    back, so none is computed twice. A load that breaks a key or a reference fails.
     The fact is kept in one part per month, and a load rewrites only its months.
     """
     old = read_star(spark, root, previous) if previous is not None else {}
@@ -111,24 +116,29 @@ def load_warehouse(
         rows.write.mode("overwrite").parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
-    typed = stage("metadata", warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv)))
-    monthly = stage("monthly", readers.read_monthly_long(spark, monthly_csv))
-
     def store(name: str, table: DataFrame) -> DataFrame:
+        if name in ("typed", "monthly"):
+            return stage(name, table)
+        if name == FACT:
+            rows = table.to(_fact_schema())
+            versions.upsert_parts(spark, f"{root}/{FACT}", rows, "date_sk", version, warehouse.upsert_fact)
+            return versions.read_live(spark, f"{root}/{FACT}", _fact_schema(), "date_sk", version + 1)
         path = f"{root}/{name}/v{version}"
         table.write.mode("overwrite").parquet(path)
         return spark.read.schema(warehouse.STAR_SCHEMAS[name]).parquet(path)
 
-    apps = store("dim_app", warehouse.upsert_apps(old.get("dim_app"), typed))
-    dates = store("dim_date", warehouse.upsert_dates(old.get("dim_date"), monthly))
-    items = warehouse.tag_items(typed)
-    for kind in ("genre", "category"):
-        tags = store(f"dim_{kind}", warehouse.upsert_tags(old.get(f"dim_{kind}"), items, kind))
-        bridge = f"bridge_app_{kind}"
-        store(bridge, warehouse.insert_bridge(old.get(bridge), items, apps, tags, kind))
-    rows = warehouse.fact_rows(monthly, apps, dates).to(_fact_schema())
-    versions.upsert_parts(spark, f"{root}/{FACT}", rows, "date_sk", version, warehouse.upsert_fact)
-    return read_star(spark, root, version)
+    typed = warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv))
+    earlier = {name: table for name, table in old.items() if name != FACT}  # the fact's parts merge where they lie
+    star = warehouse.build_star(typed, readers.read_monthly_long(spark, monthly_csv), earlier, store)
+    _refuse_violations(star)
+    return star
+
+
+def _refuse_violations(star: dict[str, DataFrame]) -> None:
+    """Stop a load whose keys or references are broken; the message names the first few."""
+    found = warehouse.check_keys(star).unionByName(warehouse.check_references(star)).limit(10).collect()
+    if found:
+        raise ValueError("The star violates its keys: " + "; ".join(f"{r['check_name']}: {r['key_value']}" for r in found))
 
 
 def _fact_schema() -> StructType:
@@ -203,6 +213,8 @@ def train(
     boosting.save_model(spark, model, f"{out}/model")
     summary = summarize(model, fitted, held_out)
     summary.coalesce(1).write.mode("overwrite").json(f"{out}/summary")
+    falling = evaluate.downtrend_slice(boosting.predict(held_out, model))
+    falling.coalesce(1).write.mode("overwrite").json(f"{out}/downtrend")
     return spark.read.json(f"{out}/summary")
 
 

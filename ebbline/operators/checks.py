@@ -40,6 +40,30 @@ def null_keys(df: DataFrame, keys: list[str], check: str) -> DataFrame:
     )
 
 
+def key_violations(df: DataFrame, table: str, keys: list[tuple[list[str], bool]]) -> DataFrame:
+    """Repeated and incomplete values of several keys in one pass: ``(check_name, key_value, n_rows)``.
+
+    Each key comes with whether its columns may be NULL; then NULLs are values like any other.
+    """
+
+    def entry(names: list[str], nullable: bool):
+        check = f"{table}({','.join(names)})"
+        parts = [F.col(n).cast("string") for n in names]
+        complete = F.lit(True)
+        for n in names:
+            complete = complete & F.col(n).isNotNull()
+        value = F.concat_ws("|", *parts)
+        if nullable:
+            parts = [F.coalesce(p, F.lit("")) for p in parts]
+            return F.struct(F.lit(f"unique {check}").alias("check_name"), F.concat_ws("|", *parts).alias("key_value"))
+        name = F.when(complete, f"unique {check}").otherwise(f"not null {check}")
+        return F.struct(name.alias("check_name"), F.when(complete, value).alias("key_value"))
+
+    values = df.select(F.explode(F.array(*[entry(*k) for k in keys])).alias("k")).select("k.*")
+    counted = values.groupBy("check_name", "key_value").agg(F.count("*").alias("n_rows"))
+    return counted.filter("n_rows > 1 or key_value is null")
+
+
 def orphans(child: DataFrame, parent: DataFrame, key: str, check: str) -> DataFrame:
     """Key values of the child that the parent does not have, with the number of rows.
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-# Some 64 MB of long ids; beyond it the list is joined by shuffle.
-BROADCAST_IDS = 4_000_000
+# Some 4 MB of long ids; beyond it the list is joined by shuffle.
+BROADCAST_IDS = 250_000
 # Values that may become literals of a partition filter.
 LITERAL_VALUES = 10_000
 

@@ -51,14 +51,19 @@ def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataF
 def weighted_quantiles(
     df: DataFrame, groups: list[str], value: Column, weight: Column, q: float, width: float = 1 / 2048
 ) -> DataFrame:
-    """Weighted quantile per group, to within one bin of ``width``: ``(groups..., quantile)``.
+    """Weighted quantile per group, to within ``width`` of its size: ``(groups..., quantile)``.
 
     Rows are summed into bins before the shuffle, so the ranked rows are as many as
-    the bins in use, whatever the number of rows.
+    the bins in use, whatever the number of rows. Bins are as wide as their values
+    are large, so values on any scale are told apart.
     """
+    size = F.abs(F.col("_value"))
+    # Size 2 ** e in [2 ** n, 2 ** (n + 1)) is bin n / width; 1,100 is beyond the least exponent of a double.
+    step = F.floor((F.log2(size) + 1100) / F.lit(width))
+    sided = F.when(size == 0, F.lit(0).cast("long")).when(F.col("_value") > 0, step).otherwise(-step)
     binned = (
         df.select(*groups, value.cast("double").alias("_value"), weight.cast("double").alias("_weight"))
-        .groupBy(*groups, F.floor(F.col("_value") / width).alias("_bin"))
+        .groupBy(*groups, sided.alias("_bin"))
         .agg(F.sum("_weight").alias("_weight"), F.sum(F.col("_value") * F.col("_weight")).alias("_moment"))
     )
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ebbline.operators.membership import bounded_rows
+from ebbline.sources.readers import missing
 
 
 def hash_part(keys: list[str], parts: int) -> Column:
@@ -30,7 +31,9 @@ def _live(spark: SparkSession, root: str, schema: StructType, part: str, before:
     listed = StructType([schema[part], StructField("version", LongType())])
     try:
         rows = spark.read.schema(listed).parquet(f"{root}/versions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not missing(error):
+            raise
         return None
     if before is not None:
         rows = rows.filter(F.col("version") < before)
@@ -41,7 +44,9 @@ def last_version(spark: SparkSession, root: str) -> int | None:
     """The newest listed version."""
     try:
         listed = spark.read.schema("version long").parquet(f"{root}/versions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not missing(error):
+            raise
         return None
     return listed.agg(F.max("version")).first()[0]
 

@@ -9,7 +9,7 @@ TOP_K_CATEGORIES = 120
 CHART_TOP_N = 10
 
 SEED = 12345
-MAX_IDS = 6000
+MAX_IDS = 0  # all
 ROWS_PER_FILE = 1_000_000
 
 TEST_SHARE = 0.2

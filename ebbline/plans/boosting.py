@@ -118,7 +118,7 @@ def boost(train: DataFrame, q: float, config: BoostingConfig) -> tuple[float, li
     base = train.select("row_hash", "features", "delta", "weight")
     start = weighted_quantiles(base, [], F.col("delta"), F.col("weight"), q).first()["quantile"]
     fitted = base.withColumn("fit", F.lit(float(start)))
-    trees = []
+    trees, held = [], []
     for number in range(config.rounds):
         gradient = F.when(F.col("delta") > F.col("fit"), q).otherwise(q - 1.0)
         staged = fitted.withColumn("gradient", gradient)
@@ -136,9 +136,18 @@ def boost(train: DataFrame, q: float, config: BoostingConfig) -> tuple[float, li
         step = F.lit(0.0)
         for leaf, value in values.items():
             step = F.when(F.col("_leaf") == leaf, value).otherwise(step)
+        # This round's rows are held in memory until the next round has its own: a round reads one tree's work, not all.
         fitted = leafed.withColumn("fit", F.col("fit") + config.learning_rate * step).select(*base.columns, "fit")
+        while len(held) > 1:
+            held.pop(0).unpersist()
+        if number + 1 == config.rounds:
+            break
         if (number + 1) % _ROUNDS_PER_CHECKPOINT == 0:
             fitted = fitted.checkpoint()
+        else:
+            held.append(fitted.persist())
+    for rows in held:
+        rows.unpersist()
     return float(start), trees, fitted
 
 

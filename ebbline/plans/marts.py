@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.functions.dates import parse_month
 from ebbline.operators.quantile import exact_medians
 from ebbline.params import HORIZON
 
@@ -16,12 +17,19 @@ def app_persistence(
 ) -> DataFrame:
     """One row per app: recent average, average six months before, and their ratio.
 
+    Month indices count back from the newest month of their load. After several loads
+    an app has several months at one index; the newest of them, by its date, counts.
     Conditional aggregation instead of a self-join: one pass and one shuffle, with
-    partial sums before it.
+    partial results before it.
     """
+    if "month_start_date" not in activity.columns:
+        activity = activity.withColumn("month_start_date", parse_month(F.col("month_label")))
+    # An unreadable label is older than any month.
+    start = F.coalesce("month_start_date", F.lit("0001-01-01").cast("date"))
 
     def at(index: int) -> Column:
-        return F.max(F.when(F.col("month_index") == index, F.col("avg_players")))
+        here = F.col("month_index") == index
+        return F.max_by(F.when(here, F.col("avg_players")), F.when(here, start))
 
     wanted = activity if min_months else activity.filter(F.col("month_index").isin(recent_index, past_index))
     pairs = wanted.groupBy("app_id").agg(

@@ -70,8 +70,7 @@ def load_format(metadata: DataFrame) -> DataFrame:
     if "status" in metadata.columns:
         metadata = metadata.filter("status = 'ok'")
     order = [c for c in ["scraped_utc"] if c in metadata.columns]
-    ties = [c for c in ["release_date_str", "price_usd"] if c in metadata.columns]
-    newest = latest(metadata, ["app_id"], order, ties) if order or ties else metadata.dropDuplicates(["app_id"])
+    newest = latest(metadata, ["app_id"], order, metadata.columns)
     empty = F.lit("")
     return newest.select(
         F.col("app_id").cast("long").alias("app_id"),

@@ -102,10 +102,18 @@ def wide_metrics(parsed: DataFrame, months: int = MONTHS_KEPT) -> DataFrame:
     return split.select("app_id", "status", "scraped_utc", "url", "status_code", "error", *columns)
 
 
-def run_counters(outcomes: DataFrame) -> DataFrame:
-    """One row: processed, and one count per outcome."""
+def finished_ids(outcomes: DataFrame) -> DataFrame:
+    """Ids that need no further fetch: every outcome but an error is final."""
+    return outcomes.filter("status <> 'error'").select("app_id").dropna().distinct()
+
+
+def run_counters(outcomes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """One row: processed, one count per outcome and, of the ids asked for, how many are still pending."""
     counts = [F.count(F.when(F.col("status") == s, 1)).alias(s) for s in OUTCOMES]
-    return outcomes.agg(F.count("*").alias("processed"), *counts)
+    row = outcomes.agg(F.count("*").alias("processed"), *counts)
+    if wanted is None:
+        return row
+    return row.withColumn("pending", pending_ids(wanted, outcomes).agg(F.count("*")).scalar())
 
 
 def ok_ids(outcomes: DataFrame) -> DataFrame:
@@ -118,6 +126,6 @@ def failure_log(outcomes: DataFrame, stage: str) -> DataFrame:
     )
 
 
-def pending_ids(candidates: DataFrame, finished: DataFrame) -> DataFrame:
-    """Ids still to do, by key, so ids that appear between two runs shift nothing."""
-    return candidates.join(finished.select("app_id"), "app_id", "left_anti")
+def pending_ids(candidates: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Ids still to do: without a page, or with errors only. By key, so ids that appear between two runs shift nothing."""
+    return candidates.select("app_id").dropna().distinct().join(finished_ids(outcomes), "app_id", "left_anti")

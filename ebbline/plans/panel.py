@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import months_between, parse_month, parse_release_month
-from ebbline.functions.series import NUMERIC_FEATURES, shape_features
+from ebbline.functions.series import shape_features
 from ebbline.functions.text import clean_items, finite
 from ebbline.operators.checks import require_columns
 from ebbline.operators.dedup import latest
@@ -71,13 +71,10 @@ def metrics_with_metadata(wide: DataFrame, metadata: DataFrame) -> DataFrame:
     """Latest usable metrics joined to latest usable metadata; clashing names get ``_meta``."""
     require_columns(wide, ["app_id", "status"], "Metrics")
     require_columns(metadata, ["app_id"], "Metadata")
-    metrics = latest(wide.filter("status = 'ok'"), ["app_id"], ["scraped_utc"], ["url"])
+    metrics = latest(wide.filter("status = 'ok'"), ["app_id"], ["scraped_utc"], wide.columns)
     if "status" in metadata.columns:
         metadata = metadata.filter("status = 'ok'")
-    if "scraped_utc" in metadata.columns:
-        metadata = latest(metadata, ["app_id"], ["scraped_utc"], ["release_date_str"])
-    else:
-        metadata = metadata.dropDuplicates(["app_id"])
+    metadata = latest(metadata, ["app_id"], [c for c in ("scraped_utc",) if c in metadata.columns], metadata.columns)
     for name in set(metadata.columns) & set(metrics.columns) - {"app_id"}:
         metadata = metadata.withColumnRenamed(name, f"{name}_meta")
     return metrics.join(metadata, "app_id")
@@ -172,6 +169,3 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
 
 def null_rate(panel: DataFrame, column: str = "y_log_avg") -> DataFrame:
     return panel.agg(F.count("*").alias("n_rows"), F.avg(F.col(column).isNull().cast("double")).alias("null_rate"))
-
-
-PANEL_NUMERIC = NUMERIC_FEATURES

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from ebbline import schemas
 from ebbline.functions.dates import parse_date, parse_month
 from ebbline.functions.text import blank_to_null, bool_flag, pipe_items, strict_number, to_int, warehouse_norm
-from ebbline.operators.checks import duplicate_keys, null_keys, orphans
+from ebbline.operators.checks import key_violations, orphans
+from ebbline.operators.dedup import latest
 from ebbline.operators.keys import assign_keys
+from ebbline.operators.membership import is_small
 from ebbline.operators.upsert import absent, delete_insert
 
 
@@ -25,8 +28,22 @@ def typed_metadata(landing: DataFrame) -> DataFrame:
     ).filter("app_id is not null")
 
 
+def latest_metadata(typed: DataFrame) -> DataFrame:
+    """One row per app: the one fetched last, equal ones decided by all columns."""
+    return latest(typed, ["app_id"], ["scraped_utc"], typed.columns)
+
+
+def latest_months(monthly: DataFrame) -> DataFrame:
+    """One row per app and month of a load: the one fetched last. Summed up before the shuffle."""
+    keys = ["app_id", "month_index", "month_label"]
+    rest = ["scraped_utc", *[c for c in monthly.columns if c not in (*keys, "scraped_utc")]]
+    newest = monthly.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in monthly.columns])
+
+
 def price_tier(is_free: Column, price: Column) -> Column:
-    """Fixed bounds; a free, unpriced or zero-priced entity is Free."""
+    """A free, unpriced or zero-priced entity is Free."""
+    # Names and bounds of the tiers.
     return (
         F.when(is_free | price.isNull() | (price == 0), "Free")
         .when(price < 10, "Under_10")
@@ -122,7 +139,7 @@ def insert_bridge(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, t
     sk, norm = f"{kind}_sk", f"{kind}_norm"
     wanted = items.filter(F.col("kind") == kind).select("app_id", F.col("tag_norm").alias(norm)).distinct()
     pairs = (
-        wanted.join(tags.select(norm, sk), norm)
+        wanted.join(_small(tags.select(norm, sk)), norm)
         .join(apps.select("app_id", "app_sk"), "app_id")
         .select("app_sk", sk)
     )
@@ -131,10 +148,16 @@ def insert_bridge(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, t
     return bridge.unionByName(pairs.join(bridge, ["app_sk", sk], "left_anti"))
 
 
+def _small(dimension: DataFrame) -> DataFrame:
+    """A dimension marked for broadcast after a count, which stops at the bound: its keys are hot in the rows it joins."""
+    return F.broadcast(dimension) if is_small(dimension) else dimension
+
+
 def fact_rows(monthly: DataFrame, apps: DataFrame, dates: DataFrame) -> DataFrame:
     """Staging rows with their surrogate keys; a NULL month label matches nothing and drops."""
+    calendar = dates.select("month_index", "month_label", "date_sk")
     return (
-        monthly.join(dates.select("month_index", "month_label", "date_sk"), ["month_index", "month_label"])
+        monthly.join(_small(calendar), ["month_index", "month_label"])
         .join(apps.select("app_id", "app_sk"), "app_id")
         .select("app_sk", "date_sk", "avg_players", "peak_players", "scraped_utc")
     )
@@ -148,9 +171,9 @@ def upsert_fact(fact: DataFrame | None, new: DataFrame) -> DataFrame:
 def activity(fact: DataFrame, apps: DataFrame, dates: DataFrame) -> DataFrame:
     """The fact with its natural keys back, as the marts read it."""
     return (
-        fact.join(dates.select("date_sk", "month_index", "month_label"), "date_sk")
+        fact.join(_small(dates.select("date_sk", "month_index", "month_label", "month_start_date")), "date_sk")
         .join(apps.select("app_sk", "app_id"), "app_sk")
-        .select("app_id", "month_index", "month_label", "avg_players", "peak_players")
+        .select("app_id", "month_index", "month_label", "month_start_date", "avg_players", "peak_players")
     )
 
 
@@ -164,13 +187,10 @@ def check_keys(tables: dict[str, DataFrame]) -> DataFrame:
         ("bridge_app_genre", ["app_sk", "genre_sk"]), ("bridge_app_category", ["app_sk", "category_sk"]),
         ("fact_monthly", ["app_sk", "date_sk"]),
     ]
-    found = []
+    by_table: dict[str, list[tuple[list[str], bool]]] = {}
     for table, keys in unique:
-        if table in tables:
-            check = f"{table}({','.join(keys)})"
-            found.append(duplicate_keys(tables[table], keys, f"unique {check}"))
-            if keys != ["month_label", "month_index"]:
-                found.append(null_keys(tables[table], keys, f"not null {check}"))
+        by_table.setdefault(table, []).append((keys, keys == ["month_label", "month_index"]))
+    found = [key_violations(tables[t], t, keys) for t, keys in by_table.items() if t in tables]
     return reduce(DataFrame.unionByName, found)
 
 
@@ -189,18 +209,26 @@ def check_references(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def build_star(typed: DataFrame, monthly: DataFrame, old: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """All star tables from typed metadata and monthly staging, on top of ``old`` versions."""
+def build_star(
+    typed: DataFrame, monthly: DataFrame, old: dict[str, DataFrame] | None = None,
+    store: Callable[[str, DataFrame], DataFrame] = lambda name, table: table,
+) -> dict[str, DataFrame]:
+    """All star tables from typed metadata and monthly staging, on top of ``old`` versions.
+
+    ``store`` may write each table and give it back read, in dependency order, so none is computed twice.
+    """
     old = old or {}
-    apps = upsert_apps(old.get("dim_app"), typed)
-    dates = upsert_dates(old.get("dim_date"), monthly)
+    typed, monthly = store("typed", latest_metadata(typed)), store("monthly", latest_months(monthly))
+    apps = store("dim_app", upsert_apps(old.get("dim_app"), typed))
+    dates = store("dim_date", upsert_dates(old.get("dim_date"), monthly))
     items = tag_items(typed)
     star = {"dim_app": apps, "dim_date": dates}
     for kind in ("genre", "category"):
-        tags = upsert_tags(old.get(f"dim_{kind}"), items, kind)
+        tags = store(f"dim_{kind}", upsert_tags(old.get(f"dim_{kind}"), items, kind))
         star[f"dim_{kind}"] = tags
-        star[f"bridge_app_{kind}"] = insert_bridge(old.get(f"bridge_app_{kind}"), items, apps, tags, kind)
-    star["fact_monthly"] = upsert_fact(old.get("fact_monthly"), fact_rows(monthly, apps, dates))
+        bridge = insert_bridge(old.get(f"bridge_app_{kind}"), items, apps, tags, kind)
+        star[f"bridge_app_{kind}"] = store(f"bridge_app_{kind}", bridge)
+    star["fact_monthly"] = store("fact_monthly", upsert_fact(old.get("fact_monthly"), fact_rows(monthly, apps, dates)))
     return star
 
 

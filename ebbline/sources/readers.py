@@ -34,10 +34,17 @@ def read_predict_input(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).csv(path)
 
 
+def missing(error: AnalysisException) -> bool:
+    """Whether the error says that there is no such path, or no file with a schema in it."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All parquet parts below a path; columns a part lacks are NULL; no parts is an error."""
     try:
         spark.read.parquet(path)
     except AnalysisException as error:
+        if not missing(error):
+            raise
         raise FileNotFoundError(f"No parquet parts found in: {path}") from error
     return spark.read.schema(schema).parquet(path)

@@ -45,6 +45,14 @@ def test_weighted_quantiles_near_exact(spark, q):
     assert got == pytest.approx(want, abs=1 / 1024)
 
 
+@pytest.mark.parametrize("scale", [1e-9, 1e-4, 1.0, 1e6])
+def test_weighted_quantiles_on_any_scale(spark, scale):
+    df = spark.range(-500, 501).select((F.col("id") * scale / 500).alias("v"))
+    for q in (0.1, 0.5, 0.9):
+        got = quantile.weighted_quantiles(df, [], F.col("v"), F.lit(1.0), q).first()["quantile"]
+        assert got == pytest.approx((2 * q - 1) * scale, abs=0.004 * scale)
+
+
 def test_latest_is_by_order_then_tie(spark):
     rows = [(1, "a", 1, "x"), (1, "b", 1, "y"), (1, "b", 2, "z"), (2, None, 1, "n"), (2, "a", 0, "m")]
     df = spark.createDataFrame(rows, "k int, t string, tie int, v string")
@@ -136,10 +144,10 @@ def test_versions_refuse_to_go_back_and_repeat_the_last(spark):
 def test_wanted_rows_are_parsed_without_shuffling_raw_text(spark, monkeypatch, small):
     if not small:
         monkeypatch.setattr(membership, "is_small", lambda ids: False)
-    raw = spark.range(10).select(F.col("id").alias("app_id"), F.lit("<p>").alias("html"))
-    ids = spark.createDataFrame([(3,), (3,), (99,)], "app_id long")
+    raw = spark.range(10).select(F.col("id").alias("app_id"), F.lit("<p>").alias("html")).unionAll(spark.sql("select 4, '<br>'"))
+    ids = spark.createDataFrame([(3,), (3,), (4,), (99,)], "app_id long")
     parsed = membership.parse_wanted(raw, ids, lambda df: df.select("app_id", F.length("html").alias("n")))
-    assert [tuple(r) for r in parsed.collect()] == [(3, 3)]
+    assert sorted(tuple(r) for r in parsed.collect()) == [(3, 3), (4, 3), (4, 4)]
 
 
 def test_checks_find_violations(spark):
@@ -150,6 +158,14 @@ def test_checks_find_violations(spark):
     assert [(r["key_value"], r["n_rows"]) for r in checks.orphans(df, parents, "k", "c").collect()] == [("2", 1)]
 
 
+def test_an_unreadable_version_list_is_an_error(spark, tmp_path):
+    assert versions.last_version(spark, str(tmp_path / "none")) is None
+    (tmp_path / "versions").mkdir()
+    (tmp_path / "versions" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
+        versions.last_version(spark, str(tmp_path))
+
+
 def test_required_columns_fail_before_any_action(spark):
     with pytest.raises(ValueError, match="app_id"):
         checks.require_columns(spark.range(1), ["app_id"], "Metrics")

@@ -168,6 +168,9 @@ def test_pages_outcomes_and_wide_record(spark):
     assert (got[1]["last30_avg_players"], got[1]["month1_label"], got[1]["month12_peak_players"]) == (7.0, "M1", 120.0)
     assert got[3]["error"] == "boom" and got[2]["month1_label"] is None
     assert tuple(pages.run_counters(parsed).first()) == (4, 1, 1, 1, 1)
+    wanted = spark.createDataFrame([(1,), (3,), (3,), (7,), (None,)], "app_id long")
+    assert tuple(pages.run_counters(parsed, wanted).first()) == (4, 1, 1, 1, 1, 2)  # the failed one, and one without a page
+    assert sorted(r[0] for r in pages.pending_ids(wanted, parsed).collect()) == [3, 7]
     assert [r[0] for r in pages.ok_ids(parsed).collect()] == [1]
 
 
@@ -212,6 +215,32 @@ def test_star_twice_is_once(spark):
     assert [(r["category_name"], r["category_norm"]) for r in once["dim_category"].collect()] == [("a b", "a b")]
 
 
+def test_repeated_staging_rows_do_not_multiply(spark):
+    rows = [("1", "TRUE", "20", "", "A", "", "2024"), ("1", "TRUE", "30", "", "A", "", "2023"), ("2", "0", "5", "", "", "", ""), ("2", "0", "5", "", "", "", "")]
+    months = [(1, 1, "February 2024", 5.0, 9.0, "2024", "u"), (1, 1, "February 2024", 6.0, 9.0, "2023", "u"), (2, 1, "February 2024", 1.0, 1.0, "t", "u")] * 2
+    built = warehouse.build_star(warehouse.typed_metadata(landing(spark, rows)), monthly(spark, months))
+    assert {(r["app_id"], r["price_usd"]) for r in built["dim_app"].collect()} == {(1, 20.0), (2, 5.0)} and built["dim_app"].count() == 2
+    assert sorted(r["avg_players"] for r in built["fact_monthly"].collect()) == [1.0, 5.0]
+    assert warehouse.check_keys(built).count() == 0
+
+
+def test_key_checks_name_every_kind_of_violation(spark):
+    apps = spark.createDataFrame([(1, 7), (1, 8), (None, 8)], "app_sk long, app_id long")
+    dates = spark.createDataFrame([(1, None, 1), (2, None, 1), (3, "x", None)], "date_sk long, month_label string, month_index int")
+    found = {tuple(r) for r in warehouse.check_keys({"dim_app": apps, "dim_date": dates}).collect()}
+    assert found == {
+        ("unique dim_app(app_sk)", "1", 2), ("unique dim_app(app_id)", "8", 2), ("not null dim_app(app_sk)", None, 1),
+        ("unique dim_date(month_label,month_index)", "|1", 2),
+    }
+
+
+def test_persistence_after_two_loads_takes_the_newest_months(spark):
+    rows = [(1, 1, "January 2024", 100.0, 1.0), (1, 7, "July 2023", 90.0, 1.0), (1, 1, "February 2024", 10.0, 1.0), (1, 7, "August 2023", 95.0, 1.0)]
+    activity = spark.createDataFrame(rows, "app_id int, month_index int, month_label string, avg_players double, peak_players double")
+    apps = spark.createDataFrame([(1, 1, "Free", True)], "app_id int, app_sk long, price_tier string, is_free boolean")
+    assert marts.app_persistence(activity, apps).first()["persistence_6m_ratio"] == pytest.approx(10 / 95)
+
+
 def test_app_upsert_updates_and_keeps_keys(spark):
     first = spark.createDataFrame(star(spark)["dim_app"].collect(), schemas.DIM_APP)
     typed = warehouse.typed_metadata(
