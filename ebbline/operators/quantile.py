@@ -6,19 +6,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.text import finite
+from ebbline.operators.membership import bounded_rows
 
 _ACCURACY = 10_000  # rank error of the sketch: 1/10,000
 _MARGIN = 0.001  # ten times that, on both sides of the middle
+_CELLS = 1_024
+_SMALL = 20_000  # rows of one per key that are broadcast
+
+
+def _beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Join a table of one row per key: computed once and broadcast while it has few rows, else joined by shuffle."""
+    few = bounded_rows(table, _SMALL)
+    if few is not None:
+        table = F.broadcast(table.sparkSession.createDataFrame(few, table.schema))
+    return rows.join(table, keys)
 
 
 def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Exact median of each column in each group: rows ``(groups..., column_name, median)``.
 
-    A mergeable sketch first brackets the middle. Then everything below the bracket
-    is only counted, and the distinct values inside it (some 0.2% of the ranks) are
-    ranked. A group may hold any share of the rows; a missed bracket is an error,
-    not a wrong number. NaN and the infinities
-    are missing values; a column without values gives no row.
+    A mergeable sketch first brackets the middle, some 0.2% of the ranks. Everything
+    below the bracket is only counted, and so are cells that cut the bracket evenly.
+    The values of the cell or two that hold the middle ranks are ranked in the end,
+    after equal ones are summed up. A group may hold any share of the rows; a missed bracket is an error,
+    not a wrong number. NaN and the infinities are missing values; a column without
+    values gives no row.
     """
     long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(
         groups, columns, "column_name", "value"
@@ -29,23 +41,32 @@ def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataF
     bracket = long.groupBy(*keys).agg(
         F.count("*").alias("_n"), F.percentile_approx("value", ends, _ACCURACY).alias("_ends")
     )
-    near = long.join(bracket, keys).filter(F.col("value") <= F.col("_ends")[1])
-    counts = near.groupBy(*keys, "_n", F.expr("case when value >= _ends[0] then value end").alias("_value")).agg(
-        F.count("*").alias("_rows")
-    )
-    order = Window.partitionBy(*keys).orderBy(F.col("_value").asc_nulls_first())
-    ranked = counts.withColumn("_upto", F.sum("_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    bracket = bracket.select(*keys, "_n", F.col("_ends")[0].alias("_from"), F.col("_ends")[1].alias("_to"))
+    near = _beside(long, bracket, keys).filter(F.col("value") <= F.col("_to"))
+    width = F.col("_to") - F.col("_from")
+    inside = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_from")) / width * _CELLS), F.lit(_CELLS - 1))).otherwise(0)
+    near = near.withColumn("_cell", F.when(F.col("value") < F.col("_from"), -1).otherwise(inside).cast("int"))
+    order = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    found = ranked.groupBy(*keys).agg(
-        F.max(F.when(F.col("_value").isNull(), F.col("_upto") >= lower)).alias("_missed"),
-        F.min(F.when(F.col("_upto") >= lower, F.col("_value"))).alias("_low"),
-        F.min(F.when(F.col("_upto") >= upper, F.col("_value"))).alias("_high"),
+    # At most one row for each cell and key.
+    cells = near.groupBy(*keys, "_n", "_cell").agg(F.count("*").alias("_rows")).withColumn("_upto", F.sum("_rows").over(order))
+    found = cells.groupBy(*keys, "_n").agg(
+        F.min_by("_cell", F.when(F.col("_upto") >= lower, F.col("_cell"))).alias("_first"),
+        F.min_by(F.col("_upto") - F.col("_rows"), F.when(F.col("_upto") >= lower, F.col("_cell"))).alias("_before"),
+        F.min(F.when(F.col("_upto") >= upper, F.col("_cell"))).alias("_last"),
     )
-    wrong = F.coalesce(F.col("_missed"), F.lit(False)) | F.col("_high").isNull()
-    median = F.when(wrong, F.raise_error(F.lit("median outside its bracket")).cast("double")).otherwise(
-        (F.col("_low") + F.col("_high")) / 2
+    wrong = F.coalesce(F.col("_first") < 0, F.lit(True)) | F.col("_last").isNull()
+    checked = F.when(wrong, F.raise_error(F.lit("median outside its bracket")).cast("int")).otherwise(F.col("_first"))
+    found = found.select(*keys, checked.alias("_first"), "_before", "_last")
+    middle = _beside(near, found, keys).filter(F.col("_cell").between(F.col("_first"), F.col("_last")))
+    counts = middle.groupBy(*keys, "_n", "_before", "value").agg(F.count("*").alias("_rows"))
+    order = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("_upto", F.col("_before") + F.sum("_rows").over(order))
+    return ranked.groupBy(*keys).agg(
+        (
+            (F.min(F.when(F.col("_upto") >= lower, F.col("value"))) + F.min(F.when(F.col("_upto") >= upper, F.col("value")))) / 2
+        ).alias("median")
     )
-    return found.select(*keys, median.alias("median"))
 
 
 def weighted_quantiles(
