@@ -17,7 +17,7 @@ from ebbline.operators.membership import parse_wanted
 from ebbline.operators.split import sample_ids
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, warehouse
 from ebbline.plans.training import model_rows
-from ebbline.session import new_path
+from ebbline.session import new_path, scratch
 from ebbline.sources import readers, writers
 from ebbline.streaming import incremental
 
@@ -193,11 +193,12 @@ def make_panel(spark: SparkSession, metrics: str, merged: str, vocabulary_out: s
     joined = panel.metrics_with_metadata(
         readers.read_parts(spark, metrics, schemas.METRICS_WIDE), readers.read_parts(spark, merged, schemas.METADATA)
     )
-    path = new_path(spark, "joined")
-    joined.write.parquet(path)
-    joined = spark.read.schema(joined.schema).parquet(path)
-    panel.tag_vocabulary(joined).coalesce(1).write.mode("overwrite").parquet(vocabulary_out)
-    panel.build_panel(joined).write.mode("overwrite").parquet(out)
+    with scratch(spark):
+        path = new_path(spark, "joined")
+        joined.write.parquet(path)
+        joined = spark.read.schema(joined.schema).parquet(path)
+        panel.tag_vocabulary(joined).coalesce(1).write.mode("overwrite").parquet(vocabulary_out)
+        panel.build_panel(joined).write.mode("overwrite").parquet(out)
 
 
 def train(
@@ -209,12 +210,13 @@ def train(
     if not _has_parts(spark, split):
         boosting.group_split(model_rows(rows), share=config.test_share, seed=config.seed).write.parquet(split)
     words = panel.collect_vocabulary(spark.read.parquet(vocabulary))
-    model, fitted, held_out = boosting.fit(rows, words, config, spark.read.parquet(split))
-    boosting.save_model(spark, model, f"{out}/model")
-    summary = summarize(model, fitted, held_out)
-    summary.coalesce(1).write.mode("overwrite").json(f"{out}/summary")
-    falling = evaluate.downtrend_slice(boosting.predict(held_out, model))
-    falling.coalesce(1).write.mode("overwrite").json(f"{out}/downtrend")
+    with scratch(spark):
+        model, fitted, held_out = boosting.fit(rows, words, config, spark.read.parquet(split))
+        boosting.save_model(spark, model, f"{out}/model")
+        summary = summarize(model, fitted, held_out)
+        summary.coalesce(1).write.mode("overwrite").json(f"{out}/summary")
+        falling = evaluate.downtrend_slice(boosting.predict(held_out, model))
+        falling.coalesce(1).write.mode("overwrite").json(f"{out}/downtrend")
     return spark.read.json(f"{out}/summary")
 
 

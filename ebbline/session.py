@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,9 @@ SETTINGS = {
 }
 
 
+_CREATED: list[str] = []  # paths given out by this driver, for ``scratch``
+
+
 def get_session(name: str = "ebbline", master: str | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(name)
     if master:
@@ -55,4 +60,23 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; never one that holds data."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _CREATED.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> Iterator[None]:
+    """Remove the paths that ``new_path`` gave out inside, but those named in ``keep`` (as prefixes of their names).
+
+    For steps whose results are written elsewhere when they end: frames that read a removed path can't be used any more.
+    """
+    first = len(_CREATED)
+    try:
+        yield
+    finally:
+        for path in _CREATED[first:]:
+            if not path.rpartition("/")[2].startswith(keep):
+                target = spark._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _CREATED[first:] = [p for p in _CREATED[first:] if p.rpartition("/")[2].startswith(keep)]

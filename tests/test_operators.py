@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.operators import checks, dedup, keys, membership, quantile, split, upsert, versions
-from ebbline.session import new_path
+from ebbline.session import new_path, scratch
 
 
 def skewed(spark, n=20_000):
@@ -158,6 +158,16 @@ def test_checks_find_violations(spark):
     assert [(r["key_value"], r["n_rows"]) for r in checks.orphans(df, parents, "k", "c").collect()] == [("2", 1)]
 
 
+def test_scratch_paths_are_removed(spark):
+    import os
+
+    with scratch(spark, keep=("result",)):
+        gone, kept = new_path(spark, "step"), new_path(spark, "result")
+        spark.range(3).write.parquet(gone)
+        spark.read.parquet(gone).write.parquet(kept)
+    assert not os.path.exists(gone.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
+
+
 def test_an_unreadable_version_list_is_an_error(spark, tmp_path):
     assert versions.last_version(spark, str(tmp_path / "none")) is None
     (tmp_path / "versions").mkdir()
