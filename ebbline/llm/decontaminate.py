@@ -2,10 +2,11 @@
 
 Texts are compared in lower case with runs of white space as one blank. An item of m characters
 found in a text with at most e edits shares at least ``m + 1 - q * (e + 1)`` of its q-grams with
-that text, and all of these lie on at most ``2e + 1`` neighbouring diagonals (place in the text less
-place in the item). So for each text the shared q-grams are counted in bands of diagonals; bands
-overlap by being taken in pairs. Only regions that reach the bound are aligned, in a band
-around their diagonals, and reported if the alignment keeps the edit budget.
+that text. A diagonal is a place in the text less the place in the item; each edit moves by one diagonal at
+most, so all of these lie on ``e + 1`` neighbouring ones. So for each text the item's shared q-grams, each place of the
+item once, are counted in bands of diagonals that overlap: each band is taken together with the next. Only regions
+that reach the bound are aligned, on the diagonals of their bands, and reported if the alignment keeps the edit
+budget.
 
 The scan of the texts is row-wise and needs no shuffle. The items go to the tasks as an index of
 their q-grams. Its size is bounded: items are dealt into blocks of about ``block_chars`` characters,
@@ -34,6 +35,7 @@ BLOCK_CHARS = 4_000_000
 _TABLE_BITS = 22
 _BASE = 0x9E3779B97F4A7C15
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
+_NO_CODE = np.uint32(0xFFFFFFFF)
 _SPACE = np.zeros(0x3001, bool)
 _SPACE[[c for c in range(0x3001) if chr(c).isspace()]] = True
 
@@ -158,20 +160,27 @@ class Index:
                 continue
             n, k = divmod(int(some_pair[0]), len(self.ids))
             start = int(ends[n]) - len(done[n][0])
-            regions = self.regions(k, done[n][0], some_at - start - some_place)
+            regions = self.regions(k, done[n][0], some_at - start - some_place, some_place)
             if regions:
                 found.setdefault(n, []).extend(regions)
         for n in sorted(found):
             yield n, found[n], done[n][1]
 
-    def regions(self, k: int, codes: np.ndarray, diagonals: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Regions of one text that hold item k, by the diagonals of the shared q-grams: the best of overlapping ones."""
-        edits, bound = self.budgets[k], self.bounds[k]
-        width = 2 * edits + 1  # any run of so many diagonals lies in two neighbouring bands
-        bands, counts = np.unique(diagonals // width, return_counts=True)
-        size = dict(zip(bands.tolist(), counts.tolist()))
-        starts = {b - 1 for b in size if size.get(b - 1, 0) + size[b] >= bound} | {b for b in size if size[b] + size.get(b + 1, 0) >= bound}
-        hits = [align(self.codes[k], codes, b * width, (b + 2) * width - 1, edits) for b in sorted(starts)]
+    def regions(self, k: int, codes: np.ndarray, diagonals: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Regions of one text that hold item k, by the shared q-grams' diagonals and places: the best of overlapping ones."""
+        item, edits, bound = self.codes[k], self.budgets[k], self.bounds[k]
+        width = edits + 1  # any run of so many diagonals lies in two neighbouring bands
+        once = np.unique((diagonals // width) * len(item) + places)
+        bands, places = once // len(item), once % len(item)
+        first = np.append(np.flatnonzero(np.concatenate([[True], bands[1:] > bands[:-1]])), len(bands))
+        counts, names = np.diff(first), bands[first[:-1]]
+        after = np.append(np.where(names[1:] == names[:-1] + 1, counts[1:], 0), 0)
+        before = np.append(0, np.where(names[1:] == names[:-1] + 1, counts[:-1], 0))
+        hits = []
+        for b in sorted({int(x) for x in names[counts + after >= bound]} | {int(x) - 1 for x in names[before + counts >= bound]}):
+            low, high = np.searchsorted(bands, [b, b + 2])
+            if len(np.unique(places[low:high])) >= bound:
+                hits.append(align(item, codes, b * width, (b + 2) * width - 1, edits))
         taken: list[tuple[int, int, int]] = []
         for hit in sorted({h for h in hits if h}):
             if all(hit[2] <= start or hit[1] >= end for _, start, end in taken):
@@ -185,31 +194,38 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
     Only diagonals (place in the text less place in the item) from ``low`` to ``high`` are filled.
     None if more than ``most`` edits are needed. Of equal stretches the one that ends first is taken.
     """
+    n, m = len(item), len(text)
+    if low < 0 or high + n > m:  # make room, so that every cell of the band is there
+        room = max(0, -low)
+        text = np.concatenate([np.full(room, _NO_CODE), text[: max(0, high + n)], np.full(max(0, high + n - m), _NO_CODE)])
+    else:
+        room = 0
     width = high - low + 1
     steps = np.arange(width)
     # Cost and start are one number, cost * big + start, so the least cost carries the least start.
     big = 1 << 40
     far = big << 22
-    offset = low - 1
-    begin = low + steps
-    row = np.where((begin >= 0) & (begin <= len(text)), (begin - offset).astype(np.int64), far)
     shift = steps * big
-    padded = np.concatenate([np.full(max(0, -low), np.uint32(0xFFFFFFFF)), text[max(0, low) : high + len(item)]])
-    padded = np.concatenate([padded, np.full(max(0, width + len(item) - len(padded)), np.uint32(0xFFFFFFFF))])
-    for i, c in enumerate(item):
-        through = row + np.where(padded[i : i + width] == c, 0, big)  # the item's character meets one of the text
-        ends = begin + i + 1
-        through = np.where((ends >= 1) & (ends <= len(text)), through, far)
-        without = np.append(row[1:], far) + big  # the item's character is missing in the text
-        without = np.where((ends >= 0) & (ends <= len(text)), without, far)
-        best = np.minimum(through, without)
+    begin = low + steps
+    outside = (begin < 0) | (begin > m)
+    row = np.where(outside, far, begin - low)
+    missing = np.full(width, far)
+    cost = (text[np.arange(n)[:, None] + (low + room + steps)] != item[:, None]) * np.int64(big) if n * width <= 4_000_000 else None
+    for i in range(n):
+        step = cost[i] if cost is not None else (text[i + low + room + steps] != item[i]) * np.int64(big)
+        missing[:-1] = row[1:]  # the item's character is missing in the text
+        best = np.minimum(row + step, missing + big)
         row = np.minimum.accumulate(best - shift) + shift  # further characters of the text between
-        row = np.where(ends <= len(text), row, far)
-    k = int(np.argmin(row // big))
-    cost = int(row[k] // big)
-    if cost > most:
+        if low + i + 1 < 0 or high + i + 1 > m:
+            at = begin + i + 1
+            row[(at < 0) | (at > m)] = far
+        if not i & 31 and row.min() >= (most + 1) * big:
+            return None
+    k = int(np.argmin(row >> 40))
+    edits = int(row[k] >> 40)
+    if edits > most:
         return None
-    return cost, int(row[k] % big) + offset, int(begin[k]) + len(item)
+    return edits, int(row[k] & (big - 1)) + low, int(begin[k]) + n
 
 
 def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
