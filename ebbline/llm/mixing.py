@@ -80,10 +80,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     """The input's rows, each as often as drawn, with ``rate, n_copies, copy`` (1..n_copies) and ``shuffle_key``, in global random order."""
     base = without(docs, *ADDED)
     # Stored, so that the planner knows its size before the documents are read and broadcasts it only while it is small.
-    per_source = stored(rates(docs, weights, alpha, epochs, source_col, text_col), "rates").withColumnRenamed("source", "_source")
-    drawn = base.join(per_source, F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    drawn = drawn.withColumn("_draw", uniform(seed, F.col(id_col)))
-    drawn = drawn.withColumn("n_copies", F.size(F.filter("sums", lambda p: p <= F.col("_draw"))).cast("long")).filter("n_copies > 0")
+    per_source = stored(rates(docs, weights, alpha, epochs, source_col, text_col), "rates").toDF("_mix_source", "_mix_rate", "_mix_sums")
+    drawn = base.join(per_source, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
+    drawn = drawn.withColumn("_mix_draw", uniform(seed, F.col(id_col)))
+    count = F.size(F.filter("_mix_sums", lambda p: p <= F.col("_mix_draw"))).cast("long")
+    drawn = drawn.withColumnRenamed("_mix_rate", "rate").withColumn("n_copies", count).filter("n_copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
     key = F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string")))
     dealt = copies.select(*[F.col(f"`{c}`") for c in base.columns], "rate", "n_copies", "copy", key.alias("shuffle_key"))

@@ -66,7 +66,7 @@ SHARDS = 16
 def op6_sharding(spark, sf):
     docs = sharding.keyed(table(spark, sf, "documents").select("doc_id", "text"))
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
-    digest = stored(docs.select("doc_id", "size", crc, "_h", "_i"), "shard-keys")
+    digest = stored(docs.select("doc_id", "size", crc, "_shard_h", "_shard_i"), "shard-keys")
     placed = sharding.place(digest, *sharding.layout(digest, SHARDS))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")

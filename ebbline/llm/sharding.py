@@ -39,15 +39,16 @@ def size_of(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Add ``size`` and the key ``_h, _i``."""
+    """Add ``size`` and the key ``_shard_h, _shard_i``."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     number = F.coalesce(F.col(id_col).cast("long"), F.lit(_LEAST))
-    return without(docs, *ADDED).withColumns({"size": size_of(F.col(text_col)), "_h": F.xxhash64(text), "_i": number})
+    # Names of its own, so that no column of the input has one of them.
+    return without(docs, *ADDED).withColumns({"size": size_of(F.col(text_col)), "_shard_h": F.xxhash64(text), "_shard_i": number})
 
 
 def _sample(keys: DataFrame, mean_bytes: float, salt: int) -> DataFrame:
-    """``(_h, _i, weight)``: a record of s bytes with chance ``s / mean_bytes``, at most 1; weight is bytes it stands for."""
-    draw = F.shiftrightunsigned(F.xxhash64("_h", "_i", F.lit(salt)), 11).cast("double") / F.lit(float(1 << 53))
+    """The key with ``weight``: a record of s bytes with chance ``s / mean_bytes``, at most 1; weight is bytes it stands for."""
+    draw = F.shiftrightunsigned(F.xxhash64("_shard_h", "_shard_i", F.lit(salt)), 11).cast("double") / F.lit(float(1 << 53))
     chance = F.col("size") / F.lit(mean_bytes)
     return keys.filter(draw < chance).withColumn("weight", F.greatest(F.col("size").cast("double"), F.lit(mean_bytes)))
 
@@ -58,64 +59,67 @@ def _with_range(frame: DataFrame, borders: DataFrame) -> DataFrame:
     Borders are gathered under the first bits of their hash, so a row is compared with those of its own prefix only.
     """
     spark = frame.sparkSession
-    prefix = F.shiftright("_h", 64 - _PREFIX)
+    prefix = F.shiftright("_shard_h", 64 - _PREFIX)
     half = 1 << (_PREFIX - 1)
-    every = spark.range(-half, half, 1, 1).withColumnRenamed("id", "_prefix")
-    near = borders.groupBy(prefix.alias("_prefix")).agg(F.collect_list(F.struct("_h", "_i")).alias("_near"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    found = every.join(near, "_prefix", "left").withColumn("_near", F.coalesce("_near", F.expr("array()").cast(near.schema["_near"].dataType)))
-    found = found.withColumn("_before", F.coalesce(F.sum(F.size("_near")).over(before), F.lit(0)))
-    key = F.struct("_h", "_i")
-    at = F.col("_before") + F.size(F.filter("_near", lambda b: b <= key))
+    every = spark.range(-half, half, 1, 1).withColumnRenamed("id", "_shard_prefix")
+    near = borders.groupBy(prefix.alias("_shard_prefix")).agg(F.collect_list(F.struct("_shard_h", "_shard_i")).alias("_shard_near"))
+    before = Window.orderBy("_shard_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.array().cast(near.schema["_shard_near"].dataType)
+    found = every.join(near, "_shard_prefix", "left").withColumn("_shard_near", F.coalesce("_shard_near", none))
+    found = found.withColumn("_shard_before", F.coalesce(F.sum(F.size("_shard_near")).over(before), F.lit(0)))
+    key = F.struct("_shard_h", "_shard_i")
+    at = F.col("_shard_before") + F.size(F.filter("_shard_near", lambda b: b <= key))
     # One row for each of the 4,096 prefixes, each border once.
-    return frame.join(F.broadcast(found), prefix == F.col("_prefix")).withColumn("_range", at.cast("long")).drop("_prefix", "_near", "_before")
+    joined = frame.join(F.broadcast(found), prefix == F.col("_shard_prefix")).withColumn("_shard_range", at.cast("long"))
+    return joined.drop("_shard_prefix", "_shard_near", "_shard_before")
 
 
 def layout(keys: DataFrame, shards: int, per_shard: int = PER_SHARD) -> tuple[DataFrame, DataFrame]:
-    """Borders ``(_h, _i)`` of the ranges, and for each range its ``shard`` and the ``first`` slot."""
-    keys = keys.select("_h", "_i", "size")
+    """The borders of the ranges as keys, and for each range its ``shard`` and first slot."""
+    keys = keys.select("_shard_h", "_shard_i", "size")
     total = keys.agg(F.sum("size")).first()[0] or 0
     share = max(1.0, total / (shards * per_shard))
-    ordered = Window.orderBy("_h", "_i")
+    ordered = Window.orderBy("_shard_h", "_shard_i")
     upto = F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     step = F.floor((upto - F.col("weight") / 2) / F.lit(share))
     drawn = _sample(keys, share / SAMPLES, SEED).withColumn("step", step)
-    first = drawn.groupBy("step").agg(F.min("_h").alias("_h")).select("_h").distinct().withColumn("_i", F.lit(_LEAST))
+    first = drawn.groupBy("step").agg(F.min("_shard_h").alias("_shard_h")).select("_shard_h").distinct().withColumn("_shard_i", F.lit(_LEAST))
     borders = stored(first, "borders")
 
     measured = _with_range(keys, borders)
-    full = measured.groupBy("_range").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > F.lit(OVERFULL * share))
-    inside = measured.join(F.broadcast(full.select("_range")), "_range", "left_semi")
-    inner = Window.partitionBy("_range").orderBy("_h", "_i")
+    full = measured.groupBy("_shard_range").agg(F.sum("size").alias("bytes")).filter(F.col("bytes") > F.lit(OVERFULL * share))
+    inside = measured.join(F.broadcast(full.select("_shard_range")), "_shard_range", "left_semi")
+    inner = Window.partitionBy("_shard_range").orderBy("_shard_h", "_shard_i")
     upto = F.sum("weight").over(inner.rowsBetween(Window.unboundedPreceding, 0))
     step = F.floor((upto - F.col("weight") / 2) / F.lit(share))
     again = _sample(inside, share / SAMPLES, SEED + 1).withColumn("step", step)
-    more = again.filter("step > 0").groupBy("_range", "step").agg(F.min(F.struct("_h", "_i")).alias("key")).select("key._h", "key._i")
+    more = again.filter("step > 0").groupBy("_shard_range", "step").agg(F.min(F.struct("_shard_h", "_shard_i")).alias("key")).select("key._shard_h", "key._shard_i")
     borders = stored(borders.unionByName(more).distinct(), "borders")
 
-    ranges = _with_range(keys, borders).groupBy("_range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
+    ranges = _with_range(keys, borders).groupBy("_shard_range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
     ranges = stored(ranges, "ranges")
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_shard_range").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.coalesce(F.sum("bytes").over(before), F.lit(0)) + F.col("bytes") / 2
     shard = F.least(F.floor(middle * F.lit(shards) / F.lit(max(1, total))), F.lit(shards - 1)).cast("int")
     placed = ranges.withColumn("shard", shard)
-    earlier = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    return borders, placed.select("_range", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("first"))
+    earlier = Window.partitionBy("shard").orderBy("_shard_range").rowsBetween(Window.unboundedPreceding, -1)
+    return borders, placed.select("_shard_range", "shard", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_shard_first"))
 
 
 def place(frame: DataFrame, borders: DataFrame, ranges: DataFrame) -> DataFrame:
     """Add ``shard`` and ``slot`` to a frame with the key, by the layout made from the same rows."""
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("_h", "_i"))
-    ranked = _with_range(frame, borders).withColumn("_rank", rank)
+    rank = F.row_number().over(Window.partitionBy("_shard_range").orderBy("_shard_h", "_shard_i"))
+    ranked = _with_range(frame, borders).withColumn("_shard_rank", rank)
     # One row for each range: bounded by the parameters.
-    joined = ranked.join(F.broadcast(ranges), "_range")
-    return joined.withColumn("slot", (F.col("first") + F.col("_rank") - 1).cast("long")).drop("_range", "_rank", "first", "_h", "_i")
+    joined = ranked.join(F.broadcast(ranges), "_shard_range")
+    slotted = joined.withColumn("slot", (F.col("_shard_first") + F.col("_shard_rank") - 1).cast("long"))
+    return slotted.drop("_shard_range", "_shard_rank", "_shard_first", "_shard_h", "_shard_i")
 
 
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", per_shard: int = PER_SHARD) -> DataFrame:
     """The input's rows and columns with ``size, shard, slot``."""
     wide = keyed(docs, id_col, text_col)
-    keys = stored(wide.select("_h", "_i", "size"), "shard-keys")
+    keys = stored(wide.select("_shard_h", "_shard_i", "size"), "shard-keys")
     return place(wide, *layout(keys, shards, per_shard))
 
 

@@ -16,7 +16,8 @@ DOCS = [
     (8, "12345 67890 !!! ???", None, None, 19),
 ]
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = ("fp", "id", "component_id", "_row", "kept", "n_words", "size", "shard", "slot", "rate", "copy", "score", "value", "part", "held_out", "x")
+CLASHING = ("fp", "id", "component_id", "_row", "kept", "n_words", "size", "shard", "slot", "rate", "copy", "score", "value", "part", "held_out", "x",
+            "first", "sums", "bytes", "weight", "n", "value_sha256", "_draw", "_copy", "_id", "_text", "component", "root", "lang_pred", "html", "key")
 
 
 def docs(spark):
