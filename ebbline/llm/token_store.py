@@ -39,7 +39,8 @@ from ebbline.llm.common import slices
 
 SEGMENT_TOKENS = 1 << 20
 END_ID = 2
-REMEMBERED = 400_000
+REMEMBERED = 500_000  # pieces of a generation; two are kept
+_LINES = 64
 _BLOCK = 512  # bits between two entries of a rank directory
 _MAGIC = b"DAC1"
 _CHUNK_BITS = 8
@@ -124,7 +125,9 @@ class Codes:
 
 # White space as the byte-level pre-tokenizer sees it.
 _W = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PIECE = re.compile(f" ?[^{_W}.,]*[0-9A-Za-zÀ-ÖØ-öø-ÿ](?=[.,])|[.,][^{_W}]*| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]+")
+_PIECE = re.compile(
+    f" ?[^{_W}.,]++(?:(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,])|[^{_W}]*+)| ?[.,][^{_W}]*+|[{_W}]+(?![^{_W}])|[{_W}]+"
+)
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -148,7 +151,9 @@ class Encoder:
             and before.get("use_regex", True) and not before.get("add_prefix_space", True)
         )
         self.known: dict[str, bytes] = {}
-        self.line_end = self._ids("\n")
+        self.before: dict[str, bytes] = {}
+        line_end = np.frombuffer(self._ids("\n"), "<u4")
+        self.line_end = line_end[0] if len(line_end) == 1 else None
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -158,29 +163,36 @@ class Encoder:
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
         pieces = [_PIECE.findall(t) for t in texts]
-        new = {p for some in pieces for p in some if p not in self.known}
-        if new:
-            if len(self.known) > REMEMBERED:
-                self.known = {}
-                new = {p for some in pieces for p in some}
-            self._learn(list(new))
-        known = self.known
-        return [b"".join([known[p] for p in some]) for some in pieces]
+        new = set().union(*pieces).difference(self.known)
+        if self.before:  # pieces of the generation before that are in use stay known
+            kept = [p for p in new if p in self.before]
+            self.known.update((p, self.before[p]) for p in kept)
+            new.difference_update(kept)
+        self._learn(list(new))
+        known = self.known.__getitem__
+        found = [b"".join(map(known, some)) for some in pieces]
+        if len(self.known) > REMEMBERED:
+            self.before, self.known = self.known, {}
+        return found
 
     def _learn(self, new: list[str]) -> None:
-        """Encode pieces as lines of one text: a line end is a piece of its own, before and behind any word."""
+        """Encode pieces as lines of short texts: a line end is a piece of its own, before and behind any word."""
         words = [p for p in new if not p.isspace()]
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            ids = np.frombuffer(self._ids("\n".join(some)), "<u4")
-            if len(self.line_end) == 4:
-                ends = np.flatnonzero(ids == np.frombuffer(self.line_end, "<u4")[0])
+        for at in range(0, len(words), _LINES):
+            some = words[at : at + _LINES]
+            (found,) = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            if self.line_end is not None:
+                ends = np.flatnonzero(ids == self.line_end).tolist()
                 if len(ends) == len(some) - 1:
-                    cuts = zip([0, *(ends + 1).tolist()], [*ends.tolist(), len(ids)])
-                    self.known.update((p, ids[a:b].tobytes()) for p, (a, b) in zip(some, cuts))
+                    data, low = ids.tobytes(), 0
+                    for p, end in zip(some, [*ends, len(ids)]):
+                        self.known[p] = data[4 * low : 4 * end]
+                        low = end + 1
                     continue
             self.known.update((p, self._ids(p)) for p in some)
-        self.known.update((p, self._ids(p)) for p in new if p.isspace())
+        if len(words) < len(new):
+            self.known.update((p, self._ids(p)) for p in new if p.isspace())
 
 
 def encoder(path: str) -> Encoder:
@@ -256,11 +268,10 @@ def documents(store: DataFrame) -> DataFrame:
         for batch in slices(batches, rows=1):
             part, seq, doc_ids, ends, payload = (batch.column(c)[0].as_py() for c in ("part", "seq", "doc_ids", "ends", "payload"))
             codes, starts = Codes(payload), [0, *ends[:-1]]
-            crcs, firsts = [], []
-            for a, b in zip(starts, ends):
-                ids = codes.run(a, b)
-                crcs.append(zlib.crc32(ids.astype("<u4").tobytes()))
-                firsts.append(codes[a])
+            ids = codes.run(0, len(codes)).astype("<u4", copy=False)  # all of its documents are wanted
+            data = memoryview(ids.tobytes())
+            crcs = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts, ends)]
+            firsts = ids[starts].tolist()
             lengths = [b - a for a, b in zip(starts, ends)]
             columns = [doc_ids, [part] * len(ends), [seq] * len(ends), starts, lengths, crcs, firsts]
             yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["doc_id", "part", "seq", "local", "n_tokens", "ids_crc32", "first_id"])
