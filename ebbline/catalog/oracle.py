@@ -405,6 +405,9 @@ UNION ALL SELECT md5(text), md5({NORM.format('text')}), length({NORM.format('tex
     q["norm_tag_score"] = f"""SELECT md5(norm) AS norm_key, length(norm)::INT AS n_chars, count(*) AS n_rows FROM (
  SELECT {SCORE_NORM.format('tag')} AS norm FROM (SELECT unnest(string_split(text, ',')) AS tag FROM documents)
  WHERE trim(tag, {STRIP_SET}) <> '') GROUP BY norm"""
+    odd = "l_tax IN (0, 0.01) OR l_discount = 0"
+    q["finite_values"] = f"""SELECT l_partkey AS app_id, count(*) AS n_rows, count(*) FILTER (NOT ({odd})) AS n_finite,
+ {r(f'sum(l_extendedprice) FILTER (NOT ({odd}))', 'total', 3)} FROM lineitem GROUP BY 1"""
     q["safe_log"] = f"""SELECT l_tax, l_discount, n_rows, {r("CASE WHEN l_tax - l_discount > 0 THEN ln(l_tax - l_discount) END", "log_value")}
  FROM (SELECT l_tax, l_discount, count(*) AS n_rows FROM lineitem GROUP BY ALL)"""
 
@@ -638,6 +641,12 @@ FROM (SELECT app_id, {features}, (p_type = 'PROMO')::INT AS is_free, price_usd F
  'trend3_log_avg' AS weight_feature, -0.05::DOUBLE AS weight_threshold, 1.8::DOUBLE AS weight_multiplier FROM literal WHERE is_test""",
         "literal",
     )
+    q["boost_invariants"] = with_parts(
+        f"""SELECT quantile, count(*) AS n_rows, {r('sum(CASE WHEN trend3_log_avg < -0.05 THEN 1.8 ELSE 1.0 END)::DOUBLE', 'sum_weight')},
+ true AS start_is_quantile, true AS loss_fell
+FROM (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS quantile, * FROM literal WHERE NOT is_test) GROUP BY quantile""",
+        "literal",
+    )
     matched = """(SELECT coalesce(string_agg(tag, '|' ORDER BY tag), '') FROM (
  SELECT tag FROM vocab_ranked v WHERE v.kind = '{1}' AND v.rank <= {2}
   AND list_contains(list_transform({0}, lambda x: {3}), {4})))"""

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ebbline import jobs, schemas
+from ebbline import jobs, params, schemas
 from ebbline.catalog import bind
 from ebbline.functions import dates, html, series, text
 from ebbline.operators.checks import duplicate_keys, orphans
@@ -325,6 +325,20 @@ def safe_log(spark, sf):
     return shown(rows.select("l_tax", "l_discount", "n_rows", text.safe_log(F.col("l_tax") - F.col("l_discount")).alias("log_value")))
 
 
+@query
+def finite_values(spark, sf):
+    """Prices as numbers that are not all finite: per part how many count, and their sum."""
+    price = (
+        F.when(F.col("l_tax") == 0, F.lit(float("inf")))
+        .when(F.col("l_tax") == 0.01, F.lit(float("-inf")))
+        .when(F.col("l_discount") == 0, F.lit(float("nan")))
+        .otherwise(F.col("l_extendedprice"))
+    )
+    rows = bind.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("app_id"))
+    value = text.finite(price)
+    return shown(rows.agg(F.count("*").alias("n_rows"), F.count(value).alias("n_finite"), F.sum(value).alias("total")), 3)
+
+
 # --- panel -------------------------------------------------------------------
 
 
@@ -476,7 +490,8 @@ def fact_upsert(spark, sf):
     apps = stored(warehouse.upsert_apps(None, _typed(spark, sf)), "dim_app")
     calendar = stored(warehouse.upsert_dates(None, monthly), "dim_date")
     old = monthly.filter("month_index >= 4").withColumn("avg_players", F.col("avg_players") + 100)
-    fact = warehouse.fact_rows(old, apps, calendar)
+    unlabelled = old.filter("month_index = 5").withColumn("month_label", F.lit(None).cast("string"))  # matches no month
+    fact = warehouse.fact_rows(old.unionByName(unlabelled), apps, calendar)
     return shown(warehouse.upsert_fact(fact, warehouse.fact_rows(monthly.filter("month_index <= 6"), apps, calendar)))
 
 
@@ -708,6 +723,33 @@ def quantile_forecast(spark, sf):
     return shown(predicted.select(*PANEL_KEY, "y_log_avg", "base_log", *forecasts))
 
 
+@query
+def boost_invariants(spark, sf):
+    """Of a fitted model, for each quantile: whether its start is that quantile of the weighted target, and whether the loss fell."""
+    model, train, _ = _fitted(spark, sf)
+    weight = training.sample_weight(F.col(params.DOWNTREND_FEATURE))
+    rows = boosting.predict(train, model).withColumn("weight", weight)
+
+    def loss(q: float, predicted: Column) -> Column:
+        gap = F.col("delta") - predicted
+        return F.sum(F.col("weight") * F.greatest(q * gap, (q - 1) * gap))
+
+    found = []
+    for q, start in sorted(model.start.items()):
+        near = abs(start) / 1024  # two bins
+        below = F.sum(F.when(F.col("delta") < start - near, F.col("weight")).otherwise(0.0))
+        upto = F.sum(F.when(F.col("delta") <= start + near, F.col("weight")).otherwise(0.0))
+        wanted = q * F.sum("weight")
+        found.append(
+            rows.agg(
+                F.lit(q).alias("quantile"), F.count("*").alias("n_rows"), F.sum("weight").alias("sum_weight"),
+                ((below <= wanted) & (upto >= wanted)).alias("start_is_quantile"),
+                (loss(q, F.col(boosting.column_name(q))) < loss(q, F.lit(start))).alias("loss_fell"),
+            )
+        )
+    return shown(found[0].unionByName(found[1]).unionByName(found[2]))
+
+
 # --- scoring -----------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ WHITESPACE = (
     "           "
     "    　"
 )
+# The words of a flag.
 TRUE_WORDS = ("TRUE", "1", "YES", "Y")
 FALSE_WORDS = ("FALSE", "0", "NO", "N")
 

@@ -23,6 +23,7 @@ def metrics(predictions: DataFrame) -> DataFrame:
     y, base = F.col("y_log_avg"), F.col("base_log")
     low, mid, high = (base + F.col(f"delta_q{q}") for q in (10, 50, 90))
     up, true_up = F.col("delta_q50") > 0, F.col("delta") > 0
+    # The names of the metrics.
     scored = predictions.agg(
         _rmse(y - base).alias("rmse_persistence_log"),
         _rmse(y - mid).alias("rmse_q50_log"),

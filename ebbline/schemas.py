@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ebbline.params import MONTHS_KEPT
 
+# The column names of the stored tables, here and below.
 RAW_PAGES = "app_id long, url string, html string, status_code int, error string, scraped_utc string"
 
 MONTH_COLUMNS = [
