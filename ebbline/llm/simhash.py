@@ -207,13 +207,16 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Of rows equal in both, one stays.
     """
-    row = F.xxhash64(F.col(text_col).cast("string"))
-    marked = docs.withColumn("_row", row)
-    prints = stored(fingerprints(marked, id_col, text_col, shingle, also=("_row",)), "fingerprints")
+    marked = docs.withColumn("_simhash_row", F.xxhash64(F.col(text_col).cast("string")))
+    prints = stored(fingerprints(marked, id_col, text_col, shingle, also=("_simhash_row",)), "fingerprints")
     grouped = _grouped(prints, max_bits)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("kept_id"), F.col("_row").alias("kept_row"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("kept_id"), F.col("_simhash_row").alias("kept_row"))
     best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(grouped, "fp").groupBy("root").agg(F.min("best").alias("best"))
-    keep = best.select("best.kept_id", "best.kept_row")
-    here = marked.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("kept_id")) & (F.col("_row") == F.col("kept_row")), "left_semi")
-    first = Window.partitionBy(F.col(id_col), F.col("_row")).orderBy(F.lit(0))
-    return here.withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy", "_row")
+    # One key of plain columns for the join and for what drops its repeated rows: the texts are shuffled once.
+    key = ["_simhash_id", "_simhash_none", "_simhash_row"]
+    keep = best.select(F.coalesce("best.kept_id", F.lit(0)), "best.none", "best.kept_row").toDF(*key)
+    number = F.col(id_col).cast("long")
+    here = marked.withColumns({key[0]: F.coalesce(number, F.lit(0)), key[1]: number.isNull()}).join(keep, key, "left_semi")
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    first = here.withColumn("_simhash_copy", copy).filter("_simhash_copy = 1")
+    return first.select(*[F.col(f"`{c}`") for c in docs.columns])
