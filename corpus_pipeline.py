@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm import decontaminate, line_rules, mixing, sharding, simhash
 from ebbline.llm.common import stored, table
+from ebbline.session import scratch
 
 SHARDS = 16
 
@@ -53,9 +54,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What the stages wrote on the way is removed at the end, but the last table."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    last = STAGES[-1][0]
+    with scratch(spark, keep=(f"{last}-stage",)):
+        for name, stage in STAGES:
+            docs = stored(stage(spark, docs, sf_dir), f"{name}-stage")
     return docs
 
 
