@@ -33,6 +33,7 @@ Q = 8
 EDIT_SHARE = 0.1
 BLOCK_CHARS = 4_000_000
 _TABLE_BITS = 22
+_STRETCH = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _NO_CODE = np.uint32(0xFFFFFFFF)
@@ -139,7 +140,11 @@ class Index:
         ends = np.cumsum([len(c) for c, _ in done])
         if not len(ends) or not ends[-1]:
             return
-        at, item, place = self.hits(grams(np.concatenate([c for c, _ in done]), self.q))
+        whole, found = np.concatenate([c for c, _ in done]), []
+        for low in range(0, len(whole), _STRETCH):  # a very long text is hashed in stretches; what they share is small
+            some_at, some_item, some_place = self.hits(grams(whole[low : low + _STRETCH + self.q - 1], self.q))
+            found.append((some_at + low, some_item, some_place))
+        at, item, place = (np.concatenate(x) for x in zip(*found))
         text = np.searchsorted(ends, at, side="right")
         inside = at + self.q <= ends[text]
         at, item, place, text = at[inside], item[inside], place[inside], text[inside]
@@ -154,7 +159,7 @@ class Index:
         order = np.argsort(pair, kind="stable")
         at, place, pair = at[order], place[order], pair[order]
         cuts = np.flatnonzero(np.diff(pair)) + 1
-        found: dict[int, list[tuple[int, int, int, int]]] = {}
+        matched: dict[int, list[tuple[int, int, int, int]]] = {}
         for some_at, some_place, some_pair in zip(np.split(at, cuts), np.split(place, cuts), np.split(pair, cuts)):
             if not len(some_pair):
                 continue
@@ -162,9 +167,9 @@ class Index:
             start = int(ends[n]) - len(done[n][0])
             regions = self.regions(k, done[n][0], some_at - start - some_place, some_place)
             if regions:
-                found.setdefault(n, []).extend(regions)
-        for n in sorted(found):
-            yield n, found[n], done[n][1]
+                matched.setdefault(n, []).extend(regions)
+        for n in sorted(matched):
+            yield n, matched[n], done[n][1]
 
     def regions(self, k: int, codes: np.ndarray, diagonals: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Regions of one text that hold item k, by the shared q-grams' diagonals and places: the best of overlapping ones."""

@@ -36,6 +36,7 @@ UNKNOWN = "und"
 _UNIT = 1 << 20  # whole numbers for one unit of length
 _CELLS = 4_000_000  # of a block of counts
 _GRAMS = 8_192  # vectors of a block
+_STRETCH = 1 << 20  # letters that are counted at once
 _LETTERS = np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False for c in range(0x10000)])
 _VECTORS: dict[tuple[int, int], np.ndarray] = {}
 
@@ -67,18 +68,37 @@ def letters(text: str | None) -> np.ndarray:
 
 def bundles(texts: list[str | None], dimensions: int = DIMENSIONS, gram: int = GRAM) -> np.ndarray:
     """A row for each text: the sum of its n-grams' vectors, zero without a letter."""
-    out = np.zeros((len(texts), dimensions), np.float32)
-    done = [letters(t) for t in texts]
-    sizes = np.array([max(0, len(d) - gram + 1) for d in done])
-    if not sizes.sum():
-        return out
+    out = np.zeros((len(texts), dimensions), np.float64)
+    rows, pieces, size = [], [], 0
+
+    def add() -> None:
+        np.add.at(out, rows, _bundles(pieces, dimensions, gram))
+
+    for row, text in enumerate(texts):
+        codes = letters(text)
+        for low in range(0, max(0, len(codes) - gram + 1), _STRETCH):  # a very long text goes in stretches
+            rows.append(row)
+            pieces.append(codes[low : low + _STRETCH + gram - 1])
+            size += len(pieces[-1])
+            if size >= _STRETCH:
+                add()
+                rows, pieces, size = [], [], 0
+    if pieces:
+        add()
+    return out.astype(np.float32)
+
+
+def _bundles(done: list[np.ndarray], dimensions: int, gram: int) -> np.ndarray:
+    """The same of runs of letters that have an n-gram each."""
+    out = np.zeros((len(done), dimensions), np.float32)
+    sizes = np.array([len(d) - gram + 1 for d in done])
     whole = np.concatenate(done)
     alphabet, at = _numbered(whole, 0x110000)
     starts = np.cumsum([0, *[len(d) for d in done]])[:-1]
     codes = at[: len(whole) - gram + 1].astype(np.int64)
     for k in range(1, gram):
         codes = codes * len(alphabet) + at[k : len(whole) - gram + 1 + k]
-    rows = np.repeat(np.arange(len(texts)), sizes)
+    rows = np.repeat(np.arange(len(done)), sizes)
     first = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
     grams, column = _numbered(codes[first], len(alphabet) ** gram)
     for low in range(0, len(grams), _GRAMS):
@@ -92,9 +112,9 @@ def bundles(texts: list[str | None], dimensions: int = DIMENSIONS, gram: int = G
         inside = (column >= low) & (column < low + len(some)) if len(grams) > _GRAMS else slice(None)
         cells = rows[inside] * len(some) + column[inside] - low
         step = max(1, _CELLS // len(some))
-        for top in range(0, len(texts), step):
-            n = min(step, len(texts) - top)
-            if len(texts) > step:
+        for top in range(0, len(done), step):
+            n = min(step, len(done) - top)
+            if len(done) > step:
                 part = cells[(cells >= top * len(some)) & (cells < (top + n) * len(some))] - top * len(some)
             else:
                 part = cells

@@ -55,6 +55,17 @@ def test_align_is_the_banded_optimum():
         assert cost == plain_best(item, text) == plain_distance(item, text[start:end])
 
 
+def test_long_texts_in_stretches(monkeypatch):
+    rng = random.Random(8)
+    item = phrase(rng, 30)
+    texts = [phrase(rng, 300) + " " + item + " " + phrase(rng, 50), None, "short", item, phrase(rng, 100)]
+    index = d.Index([(1, item)], d.Q, 0.1)
+    whole = [(n, regions) for n, regions, _ in index.scan(texts)]
+    assert [n for n, _ in whole] == [0, 3]
+    monkeypatch.setattr(d, "_STRETCH", 50)
+    assert [(n, regions) for n, regions, _ in index.scan(texts)] == whole
+
+
 def test_find_loses_nothing_within_the_budget(spark):
     rng = random.Random(2)
     items = [(k, phrase(rng, rng.randint(8, 40))) for k in range(12)]

@@ -36,6 +36,8 @@ def test_bundles_are_the_same_in_blocks(monkeypatch):
     monkeypatch.setattr(langid, "_GRAMS", 100)
     monkeypatch.setattr(langid, "_CELLS", 350)
     assert np.array_equal(whole, langid.bundles(texts, 32))
+    monkeypatch.setattr(langid, "_STRETCH", 37)
+    assert np.array_equal(whole, langid.bundles(texts, 32))
 
 
 def test_language_edge_rows(spark):
