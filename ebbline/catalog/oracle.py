@@ -358,6 +358,7 @@ FROM long WHERE app_id IN (SELECT app_id FROM outcomes WHERE status = 'ok') GROU
         "outcomes", "open_ids",
     )
     q["stream_counters"] = q["run_counters"].replace(", (SELECT count(*) FROM open_ids) AS pending", "")
+    q["resume_pages"], q["resume_stream"] = q["run_counters"], q["stream_counters"]
     q["ok_ids"] = with_parts("SELECT app_id FROM outcomes WHERE status = 'ok'", "outcomes")
     q["pending_ids"] = with_parts("SELECT app_id FROM open_ids", "open_ids")
     q["failure_log"] = f"""SELECT {META_UTC} AS utc, p_partkey AS app_id, 'fetch_or_parse' AS stage, 'malformed_json' AS error

@@ -14,7 +14,6 @@ from ebbline.functions import dates, html, series, text
 from ebbline.operators.checks import duplicate_keys, orphans
 from ebbline.operators.dedup import latest
 from ebbline.operators.split import apply_split, group_split, sample_ids
-from ebbline.operators.versions import hash_part, read_live
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, training, warehouse
 from ebbline.session import new_path
 from ebbline.sources import readers, writers
@@ -837,6 +836,28 @@ def stream_counters(spark, sf):
     return jobs.stream_metrics(spark, source, f"{root}/metrics", f"{root}/checkpoint", f"{root}/progress", 3)
 
 
+@query
+def resume_pages(spark, sf):
+    """The job run twice: first only some pages are there; the second run takes up the other ids and what failed."""
+    root = new_path(spark, "resumed")
+    writers.write_ids(_wanted(spark, sf), f"{root}/ids")
+    every = bind.activity_pages(spark, sf)
+    jobs.pull_metrics(spark, every.filter("status_code = 200"), f"{root}/ids", f"{root}/metrics")
+    return jobs.pull_metrics(spark, every, f"{root}/ids", f"{root}/metrics")
+
+
+@query
+def resume_stream(spark, sf):
+    """A stream that stops and starts again after more files have arrived: every page is parsed once."""
+    root, every = new_path(spark, "resumed-stream"), bind.activity_pages(spark, sf)
+    columns = [f.name for f in StructType.fromDDL(schemas.RAW_PAGES)]
+    counters = None
+    for arrived in (every.filter("status_code = 200"), every.filter("not coalesce(status_code = 200, false)")):
+        arrived.select(*columns).write.mode("append").parquet(f"{root}/pages")
+        counters = jobs.stream_metrics(spark, f"{root}/pages", f"{root}/metrics", f"{root}/checkpoint", f"{root}/progress", 2)
+    return counters
+
+
 EVENT_KEYS = ["user_id", "event_type"]
 
 
@@ -866,7 +887,6 @@ def incremental_upsert(spark, sf):
     target, checkpoint = new_path(spark, "upserted"), new_path(spark, "upsert-progress")
     source = _event_files(spark, sf)
     stream = incremental.stream_files(spark, source, EVENT_SCHEMA, 10)
-    stream = stream.withColumn("bucket", hash_part(EVENT_KEYS, 16))
-    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], "bucket")
-    rows = read_live(spark, target, stream.schema, "bucket")
+    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], merge_every=3)
+    rows = incremental.read_upserted(spark, target, stream.schema, EVENT_KEYS, ["ts"], ["event_id"])
     return shown(rows.select(*EVENT_KEYS, "event_id", "props", "value"))

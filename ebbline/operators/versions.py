@@ -21,11 +21,6 @@ from ebbline.operators.membership import bounded_rows
 from ebbline.sources.readers import missing
 
 
-def hash_part(keys: list[str], parts: int) -> Column:
-    """An even part number of a key."""
-    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
-
-
 def _live(spark: SparkSession, root: str, schema: StructType, part: str, before: int | None) -> DataFrame | None:
     """``(part, version)``: the newest listed version of each part."""
     listed = StructType([schema[part], StructField("version", LongType())])

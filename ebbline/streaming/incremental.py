@@ -11,10 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ebbline.operators.dedup import latest
-from ebbline.operators.upsert import delete_insert
-from ebbline.operators.versions import upsert_parts
 
 
 def stream_files(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -63,25 +62,46 @@ def read_ingested(spark: SparkSession, target: str, keys: list[str], order: list
 
 
 def upsert_batches(
-    stream: DataFrame, root: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str], part: str
+    stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str], merge_every: int = 20
 ) -> StreamingQuery:
-    """Keep the table at ``root`` at the latest row per key, rewriting only the parts a batch touches.
+    """Keep the table at ``target`` at the latest row per key. A batch costs its own rows, not the table's.
 
-    ``part`` is a column that the key determines. A late row loses against a newer
-    stored one. The batch id is the version, so a repeated batch changes nothing.
+    Each batch adds its latest rows as a part ``base=b/batch_id=n``. Every ``merge_every``-th
+    one writes, as the first part of a new base, the latest of its rows and of all parts
+    of the base before. Readers take the newest base. A late row loses against a newer one,
+    and a repeated batch overwrites its own part only. Bases before the newest are not read any more.
     """
 
-    def newest(old: DataFrame | None, new: DataFrame) -> DataFrame:
-        if old is None:
-            return new
-        rivals = old.join(new.select(*keys), keys, "left_semi")
-        return delete_insert(old, latest(new.unionByName(rivals), keys, order, ties), keys)
-
     def merge(batch: DataFrame, batch_id: int) -> None:
-        reduced = latest(batch, keys, order, ties).persist()
-        try:
-            upsert_parts(batch.sparkSession, root, reduced, part, batch_id, newest)
-        finally:
-            reduced.unpersist()
+        spark = batch.sparkSession
+        rows = latest(batch, keys, order, ties)
+        before = [b for b in _bases(spark, target) if b < batch_id]
+        base = max(before, default=batch_id)
+        if batch_id and batch_id % merge_every == 0:
+            if before:
+                earlier = spark.read.schema(batch.schema).parquet(f"{target}/base={base}")
+                rows = latest(earlier.select(*batch.columns).unionByName(rows), keys, order, ties)
+            base = batch_id
+        rows.write.mode("overwrite").parquet(f"{target}/base={base}/batch_id={batch_id}")
 
     return run_available(stream, checkpoint, merge)
+
+
+def _bases(spark: SparkSession, target: str) -> list[int]:
+    """The bases below a target whose first part is complete, by the names of its folders."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    found = sorted(int(n.removeprefix("base=")) for n in names if n.startswith("base="))
+    written = spark._jvm.org.apache.hadoop.fs.Path
+    return [b for b in found if files.exists(written(f"{target}/base={b}/batch_id={b}/_SUCCESS"))]
+
+
+def read_upserted(spark: SparkSession, target: str, schema: StructType, keys: list[str], order: list[str], ties: list[str]) -> DataFrame:
+    """The table as of the last batch: the latest row per key over the parts of the newest base."""
+    bases = _bases(spark, target)
+    if not bases:
+        return spark.createDataFrame([], schema)
+    return latest(spark.read.schema(schema).parquet(f"{target}/base={bases[-1]}").select(*schema.names), keys, order, ties)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ebbline import jobs, schemas
 from ebbline.__main__ import main as command_line
 from ebbline.catalog import bind, queries
-from ebbline.operators import versions
 from ebbline.plans import boosting, evaluate, panel, scoring
 from ebbline.session import new_path
 from ebbline.sources import readers, writers
@@ -184,13 +183,14 @@ def add_file(spark, path, rows):
     spark.createDataFrame(rows, STREAM).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_upserts_resume_and_late_rows_lose(spark):
+@pytest.mark.parametrize("merge_every", [1, 2, 20])
+def test_upserts_resume_and_late_rows_lose(spark, merge_every):
     source, target, progress = (new_path(spark, n) for n in ("up-in", "up-out", "up-progress"))
 
     def run():
         stream = incremental.stream_files(spark, source, STREAM, 1)
-        incremental.upsert_batches(stream, target, progress, ["k", "part"], ["t"], ["v"], "part")
-        rows = versions.read_live(spark, target, stream.schema, "part").collect()
+        incremental.upsert_batches(stream, target, progress, ["k", "part"], ["t"], ["v"], merge_every)
+        rows = incremental.read_upserted(spark, target, stream.schema, ["k", "part"], ["t"], ["v"]).collect()
         return sorted((r["k"], r["part"], r["t"], r["v"]) for r in rows)
 
     add_file(spark, source, [(1, "a", 5, 1.0), (1, "a", 6, 2.0), (2, "b", 5, 3.0)])
@@ -200,6 +200,7 @@ def test_upserts_resume_and_late_rows_lose(spark):
     want = [(1, "a", 6, 2.0), (2, "b", 7, 8.0), (3, "a", 1, 4.0)]
     assert run() == want
     assert run() == want
+    assert incremental.read_upserted(spark, f"{target}-none", spark.read.parquet(source).schema, ["k"], ["t"], ["v"]).count() == 0
 
 
 def test_ingest_repeats_nothing_and_latest_wins(spark):
