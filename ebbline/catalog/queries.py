@@ -416,9 +416,20 @@ def _typed(spark, sf) -> DataFrame:
     return warehouse.typed_metadata(bind.landing(spark, sf))
 
 
-def _star(spark, sf, old: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def _star(spark, sf) -> dict[str, DataFrame]:
     """The star, each table stored once as a load stores it."""
-    return warehouse.build_star(_typed(spark, sf), bind.monthly_long(spark, sf), old, lambda name, table: stored(table, name))
+    return warehouse.build_star(_typed(spark, sf), bind.monthly_long(spark, sf), None, lambda name, table: stored(table, name))
+
+
+def _facts(spark, sf, monthly: DataFrame, old: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The part of the star that carries the facts: apps, calendar, facts."""
+    old = old or {}
+    typed = stored(warehouse.latest_metadata(_typed(spark, sf)), "typed")
+    monthly = stored(warehouse.latest_months(monthly), "monthly")
+    apps = stored(warehouse.upsert_apps(old.get("dim_app"), typed), "dim_app")
+    calendar = stored(warehouse.upsert_dates(old.get("dim_date"), monthly), "dim_date")
+    fact = warehouse.upsert_fact(old.get("fact_monthly"), warehouse.fact_rows(monthly, apps, calendar))
+    return {"dim_app": apps, "dim_date": calendar, "fact_monthly": fact}
 
 
 def _repeated(typed: DataFrame) -> DataFrame:
@@ -478,8 +489,7 @@ def bridge_tags(spark, sf):
 
 @query
 def fact_monthly(spark, sf):
-    star = _star(spark, sf)
-    return shown(star["fact_monthly"])
+    return shown(_facts(spark, sf, bind.monthly_long(spark, sf))["fact_monthly"])
 
 
 @query
@@ -544,8 +554,9 @@ def mart_persistence_two_loads(spark, sf):
     """A load without each app's newest month, then the whole one on top: the marts must read the newest months."""
     monthly = bind.monthly_long(spark, sf)
     before = monthly.filter("month_index > 1").withColumn("month_index", F.col("month_index") - 1)
-    first = warehouse.build_star(_typed(spark, sf), before, None, lambda name, table: stored(table, name))
-    star = _star(spark, sf, first)
+    first = _facts(spark, sf, before)
+    first["fact_monthly"] = stored(first["fact_monthly"], "fact")
+    star = _facts(spark, sf, monthly, first)
     rows = warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])
     return shown(marts.app_persistence(rows, star["dim_app"]).drop("app_sk"))
 
@@ -594,7 +605,7 @@ def mart_growth_decay(spark, sf):
 @query
 def mart_star_decay(spark, sf):
     """The decay curve through the star: fact joined back to its dimensions."""
-    star = _star(spark, sf)
+    star = _facts(spark, sf, bind.monthly_long(spark, sf))
     return shown(marts.decay_curve(warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])))
 
 
