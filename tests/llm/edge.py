@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-LONG = "alpha beta gamma delta. " * 20_000
+LONG = "alpha beta gamma delta. " * 5_000
 DOCS = [
     (1, "The quick brown fox jumps over the lazy dog.", "en", "a", 44),
     (1, "The quick brown fox jumps over the lazy dog.", "en", "a", 44),

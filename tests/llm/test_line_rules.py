@@ -53,6 +53,6 @@ def test_edge_rows(spark):
     assert len(set(found.columns)) == len(found.columns) and "component_id" in found.columns
     by_id = {r.doc_id: r for r in rows}
     assert by_id[2].text is None and by_id[2].n_words == 0 and by_id[2].clean_text == ""
-    assert by_id[5].text == edge.LONG and by_id[5].n_words == 80_000 == by_id[5].n_repeat_words
+    assert by_id[5].text == edge.LONG and by_id[5].n_words == 20_000 == by_id[5].n_repeat_words
     assert by_id[7].clean_text == by_id[7].text
     assert line_rules.clean(edge.empty(spark)).count() == 0
