@@ -121,7 +121,8 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         _word(F.col("before"), r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]+[\p{L}\p{N}_]+[^\p{L}\p{N}_]*$").alias("second_before"),
         _word(F.col("after"), r"^[^\p{L}\p{N}_]*([\p{L}\p{N}_]+)").alias("word_after"),
     )
-    return around.join(shape, "value")
+    # Stored, so that the join reads tables on both sides: then AQE can broadcast the values or split one with many findings.
+    return around.join(stored(shape, "finding-values"), "value")
 
 
 def clear_cases(rows: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id
          train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, path, start, value, score)`` of every candidate; ``score`` is the forest's chance that it is a secret."""
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(path_col).alias("source"), F.col(text_col).cast("string").alias("text"))
-    rows = describe(candidates(text), dictionary(text))
+    rows = describe(stored(candidates(text), "candidates"), dictionary(text))
     if labels is None:
         rows = clear_cases(rows)
     else:
@@ -159,7 +160,7 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id
         return rows.select("doc_id", "path", "start", "value", F.lit(1.0 if counts.get(1.0) else 0.0).alias("score"))
     sample = _drawn(rows, 1.0, counts[1.0], train_rows).unionByName(_drawn(rows, 0.0, counts[0.0], train_rows))
     # In an order of its own, so the forest's draws don't depend on how the rows were dealt out.
-    ordered = sample.repartition(8, F.xxhash64("value")).sortWithinPartitions("value", "doc_id", "start")
+    ordered = sample.repartition(8, F.xxhash64("value", "doc_id", "start")).sortWithinPartitions("value", "doc_id", "start")
     forest = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     model = forest.fit(_vectors(ordered).select("_features", "label"))
     scored = model.transform(_vectors(rows))
