@@ -1,6 +1,8 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` letters, digits and ``_+/=-`` that stands alone. The forest sees its length, its character
+A candidate is a value in a run of at least ``SHORTEST`` ASCII letters, digits and ``_+/=-``; letters of other scripts end a run. A run is
+cut after its first ``=`` into name and value, and at each ``/`` if it is in the path of a URL or holds a known shape between them; the
+parts of ``SHORTEST`` characters and those of a known shape are the candidates, or the whole run if there is none. The forest sees its length, its character
 transitions (changes between digits and others, between cases, between vowels and consonants), how much of it is made of
 dictionary words, the path it was found under, and the words around it. Dictionary words are those that
 ``MIN_DOCS`` documents or more have, counted over the whole corpus.
@@ -14,7 +16,8 @@ Built of DataFrame functions and MLlib only. Coverage is worked out once for eac
 holds much of the rows are summed before anything is joined; the join back to the findings is one that AQE can split.
 
 Defined results: text NULL or empty has no candidates; a missing path or neighbour is the empty word; repeated rows are reported
-each; without a finding of each label nothing can be learned, and every finding scores 1 if all labels are secrets, else 0;
+each; without a finding of each label nothing can be learned, and every finding scores 1 if all labels are secrets, else known shapes
+that aren't reviewed as none score 1 and the rest 0; ``start`` is where the value begins, not its name;
 an empty table gives no rows; extra columns are ignored.
 """
 
@@ -38,12 +41,16 @@ HASHED = 64
 _RUN = "A-Za-z0-9_+/=-"
 _OTHER = r"\p{L}\p{N}_+/=-"
 CANDIDATE = rf"(?<![{_OTHER}])[{_RUN}]{{{SHORTEST},}}+(?![{_OTHER}])"
+RUN = rf"(?<![{_RUN}])[{_RUN}]{{{SHORTEST},}}+"  # whatever other letters it touches
 # Names that credentials are assigned to, and shapes of well-known credentials.
-ASSIGNED = r"(?i)(?:token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|auth|credential)s?[\"']?\s*(?:=|:|=>)\s*[\"']?$"
+_NAMED = r"(?i)(?:token|secret|passw(?:or)?d|passwd|api[_-]?key|access[_-]?key|auth|credential)s?"
+ASSIGNED = _NAMED + r"[\"']?\s*(?:=|:|=>)\s*[\"']?$"
 SHAPE = (
     r"^(?:[0-9a-fA-F]{32,64}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk[-_][A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,}|"
     r"AIza[A-Za-z0-9_-]{35}|eyJ[A-Za-z0-9_-]{10,})$"
 )
+_NAME_PART = "^[^=]*+=++(?!$)"
+_URL_PATH = r"://[^\s?#\"'<>,;|]*$"
 _DIGIT_CHANGE = "(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])"
 _CASE_CHANGE = "(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"
 _VOWEL_CHANGE = "(?<=[aeiouAEIOU])(?=[b-df-hj-np-tv-zB-DF-HJ-NP-TV-Z])|(?<=[b-df-hj-np-tv-zB-DF-HJ-NP-TV-Z])(?=[aeiouAEIOU])"
@@ -51,12 +58,12 @@ NUMERIC = ("n_chars", "digits", "uppers", "signs", "different", "digit_changes",
 WORDS = ("path", "word_before", "second_before", "word_after")
 
 
-def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """``(doc_id, path, start, value, before, after)``: every candidate with its place and the text around it."""
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", pattern: str = CANDIDATE) -> DataFrame:
+    """``(doc_id, path, start, value, before, after)``: every run that stands alone, or that ``pattern`` finds, with its place and the text around it."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     path = F.coalesce(F.col(path_col).cast("string"), F.lit(""))
-    held = docs.select(F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), text.alias("text")).filter(F.col("text").rlike(CANDIDATE))
-    found = held.select("doc_id", "path", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("values"), F.split("text", CANDIDATE, -1).alias("gaps"))
+    held = docs.select(F.col(id_col).cast("long").alias("doc_id"), path.alias("path"), text.alias("text")).filter(F.col("text").rlike(pattern))
+    found = held.select("doc_id", "path", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"), F.split("text", pattern, -1).alias("gaps"))
     # Only the ends of the gaps go along, so a long text isn't repeated for each of its candidates.
     sized = found.select(
         "doc_id", "path", "values",
@@ -79,6 +86,38 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return sized.select("doc_id", "path", one.alias("one")).select("doc_id", "path", "one.start", "one.value", "one.before", "one.after")
 
 
+def parted(runs: DataFrame) -> DataFrame:
+    """The same columns for the values in the runs, each with its own place and the text around it."""
+    name = F.length(F.regexp_extract("value", _NAME_PART, 0))
+    # A run after "://" has the rest of the URL so far before it; "//host" has only the colon.
+    in_path = F.concat("before", F.left("value", F.lit(2))).rlike("://$") | F.col("before").rlike(_URL_PATH)
+    cut = runs.withColumn("_name", name).withColumn("_in_path", in_path)
+
+    def at_slashes(part: Column) -> Column:
+        pieces = F.split(part, "(?<=/)", -1)  # each with its own slash, so that lengths add up to places
+        known = F.exists(pieces, lambda p: F.rtrim(p, F.lit("/")).rlike(SHAPE))
+        return F.when(F.contains(part, F.lit("/")) & (F.col("_in_path") | known), pieces).otherwise(F.array(part))
+
+    pieces = F.concat(at_slashes(F.left("value", F.col("_name"))), at_slashes(F.expr("substring(value, _name + 1)")))
+    cut = cut.withColumn("_pieces", pieces)
+    placed = F.transform(
+        "_pieces",
+        lambda p, k: F.struct(
+            F.aggregate(F.slice("_pieces", F.lit(1), k), F.lit(0), lambda n, q: n + F.length(q)).alias("at"),
+            F.when((F.size("_pieces") > 1) & (k < F.size("_pieces") - 1), F.regexp_replace(p, "(?:/|=+)$", "")).otherwise(p).alias("part"),
+        ),
+    )
+    own = F.filter(placed, lambda p: (F.length(p["part"]) >= SHORTEST) | p["part"].rlike(SHAPE))
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.col("value").alias("part")))
+    one = cut.withColumn("_one", F.explode(F.when(F.size(own) > 0, own).otherwise(whole)))
+    at, part = F.col("_one.at"), F.col("_one.part")
+    return one.select(
+        "doc_id", "path", (F.col("start") + at).alias("start"), part.alias("value"),
+        F.right(F.concat("before", F.left("value", at)), F.lit(80)).alias("before"),
+        F.left(F.concat(F.substring("value", at + F.length(part) + 1, F.length("value")), "after"), F.lit(40)).alias("after"),
+    )
+
+
 def dictionary(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
     """``(word)``: lower-case ASCII words of three letters or more that so many documents have."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?<!\p{L})[a-z]{3,}+(?!\p{L})"), F.lit(0)))
@@ -116,7 +155,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     around = found.select(
         "doc_id", "path", "start", "value",
         (F.size(F.split("path", "/")) - 1).cast("double").alias("path_depth"),
-        F.col("before").rlike(ASSIGNED).cast("double").alias("assigned"),
+        (F.col("before").rlike(ASSIGNED) | F.col("value").rlike(_NAMED + "=")).cast("double").alias("assigned"),
         _word(F.col("before"), r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]*$").alias("word_before"),
         _word(F.col("before"), r"([\p{L}\p{N}_]+)[^\p{L}\p{N}_]+[\p{L}\p{N}_]+[^\p{L}\p{N}_]*$").alias("second_before"),
         _word(F.col("after"), r"^[^\p{L}\p{N}_]*([\p{L}\p{N}_]+)").alias("word_after"),
@@ -148,7 +187,7 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id
          train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, path, start, value, score)`` of every candidate; ``score`` is the forest's chance that it is a secret."""
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(path_col).alias("source"), F.col(text_col).cast("string").alias("text"))
-    rows = describe(stored(candidates(text), "candidates"), dictionary(text))
+    rows = describe(stored(parted(candidates(text, pattern=RUN)), "candidates"), dictionary(text))
     if labels is None:
         rows = clear_cases(rows)
     else:
@@ -157,7 +196,9 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id
     rows = stored(rows, "findings")
     counts = {r["label"]: r["n"] for r in rows.filter("label in (0, 1)").groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return rows.select("doc_id", "path", "start", "value", F.lit(1.0 if counts.get(1.0) else 0.0).alias("score"))
+        rest = F.lit(1.0 if counts.get(1.0) else 0.0)
+        score = F.when(F.col("label") == 0, 0.0).when(F.col("value").rlike(SHAPE), 1.0).otherwise(rest)
+        return rows.select("doc_id", "path", "start", "value", score.alias("score"))
     sample = _drawn(rows, 1.0, counts[1.0], train_rows).unionByName(_drawn(rows, 0.0, counts[0.0], train_rows))
     # In an order of its own, so the forest's draws don't depend on how the rows were dealt out.
     ordered = sample.repartition(8, F.xxhash64("value", "doc_id", "start")).sortWithinPartitions("value", "doc_id", "start")
