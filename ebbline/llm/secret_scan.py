@@ -4,8 +4,8 @@ A candidate is a value in a run of at least ``SHORTEST`` ASCII letters, digits a
 cut after its first ``=`` into name and value, and at each ``/`` if it is in the path of a URL or holds a known shape between them; the
 parts of ``SHORTEST`` characters and those of a known shape are the candidates, or the whole run if there is none. The forest sees its length, its character
 transitions (changes between digits and others, between cases, between vowels and consonants), how much of it is made of
-dictionary words, the path it was found under, and the words around it. Dictionary words are those that
-``MIN_DOCS`` documents or more have, counted over the whole corpus.
+dictionary words, the path it was found under, and the words around it. Dictionary words are those that a share ``WORD_SHARE`` of
+the different texts of the whole corpus have, and ``MIN_DOCS`` at least, outside of runs that hold candidates.
 
 The forest learns from labelled findings: a table ``(doc_id, start, label)`` of reviewed ones, or else clear cases by rule: a
 known shape assigned to a credential's name is a secret, a candidate with neither is none, and those with one of
@@ -33,6 +33,7 @@ from ebbline.llm.common import stored
 
 SHORTEST = 16
 MIN_DOCS = 3
+WORD_SHARE = 1e-4
 TRAIN_ROWS = 10_000
 TREES, DEPTH, SEED = 40, 8, 2
 THRESHOLD = 0.5
@@ -118,11 +119,16 @@ def parted(runs: DataFrame) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``(word)``: lower-case ASCII words of three letters or more that so many documents have."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?<!\p{L})[a-z]{3,}+(?!\p{L})"), F.lit(0)))
-    counted = docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.filter(F.col("n") >= min_docs).select("word")
+def dictionary(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, share: float = WORD_SHARE) -> DataFrame:
+    """``(word)``: lower-case ASCII words of three letters or more that so many different texts, and such a share of them, have outside of runs."""
+    text = F.col(text_col).cast("string")
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.regexp_replace(text, RUN, " ")), F.lit(r"(?<!\p{L})[a-z]{3,}+(?!\p{L})"), F.lit(0)))
+    texts = docs.filter(text.isNotNull()).select(F.md5(text.cast("binary")).alias("digest"), words.alias("words")).dropDuplicates(["digest"])
+    # The empty word stands in every text, so its count is the number of texts.
+    counted = texts.select(F.explode(F.concat("words", F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counted = stored(counted, "word-counts")
+    every = counted.filter("word = ''").first()
+    return counted.filter((F.col("n") >= max(min_docs, share * (every["n"] if every else 0))) & (F.col("word") != "")).select("word")
 
 
 def _share(value: Column, kind: str) -> Column:

@@ -47,6 +47,15 @@ def test_dictionary_counts_documents_not_words(spark):
     assert {r.word for r in s.dictionary(docs, min_docs=3).collect()} == {"twice"}
 
 
+def test_dictionary_leaves_out_candidates_and_copies_and_grows_with_the_table(spark):
+    hexa = "04dbebab91eeaaf904dbebab91eeaaf904dbebab"
+    docs = spark.createDataFrame([(f"number {i} token={hexa} common",) for i in range(40)] + [("copied words",)] * 9, "text string")
+    assert {r.word for r in s.dictionary(docs, min_docs=3).collect()} == {"number", "common"}
+    rare = docs.union(spark.createDataFrame([(f"rare {i}",) for i in range(3)], "text string"))
+    assert "rare" in {r.word for r in s.dictionary(rare, min_docs=3).collect()}
+    assert {r.word for r in s.dictionary(rare, min_docs=3, share=0.5).collect()} == {"number", "common"}
+
+
 def test_edge_rows(spark):
     assert s.secrets(edge.clashing(spark)).count() == 0
     assert s.secrets(edge.empty(spark)).count() == 0
