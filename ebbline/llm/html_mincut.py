@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import slices
 
 # HTML element names by their part in a page.
-HIDDEN = frozenset("script style noscript template svg math head title iframe object canvas audio video".split())
+HIDDEN = frozenset("script style noscript template svg annotation annotation-xml head title iframe object canvas audio video".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -56,7 +56,7 @@ MAIN_NAMES = frozenset("article content main story post entry body text".split()
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-zA-Z/!?][^>]*>?", re.S
 )
-_ATTRIBUTE = re.compile(r"""(?:^|[\s/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>"'=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>][^\s>]*+))?""")  # each in turn, so values aren't read as names
 _NAME = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…](?:[\"'”’)\]]*)(?:\s|$)")
 
@@ -107,7 +107,7 @@ def _verdict(tag: str, attributes: str, above: Node | None) -> tuple[int, bool]:
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true":
                 hidden = True
-            else:
+            elif key in ("class", "id", "role"):
                 names.update(_NAME.findall(value))
     if tag in ASIDE_TAGS:
         # A header within the article holds its title.

@@ -69,6 +69,19 @@ def test_broken_html():
     assert h.main_text("<article><p>x<script>if (a < b) '</p>'</script>y</p></article>") == "xy"
 
 
+def test_words_within_attribute_values_are_no_attributes():
+    for link in ('href="/hidden-costs"', 'title="a hidden valley"', "href=/a/hidden", "title='class=nav hidden' href=x", 'data-hidden="x" data-class="ad"'):
+        assert h.main_text(f"<article><p>The <a {link}>linked words</a> stay in this paragraph.</p></article>") == "The linked words stay in this paragraph."
+    assert h.main_text('<article data-title="The hidden sidebar"><p>Text.</p></article>') == "Text."
+    for own in ("hidden", 'HIDDEN=""', 'class="x"hidden', "aria-hidden = 'true'", 'id=x hidden'):
+        assert h.main_text(f"<article><p>Shown.</p><p {own}>Not shown.</p></article>") == "Shown."
+
+
+def test_formulas_stay():
+    formula = "<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow><annotation encoding='application/x-tex'>E=m</annotation></semantics></math>"
+    assert h.main_text(f"<article><p>So {formula} holds.</p></article>") == "So E=m holds."
+
+
 def test_edge_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<article>Text of a page.</article>"), (4, "u", "<nav>x</nav>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
