@@ -3,7 +3,8 @@
 A page is read into blocks: text between tags that open or close a block. A classifier gives
 each block a cost for each label, content or boilerplate, from its place in the page (elements
 and names of its ancestors, the innermost that says something), its share of link text, its length
-and its sentence ends. The costs are the capacities to the two terminals. Blocks that follow each
+and its sentence ends. Class and id names say less than elements and roles: a layout's wrapper may be named for the sidebar or the notice it
+has, so the main part within a wrapper that only such names call boilerplate is the page's main part if nothing outside it outweighs it. The costs are the capacities to the two terminals. Blocks that follow each
 other, and blocks that are the next child of the same element, are joined by smoothness edges, the
 stronger the nearer they stand in the tree. The minimum cut is the cheapest labelling; the text of
 the blocks on the content side, in page order, is the page's main text.
@@ -53,11 +54,18 @@ ASIDE_NAMES = frozenset(
 )
 MAIN_NAMES = frozenset("article content main story post entry body text".split())
 
+# Words of a name that make it tell of the page's state, not of the element's part; and parts that hold texts of their own, which no layout is named for.
+STATE_WORDS = frozenset("has have no not with without is".split())
+LISTED_NAMES = frozenset("comment comments commentlist disqus reply replies related teaser promo promoted sponsor sponsored".split())
+# A name that also holds a word of MAIN_NAMES is boilerplate only if it ends in one of these (``post-comments``, ``main-nav``).
+HEAD_NAMES = LISTED_NAMES | frozenset("ad ads breadcrumb breadcrumbs menu nav navbar navigation newsletter pagination pager share sharing social".split())
+HEADER_NAMES = frozenset(["header"])
+
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[a-zA-Z/!?][^>]*>?", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s/>"'=][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>][^\s>]*+))?""")  # each in turn, so values aren't read as names
-_NAME = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # of a name: news-letter, newsLetter
 _SENTENCE = re.compile(r"[.!?…](?:[\"'”’)\]]*)(?:\s|$)")
 
 
@@ -85,6 +93,8 @@ class Node:
     verdict: int  # 1 main, -1 aside, 0 nothing said
     hidden: bool
     link: bool
+    wrappers: int = 0  # elements around it that class names alone call boilerplate; -1 if an element or role does
+    claim: Node | None = None  # the main part within such wrappers that it belongs to
 
 
 @dataclass
@@ -98,29 +108,79 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def _verdict(tag: str, attributes: str, above: Node | None) -> tuple[int, bool]:
-    """What the element says about its text, and whether it hides it."""
-    hidden, said = False, 0
-    names: set[str] = set()
+def _said_by(name: str) -> int:
+    """What one name of a class or id says: 1 main, -1 aside, 0 nothing."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    aside, main = not ASIDE_NAMES.isdisjoint(words), not MAIN_NAMES.isdisjoint(words)
+    if not (aside or main) or not STATE_WORDS.isdisjoint(words):
+        return 0
+    if aside and main:
+        return -1 if words[-1] in HEAD_NAMES else 0
+    return -1 if aside else 1
+
+
+def _element(tag: str, attributes: str, number: int, above: Node, link: bool) -> Node:
+    """The element with what it says about its text, and whether it hides it."""
+    hidden, roles, names = above.hidden or tag in HIDDEN, [], []
     if attributes:
         for key, value in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), value.strip("\"'").lower()
-            if key == "hidden" or key == "aria-hidden" and value == "true":
+            key, value = key.lower(), value.strip("\"'")
+            if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
                 hidden = True
-            elif key in ("class", "id", "role"):
-                names.update(_NAME.findall(value))
-    if tag in ASIDE_TAGS:
+            elif key == "role":
+                roles += value.lower().split()
+            elif key in ("class", "id"):
+                names += value.split()
+    node = Node(tag, number, above.depth + 1, above, above.verdict, hidden, link, above.wrappers, above.claim)
+    if tag in ("html", "body"):
+        return node
+    says = {n: _said_by(n) for n in names}
+    named = [n for n in names if says[n] < 0]
+    within = above.verdict > 0 or above.claim is not None
+    main_tag = tag in MAIN_TAGS or not MAIN_TAGS.isdisjoint(roles)
+    if tag in ASIDE_TAGS or not main_tag and not ASIDE_NAMES.isdisjoint(roles):
         # A header within the article holds its title.
-        said = 0 if tag == "header" and above is not None and above.verdict > 0 else -1
-    elif names & ASIDE_NAMES and tag not in MAIN_TAGS and tag not in ("html", "body"):
-        said = -1
-    elif tag in MAIN_TAGS or names & MAIN_NAMES and tag not in ("html", "body"):
-        said = 1
-    if said == 0:
-        return (above.verdict if above else 0), hidden
-    if said == 1 and above is not None and above.verdict < 0:
-        return -1, hidden  # an article within comments or a sidebar belongs to these
-    return said, hidden
+        if tag != "header" or not within:
+            node.verdict, node.wrappers, node.claim = -1, -1, None
+    elif named and not main_tag:
+        words = {w.lower() for n in named for w in _WORD.findall(n)}
+        if not (within and words & ASIDE_NAMES <= HEADER_NAMES):
+            node.verdict, node.claim = -1, None
+            if node.wrappers >= 0:
+                node.wrappers += 1 if words.isdisjoint(LISTED_NAMES) else 2
+    elif main_tag or 1 in says.values():
+        if above.verdict >= 0:
+            node.verdict = 1
+        elif above.wrappers > 0 and above.claim is None:
+            node.claim = node  # else an article within a menu or footer belongs to it
+    return node
+
+
+def _settle(found: list[Block]) -> None:
+    """Make the claims good that nothing outside of their wrappers outweighs, those in the fewest wrappers first."""
+    claims: dict[int, tuple[Node, int]] = {}
+    main = neutral = 0
+    for block in found:
+        node = block.node
+        if node.verdict < 0 and node.claim is None:
+            continue
+        size = sum(len(p) for p in block.parts) - block.link_chars
+        if node.claim is not None:
+            claims[node.claim.number] = node.claim, claims.get(node.claim.number, (None, 0))[1] + size
+        elif node.verdict > 0:
+            main += size
+        else:
+            neutral += size
+    good: set[int] = set()
+    for level in sorted({c.wrappers for c, _ in claims.values()}):
+        own = [(c, n) for c, n in claims.values() if c.wrappers == level]
+        # An element that is a main part stands against other main parts only, one that is named so against all text.
+        taken = [(c, n) for c, n in own if c.tag == "main" or n > main + (0 if c.tag in MAIN_TAGS else neutral)]
+        good.update(c.number for c, _ in taken)
+        main += sum(n for _, n in taken)
+    for block in found:
+        if block.node.claim is not None and block.node.claim.number in good:
+            block.node.verdict = 1
 
 
 def blocks(html: str | None) -> list[Block]:
@@ -189,15 +249,16 @@ def blocks(html: str | None) -> list[Block]:
             continue
         number += 1
         above = stack[-1]
-        verdict, hidden = _verdict(tag, attributes, above)
-        stack.append(Node(tag, number, above.depth + 1, above, verdict, above.hidden or hidden or tag in HIDDEN, above.link or tag == "a"))
+        stack.append(_element(tag, attributes, number, above, above.link or tag == "a"))
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             if tag == "textarea":
                 text(html[at : end.start() if end else size])
             stack.pop()
             at = end.end() if end else size
-    return [b for b in found if not all(p.isspace() for p in b.parts)]
+    found = [b for b in found if not all(p.isspace() for p in b.parts)]
+    _settle(found)
+    return found
 
 
 def block_cost(block: Block, text: str, costs: Costs) -> int:

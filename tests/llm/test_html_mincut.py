@@ -82,6 +82,34 @@ def test_formulas_stay():
     assert h.main_text(f"<article><p>So {formula} holds.</p></article>") == "So E=m holds."
 
 
+STORY = "<h1>The title</h1>" + "".join(f"<p>Paragraph {i} of the story has a few more words than others.</p>" for i in range(3))
+TOLD = "The title " + " ".join(f"Paragraph {i} of the story has a few more words than others." for i in range(3))
+
+
+def test_layout_classes_on_wrappers():
+    aside = '<div class="sidebar"><p>Most read things of the whole day, with sentences.</p></div><div id="comments"><article><p>I disagree. Really.</p></article></div>'
+    for name in ("layout has-sidebar", "content no-sidebar", "site cookie-consent", "page-with-sidebar", "sidebar-left", "content-sidebar", "hasSidebar", "site notice"):
+        for part in ("article", "main"):
+            assert h.main_text(f'<div class="{name}"><{part}>{STORY}</{part}>{aside}</div>') == TOLD, (name, part)
+        assert h.main_text(f'<div class="{name}"><div class="story">{STORY}</div>{aside}</div>') == TOLD, name
+    assert h.main_text(f'<div class="sidebar-left"><article>{STORY}</article></div>{aside}') == TOLD
+
+
+def test_names_of_a_part_with_main_words():
+    title, rest = STORY.split("</h1>")
+    assert h.main_text(f'<article><div class="article-header">{title}</h1></div>{rest}</article>') == TOLD
+    assert h.main_text(f'<article><div class="header">{title}</h1></div>{rest}</article>') == TOLD
+    for name in ("post-comments", "main-nav", "relatedPosts", "share", "cookie-notice", "site-footer"):
+        assert h.main_text(f'<article>{STORY}<div class="{name}"><p>Some other text of the page, with an end.</p></div></article>') == TOLD, name
+
+
+def test_articles_beside_the_main_part_stay_out():
+    other = "<article><p>Something else that others wrote here.</p></article>"
+    for name in ("sidebar", "related", "comments"):
+        assert h.main_text(f'<article>{STORY}</article><div class="{name}">{other}</div>') == TOLD, name
+    assert h.main_text(f"<article>{STORY}</article><footer><div class='content'>{other}</div></footer><aside>{other * 9}</aside>") == TOLD
+
+
 def test_edge_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<article>Text of a page.</article>"), (4, "u", "<nav>x</nav>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
