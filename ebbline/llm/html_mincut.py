@@ -36,6 +36,7 @@ from ebbline.llm.common import slices
 HIDDEN = frozenset("script style noscript template svg annotation annotation-xml head title iframe object canvas audio video".split())
 RAW = frozenset("script style textarea title xmp noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th "
@@ -74,12 +75,13 @@ class Costs:
     """What the labels cost, in thousandths; greater means surer."""
 
     inside_aside: int = 6000  # an ancestor is a menu, footer, sidebar, notice, advert, form or comment
-    inside_main: int = 3000  # an ancestor is the article or main part
+    inside_main: int = 6000  # an ancestor is the article or main part; more than links, shortness and all edges together
     links: int = 2500  # all of the text is links
     per_word: int = 60  # up to ``words`` words
     words: int = 30
     sentence: int = 300  # it has a sentence end
-    short: int = 1200  # it has no words to speak of
+    short: int = 1200  # it has no words to speak of, by the share of its text that is links: other short text goes with its neighbours
+    heading: int = 300  # a heading that is a link, instead of links and shortness: it goes with its neighbours
     adjacent: int = 500  # neighbours in the page, with the same parent; halved for each step of distance
     sibling: int = 300  # next child of the same element
 
@@ -265,7 +267,11 @@ def block_cost(block: Block, text: str, costs: Costs) -> int:
     """Cost of calling it boilerplate less cost of calling it content."""
     words = len(text.split())
     linked = min(1.0, block.link_chars / max(1, len(text)))
-    gain = costs.per_word * min(words, costs.words) + costs.sentence * bool(_SENTENCE.search(text)) - costs.short - int(costs.links * linked)
+    own = costs.per_word * min(words, costs.words) + costs.sentence * bool(_SENTENCE.search(text))
+    if block.node.tag in HEADINGS:
+        gain = int(own * (1 - linked)) - int(costs.heading * linked)
+    else:
+        gain = own - int((costs.short + costs.links) * linked)
     return gain + (costs.inside_main if block.node.verdict > 0 else -costs.inside_aside if block.node.verdict < 0 else 0)
 
 

@@ -110,6 +110,29 @@ def test_articles_beside_the_main_part_stay_out():
     assert h.main_text(f"<article>{STORY}</article><footer><div class='content'>{other}</div></footer><aside>{other * 9}</aside>") == TOLD
 
 
+LINKS = "<ul>" + "".join(f"<li><a href=/{i}>See {i}</a></li>" for i in range(3)) + "</ul>"
+
+
+def test_link_lists_and_headings_within_the_article():
+    links = "See 0 See 1 See 2"
+    for page in (f"{STORY}{LINKS}", f"{STORY}<h2>See also</h2>{LINKS}", f"{STORY}<aside>Advert.</aside>{LINKS}<aside>Advert.</aside>", f"{STORY}<p><a href=/x>More</a></p>"):
+        text = h.main_text(f"<nav>{LINKS}</nav><article>{page}</article><footer>{LINKS}</footer>")
+        assert text == TOLD + page.count("See also") * " See also" + (f" {links}" if LINKS in page else " More"), page
+
+
+def test_headings_and_short_lines_without_article():
+    menu = f"<div class='menu'>{LINKS}</div><div>{LINKS}</div>"
+    rest = STORY.split("</h1>")[1]
+    first, second, third = (f"{p}</p>" for p in rest.split("</p>")[:3])
+    told = [f"Paragraph {i} of the story has a few more words than others." for i in range(3)]
+    for heading in ("<h1>Title</h1>", "<h2><a href=/t>Title</a></h2>", "<div><h1>Title</h1></div>", "<h1><span>Title</span></h1>"):
+        assert h.main_text(f"{menu}<div>{heading}{rest}</div>{menu}") == "Title " + " ".join(told), heading
+    for line in ("<h2>Part</h2>", "<h3><a href=/t>Part</a></h3>", "<p>Part</p>", "<ul><li>Part</li></ul>", "<p>Part:</p>"):
+        part = "Part:" if ":" in line else "Part"
+        assert h.main_text(f"{menu}<div>{first}{line}{second}{third}</div>{menu}") == f"{told[0]} {part} {told[1]} {told[2]}", line
+    assert h.main_text(f"{menu}<div>{first}{second}{LINKS}</div>") == " ".join(told[:2])  # nothing says that these links belong to the text
+
+
 def test_edge_rows(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "<article>Text of a page.</article>"), (4, "u", "<nav>x</nav>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
