@@ -9,7 +9,8 @@ Texts are lower-cased; what is not a letter is one blank. In a worker a slice of
 the matrix of the n-grams' vectors, so bundling is one product; the blocks of both are bounded.
 
 Prototypes are summed in whole numbers, so their values don't depend on the order of rows. Learning reads
-about ``TRAIN_DOCS`` labelled rows, drawn by a hash of the id (a documented bound); predictions cover all rows. The
+about ``TRAIN_DOCS`` labelled rows, drawn by a hash of the id, and of each language about ``LANGUAGE_DOCS`` at least, or all it has
+(documented bounds), so that no language is left out for being rare; predictions cover all rows. The
 prototypes on the driver are one vector for each language; more than ``MOST_LANGUAGES`` is an error.
 
 Defined results: a text that is NULL or has no letter is ``und`` with score 0; ties go to the lesser name; repeated rows get the
@@ -31,6 +32,7 @@ from ebbline.llm.common import slices
 DIMENSIONS = 1024
 GRAM = 3
 TRAIN_DOCS = 30_000
+LANGUAGE_DOCS = 1_000
 MOST_LANGUAGES = 1_000
 UNKNOWN = "und"
 _UNIT = 1 << 20  # whole numbers for one unit of length
@@ -185,18 +187,39 @@ class Model:
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, known)], score
 
 
+def _draw(*keys: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*keys, F.lit("drawn")), 11).cast("double") / F.lit(float(1 << 53))
+
+
 def bounded(rows: DataFrame, bound: int, *keys: Column) -> DataFrame:
     """About ``bound`` of the rows, drawn by a hash of the keys; all if there are no more."""
     n = rows.count()
     if n <= bound:
         return rows
-    draw = F.shiftrightunsigned(F.xxhash64(*keys, F.lit("drawn")), 11).cast("double") / F.lit(float(1 << 53))
-    return rows.filter(draw < bound / n)
+    return rows.filter(_draw(*keys) < bound / n)
+
+
+def sample(rows: DataFrame, bound: int, least: int, id_col: str, lang_col: str, most: int = MOST_LANGUAGES) -> DataFrame:
+    """About ``bound`` of the rows, but of each language about ``least`` or all it has; all rows if there are no more than ``bound``."""
+    lang = F.col(lang_col).cast("string")
+    counts = {r["lang"]: r["n"] for r in rows.groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).limit(most + 1).collect()}
+    if len(counts) > most:
+        raise ValueError(f"more than {most} languages")
+    n = sum(counts.values())
+    if n <= bound:
+        return rows
+    raised = {name: least / own for name, own in counts.items() if least / own > bound / n}
+    rate = F.lit(bound / n)
+    if raised:
+        rates = F.create_map(*[F.lit(x) for pair in sorted(raised.items()) for x in pair])
+        rate = F.coalesce(F.try_element_at(rates, lang), rate)
+    return rows.filter(_draw(F.col(id_col)) < rate)
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bound: int = TRAIN_DOCS) -> Model:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bound: int = TRAIN_DOCS,
+          least: int = LANGUAGE_DOCS) -> Model:
     known = docs.filter(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull())
-    return Model(prototypes(bounded(known, bound, F.col(id_col)), text_col, lang_col))
+    return Model(prototypes(sample(known, bound, least, id_col, lang_col), text_col, lang_col))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

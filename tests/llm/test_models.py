@@ -51,6 +51,15 @@ def test_language_edge_rows(spark):
     assert {r.lang_pred for r in langid.identify(edge.docs(spark), nothing).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_beyond_the_bound(spark):
+    rare = "if(id = 7, 'xx', if(id < 60, 'yy', 'en'))"
+    docs = spark.range(3_000).selectExpr("id as doc_id", f"{rare} as lang", f"if({rare} = 'en', 'the plain words', 'żółć gęślą jaźń') as text")
+    assert langid.learn(docs, bound=30, least=20).names == ["en", "xx", "yy"]
+    n = {r.lang: r["count"] for r in langid.sample(docs, 30, 20, "doc_id", "lang").groupBy("lang").count().collect()}
+    assert n["xx"] == 1 and 8 <= n["yy"] <= 35 and 15 <= n["en"] <= 50
+    assert langid.sample(docs, 3_000, 20, "doc_id", "lang").count() == 3_000
+
+
 def test_too_many_languages(spark):
     docs = spark.range(20).select(F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
     with pytest.raises(Exception, match="more than 10"):
