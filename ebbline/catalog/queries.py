@@ -25,7 +25,6 @@ QUERIES: dict[str, Query] = {}
 WORD = r"""[^"'\s>/]+"""
 LOWER_WORD = "[a-z]{2,}"
 PANEL_KEY = ("app_id", "k_index")
-SMALL_BOOSTING = boosting.BoostingConfig(rounds=10)
 
 
 def query(function: Query, name: str | None = None) -> Query:
@@ -722,7 +721,7 @@ def downtrend_slice(spark, sf):
 def _fitted(spark, sf):
     joined = stored(_joined(spark, sf), "joined")
     words = panel.collect_vocabulary(panel.tag_vocabulary(joined))
-    return boosting.fit(stored(panel.build_panel(joined), "panel"), words, SMALL_BOOSTING)
+    return boosting.fit(stored(panel.build_panel(joined), "panel"), words)
 
 
 @query

@@ -10,7 +10,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from ebbline import jobs, schemas
+from ebbline import jobs, params, schemas
 from ebbline.__main__ import main as command_line
 from ebbline.catalog import bind, queries
 from ebbline.plans import boosting, evaluate, panel, scoring
@@ -236,3 +236,17 @@ def test_page_stream_resumes_and_feeds_the_panel_input(spark, sf_dir):
 def test_back_transform(spark):
     got = spark.range(1).select(scoring.back_transform(F.lit(100.0), F.lit(0.5)), scoring.back_transform(F.lit(0.0), F.lit(0.0))).first()
     assert got[0] == pytest.approx(100 * math.exp(0.5)) and got[1] == pytest.approx(1e-9)
+
+
+@pytest.mark.parametrize("name", ["quantile_forecast", "score_forecast", "boost_invariants"])
+def test_registered_queries_fit_all_rounds(spark, sf_dir, monkeypatch, name):
+    class Asked(Exception):
+        pass
+
+    def asked(panel_rows, vocabulary, config=boosting.BoostingConfig(), split=None):
+        raise Asked(config.rounds)
+
+    monkeypatch.setattr(boosting, "fit", asked)
+    with pytest.raises(Asked) as found:
+        queries.QUERIES[name](spark, sf_dir)
+    assert found.value.args == (params.N_TREES,) == (300,)
