@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbline.llm import (
     decontaminate,
+    divergence,
     html_mincut,
     langid,
     line_rules,
@@ -104,3 +105,8 @@ def op9_simhash(spark, sf):
 def op10_mixing(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).withColumn("rate", F.round("rate", 9))
+
+
+@query
+def op11_divergence(spark, sf):
+    return divergence.audit(table(spark, sf, "documents"))

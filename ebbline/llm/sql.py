@@ -75,4 +75,40 @@ SELECT doc_id, source, text, round(rate, 9) AS rate, n_copies, copy, md5('{mixin
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 """
 
-ORACLE_SQL = {"op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), words AS (
+  SELECT row, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30
+), langs AS (
+  SELECT lang, sum(n) AS n, count(*) AS v FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sources AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN counts c USING (lang, source) GROUP BY g.lang, g.source
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.n + 5 * l.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v)::HUGEINT AS q
+  FROM sources s JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source
+  ) v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q
+)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+ORACLE_SQL = {"op11_divergence": DIVERGENCE, "op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
