@@ -62,7 +62,7 @@ def stretches(text: bytes) -> Iterator[list[bytes]]:
                 folded = text[start:end].translate(_FOLD)
                 cut = folded.rfind(b" ")
             if cut >= 0 and end < len(text):
-                folded, end = folded[:cut], start + cut
+                folded, end = folded[:cut], start + cut + 1  # behind the blank
         yield folded.split()
         start = end
 
@@ -154,8 +154,12 @@ _ARROW = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.
                     ("n", pa.int64()), ("lang_n", pa.int64()), ("bucket", pa.int64())])
 
 
-def _differences(rows: dict, groups: dict, first: int, second: int) -> Iterator[tuple[str, str, int]]:
-    """Sums of absolute differences over the terms of one bucket, between the sources of two blocks."""
+def _differences(rows: dict, groups: dict, first: int, second: int, whole: bool) -> Iterator[tuple[str, str, int]]:
+    """Sums of absolute differences over the terms of one bucket, between the sources of two blocks.
+
+    Terms that neither block has differ by the sources' bases. They are in no row, so a sum holds what its terms have beyond
+    the bases' difference; that of all terms comes on top once, where ``whole`` is set.
+    """
     sides = [[i for i, b in enumerate(groups["block"]) if b == block] for block in (first, second)]
     names = [[groups["source"][i] for i in side] for side in sides]
     bases = [np.array([groups["base"][i] for i in side], np.int64) for side in sides]
@@ -177,6 +181,8 @@ def _differences(rows: dict, groups: dict, first: int, second: int) -> Iterator[
             dense.append(block)
         for i in range(len(names[0])):
             sums[i] += np.abs(dense[1] - dense[0][:, i : i + 1]).sum(axis=0)
+    absent = (groups["terms"][0] if whole else 0) - len(known)
+    sums += absent * np.abs(bases[1] - bases[0][:, None])
     for i, source in enumerate(names[0]):
         for j, other in enumerate(names[1]):
             if source != other:
@@ -191,7 +197,7 @@ def _part(top: int):
         rows, groups = left.to_pydict(), right.to_pydict()
         out: list[tuple] = []
         if rows["term"] or bucket == 0:  # one bucket at least speaks for sources without terms
-            out += [(lang, s, "pair", o, v, None, None, bucket) for s, o, v in _differences(rows, groups, first, second)]
+            out += [(lang, s, "pair", o, v, None, None, bucket) for s, o, v in _differences(rows, groups, first, second, bucket == 0)]
         if first == second:
             by_source: dict[str, list[int]] = {}
             for i, (source, p, q) in enumerate(zip(rows["source"], rows["p"], rows["q"])):
@@ -246,8 +252,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, bucket_term
         "lang", F.pmod(F.xxhash64("term"), "buckets").alias("bucket"), meetings, "source", "term", "n", "lang_n",
         share(F.col("n"), F.col("total"), F.col("terms")).alias("p"), share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q"),
     )
-    sides = groups.select("lang", "buckets", meetings, "source", "block", "base").select(
-        "lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"), "meet.first", "meet.second", "source", "block", "base"
+    sides = groups.select("lang", "buckets", meetings, "source", "block", "base", "terms").select(
+        "lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets") - 1)).alias("bucket"), "meet.first", "meet.second", "source", "block", "base", "terms"
     )
     keys = ("lang", "bucket", "first", "second")
     rows = rows.select("lang", "bucket", "meet.first", "meet.second", "source", "term", "n", "lang_n", "p", "q")

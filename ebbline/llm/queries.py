@@ -19,6 +19,7 @@ from ebbline.llm import (
     sharding,
     simhash,
     token_store,
+    warc,
 )
 from ebbline.llm.common import stored, table
 from ebbline.session import new_path
@@ -110,3 +111,10 @@ def op10_mixing(spark, sf):
 @query
 def op11_divergence(spark, sf):
     return divergence.audit(table(spark, sf, "documents"))
+
+
+@query
+def op12_warc(spark, sf):
+    path = new_path(spark, "warc")
+    warc.write(table(spark, sf, "pages"), path)
+    return warc.records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -111,4 +111,16 @@ FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
 QUALIFY part = 'pair' OR rank <= 50
 """
 
-ORACLE_SQL = {"op11_divergence": DIVERGENCE, "op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS place, min(page_id) OVER (PARTITION BY payload_digest) AS least FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN least END AS refers_to
+FROM ranked
+"""
+
+ORACLE_SQL = {"op12_warc": WARC, "op11_divergence": DIVERGENCE, "op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
