@@ -14,6 +14,7 @@ from ebbline.llm import (
     langid,
     line_rules,
     mixing,
+    prefix_trie,
     pu_quality,
     secret_scan,
     sharding,
@@ -118,3 +119,8 @@ def op12_warc(spark, sf):
     path = new_path(spark, "warc")
     warc.write(table(spark, sf, "pages"), path)
     return warc.records(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.nodes(table(spark, sf, "conversations"))

@@ -123,4 +123,41 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM ranked
 """
 
-ORACLE_SQL = {"op12_warc": WARC, "op11_divergence": DIVERGENCE, "op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
+PREFIX_TRIE = """
+WITH RECURSIVE bits AS (
+  SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) r(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY i) AS lookup FROM bits WHERE k = 8
+), own AS (
+  SELECT conv_id, list({'id': md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 'n': strlen(coalesce(text, ''))}
+    ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+  SELECT conv_id, turns, xor(list_reduce([4294967295] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, x: xor(a >> 8, lookup[(xor(a, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM own, crc
+), rebuilt AS (
+  SELECT c.conv_id, coalesce(b.turns, [])[1:h] || c.turns[h + 1:] AS turns
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), steps AS (
+  SELECT conv_id, len(turns) AS turns, d, array_to_string(list_transform(turns[1:d], lambda x: x.id), '') AS node,
+    CASE WHEN d > 0 THEN array_to_string(list_transform(turns[1:d - 1], lambda x: x.id), '') END AS parent, CASE WHEN d > 0 THEN turns[d].n ELSE 0 END AS n_bytes
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT node, d, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n_bytes) AS n_bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (turns = d), '')) AS ends_sha256
+  FROM steps GROUP BY node, d
+), children AS (
+  SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), sums AS (
+  SELECT above AS node, sum((n_convs - 1) * n_bytes) AS saved_tokens, count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM (SELECT *, left(node, 32 * unnest(range(0, d + 1))) AS above FROM nodes LEFT JOIN children USING (node)) GROUP BY above
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0)::BIGINT AS n_children, s.n_leaves,
+  s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN sums s ON s.node = n.node
+"""
+
+ORACLE_SQL = {"op13_prefix_trie": PREFIX_TRIE, "op12_warc": WARC, "op11_divergence": DIVERGENCE, "op4_quality_rules": QUALITY_RULES, "op10_mixing": MIXING}
