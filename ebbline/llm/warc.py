@@ -13,7 +13,7 @@
   archive or none, and what lost attempts left is never read. Files go through Arrow's file systems, to any folder all reach.
 - *Reading* takes a file in pieces, a record at a time, and checks the file against the manifest and every digest.
 
-What the driver sees: two sums and a sample of some ``SAMPLES`` ids for each of at most ``MAX_PARTS`` ranges. Digests with several
+What the driver sees: two sums and a sample of some ``SAMPLES`` pairs of numbers for each of at most ``MAX_PARTS`` ranges. Digests with several
 rows are broadcast if there are few of them, else joined.
 
 Defined results: html NULL counts as empty; rows without an id or address keep them missing, and are the last choice as
@@ -44,7 +44,7 @@ MIN_SHARED = 100
 PART_BYTES = 32 << 20
 ROLL_BYTES = 128 << 20
 MAX_PARTS = 16_384
-SAMPLES = 16
+SAMPLES = 64
 DATE = "1970-01-01T00:00:00Z"  # pages carry no time of their own
 _LEAST = -(1 << 63)
 _PIECE = 1 << 20
@@ -170,10 +170,13 @@ def _splitters(keys: DataFrame, total: int, parts: int) -> tuple[np.ndarray, np.
     """Boundaries between ranges of about equal size, from a sample drawn by hash with odds by size."""
     draw = (F.pmod(F.xxhash64("place", "tie", F.lit("splitters")), F.lit(1 << 52)) + F.lit(0.5)) / float(1 << 52)
     reach = SAMPLES * parts / max(total, 1)
-    rows = keys.filter(draw < 1 - F.exp(-F.lit(reach) * (F.col("n_bytes") + 1))).select("place", "tie").collect() if parts > 1 else []
-    rows = sorted((r.place, r.tie) for r in rows)
-    cuts = sorted({rows[len(rows) * i // parts] for i in range(1, parts)}) if rows else []
-    return np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64)
+    if parts == 1:
+        return np.array([], np.int64), np.array([], np.int64)
+    drawn = keys.filter(draw < 1 - F.exp(-F.lit(reach) * (F.col("n_bytes") + 1))).select("place", "tie").toArrow()
+    places, ties = (drawn.column(c).to_numpy() for c in ("place", "tie"))
+    order = np.lexsort((ties, places))
+    cuts = order[[len(order) * i // parts for i in range(1, parts)]] if len(order) else order
+    return places[cuts], ties[cuts]
 
 
 def part_of(places: np.ndarray, ties: np.ndarray, cut_places: np.ndarray, cut_ties: np.ndarray) -> np.ndarray:
