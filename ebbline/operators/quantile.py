@@ -1,4 +1,10 @@
-"""Exact medians and weighted quantiles that never gather a whole group in one task."""
+"""Exact medians and weighted quantiles by radix selection: counting passes only.
+
+Every double has a 64-bit code whose order is the numbers' own. A pass cuts the codes that are still in question by their
+next sixteen bits, adds up the weights of the cells and keeps the cell that holds the wanted rank; after four passes the
+cell is one number. No pass ranks rows or gathers a group: a task sends at most 65,536 sums for each key, and what is
+ordered are those cells. A group may hold any share of the rows.
+"""
 
 from __future__ import annotations
 
@@ -6,95 +12,83 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.text import finite
-from ebbline.operators.membership import bounded_rows
 
-_ACCURACY = 10_000  # rank error of the sketch: 1/10,000
-_MARGIN = 0.001  # ten times that, on both sides of the middle
-_CELLS = 1_024
-_SMALL = 20_000  # rows of one per key that are broadcast
+_DIGIT = 16
+_PASSES = 4
+_SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
+
+
+def order_code(value: Column) -> Column:
+    """The bits of a finite double as a long in the order of the numbers; both zeros are 0.
+
+    The size of a number is its mantissa times a power of two. Scaling by powers of two is exact, so the code is too.
+    """
+    size = F.abs(value)
+    scaled = F.when(size < 2.0**-900, size * 2.0**120).otherwise(size)
+    guess = F.floor(F.log2(scaled))  # may be one beside the exponent
+    guess = F.when(F.pow(F.lit(2.0), guess) > scaled, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= scaled, guess + 1).otherwise(guess)
+    exponent = F.greatest(guess - F.when(size < 2.0**-900, 120).otherwise(0), F.lit(-1022))
+    # Below the least exponent the mantissa is under one, and the same formula holds.
+    half = F.floor(exponent / 2)
+    mantissa = size * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent)
+    bits = (exponent + 1022).cast("long") * F.lit(1 << 52) + (mantissa * float(1 << 52)).cast("long")
+    return F.when(size == 0, F.lit(0).cast("long")).when(value < 0, -bits).otherwise(bits)
 
 
-def _beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
-    """Join a table of one row per key: computed once and broadcast while it has few rows, else joined by shuffle."""
-    few = bounded_rows(table, _SMALL)
-    if few is not None:
-        table = F.broadcast(table.sparkSession.createDataFrame(few, table.schema))
-    return rows.join(table, keys)
+def select_ranks(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(_key, _target, value)``: the least value whose weight, with all below, reaches the target's ``_want``.
+
+    ``rows`` has ``_key, _code, _value, _weight`` and is read once for each pass; ``targets`` has a few rows for each key. The
+    key is a struct, whose missing fields equal each other.
+    """
+    found = None
+    for number in range(_PASSES):
+        shift = 64 - _DIGIT * (number + 1)
+        cell = F.shiftright("_code", shift).alias("_cell")
+        # All targets of a key share the first pass.
+        near = rows if found is None else rows.withColumn("_prefix", F.shiftright("_code", shift + _DIGIT)).join(found, ["_key", "_prefix"])
+        keys = ["_key"] if found is None else ["_key", "_target"]
+        carried = [] if found is None else ["_want"]
+        cells = near.groupBy(*keys, *carried, cell).agg(F.sum("_weight").alias("_sum"), F.min("_value").alias("_value"))
+        upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = cells.withColumn("_upto", F.sum("_sum").over(upto))
+        ranked = ranked.join(targets, "_key") if found is None else ranked
+        reached = ranked.filter(F.col("_upto") >= F.col("_want") * _SLACK)
+        first = F.min(F.struct("_cell", (F.col("_upto") - F.col("_sum")).alias("before"), "_value")).alias("_first")
+        found = reached.groupBy("_key", "_target", "_want").agg(first).select(
+            "_key", "_target", (F.col("_want") - F.col("_first.before")).alias("_want"), F.col("_first._cell").alias("_prefix"),
+            F.col("_first._value").alias("value"),
+        )
+        if number + 1 < _PASSES:
+            found = found.drop("value")
+    return found.select("_key", "_target", "value")
 
 
 def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Exact median of each column in each group: rows ``(groups..., column_name, median)``.
 
-    A mergeable sketch first brackets the middle, some 0.2% of the ranks. Everything
-    below the bracket is only counted, and so are cells that cut the bracket evenly.
-    The values of the cell or two that hold the middle ranks are ranked in the end,
-    after equal ones are summed up. A group may hold any share of the rows; a missed bracket is an error,
-    not a wrong number. NaN and the infinities are missing values; a column without
-    values gives no row.
+    NaN and the infinities are missing values; a column without values gives no row. ``df`` is read five times, so it should be stored.
     """
-    long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(
-        groups, columns, "column_name", "value"
-    )
-    long = long.filter("value is not null")
     keys = [*groups, "column_name"]
-    ends = F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN))
-    bracket = long.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.percentile_approx("value", ends, _ACCURACY).alias("_ends")
-    )
-    bracket = bracket.select(*keys, "_n", F.col("_ends")[0].alias("_from"), F.col("_ends")[1].alias("_to"))
-    near = _beside(long, bracket, keys).filter(F.col("value") <= F.col("_to"))
-    width = F.col("_to") - F.col("_from")
-    inside = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("_from")) / width * _CELLS), F.lit(_CELLS - 1))).otherwise(0)
-    near = near.withColumn("_cell", F.when(F.col("value") < F.col("_from"), -1).otherwise(inside).cast("int"))
-    order = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    # At most one row for each cell and key.
-    cells = near.groupBy(*keys, "_n", "_cell").agg(F.count("*").alias("_rows")).withColumn("_upto", F.sum("_rows").over(order))
-    found = cells.groupBy(*keys, "_n").agg(
-        F.min_by("_cell", F.when(F.col("_upto") >= lower, F.col("_cell"))).alias("_first"),
-        F.min_by(F.col("_upto") - F.col("_rows"), F.when(F.col("_upto") >= lower, F.col("_cell"))).alias("_before"),
-        F.min(F.when(F.col("_upto") >= upper, F.col("_cell"))).alias("_last"),
-    )
-    wrong = F.coalesce(F.col("_first") < 0, F.lit(True)) | F.col("_last").isNull()
-    checked = F.when(wrong, F.raise_error(F.lit("median outside its bracket")).cast("int")).otherwise(F.col("_first"))
-    found = found.select(*keys, checked.alias("_first"), "_before", "_last")
-    middle = _beside(near, found, keys).filter(F.col("_cell").between(F.col("_first"), F.col("_last")))
-    counts = middle.groupBy(*keys, "_n", "_before", "value").agg(F.count("*").alias("_rows"))
-    order = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_upto", F.col("_before") + F.sum("_rows").over(order))
-    return ranked.groupBy(*keys).agg(
-        (
-            (F.min(F.when(F.col("_upto") >= lower, F.col("value"))) + F.min(F.when(F.col("_upto") >= upper, F.col("value")))) / 2
-        ).alias("median")
+    long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(groups, columns, "column_name", "_value")
+    long = long.filter("_value is not null").select(
+        F.struct(*keys).alias("_key"), "_value", order_code(F.col("_value")).alias("_code"), F.lit(1.0).alias("_weight")
     )
+    counts = long.groupBy("_key").agg(F.count("*").alias("_n"))
+    both = F.array(F.floor((F.col("_n") + 1) / 2).cast("double"), (F.floor(F.col("_n") / 2) + 1).cast("double"))
+    targets = counts.select("_key", F.posexplode(both).alias("_target", "_want"))
+    middle = select_ranks(long, targets).groupBy("_key").agg((F.sum("value") / 2).alias("median"))
+    return middle.select("_key.*", "median")
 
 
-def weighted_quantiles(
-    df: DataFrame, groups: list[str], value: Column, weight: Column, q: float, width: float = 1 / 2048
-) -> DataFrame:
-    """Weighted quantile per group, to within ``width`` of its size: ``(groups..., quantile)``.
+def weighted_quantiles(df: DataFrame, groups: list[str], value: Column, weight: Column, q: float) -> DataFrame:
+    """``(groups..., quantile)``: the least value that, with all below it, has a share ``q`` of the group's weight. Exact.
 
-    Rows are summed into bins before the shuffle, so the ranked rows are as many as
-    the bins in use, whatever the number of rows. Bins are as wide as their values
-    are large, so values on any scale are told apart.
+    Rows without a value or with a weight of zero don't count.
     """
-    size = F.abs(F.col("_value"))
-    # Size 2 ** e in [2 ** n, 2 ** (n + 1)) is bin n / width; 1,100 is beyond the least exponent of a double.
-    step = F.floor((F.log2(size) + 1100) / F.lit(width))
-    sided = F.when(size == 0, F.lit(0).cast("long")).when(F.col("_value") > 0, step).otherwise(-step)
-    binned = (
-        df.select(*groups, value.cast("double").alias("_value"), weight.cast("double").alias("_weight"))
-        .groupBy(*groups, sided.alias("_bin"))
-        .agg(F.sum("_weight").alias("_weight"), F.sum(F.col("_value") * F.col("_weight")).alias("_moment"))
-    )
-    whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
-    upto = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = binned.select(
-        *groups,
-        "_bin",
-        (F.col("_moment") / F.col("_weight")).alias("_mean"),
-        F.sum("_weight").over(upto).alias("_upto"),
-        F.sum("_weight").over(whole).alias("_all"),
+    rows = df.select(
+        F.struct(*(groups or [F.lit(0).alias("_all")])).alias("_key"), finite(value.cast("double")).alias("_value"), weight.cast("double").alias("_weight")
     )
-    reached = ranked.filter(F.col("_upto") >= F.col("_all") * F.lit(q) * F.lit(1 - 1e-12))
-    return reached.groupBy(*groups).agg(F.min_by("_mean", "_bin").alias("quantile"))
+    rows = rows.filter("_value is not null and _weight > 0").withColumn("_code", order_code(F.col("_value")))
+    targets = rows.groupBy("_key").agg((F.sum("_weight") * q).alias("_want")).withColumn("_target", F.lit(0))
+    return select_ranks(rows, targets).select(*[F.col(f"_key.`{g}`") for g in groups], F.col("value").alias("quantile"))

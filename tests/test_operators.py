@@ -33,24 +33,55 @@ def test_exact_medians_small_and_missing(spark):
     assert [tuple(r) for r in quantile.exact_medians(df, [], ["a", "b"]).collect()] == [("a", 3.0)]
 
 
+def plain_quantile(values, weights, q):
+    order = np.argsort(values)
+    upto = np.cumsum(np.asarray(weights)[order])
+    return np.asarray(values)[order][np.searchsorted(upto, q * upto[-1] * (1 - 1e-12))]
+
+
+def test_medians_of_a_missing_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 7.0), ("a", None)], "g string, v double")
+    assert sorted(map(tuple, quantile.exact_medians(df, ["g"], ["v"]).collect()), key=str) == [("a", "v", 7.0), (None, "v", 2.0)]
+
+
+AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308, 1.0, -1.0,
+           np.nextafter(1, 2), np.nextafter(1, 0), np.nextafter(-1, 0), 1e-300, 1e-270, 3.0, 4.0, np.nextafter(4, 0), 8.5e-250, 0.1, 1e22, 2.0**-900, 2.0**-901]
+
+
+def test_codes_are_the_bits_in_order(spark):
+    rng = np.random.default_rng(8)
+    with np.errstate(over="ignore"):
+        some = rng.integers(-(2**63), 2**63 - 1, 3000).view(np.float64)
+    values = np.concatenate([some[np.isfinite(some)], AWKWARD, 2.0 ** np.arange(-1074, 1024), -(2.0 ** np.arange(-1074, 1024, 7)), rng.normal(size=1000)])
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", quantile.order_code(F.col("v")).alias("c")).collect()
+    for r in rows:
+        size = int(np.float64(abs(r["v"])).view(np.int64))
+        assert r["c"] == (-size if r["v"] < 0 else size), r["v"]
+
+
 @pytest.mark.parametrize("q", [0.1, 0.5, 0.9])
-def test_weighted_quantiles_near_exact(spark, q):
+def test_weighted_quantiles_are_exact(spark, q):
     rng = np.random.default_rng(5)
-    values, weights = rng.normal(size=4000), rng.choice([1.0, 1.8], size=4000)
-    df = spark.createDataFrame([(float(v), float(w)) for v, w in zip(values, weights)], "v double, w double")
-    got = quantile.weighted_quantiles(df, [], F.col("v"), F.col("w"), q).first()["quantile"]
-    order = np.argsort(values)
-    upto = np.cumsum(weights[order])
-    want = values[order][np.searchsorted(upto, q * upto[-1])]
-    assert got == pytest.approx(want, abs=1 / 1024)
+    groups, values, weights = rng.choice([None, "a", "b"], 6000, p=[0.1, 0.6, 0.3]), np.round(rng.normal(size=6000), 3), rng.choice([1.0, 1.8], size=6000)
+    df = spark.createDataFrame([(g, float(v), float(w)) for g, v, w in zip(groups, values, weights)], "g string, v double, w double")
+    got = {r["g"]: r["quantile"] for r in quantile.weighted_quantiles(df, ["g"], F.col("v"), F.col("w"), q).collect()}
+    assert got == {g: plain_quantile(values[groups == g], weights[groups == g], q) for g in (None, "a", "b")}
+    assert quantile.weighted_quantiles(df, [], F.col("v"), F.col("w"), q).first()["quantile"] == plain_quantile(values, weights, q)
+
+
+def test_weighted_quantiles_of_awkward_numbers(spark):
+    df = spark.createDataFrame([(float(v),) for v in [*AWKWARD, math.nan, math.inf]] + [(None,)], "v double")
+    for i, v in list(enumerate(sorted(AWKWARD)))[::4]:
+        assert quantile.weighted_quantiles(df, [], F.col("v"), F.lit(1.0), (i + 1) / len(AWKWARD)).first()["quantile"] == v
+    assert quantile.weighted_quantiles(df, [], F.col("v"), F.lit(0.0), 0.5).count() == 0
 
 
 @pytest.mark.parametrize("scale", [1e-9, 1e-4, 1.0, 1e6])
 def test_weighted_quantiles_on_any_scale(spark, scale):
-    df = spark.range(-500, 501).select((F.col("id") * scale / 500).alias("v"))
+    values = [i * scale / 500 for i in range(-500, 501)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
     for q in (0.1, 0.5, 0.9):
-        got = quantile.weighted_quantiles(df, [], F.col("v"), F.lit(1.0), q).first()["quantile"]
-        assert got == pytest.approx((2 * q - 1) * scale, abs=0.004 * scale)
+        assert quantile.weighted_quantiles(df, [], F.col("v"), F.lit(1.0), q).first()["quantile"] == plain_quantile(values, np.ones(1001), q)
 
 
 def test_latest_is_by_order_then_tie(spark):
