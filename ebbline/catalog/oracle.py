@@ -311,6 +311,65 @@ LABEL_CASE = """CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%B %Y'
 ANCHOR = r"""(?i:<a\b[^>]*?\shref)\s*=\s*["'']?/({0})["''\s>]"""
 
 
+def _small_fit() -> str:
+    """Three rounds of boosted trees of depth two, every split of every feature tried."""
+    part(
+        "fit_rows",
+        """SELECT app_id, k_index::INT AS k_index, round(delta, 4) AS d, CASE WHEN trend3_log_avg < -0.05 THEN 2 ELSE 1 END::DOUBLE AS w,
+ [coalesce(k_index, 0), coalesce(is_free::INT, 0), greatest(-8, least(8, floor(4 * trend3_log_avg))), floor(10 * avg_over_peak_k)]::DOUBLE[] AS x
+FROM rows_""",
+        "rows_",
+    )
+
+    def quantiles(value: str, source: str) -> str:
+        """Least value of (q, node) whose weight, with all below, is the share q."""
+        return f"""SELECT q, node, min(v) AS v FROM (
+ SELECT q, node, {value} AS v, sum(w) OVER (PARTITION BY q, node ORDER BY {value} RANGE UNBOUNDED PRECEDING) AS upto, sum(w) OVER (PARTITION BY q, node) AS whole
+ FROM {source}) WHERE upto >= whole * q * (1 - 1e-12::DOUBLE) GROUP BY q, node"""
+
+    part("fit_begin", "SELECT *, unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS q, 0 AS node FROM fit_rows", "fit_rows")
+    part("fit_start", quantiles("d", "fit_begin"), "fit_begin")
+    part("fit_0", "SELECT b.*, s.v AS fit FROM fit_begin b JOIN fit_start s USING (q)", "fit_begin", "fit_start")
+    for number in range(3):
+        rows = f"fit_{number}"
+        for level in range(2):
+            part(
+                f"{rows}_cells{level}",
+                f"""SELECT q, node, f, x[f] AS val, count(*) AS n, sum(w) AS w, sum(CASE WHEN d <= fit THEN w ELSE 0 END) AS b
+FROM {rows}{'' if level == 0 else '_grown0'}, (SELECT unnest([1, 2, 3, 4]) AS f) WHERE node >= {2**level - 1} GROUP BY q, node, f, x[f]""",
+                rows if level == 0 else f"{rows}_grown0",
+            )
+            part(
+                f"{rows}_cuts{level}",
+                f"""SELECT q, node, f, val, nl, n - nl AS nr, (q * wl - bl) * (q * wl - bl) / wl + (q * (w - wl) - (b - bl)) * (q * (w - wl) - (b - bl)) / (w - wl) AS gain,
+ (q * w - b) * (q * w - b) / w AS before
+FROM (SELECT q, node, f, val, sum(n) OVER upto AS nl, sum(w) OVER upto AS wl, sum(b) OVER upto AS bl, sum(n) OVER alike AS n, sum(w) OVER alike AS w, sum(b) OVER alike AS b
+ FROM {rows}_cells{level} WINDOW upto AS (PARTITION BY q, node, f ORDER BY val), alike AS (PARTITION BY q, node, f)) WHERE n > nl""",
+                f"{rows}_cells{level}",
+            )
+            part(
+                f"{rows}_best{level}",
+                f"""SELECT * FROM {rows}_cuts{level} WHERE nl >= 10 AND nr >= 10 AND gain > before
+QUALIFY row_number() OVER (PARTITION BY q, node ORDER BY gain DESC, f, val) = 1""",
+                f"{rows}_cuts{level}",
+            )
+            source = rows if level == 0 else f"{rows}_grown0"
+            part(
+                f"{rows}_grown{level}",
+                f"""SELECT r.* REPLACE (CASE WHEN s.f IS NULL THEN r.node WHEN r.x[s.f] <= s.val THEN 2 * r.node + 1 ELSE 2 * r.node + 2 END AS node)
+FROM {source} r LEFT JOIN {rows}_best{level} s ON s.q = r.q AND s.node = r.node""",
+                source, f"{rows}_best{level}",
+            )
+        part(f"{rows}_leaves", quantiles("d - fit", f"{rows}_grown1"), f"{rows}_grown1")
+        part(
+            f"fit_{number + 1}",
+            f"SELECT g.* REPLACE (0 AS node, fit + 0.5::DOUBLE * l.v AS fit) FROM {rows}_grown1 g JOIN {rows}_leaves l USING (q, node)",
+            f"{rows}_grown1", f"{rows}_leaves",
+        )
+    columns = ", ".join(r(f"max(CASE WHEN q = {k / 100}::DOUBLE THEN fit END)", f"delta_q{k}") for k in (10, 50, 90))
+    return with_parts(f"SELECT app_id, k_index, {columns} FROM fit_3 GROUP BY app_id, k_index", "fit_3")
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["scan_ids"] = "SELECT DISTINCT l_partkey AS app_id FROM lineitem WHERE l_returnflag <> 'R'"
@@ -622,6 +681,7 @@ FROM (SELECT app_id, {features}, (p_type = 'PROMO')::INT AS is_free, price_usd F
         + " FROM scored",
         "scored",
     )
+    q["score_csv"] = q["score_literal_model"]
     age = "CASE WHEN age_months <= 2.0 THEN 9.0 ELSE -0.05 END"
     part(
         "literal",
@@ -648,6 +708,7 @@ FROM (SELECT app_id, {features}, (p_type = 'PROMO')::INT AS is_free, price_usd F
 FROM (SELECT unnest([0.1, 0.5, 0.9])::DOUBLE AS quantile, * FROM literal WHERE NOT is_test) GROUP BY quantile""",
         "literal",
     )
+    q["small_fit"] = _small_fit()
     matched = """(SELECT coalesce(string_agg(tag, '|' ORDER BY tag), '') FROM (
  SELECT tag FROM vocab_ranked v WHERE v.kind = '{1}' AND v.rank <= {2}
   AND list_contains(list_transform({0}, lambda x: {3}), {4})))"""

@@ -1,37 +1,45 @@
-"""Quantile forecasts by gradient boosting over MLlib regression trees.
+"""Quantile forecasts by gradient boosting over shared histograms.
 
-MLlib boosts squared and absolute loss only, so the pinball loss is boosted here:
-each round fits one tree to the loss gradient on a bag of rows, replaces its leaf
-values by the weighted quantile of the residuals in the leaf, and moves the fit by
-a fraction of that. Rows never leave the executors; a round brings at most
-``2 ** depth`` leaf values to the driver.
+The pinball loss is boosted: each round fits one tree for each quantile to the loss gradient on a bag of rows, takes
+as leaf value the exact weighted quantile of the leaf's residuals, and moves the fit by a fraction of that.
+
+Features are binned once, into blocks of a few thousand rows. A level of the trees is one pass over the blocks: it sums rows, weights
+and weights below the fit by (quantile, node, feature, bin), for all quantiles at once, of left children only; the right ones
+are what is left of their parents. Leaf values come from passes that count residuals by ranges of their 64-bit codes, each
+a 4,096th of the one before, until few enough are left to be fetched. Sums are added up in a tree of tasks; the driver sees one array of
+sums for each pass, whose size depends on the model alone. Blocks with the current fit are kept in memory every few rounds and are
+made from the stored rows and the trees so far, so a lost executor costs its blocks and no lineage builds up.
+
+The passes are array work on whole blocks with a dense sum at the end, which rows and grouped cells would only make
+larger; this is the one place that uses the RDD interface.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import RDD, StorageLevel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline import params
 from ebbline.functions.text import clean_items
-from ebbline.operators.quantile import weighted_quantiles
 from ebbline.operators.split import apply_split, group_split
 from ebbline.plans.panel import TAG_FIELDS, TAG_PREFIX
 from ebbline.plans.training import fit_medians, model_rows, sample_weight, usable_features
-from ebbline.session import ensure_checkpoints, new_path
+from ebbline.session import new_path
 
-_BAG_SLICES = 10_000
-_ROUNDS_PER_CHECKPOINT = 10
+BLOCK_ROWS = 16_384
+_KEPT_ROUNDS = 10  # after so many rounds blocks are made anew with the fit so far
+_CELLS = 4_096  # ranges of a counting pass
+_FETCHED = 200_000  # residuals of all leaves that are fetched at most
+_SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
 
 
 @dataclass(frozen=True)
@@ -81,112 +89,389 @@ def feature_vector(rows: DataFrame, model: QuantileModel, output: str = "feature
     return assembled.drop(*inputs)
 
 
-def _bagged(row_hash: Column, round_number: int, config: BoostingConfig) -> Column:
-    slot = F.pmod(F.xxhash64(row_hash, F.lit(round_number), F.lit(config.seed)), F.lit(_BAG_SLICES))
-    return slot < int(config.subsample * _BAG_SLICES)
-
-
-def _nodes(tree, values: dict[int, float]) -> dict:
-    """A fitted tree as parallel arrays; leaf order is MLlib's, left to right."""
-    feature, threshold, left, right, value = [], [], [], [], []
-    leaves = 0
-
-    def add(node) -> int:
-        nonlocal leaves
-        at = len(feature)
-        feature.append(-1)
-        threshold.append(0.0)
-        left.append(at)
-        right.append(at)
-        value.append(0.0)
-        if node.subtreeDepth() == 0:
-            value[at] = values.get(leaves, 0.0)
-            leaves += 1
-        else:
-            feature[at] = node.split().featureIndex()
-            threshold[at] = node.split().threshold()
-            left[at] = add(node.leftChild())
-            right[at] = add(node.rightChild())
+def learned_thresholds(train: DataFrame, columns: list[str], max_bins: int) -> dict[str, list[float]]:
+    """Where each feature may be split: between all its values if these are at most ``max_bins``, else at its quantiles."""
+    about = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first() if columns else {}
+    few = [c for c in columns if about[c] <= 2 * max_bins]
+    out: dict[str, list[float]] = {}
+    if few:
+        values = train.select(few).unpivot([], few, "name", "value").filter("value is not null").distinct()
+        # At most some twice ``max_bins`` values each, but for errors of the estimate.
+        listed = values.groupBy("name").agg(F.sort_array(F.collect_list("value")).alias("values"), F.count("*").alias("n"))
+        for row in listed.filter(F.col("n") <= max_bins).collect():
+            out[row["name"]] = [(a + b) / 2 for a, b in zip(row["values"], row["values"][1:])]
+    many = [c for c in columns if c not in out]
+    if many:
+        shares = F.array(*[F.lit(i / max_bins) for i in range(1, max_bins)])
+        cuts = train.agg(*[F.percentile_approx(c, shares, 10_000).alias(c) for c in many]).first()
+        out |= {c: sorted(set(cuts[c])) if cuts[c] else [] for c in many}
+    return out
+
+
+def _kernels() -> SimpleNamespace:
+    """The work of one block. Made inside a function, so that workers need not have this package."""
+
+    def codes(values: np.ndarray) -> np.ndarray:
+        """Numbers as unsigned integers in the same order."""
+        bits = np.abs(values).view(np.int64)
+        return (np.where(values < 0, -bits, bits)).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+
+    def decoded(code: np.ndarray) -> np.ndarray:
+        bits = (code ^ np.uint64(1 << 63)).view(np.int64)
+        return np.where(bits < 0, -1.0, 1.0) * np.abs(bits).view(np.float64)
+
+    def grow(bins: np.ndarray, tree: dict) -> np.ndarray:
+        """The node of each row: children of node i are 2i+1 and 2i+2; a row stays where there is no split."""
+        at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
+        feature, cut = tree["feature"], tree["cut"]
+        for _ in range(tree["levels"]):
+            chosen = feature[at]
+            below = bins[np.maximum(chosen, 0), rows] <= cut[at]
+            at = np.where(chosen >= 0, 2 * at + 2 - below, at)
         return at
 
-    add(tree._java_obj.rootNode())
-    return {"feature": feature, "threshold": threshold, "left": left, "right": right, "value": value}
-
-
-def boost(train: DataFrame, q: float, config: BoostingConfig) -> tuple[float, list[dict], DataFrame]:
-    """One quantile: ``(start, trees, fitted rows)`` from ``features, delta, weight, row_hash``."""
-    base = train.select("row_hash", "features", "delta", "weight")
-    start = weighted_quantiles(base, [], F.col("delta"), F.col("weight"), q).first()["quantile"]
-    fitted = base.withColumn("fit", F.lit(float(start)))
-    trees, held = [], []
-    for number in range(config.rounds):
-        gradient = F.when(F.col("delta") > F.col("fit"), q).otherwise(q - 1.0)
-        staged = fitted.withColumn("gradient", gradient)
-        bag = _bagged(F.col("row_hash"), number, config)
-        tree = DecisionTreeRegressor(
-            featuresCol="features", labelCol="gradient", weightCol="weight", predictionCol="_gradient", leafCol="_leaf",
-            maxDepth=config.max_depth, minInstancesPerNode=config.min_leaf_rows, maxBins=config.max_bins,
-            seed=config.seed + number,
-        ).fit(staged.filter(bag))
-        leafed = tree.transform(fitted)
-        residual = F.col("delta") - F.col("fit")
-        found = weighted_quantiles(leafed.filter(bag), ["_leaf"], residual, F.col("weight"), q).collect()
-        values = {int(r["_leaf"]): float(r["quantile"]) for r in found}
-        trees.append(_nodes(tree, values))
-        step = F.lit(0.0)
-        for leaf, value in values.items():
-            step = F.when(F.col("_leaf") == leaf, value).otherwise(step)
-        # This round's rows are held in memory until the next round has its own: a round reads one tree's work, not all.
-        fitted = leafed.withColumn("fit", F.col("fit") + config.learning_rate * step).select(*base.columns, "fit")
-        while len(held) > 1:
-            held.pop(0).unpersist()
-        if number + 1 == config.rounds:
-            break
-        if (number + 1) % _ROUNDS_PER_CHECKPOINT == 0:
-            fitted = fitted.checkpoint()
-        else:
-            held.append(fitted.persist())
-    for rows in held:
-        rows.unpersist()
-    return float(start), trees, fitted
-
-
-def prepare(panel: DataFrame, vocabulary: dict[str, list[str]], config: BoostingConfig, split: DataFrame | None = None):
-    """``(train, test, empty model)``; the feature rows are written once and read by every round."""
-    spark = panel.sparkSession
-    ensure_checkpoints(spark)
+    def fitted(block: dict, start: list[float], trees: list[list[dict]]) -> np.ndarray:
+        """The fit of each quantile, from nothing, added up in order of the rounds."""
+        fit = np.repeat(np.array(start)[:, None], len(block["delta"]), axis=1)
+        return advanced(block, fit, trees)
+
+    def advanced(block: dict, fit: np.ndarray, trees: list[list[dict]]) -> np.ndarray:
+        fit = fit.copy()
+        for of_round in trees:
+            for q, tree in enumerate(of_round):
+                fit[q] += tree["value"][grow(block["bins"], tree)]
+        return fit
+
+    def bagged(block: dict, number: int, seed: int, share: float) -> np.ndarray:
+        """A hash of row and round decides; the rows of a bag are the same however blocks are cut."""
+        if share >= 1:
+            return np.ones(len(block["delta"]), bool)
+        x = block["row_hash"].view(np.uint64) + np.uint64((number * 0x9E3779B97F4A7C15 + seed * 0xBF58476D1CE4E5B9) % 2**64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * 2**64))
+
+    def histograms(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], wide: int, n_bins: int) -> np.ndarray:
+        """``[quantile, node, feature, bin, (rows, weight, weight below the fit)]`` of the left nodes of a level, or of the root.
+
+        Features up to ``wide`` have ``n_bins`` bins, the others two.
+        """
+        out = []
+        bins, weight = block["bins"], block["weight"]
+        for q, tree in enumerate(trees):
+            level = tree["levels"]
+            at = grow(bins, tree)
+            first, n_nodes = 2**level - 1, max(1, 2 ** (level - 1))
+            here = bag & (at >= first)
+            if level:
+                here &= at % 2 == 1  # left children have odd numbers
+            rows = np.flatnonzero(here)
+            seat = (at[rows] - first) // 2 if level else np.zeros(len(rows), np.int64)
+            stats = [None, weight[rows], weight[rows] * (block["delta"][rows] <= fit[q, rows])]
+            base = seat * n_bins
+            for f in range(wide):
+                cells = base + bins[f, rows]
+                found = [np.bincount(cells, s, n_nodes * n_bins) for s in stats]
+                out.append(np.stack(found, axis=-1).reshape(n_nodes, n_bins, 3).ravel())
+            hot = bins[wide:, rows].astype(np.float64)
+            total = np.stack([np.bincount(seat, s, n_nodes) for s in stats], axis=-1)
+            member = np.zeros((len(rows), n_nodes * 3))
+            for k, s in enumerate(stats):
+                member[np.arange(len(rows)), seat * 3 + k] = 1.0 if s is None else s
+            ones = (hot @ member).reshape(len(hot), n_nodes, 3)
+            out.append(np.stack([total - ones, ones], axis=2).ravel())
+            out.append(total.ravel())
+        return np.concatenate(out)
+
+    def leaves(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], seats: list[np.ndarray]) -> Iterator[tuple]:
+        """Quantile, then leaf, code, residual and weight of the bag's rows; ``seats`` number the leaves."""
+        for q, tree in enumerate(trees):
+            residual = (block["delta"] - fit[q])[bag]
+            yield q, seats[q][grow(block["bins"], tree)[bag]], codes(residual), residual, block["weight"][bag]
+
+    def counted(groups: Iterator[tuple], n_nodes: int, low: np.ndarray, width: np.uint64, cells: int) -> np.ndarray:
+        """``[quantile, leaf, cell, (rows, weight)]`` of the codes from ``low`` on, cut into ``cells`` ranges of ``width``."""
+        out = np.zeros((len(low), n_nodes, cells, 2))
+        for q, at, code, _, weight in groups:
+            inside = code >= low[q, at]
+            cell = (code[inside] - low[q, at][inside]) // width
+            held = cell < cells
+            place = at[inside][held] * cells + cell[held].astype(np.int64)
+            out[q, :, :, 0] += np.bincount(place, None, n_nodes * cells).reshape(n_nodes, cells)
+            out[q, :, :, 1] += np.bincount(place, weight[inside][held], n_nodes * cells).reshape(n_nodes, cells)
+        return out
+
+    def fetched(groups: Iterator[tuple], low: np.ndarray, high: np.ndarray) -> list[tuple]:
+        """Residuals and weights with codes from ``low`` to ``high``."""
+        out = []
+        for q, at, code, residual, weight in groups:
+            keep = (code >= low[q, at]) & (code <= high[q, at])
+            out.append((q, at[keep], residual[keep], weight[keep]))
+        return out
+
+    return SimpleNamespace(**{k: v for k, v in locals().items()})
+
+
+def _blocks(vectors: DataFrame, thresholds: list[list[float]], block_rows: int) -> DataFrame:
+    """Rows as blocks of arrays: ``(bins, row_hash, delta, weight)``, features first."""
+    import pyarrow as pa
+
+    cuts, names = [np.array(t) for t in thresholds], ["n", "bins", "row_hash", "delta", "weight"]
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, block_rows):
+                part = batch.slice(start, block_rows)
+                flat = part.column("features").flatten().to_numpy(zero_copy_only=False)
+                matrix = flat.reshape(part.num_rows, -1)
+                bins = np.stack([np.searchsorted(c, matrix[:, f], "left") for f, c in enumerate(cuts)]).astype(np.uint8) if cuts else np.zeros((0, part.num_rows), np.uint8)
+                arrays = [np.ascontiguousarray(bins), *[part.column(c).to_numpy(zero_copy_only=False) for c in names[2:]]]
+                columns = [pa.array([part.num_rows], pa.int64()), *[pa.array([a.tobytes()], pa.binary()) for a in arrays]]
+                yield pa.record_batch(columns, names)
+
+    return vectors.select(vector_to_array("features").alias("features"), "row_hash", "delta", "weight").mapInArrow(
+        run, "n long, bins binary, row_hash binary, delta binary, weight binary"
+    )
+
+
+class Booster:
+    """Trees of all quantiles, level by level, over blocks."""
+
+    def __init__(self, blocks: DataFrame, n_rows: int, thresholds: list[list[float]], config: BoostingConfig):
+        self.n_rows = n_rows
+        self.config, self.thresholds, self.kernels = config, thresholds, _kernels()
+        self.wide = next((f for f in range(len(thresholds), 0, -1) if thresholds[f - 1] != [0.5]), 0)
+        self.n_bins = max([len(t) + 1 for t in thresholds[: self.wide]], default=1)
+        self.n_features = len(thresholds)
+        self.start: list[float] = []
+        self.rounds: list[list[dict]] = []
+        self.kept: RDD | None = None
+        self.kept_rounds = 0
+
+        def unpacked(row) -> dict:
+            arrays = {"row_hash": np.int64, "delta": np.float64, "weight": np.float64}
+            return {"bins": np.frombuffer(row["bins"], np.uint8).reshape(-1, row["n"])} | {k: np.frombuffer(row[k], t) for k, t in arrays.items()}
+
+        self.source = blocks.rdd.map(unpacked)
+
+    def close(self) -> None:
+        if self.kept is not None:
+            self.kept.unpersist()
+
+    def _keep(self) -> None:
+        """Blocks with the fit so far, from the stored rows and all trees."""
+        fitted, start, rounds, old = self.kernels.fitted, list(self.start), list(self.rounds), self.kept
+        self.kept = self.source.map(lambda b: b | {"fit": fitted(b, start, rounds)}).persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept_rounds = len(rounds)
+        if old is not None:
+            old.unpersist()
+
+    def _sum(self, work: Callable[[dict], np.ndarray]) -> np.ndarray:
+        def all_blocks(blocks: Iterator[dict]) -> Iterator[np.ndarray]:
+            total = None
+            for block in blocks:
+                found = work(block)
+                total = found if total is None else total + found
+            if total is not None:
+                yield total
+
+        return self.kept.mapPartitions(all_blocks).treeReduce(np.add)
+
+    def _with_fit(self, number: int | None) -> Callable[[dict], tuple[np.ndarray, np.ndarray]]:
+        """Of a block: the fit before the round, and the round's bag."""
+        since, config, kernels = self.rounds[self.kept_rounds :], self.config, self.kernels
+        seed, share = config.seed, config.subsample if number is not None else 1.0
+        advanced, bagged = kernels.advanced, kernels.bagged
+        return lambda b: (advanced(b, b["fit"], since), bagged(b, number or 0, seed, share))
+
+    def _split(self, sums: np.ndarray, q: float) -> tuple[int, int] | None:
+        """Feature and bin of the best split of a node; the first of equal ones. ``sums`` is a list of arrays by feature."""
+        total, least = sums[0].sum(axis=0), self.config.min_leaf_rows
+        gradient = q * total[1] - total[2]
+        best, found = gradient * gradient / total[1] if total[1] > 0 else 0.0, None
+        for f, cells in enumerate(sums):
+            left = np.cumsum(cells, axis=0)[:-1]
+            right = total - left
+            fits = np.minimum(left[:, 0], right[:, 0]) >= max(least, 1)
+            if fits.any():
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    gains = [(q * s[:, 1] - s[:, 2]) * (q * s[:, 1] - s[:, 2]) / s[:, 1] for s in (left, right)]
+                gain = np.where(fits, gains[0] + gains[1], -np.inf)
+                at = int(np.argmax(gain))
+                if gain[at] > best:
+                    best, found = float(gain[at]), (f, at)
+        return found
+
+    def _grow(self, number: int) -> list[dict]:
+        config, n_q = self.config, len(self.config.quantiles)
+        size = 2 ** (config.max_depth + 1) - 1
+        trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 0} for _ in range(n_q)]
+        with_fit, histograms, wide, n_bins, narrow = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins, self.n_features - self.wide
+        parents: list[dict[int, list[np.ndarray]]] = [{} for _ in range(n_q)]
+        for level in range(config.max_depth):
+            if level and not any(parents):
+                break
+            now = [{"feature": t["feature"], "cut": t["cut"], "levels": level} for t in trees]
+            flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
+            n_nodes = max(1, 2 ** (level - 1))
+            flat, at = flat.reshape(n_q, -1), 0
+            first = 2**level - 1
+            for q, tree in enumerate(trees):
+                own, at = flat[q], 0
+                by_feature = []
+                for _ in range(wide):
+                    by_feature.append(own[at : at + n_nodes * n_bins * 3].reshape(n_nodes, n_bins, 3))
+                    at += n_nodes * n_bins * 3
+                tags = own[at : at + narrow * n_nodes * 6].reshape(narrow, n_nodes, 2, 3)
+                by_feature += list(tags)
+                found: dict[int, list[np.ndarray]] = {}
+                if level == 0:
+                    found[0] = [cells[0] for cells in by_feature]
+                for node, whole in parents[q].items():
+                    left, seat = 2 * node + 1, (2 * node + 1 - first) // 2
+                    found[left] = [cells[seat] for cells in by_feature]
+                    found[left + 1] = [w - cells for w, cells in zip(whole, found[left])]
+                parents[q] = {}
+                for node, sums in found.items():
+                    split = self._split(sums, config.quantiles[q]) if sums else None
+                    if split:
+                        tree["feature"][node], tree["cut"][node] = split
+                        parents[q][node] = sums
+                tree["levels"] = level + 1
+        return trees
+
+    def _quantiles(self, trees: list[dict], number: int | None) -> list[np.ndarray]:
+        """The exact weighted quantile of the residuals in each leaf, of the target itself where there is no round yet."""
+        config, kernels, with_fit = self.config, self.kernels, self._with_fit(number)
+        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
+        n_q, size, shares = len(trees), 1 + max(int(s[-1]) for s in seats), np.array(config.quantiles)[:, None]
+        low, high = np.zeros((n_q, size), np.uint64), np.full((n_q, size), 2**64 - 1, np.uint64)
+        width, cells = np.uint64(1 << 52), _CELLS
+        want, before = None, np.zeros((n_q, size))
+        leaves, counted, fetched = kernels.leaves, kernels.counted, kernels.fetched
+        while want is None and self.n_rows * n_q > _FETCHED or want is not None and left.sum() > _FETCHED:
+            if want is not None:
+                if width == 1:  # many equal residuals: the code says which
+                    return [kernels.decoded(low[q])[seats[q]] for q in range(n_q)]
+                finer = max(width >> np.uint64(12), np.uint64(1))
+                cells, width = int(width // finer), finer
+            bounds = (size, low, width, cells)
+            sums = self._sum(lambda b: counted(leaves(b, *with_fit(b), trees, seats), *bounds))
+            upto = before[:, :, None] + np.cumsum(sums[..., 1], axis=2)
+            if want is None:
+                want = upto[:, :, -1] * shares * _SLACK
+            # Where sums by another order of addition miss the last cell with rows, it is that cell.
+            last = cells - 1 - np.argmax(sums[:, :, ::-1, 0] > 0, axis=2)
+            reached = upto >= want[:, :, None]
+            cell = np.where(reached.any(axis=2), np.minimum(np.argmax(reached, axis=2), last), last)[:, :, None]
+            before = np.take_along_axis(upto - sums[..., 1], cell, axis=2)[:, :, 0]
+            left = np.take_along_axis(sums[..., 0], cell, axis=2)[:, :, 0]
+            low = low + cell[:, :, 0].astype(np.uint64) * width
+            high = low + (width - np.uint64(1))
+        rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
+        values = []
+        for q in range(n_q):
+            at, residual, weight = (np.concatenate([r[k] for r in rows if r[0] == q]) for k in (1, 2, 3))
+            order = np.lexsort((residual, at))
+            at, residual, weight = at[order], residual[order], weight[order]
+            own = np.zeros(size)
+            for leaf in np.unique(at):
+                span = slice(*np.searchsorted(at, [leaf, leaf + 1]))
+                upto = before[q, leaf] + np.cumsum(weight[span])
+                wanted = upto[-1] * config.quantiles[q] * _SLACK if want is None else want[q, leaf]
+                own[leaf] = residual[span][min(int(np.searchsorted(upto, wanted)), len(upto) - 1)]
+            values.append(own[seats[q]])
+        return values
+
+    def run(self) -> None:
+        config = self.config
+        root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
+        self.start = [0.0] * len(config.quantiles)
+        self._keep()
+        self.start = [float(v[0]) for v in self._quantiles([root] * len(config.quantiles), None)]
+        for number in range(config.rounds):
+            if number % _KEPT_ROUNDS == 0:
+                self._keep()
+            trees = self._grow(number)
+            for tree, values in zip(trees, self._quantiles(trees, number)):
+                tree["leaf"] = values
+                tree["value"] = config.learning_rate * values
+            self.rounds.append(trees)
+
+    def tree(self, packed: dict) -> dict:
+        """A tree as parallel arrays, numbered as its rows are read: node, left part, right part."""
+        out = {"feature": [], "threshold": [], "left": [], "right": [], "value": []}
+
+        def add(node: int) -> int:
+            at, f = len(out["feature"]), int(packed["feature"][node])
+            for name, value in (("feature", f), ("threshold", 0.0), ("left", at), ("right", at), ("value", 0.0)):
+                out[name].append(value)
+            if f < 0:
+                out["value"][at] = float(packed["leaf"][node])
+            else:
+                out["threshold"][at] = float(self.thresholds[f][packed["cut"][node]])
+                out["left"][at] = add(2 * node + 1)
+                out["right"][at] = add(2 * node + 2)
+            return at
+
+        add(0)
+        return out
+
+
+def boost(vectors: DataFrame, thresholds: list[list[float]], config: BoostingConfig) -> tuple[dict[float, float], dict[float, list[dict]]]:
+    """``(starts, trees)`` of all quantiles from stored rows ``features, delta, weight, row_hash``."""
+    spark = vectors.sparkSession
+    n_rows = vectors.count()
+    # A task for each block, up to some tasks for each core.
+    tasks = max(1, min(-(-n_rows // BLOCK_ROWS), 8 * spark.sparkContext.defaultParallelism))
+    path = new_path(spark, "model-blocks")
+    _blocks(vectors.repartition(tasks), thresholds, BLOCK_ROWS).write.parquet(path)
+    booster = Booster(spark.read.parquet(path), n_rows, thresholds, config)
+    try:
+        booster.run()
+    finally:
+        booster.close()
+    starts = dict(zip(config.quantiles, booster.start))
+    return starts, {q: [booster.tree(of_round[i]) for of_round in booster.rounds] for i, q in enumerate(config.quantiles)}
+
+
+def sides(panel: DataFrame, config: BoostingConfig = BoostingConfig(), split: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(train, test)``: the model's rows, written once."""
     rows = model_rows(panel)
     split = group_split(rows, share=config.test_share, seed=config.seed) if split is None else split
-    path = new_path(spark, "model-rows")
+    path = new_path(panel.sparkSession, "model-rows")
     apply_split(rows, split).write.parquet(path)
-    stored = spark.read.parquet(path)
-    train, test = stored.filter("not is_test"), stored.filter("is_test")
-    features = usable_features(train)
-    model = QuantileModel(features, fit_medians(train, features), vocabulary, config.learning_rate)
-    return train, test, model
+    stored = panel.sparkSession.read.parquet(path)
+    return stored.filter("not is_test"), stored.filter("is_test")
 
 
-def fit(panel: DataFrame, vocabulary: dict[str, list[str]], config: BoostingConfig = BoostingConfig(),
-        split: DataFrame | None = None) -> tuple[QuantileModel, DataFrame, DataFrame]:
-    """Fit all quantiles: ``(model, train rows, test rows)``. The quantiles are independent jobs."""
-    train, test, model = prepare(panel, vocabulary, config, split)
+def learn(train: DataFrame, vocabulary: dict[str, list[str]], config: BoostingConfig = BoostingConfig()) -> QuantileModel:
+    """The model of stored training rows."""
+    if train.isEmpty():
+        raise ValueError("There are no training rows.")
+    features = usable_features(train)
+    model = QuantileModel(features, fit_medians(train, features), vocabulary, config.learning_rate)
     vectors = feature_vector(train, model).select(
         F.xxhash64("app_id", "k_index").alias("row_hash"),
         "features",
         "delta",
         sample_weight(F.col(params.DOWNTREND_FEATURE)).alias("weight"),
     )
-    path = new_path(panel.sparkSession, "model-vectors")
+    path = new_path(train.sparkSession, "model-vectors")
     vectors.write.parquet(path)
-    stored = panel.sparkSession.read.parquet(path).persist()
-    try:
-        with ThreadPoolExecutor(len(config.quantiles)) as pool:
-            run = inheritable_thread_target(panel.sparkSession)(lambda q: boost(stored, q, config))
-            for q, (start, trees, _) in zip(config.quantiles, pool.map(run, config.quantiles)):
-                model.start[q], model.trees[q] = start, trees
-    finally:
-        stored.unpersist()
-    return model, train, test
+    filled = train.select(*[F.coalesce(F.col(c).cast("double"), F.lit(model.medians[c])).alias(c) for c in features])
+    cuts = learned_thresholds(filled, features, config.max_bins)
+    tags = len(model.feature_names) - len(features)
+    thresholds = [cuts[c] for c in features] + [[0.5]] * tags
+    model.start, model.trees = boost(train.sparkSession.read.parquet(path), thresholds, config)
+    return model
+
+
+def fit(panel: DataFrame, vocabulary: dict[str, list[str]], config: BoostingConfig = BoostingConfig(),
+        split: DataFrame | None = None) -> tuple[QuantileModel, DataFrame, DataFrame]:
+    """Fit all quantiles: ``(model, train rows, test rows)``."""
+    train, test = sides(panel, config, split)
+    return learn(train, vocabulary, config), train, test
 
 
 def column_name(q: float) -> str:

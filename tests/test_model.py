@@ -57,17 +57,87 @@ def test_weighted_pinball_loss_falls(fitted):
     assert (np.diff(losses, axis=0) < 1e-3).all()
 
 
-def test_predictions_equal_the_fit_of_the_training_loop(spark, fitted):
-    model, train, _ = fitted
-    rows = boosting.feature_vector(train, model).select(
-        F.xxhash64("app_id", "k_index").alias("row_hash"), "features", "delta",
-        F.when(F.col("trend3_log_avg") < -0.05, 1.8).otherwise(1.0).alias("weight"),
-    )
-    start, trees, end = boosting.boost(rows, 0.5, CONFIG)
-    assert start == model.start[0.5] and trees == model.trees[0.5]
-    loop = {r["row_hash"]: r["fit"] for r in end.select("row_hash", "fit").collect()}
-    for r in boosting.predict(train, model).select(F.xxhash64("app_id", "k_index").alias("h"), "delta_q50").collect():
-        assert r["delta_q50"] == pytest.approx(loop[r["h"]], abs=1e-12)
+def plain_trees(x, delta, weight, q, config, bags):
+    """Start and trees by trying every split and sorting every leaf."""
+
+    def quantile(values, weights):
+        order = np.argsort(values, kind="stable")
+        upto = np.cumsum(weights[order])
+        return values[order][np.searchsorted(upto, upto[-1] * q * (1 - 1e-12))]
+
+    def grow(rows, below, residual, depth):
+        w, b = weight[rows], (weight * below)[rows]
+        best, found = (q * w.sum() - b.sum()) ** 2 / w.sum(), None
+        for f in range(x.shape[1]) if depth < config.max_depth else ():
+            values = np.unique(x[:, f])
+            for cut in (values[1:] + values[:-1]) / 2:
+                left = x[rows, f] <= cut
+                if min(left.sum(), (~left).sum()) >= config.min_leaf_rows:
+                    gain = sum((q * w[s].sum() - b[s].sum()) ** 2 / w[s].sum() for s in (left, ~left))
+                    if gain > best:
+                        best, found = gain, (f, cut)
+        if found is None:
+            return quantile(residual[rows], w)
+        left = x[rows, found[0]] <= found[1]
+        return (*found, grow(rows[left], below, residual, depth + 1), grow(rows[~left], below, residual, depth + 1))
+
+    def value(tree, row):
+        while isinstance(tree, tuple):
+            tree = tree[2] if row[tree[0]] <= tree[1] else tree[3]
+        return tree
+
+    start = quantile(delta, weight)
+    fit, trees = np.full(len(delta), start), []
+    for bag in bags:
+        trees.append(grow(np.flatnonzero(bag), delta <= fit, delta - fit, 0))
+        fit = fit + np.array([config.learning_rate * value(trees[-1], row) for row in x])
+    return start, trees
+
+
+def nested(tree, at=0):
+    if tree["left"][at] == at:
+        return tree["value"][at]
+    return tree["feature"][at], tree["threshold"][at], nested(tree, tree["left"][at]), nested(tree, tree["right"][at])
+
+
+@pytest.mark.parametrize("fetched", [200_000, 40, 0])
+@pytest.mark.parametrize("subsample", [1.0, 0.7])
+def test_trees_are_those_of_all_splits(spark, monkeypatch, fetched, subsample):
+    """Over several blocks, with leaf values fetched at once, after some counting passes, or read off the last code."""
+    from pyspark.ml.functions import array_to_vector
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(boosting, "_FETCHED", fetched)
+    rng = np.random.default_rng(6)
+    n = 400
+    x = np.stack([rng.integers(0, 9, n), rng.integers(0, 4, n), rng.integers(0, 2, n), rng.integers(0, 2, n)], axis=1).astype(float)
+    delta = np.round(np.sin(x[:, 0]) + x[:, 2] * rng.normal(size=n) - 0.3 * x[:, 1], 2)
+    weight = rng.choice([1.0, 2.0], n)
+    hashes = rng.integers(-(2**63), 2**63 - 1, n)
+    config = boosting.BoostingConfig(rounds=12 if subsample < 1 else 3, learning_rate=0.4, max_depth=3, min_leaf_rows=15, subsample=subsample, seed=4)
+    rows = [(x[i].tolist(), float(delta[i]), float(weight[i]), int(hashes[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "features array<double>, delta double, weight double, row_hash long").withColumn("features", array_to_vector("features"))
+    cuts = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in (np.unique(x[:, f]).tolist() for f in range(4))]
+    starts, trees = boosting.boost(df, cuts, config)
+    bags = [boosting._kernels().bagged({"row_hash": hashes, "delta": delta}, i, config.seed, subsample) for i in range(config.rounds)]
+    assert subsample == 1 or all(0.6 < b.mean() < 0.8 for b in bags) and (bags[0] != bags[1]).any()
+    for q in config.quantiles:
+        start, want = plain_trees(x, delta, weight, q, config, bags)
+        assert starts[q] == start
+        for tree, plain in zip(trees[q], want, strict=True):
+            assert nested(tree) == plain
+
+
+def test_thresholds_stand_between_values_or_at_quantiles(spark):
+    rows = spark.createDataFrame([(float(i % 3), float(i), 7.0, None if i % 2 else 1.0) for i in range(1000)], "few double, many double, one double, some double")
+    cuts = boosting.learned_thresholds(rows, ["few", "many", "one", "some"], 16)
+    assert cuts["few"] == [0.5, 1.5] and cuts["one"] == [] and cuts["some"] == []
+    assert len(cuts["many"]) == 15 and cuts["many"] == pytest.approx([i * 1000 / 16 for i in range(1, 16)], abs=2)
+
+
+def test_a_fit_without_rows_says_so(spark, panel_path, vocabulary):
+    with pytest.raises(ValueError, match="no training rows"):
+        boosting.fit(spark.read.parquet(panel_path).limit(0), vocabulary, CONFIG)
 
 
 def test_most_rows_do_not_cross_and_metrics_are_complete(fitted):
@@ -243,10 +313,11 @@ def test_registered_queries_fit_all_rounds(spark, sf_dir, monkeypatch, name):
     class Asked(Exception):
         pass
 
-    def asked(panel_rows, vocabulary, config=boosting.BoostingConfig(), split=None):
+    def asked(train, vocabulary, config=boosting.BoostingConfig()):
         raise Asked(config.rounds)
 
-    monkeypatch.setattr(boosting, "fit", asked)
+    monkeypatch.setattr(boosting, "learn", asked)
+    monkeypatch.setattr(queries, "_MODELS", {})
     with pytest.raises(Asked) as found:
         queries.QUERIES[name](spark, sf_dir)
     assert found.value.args == (params.N_TREES,) == (300,)
