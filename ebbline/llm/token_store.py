@@ -27,6 +27,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +40,7 @@ from ebbline.llm.common import slices
 
 SEGMENT_TOKENS = 1 << 20
 END_ID = 2
-REMEMBERED = 500_000  # pieces of a generation; two are kept
+REMEMBERED = 1_000_000  # pieces that a worker knows before it starts anew
 _LINES = 64
 _BLOCK = 512  # bits between two entries of a rank directory
 _MAGIC = b"DAC1"
@@ -131,6 +132,18 @@ _PIECE = re.compile(
 _ENCODERS: dict[str, Encoder] = {}
 
 
+class _Numbered(dict):
+    """Numbers pieces in the order of their first lookup and lists those that are new."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, as little-endian unsigned 32-bit integers."""
 
@@ -150,49 +163,70 @@ class Encoder:
             plain and spec.get("normalizer") is None and before.get("type") == "ByteLevel"
             and before.get("use_regex", True) and not before.get("add_prefix_space", True)
         )
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self._forget()
         line_end = np.frombuffer(self._ids("\n"), "<u4")
         self.line_end = line_end[0] if len(line_end) == 1 else None
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _forget(self) -> None:
+        self.known = _Numbered()
+        self.first, self.length = np.zeros(1024, np.int64), np.zeros(1024, np.int64)  # of each piece, in ``ids``
+        self.ids, self.used = np.zeros(4096, "<u4"), 0
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.in_pieces:
             found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
             return [np.array(e.ids, "<u4").tobytes() for e in found]
         pieces = [_PIECE.findall(t) for t in texts]
-        new = set().union(*pieces).difference(self.known)
-        if self.before:  # pieces of the generation before that are in use stay known
-            kept = [p for p in new if p in self.before]
-            self.known.update((p, self.before[p]) for p in kept)
-            new.difference_update(kept)
-        self._learn(list(new))
-        known = self.known.__getitem__
-        found = [b"".join(map(known, some)) for some in pieces]
+        counts = [len(p) for p in pieces]
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(pieces)), np.int64, sum(counts))
+        if self.known.new:
+            self._learn()
+        length = self.length[at]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        data = self.ids[np.repeat(self.first[at] - ends[:-1], length) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]).tolist()
         if len(self.known) > REMEMBERED:
-            self.before, self.known = self.known, {}
-        return found
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode pieces as lines of short texts: a line end is a piece of its own, before and behind any word."""
-        words = [p for p in new if not p.isspace()]
-        for at in range(0, len(words), _LINES):
-            some = words[at : at + _LINES]
-            (found,) = self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            if self.line_end is not None:
-                ends = np.flatnonzero(ids == self.line_end).tolist()
-                if len(ends) == len(some) - 1:
-                    data, low = ids.tobytes(), 0
-                    for p, end in zip(some, [*ends, len(ids)]):
-                        self.known[p] = data[4 * low : 4 * end]
-                        low = end + 1
-                    continue
-            self.known.update((p, self._ids(p)) for p in some)
-        if len(words) < len(new):
-            self.known.update((p, self._ids(p)) for p in new if p.isspace())
+            self._forget()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _learn(self) -> None:
+        """Encode new pieces as lines of short texts: a line end is a piece of its own, before and behind any word."""
+        new, self.known.new = self.known.new, []
+        start = len(self.known) - len(new)
+        if len(self.known) > len(self.first):
+            self.first, self.length = (np.concatenate([a, np.zeros(len(self.known), np.int64)]) for a in (self.first, self.length))
+        words = [i for i, p in enumerate(new) if not p.isspace()]
+        alone = [i for i, p in enumerate(new) if p.isspace()]
+        ids, stops = [], []  # of all lines, each closed by a line end
+        for low in range(0, len(words), _LINES):
+            some = words[low : low + _LINES]
+            (found,) = self.tokenizer.encode_batch_fast(["\n".join([new[i] for i in some])], add_special_tokens=False)
+            ids += found.ids
+            ids.append(-1 if self.line_end is None else self.line_end)
+            stops.append(len(ids) - 1)
+        if words:
+            ids = np.array(ids, np.int64)
+            ends = np.flatnonzero(ids == self.line_end) if self.line_end is not None else ids[:0]
+            last = np.minimum(np.arange(1, len(stops) + 1) * _LINES, len(words)) - 1
+            # Each line must have as many ends as words; else all of them are encoded one by one.
+            if len(ends) == len(words) and (ends[last] == stops).all():
+                self._add(start + np.array(words), np.delete(ids, ends), np.diff(ends, prepend=-1) - 1)
+            else:
+                alone += words
+        for i in alone:
+            ids = np.frombuffer(self._ids(new[i]), "<u4")
+            self._add(np.array([start + i]), ids, np.array([len(ids)]))
+
+    def _add(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), "<u4")])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.first[numbers] = self.used + np.cumsum(lengths) - lengths
+        self.length[numbers] = lengths
+        self.used += len(ids)
 
 
 def encoder(path: str) -> Encoder:
