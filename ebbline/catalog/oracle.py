@@ -150,7 +150,8 @@ part(
     """SELECT app_id, app_sk, price_tier, is_free, recent AS avg_players_recent, past AS avg_players_6mo_ago,
        recent / nullif(past, 0) AS persistence_6m_ratio
 FROM (SELECT a.app_id, a.avg_players AS recent, b.avg_players AS past FROM long a
-      LEFT JOIN long b ON a.app_id = b.app_id AND b.month_index = 7 WHERE a.month_index = 1)
+      LEFT JOIN long b ON a.app_id = b.app_id AND strptime(b.month_label, '%B %Y') = strptime(a.month_label, '%B %Y') - INTERVAL 6 MONTH
+      WHERE a.month_index = 1)
 JOIN apps USING (app_id)""",
     "long", "apps",
 )
@@ -547,6 +548,13 @@ UNION ALL SELECT 'orders -> customer in credit' AS check_name, o_custkey::VARCHA
     ratio = ("avg_players_recent", "avg_players_6mo_ago", "persistence_6m_ratio")
     group = ("avg_retention_ratio", "avg_players_recent", "avg_players_6mo_ago")
     q["mart_app_persistence"] = with_parts(f"SELECT app_id, app_sk, price_tier, is_free, {rs(*ratio)} FROM persistence", "persistence")
+    q["mart_persistence_gaps"] = with_parts(
+        f"""SELECT app_id, price_tier, is_free, {r('recent', 'avg_players_recent')}, {r('past', 'avg_players_6mo_ago')}, {r('recent / nullif(past, 0)', 'persistence_6m_ratio')}
+FROM (SELECT a.app_id, a.avg_players AS recent, b.avg_players AS past FROM long a
+ LEFT JOIN long b ON a.app_id = b.app_id AND strptime(b.month_label, '%B %Y') = strptime(a.month_label, '%B %Y') - INTERVAL 6 MONTH AND b.peak_players > 0
+ WHERE a.month_index = 1) JOIN apps USING (app_id)""",
+        "long", "apps",
+    )
     q["mart_persistence_two_loads"] = with_parts(f"SELECT app_id, price_tier, is_free, {rs(*ratio)} FROM persistence", "persistence")
     q["mart_decay_curve"] = with_parts(
         f"SELECT month_index, month_label, row_count, {rs('avg_avg_players', 'avg_peak_players')} FROM curve", "curve"

@@ -560,6 +560,19 @@ def mart_persistence_two_loads(spark, sf):
     return shown(marts.app_persistence(rows, star["dim_app"]).drop("app_sk"))
 
 
+@query
+def mart_persistence_gaps(spark, sf):
+    """Two loads with gaps: the second lacks the months 2 to 8 of each app, so the past month is known from the first one, where
+    it stands at another index; months without a peak are in neither."""
+    monthly = bind.monthly_long(spark, sf).filter("month_index = 1 or peak_players > 0")
+    before = monthly.filter("month_index > 1").withColumn("month_index", F.col("month_index") - 1)
+    first = _facts(spark, sf, before)
+    first["fact_monthly"] = stored(first["fact_monthly"], "fact")
+    star = _facts(spark, sf, monthly.filter("month_index not between 2 and 8"), first)
+    rows = warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])
+    return shown(marts.app_persistence(rows, star["dim_app"]).drop("app_sk"))
+
+
 @query
 def mart_view(spark, sf):
     """A mart by SQL over the registered views."""

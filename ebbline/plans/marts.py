@@ -1,8 +1,8 @@
-"""Retention marts: month 1 beside the month six before it, curves, and group means."""
+"""Retention marts: the newest month beside the one six months before it, curves, and group means."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import parse_month
@@ -13,29 +13,32 @@ MART_APP = ("app_id", "app_sk", "price_tier", "is_free", "avg_players_recent", "
 
 
 def app_persistence(
-    activity: DataFrame, apps: DataFrame, recent_index: int = 1, past_index: int = 1 + HORIZON, min_months: int = 0
+    activity: DataFrame, apps: DataFrame, recent_index: int = 1, months_apart: int = HORIZON, min_months: int = 0
 ) -> DataFrame:
-    """One row per app: recent average, average six months before, and their ratio.
+    """One row per app: recent average, average so many calendar months before, and their ratio.
 
-    Month indices count back from the newest month of their load. After several loads
-    an app has several months at one index; the newest of them, by its date, counts.
-    Conditional aggregation instead of a self-join: one pass and one shuffle, with
-    partial results before it.
+    The recent month is the newest one that stands at ``recent_index`` in its load. The past month is found by the
+    calendar, at whatever index and in whichever load it stands; if no load has it, it is missing. Where several
+    loads have a month, the greatest index is that of the last load. A month with an unreadable label is older than
+    any other and has no month before it. Rows are summed up by app and month before their months meet, a window
+    of at most as many rows as an app has months.
     """
     if "month_start_date" not in activity.columns:
         activity = activity.withColumn("month_start_date", parse_month(F.col("month_label")))
-    # An unreadable label is older than any month.
-    start = F.coalesce("month_start_date", F.lit("0001-01-01").cast("date"))
-
-    def at(index: int) -> Column:
-        here = F.col("month_index") == index
-        return F.max_by(F.when(here, F.col("avg_players")), F.when(here, start))
-
-    wanted = activity if min_months else activity.filter(F.col("month_index").isin(recent_index, past_index))
-    pairs = wanted.groupBy("app_id").agg(
-        at(recent_index).alias("avg_players_recent"),
-        at(past_index).alias("avg_players_6mo_ago"),
-        F.count("*").alias("_months"),
+    here = F.col("month_index") == recent_index
+    number = F.coalesce(F.year("month_start_date") * 12 + F.month("month_start_date"), F.lit(0))
+    months = activity.groupBy("app_id", number.alias("_month")).agg(
+        F.max_by("avg_players", "month_index").alias("_avg"),
+        F.max_by(F.when(here, F.col("avg_players")), F.when(here, F.col("month_index"))).alias("_recent"),
+        F.max(here).alias("_here"),
+        F.count("*").alias("_rows"),
+    )
+    newest = F.max(F.when(F.col("_here"), F.col("_month"))).over(Window.partitionBy("app_id"))
+    paired = months.withColumn("_newest", newest)
+    pairs = paired.groupBy("app_id").agg(
+        F.max(F.when(F.col("_month") == F.col("_newest"), F.col("_recent"))).alias("avg_players_recent"),
+        F.max(F.when(F.col("_month") == F.col("_newest") - months_apart, F.col("_avg"))).alias("avg_players_6mo_ago"),
+        F.sum("_rows").alias("_months"),
     )
     if min_months:
         pairs = pairs.filter(F.col("_months") >= min_months)

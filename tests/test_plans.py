@@ -241,6 +241,21 @@ def test_persistence_after_two_loads_takes_the_newest_months(spark):
     assert marts.app_persistence(activity, apps).first()["persistence_6m_ratio"] == pytest.approx(10 / 95)
 
 
+def test_persistence_by_the_calendar(spark):
+    """App 1: the second load has its newest month only, and no load the month six before it. App 2: the first load has that month at
+    index 6. App 3: both loads have it, and the second counts. App 4 has no readable label."""
+    rows = [
+        (1, 1, "January 2024", 200.0), (1, 7, "July 2023", 200.0), (1, 1, "February 2024", 50.0),
+        (2, 1, "January 2024", 7.0), (2, 6, "August 2023", 20.0), (2, 7, "July 2023", 9.0), (2, 1, "February 2024", 5.0),
+        (3, 6, "August 2023", 1.0), (3, 7, "August 2023", 4.0), (3, 1, "February 2024", 2.0),
+        (4, 1, "Last 30 Days", 3.0), (4, 7, "?", 1.0),
+    ]
+    activity = spark.createDataFrame(rows, "app_id int, month_index int, month_label string, avg_players double")
+    apps = spark.createDataFrame([(i, i, "Free", True) for i in (1, 2, 3, 4)], "app_id int, app_sk long, price_tier string, is_free boolean")
+    got = {r["app_id"]: (r["avg_players_recent"], r["avg_players_6mo_ago"], r["persistence_6m_ratio"]) for r in marts.app_persistence(activity, apps).collect()}
+    assert got[1] == (50.0, None, None) and got[2] == (5.0, 20.0, 0.25) and got[3] == (2.0, 4.0, 0.5) and got[4][1:] == (None, None)
+
+
 def test_app_upsert_updates_and_keeps_keys(spark):
     first = spark.createDataFrame(star(spark)["dim_app"].collect(), schemas.DIM_APP)
     typed = warehouse.typed_metadata(
