@@ -29,7 +29,7 @@ def _pull_metadata(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _load_warehouse(spark: SparkSession, a: argparse.Namespace) -> None:
-    star = jobs.load_warehouse(spark, a.monthly, a.metadata, a.root, a.version, a.previous)
+    star = jobs.load_warehouse(spark, a.monthly, a.metadata, a.root)
     if a.marts:
         jobs.export_marts(star, a.marts)
 
@@ -45,7 +45,7 @@ STEPS = {
     "pull-metadata": (_pull_metadata, {"documents": str, "metrics": str, "parts": str, "merged": str, "failures": str}),
     "prepare-load": (lambda s, a: jobs.prepare_load(s, a.merged, a.out), {"merged": str, "out": str}),
     "load-warehouse": (
-        _load_warehouse, {"monthly": str, "metadata": str, "root": str, "version": 1, "previous": None, "marts": None}
+        _load_warehouse, {"monthly": str, "metadata": str, "root": str, "marts": None}
     ),
     "make-panel": (
         lambda s, a: jobs.make_panel(s, a.metrics, a.merged, a.vocabulary, a.out),
@@ -54,7 +54,7 @@ STEPS = {
     "train": (_train, {"panel": str, "vocabulary": str, "split": str, "out": str, "rounds": params.N_TREES}),
     "predict": (lambda s, a: jobs.predict(s, a.input, a.model, a.out), {"input": str, "model": str, "out": str}),
 }
-INTEGERS = {"max-ids", "version", "previous", "rounds"}
+INTEGERS = {"max-ids", "rounds"}
 
 
 def parser() -> argparse.ArgumentParser:

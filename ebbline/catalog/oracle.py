@@ -449,6 +449,11 @@ FROM (SELECT *, CASE p_size WHEN 17 THEN 'error' WHEN 13 THEN 'no_data' ELSE 'ok
  FROM (SELECT *, string_split(p_name, ' ') AS w FROM part))"""
     q["dedup_latest"] = f"""SELECT event_id, user_id, event_type, props, {r("value")}, strftime(ts, {ISO}) AS scraped_utc FROM (
  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, {ISO}) DESC, event_id DESC) AS n FROM events) WHERE n = 1"""
+    q["dedup_file_order"] = f"""SELECT event_id, user_id, event_type, props, {r("value")}, strftime(ts, {ISO}) AS scraped_utc FROM (
+ SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(value < 50, false) DESC, event_id DESC) AS n FROM events) WHERE n = 1"""
+    q["required_columns"] = """SELECT 'part' AS table_name, count(*) AS n_rows, 'app_id' AS missing_columns FROM part
+UNION ALL SELECT 'lineitem', count(*), '' FROM lineitem UNION ALL SELECT 'events', count(*), 'scraped_utc,status' FROM events
+UNION ALL SELECT 'documents', count(*), '' FROM documents"""
     q["price_tier"] = with_parts(f"SELECT app_id, {TIER.format(free='is_free', price='price_usd')} AS price_tier FROM meta", "meta")
     q["parse_release"] = with_parts(
         """SELECT app_id, release_date_str, release_date::VARCHAR AS release_date,

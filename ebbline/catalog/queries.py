@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,12 @@ from pyspark.sql.types import StructType
 from ebbline import jobs, params, schemas
 from ebbline.catalog import bind
 from ebbline.functions import dates, html, series, text
-from ebbline.operators.checks import duplicate_keys, orphans
-from ebbline.operators.dedup import latest
+from ebbline.operators.checks import column_report, duplicate_keys, orphans
+from ebbline.operators.dedup import last_in_order, latest
 from ebbline.operators.split import apply_split, group_split, sample_ids
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, training, warehouse
 from ebbline.session import new_path
-from ebbline.sources import readers, writers
+from ebbline.sources import readers, tables, writers
 from ebbline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,6 +256,26 @@ def dedup_latest(spark, sf):
     return shown(latest(events.drop("ts"), ["user_id"], ["scraped_utc"], ["event_id"]))
 
 
+@query
+def dedup_file_order(spark, sf):
+    """Events in two folders of parts: the last row of a user in file order stays, though an earlier file may hold a newer one."""
+    root, events = new_path(spark, "ordered-parts"), bind.table(spark, sf, "events")
+    for folder, rows in enumerate((events.filter("value >= 50 or value is null"), events.filter("value < 50"))):
+        parts = rows.withColumn("scraped_utc", F.date_format("ts", bind.ISO_FORMAT)).drop("ts")
+        parts.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").write.parquet(f"{root}/part_{folder:06d}")
+    schema = "event_id long, user_id long, event_type string, value double, props string, scraped_utc string"
+    rows = readers.read_parts_in_order(spark, f"{root}/*", schema)
+    return shown(last_in_order(rows, ["user_id"], readers.FILE_ORDER))
+
+
+@query
+def required_columns(spark, sf):
+    """What the given tables lack of the columns that the steps require."""
+    wanted = {"part": ("p_partkey", "app_id"), "lineitem": ("l_partkey", "l_shipdate"), "events": ("ts", "scraped_utc", "status"), "documents": ("doc_id", "text")}
+    reports = [column_report(bind.table(spark, sf, name), columns, name) for name, columns in wanted.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
 @query
 def price_tier(spark, sf):
     rows = bind.metadata(spark, sf)
@@ -480,9 +501,11 @@ def bridge_tags(spark, sf):
     found = []
     for kind in ("genre", "category"):
         tags = stored(warehouse.upsert_tags(None, items, kind), "tags")
-        before = warehouse.insert_bridge(None, early, apps, tags, kind)
-        pairs = warehouse.insert_bridge(before, items, apps, tags, kind)
-        found.append(pairs.toDF("app_sk", "tag_sk").withColumn("kind", F.lit(kind)))
+        keys = ["app_sk", f"{kind}_sk"]
+        bridge = tables.bucketed_table(spark, new_path(spark, "bridge"), schemas.bridge(kind), keys)
+        warehouse.new_pairs(None, early, apps, tags, kind).select(*keys).write.insertInto(bridge)
+        stored(warehouse.new_pairs(spark.table(bridge), items, apps, tags, kind).select(*keys), "new-pairs").write.insertInto(bridge)
+        found.append(spark.table(bridge).toDF("app_sk", "tag_sk").withColumn("kind", F.lit(kind)))
     return found[0].unionByName(found[1])
 
 
@@ -957,6 +980,6 @@ def incremental_upsert(spark, sf):
     target, checkpoint = new_path(spark, "upserted"), new_path(spark, "upsert-progress")
     source = _event_files(spark, sf)
     stream = incremental.stream_files(spark, source, EVENT_SCHEMA, 10)
-    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"], merge_every=3)
-    rows = incremental.read_upserted(spark, target, stream.schema, EVENT_KEYS, ["ts"], ["event_id"])
+    incremental.upsert_batches(stream, target, checkpoint, EVENT_KEYS, ["ts"], ["event_id"])
+    rows = incremental.read_upserted(spark, target, stream.schema, EVENT_KEYS)
     return shown(rows.select(*EVENT_KEYS, "event_id", "props", "value"))

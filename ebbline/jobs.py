@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ebbline import params, schemas
-from ebbline.operators import versions
 from ebbline.operators.checks import require_columns
-from ebbline.operators.membership import parse_wanted
+from ebbline.operators.membership import is_small, parse_wanted
 from ebbline.operators.split import sample_ids
 from ebbline.plans import boosting, charts, evaluate, marts, metadata, pages, panel, scoring, warehouse
 from ebbline.plans.training import model_rows
 from ebbline.session import new_path, scratch
-from ebbline.sources import readers, writers
+from ebbline.sources import readers, tables, writers
 from ebbline.streaming import incremental
 
 FACT = "fact_monthly"
@@ -66,7 +65,7 @@ def stream_metrics(
     """
     stream = incremental.stream_files(spark, raw_pages, schemas.RAW_PAGES, files_per_batch)
     parsed = pages.wide_metrics(pages.parse_pages(stream))
-    incremental.ingest(parsed, out, checkpoint, pages.run_counters, progress)
+    incremental.ingest(parsed, out, checkpoint, pages.counters(), progress)
     return spark.read.parquet(progress).agg(*[F.sum(c).alias(c) for c in ("processed", *pages.OUTCOMES)])
 
 
@@ -88,50 +87,81 @@ def prepare_load(spark: SparkSession, merged: str, out: str) -> None:
     writers.write_csv(metadata.load_format(readers.read_parts(spark, merged, schemas.METADATA)), out)
 
 
-def read_star(spark: SparkSession, root: str, version: int) -> dict[str, DataFrame]:
-    """The star tables as of a load."""
-    star = {
-        name: spark.read.schema(schema).parquet(f"{root}/{name}/v{version}")
-        for name, schema in warehouse.STAR_SCHEMAS.items()
-        if name != FACT
-    }
-    star[FACT] = versions.read_live(spark, f"{root}/{FACT}", _fact_schema(), "date_sk", version + 1)
+def _tag_tables() -> list[tuple[str, str, str]]:
+    return [(kind, f"dim_{kind}", f"bridge_app_{kind}") for kind in ("genre", "category")]
+
+
+def _bridge(spark: SparkSession, root: str, kind: str) -> str:
+    """The name of a stored bridge, bucketed by both keys."""
+    name = f"bridge_app_{kind}"
+    return tables.bucketed_table(spark, f"{root}/{name}", warehouse.STAR_SCHEMAS[name], ["app_sk", f"{kind}_sk"])
+
+
+def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The star tables as stored; those never written have no rows."""
+    star = {}
+    for name, schema in warehouse.STAR_SCHEMAS.items():
+        if name.startswith("bridge_"):
+            spark.catalog.refreshByPath(f"{root}/{name}")
+            star[name] = spark.table(_bridge(spark, root, name.removeprefix("bridge_app_")))
+        else:
+            fields = f"{schema}, bucket int" if name == "dim_app" else schema
+            star[name] = tables.read_table(spark, f"{root}/{name}", fields).select(*StructType.fromDDL(fields).names)
     return star
 
 
-def load_warehouse(
-    spark: SparkSession, monthly_csv: str, metadata_csv: str, root: str, version: int, previous: int | None = None
-) -> dict[str, DataFrame]:
-    """Load both CSVs as a new version of the star at ``root``, on top of an earlier one.
+def load_warehouse(spark: SparkSession, monthly_csv: str, metadata_csv: str, root: str) -> dict[str, DataFrame]:
+    """Load both CSVs into the star at ``root``; the first load makes it.
 
-    The files are staged once, replacing the staging of the load before; of repeated
-    keys the row fetched last is staged. Tables are stored in dependency order and read
-    back, so none is computed twice. A load that breaks a key or a reference fails.
-    The fact is kept in one part per month, and a load rewrites only its months.
+    The files are staged, replacing the staging of the load before; of repeated keys the row fetched last is staged. What
+    changes is worked out beside the star: the hash partitions of the app dimension and the months of the fact that the load
+    touches, and the new rows of the calendar, the tags and the bridges. A load that breaks a key or a reference is
+    refused before anything is published. Then new rows are appended, parents first, and touched partitions are
+    overwritten. A load that was cut off can be repeated: what it published is found as known.
     """
-    old = read_star(spark, root, previous) if previous is not None else {}
-
-    def stage(name: str, rows: DataFrame) -> DataFrame:
-        path = f"{root}/staging/{name}"
-        rows.write.mode("overwrite").parquet(path)
-        return spark.read.schema(rows.schema).parquet(path)
-
-    def store(name: str, table: DataFrame) -> DataFrame:
-        if name in ("typed", "monthly"):
-            return stage(name, table)
-        if name == FACT:
-            rows = table.to(_fact_schema())
-            versions.upsert_parts(spark, f"{root}/{FACT}", rows, "date_sk", version, warehouse.upsert_fact)
-            return versions.read_live(spark, f"{root}/{FACT}", _fact_schema(), "date_sk", version + 1)
-        path = f"{root}/{name}/v{version}"
-        table.write.mode("overwrite").parquet(path)
-        return spark.read.schema(warehouse.STAR_SCHEMAS[name]).parquet(path)
-
-    typed = warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv))
-    earlier = {name: table for name, table in old.items() if name != FACT}  # the fact's parts merge where they lie
-    star = warehouse.build_star(typed, readers.read_monthly_long(spark, monthly_csv), earlier, store)
-    _refuse_violations(star)
-    return star
+    old = read_star(spark, root)
+    staging = f"{root}/staging"
+
+    def staged(name: str, rows: DataFrame) -> DataFrame:
+        rows.write.mode("overwrite").parquet(f"{staging}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{staging}/{name}")
+
+    typed = staged("typed", warehouse.latest_metadata(warehouse.typed_metadata(readers.read_metadata_landing(spark, metadata_csv))))
+    monthly = staged("monthly", warehouse.latest_months(readers.read_monthly_long(spark, monthly_csv)))
+    new = {"dim_date": staged("dim_date", warehouse.new_dates(old["dim_date"], monthly))}
+
+    bucket = tables.key_bucket("app_id")
+    buckets = [r[0] for r in typed.select(bucket).distinct().collect()]
+    touched = old["dim_app"].filter(F.col("bucket").isin(*buckets)).drop("bucket")
+    apps = warehouse.upsert_apps(touched, typed, numbered=old["dim_app"]).withColumn("bucket", bucket)
+    new["dim_app"] = staged("dim_app", apps)
+    after = {
+        "dim_date": old["dim_date"].unionByName(new["dim_date"]),
+        "dim_app": old["dim_app"].filter(~F.col("bucket").isin(*buckets)).unionByName(new["dim_app"]).drop("bucket"),
+    }
+    items = warehouse.tag_items(typed)
+    for kind, dimension, bridge in _tag_tables():
+        new[dimension] = staged(dimension, warehouse.new_tags(old[dimension], items, kind))
+        after[dimension] = old[dimension].unionByName(new[dimension])
+        new[bridge] = staged(bridge, warehouse.new_pairs(old[bridge], items, after["dim_app"], after[dimension], kind))
+        after[bridge] = old[bridge].unionByName(new[bridge])
+    rows = staged("fact_rows", warehouse.fact_rows(monthly, after["dim_app"], after["dim_date"]).select(*old[FACT].columns))
+    months = rows.select("date_sk").distinct()
+    # The months of a load: a few calendar entries, which prune the stored partitions.
+    new[FACT] = staged(FACT, warehouse.upsert_fact(old[FACT].join(F.broadcast(months) if is_small(months) else months, "date_sk", "left_semi"), rows))
+    after[FACT] = old[FACT].join(months, "date_sk", "left_anti").unionByName(new[FACT])
+    _refuse_violations(after)
+
+    new["dim_date"].write.mode("append").parquet(f"{root}/dim_date")
+    for _, dimension, _ in _tag_tables():
+        new[dimension].write.mode("append").parquet(f"{root}/{dimension}")
+    tables.overwrite_partitions(new["dim_app"], f"{root}/dim_app", "bucket")
+    for kind, _, bridge in _tag_tables():
+        new[bridge].write.insertInto(_bridge(spark, root, kind))
+    tables.overwrite_partitions(new[FACT], f"{root}/{FACT}", "date_sk")
+    spark.catalog.refreshByPath(root)
+    star = read_star(spark, root)
+    return star | {"dim_app": star["dim_app"].drop("bucket")}
 
 
 def _refuse_violations(star: dict[str, DataFrame]) -> None:
@@ -141,10 +171,6 @@ def _refuse_violations(star: dict[str, DataFrame]) -> None:
         raise ValueError("The star violates its keys: " + "; ".join(f"{r['check_name']}: {r['key_value']}" for r in found))
 
 
-def _fact_schema() -> StructType:
-    return StructType.fromDDL(warehouse.STAR_SCHEMAS[FACT])
-
-
 def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The six marts over a stored star."""
     activity = warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])

@@ -10,12 +10,22 @@ from pyspark.sql import functions as F
 
 def require_columns(df: DataFrame, names: Iterable[str], what: str) -> DataFrame:
     """Fail before any action when a column is missing."""
-    missing = [n for n in names if n not in df.columns]
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"{what} must contain {missing}. Found: {df.columns}")
     return df
 
 
+def missing_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
+    return [n for n in names if n not in df.columns]
+
+
+def column_report(df: DataFrame, names: Iterable[str], what: str) -> DataFrame:
+    """One row: the table, its number of rows, and the required columns that it lacks, comma-separated."""
+    lacks = ",".join(missing_columns(df, names))
+    return df.agg(F.count("*").alias("n_rows")).select(F.lit(what).alias("table_name"), "n_rows", F.lit(lacks).alias("missing_columns"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str], check: str) -> DataFrame:
     """Key values that occur more than once, with the number of rows."""
     label = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])

@@ -17,3 +17,8 @@ def latest(df: DataFrame, keys: list[str], order: list[str], ties: list[str | Co
     ranking += [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in ties or []]
     position = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking))
     return df.withColumn("_position", position).filter("_position = 1").drop("_position")
+
+
+def last_in_order(df: DataFrame, keys: list[str], place: tuple[str, ...]) -> DataFrame:
+    """Keep the row of each key that stands last, by the columns of ``place``, which are dropped."""
+    return latest(df, keys, list(place)).drop(*place)

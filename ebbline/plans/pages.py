@@ -107,10 +107,14 @@ def finished_ids(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter("status <> 'error'").select("app_id").dropna().distinct()
 
 
+def counters() -> list[Column]:
+    """Processed, and one count per outcome."""
+    return [F.count("*").alias("processed"), *[F.count(F.when(F.col("status") == s, 1)).alias(s) for s in OUTCOMES]]
+
+
 def run_counters(outcomes: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
-    """One row: processed, one count per outcome and, of the ids asked for, how many are still pending."""
-    counts = [F.count(F.when(F.col("status") == s, 1)).alias(s) for s in OUTCOMES]
-    row = outcomes.agg(F.count("*").alias("processed"), *counts)
+    """One row: the counters and, of the ids asked for, how many are still pending."""
+    row = outcomes.agg(*counters())
     if wanted is None:
         return row
     return row.withColumn("pending", pending_ids(wanted, outcomes).agg(F.count("*")).scalar())

@@ -53,9 +53,11 @@ def price_tier(is_free: Column, price: Column) -> Column:
     )
 
 
-def upsert_apps(dim: DataFrame | None, typed: DataFrame, keep_stale_release: bool = False) -> DataFrame:
+def upsert_apps(dim: DataFrame | None, typed: DataFrame, keep_stale_release: bool = False, numbered: DataFrame | None = None) -> DataFrame:
     """Type-1 upsert of the app dimension; surrogate keys of known apps are kept.
 
+    ``dim`` may be the part of the dimension that can hold the ids of ``typed``; new keys then follow those of ``numbered``, the whole.
+
     ``keep_stale_release`` keeps a release date that is already set although its
     text has changed; by default the date follows the text.
     """
@@ -65,7 +67,7 @@ def upsert_apps(dim: DataFrame | None, typed: DataFrame, keep_stale_release: boo
     if dim is None:
         merged = assign_keys(source, ["app_id"], "app_sk").withColumn("_old_release", F.lit(None).cast("date"))
     else:
-        fresh = assign_keys(source.join(dim.select("app_id"), "app_id", "left_anti"), ["app_id"], "app_sk", dim)
+        fresh = assign_keys(source.join(dim.select("app_id"), "app_id", "left_anti"), ["app_id"], "app_sk", dim if numbered is None else numbered)
         known = dim.alias("d").join(source.withColumn("_seen", F.lit(True)).alias("s"), "app_id", "left")
 
         def newer(name: str) -> Column:
@@ -90,19 +92,24 @@ def upsert_apps(dim: DataFrame | None, typed: DataFrame, keep_stale_release: boo
     )
 
 
-def upsert_dates(dim: DataFrame | None, monthly: DataFrame) -> DataFrame:
-    """Insert the (label, index) pairs that are new; NULL labels match themselves."""
+def new_dates(dim: DataFrame | None, monthly: DataFrame) -> DataFrame:
+    """The (label, index) pairs that the calendar lacks, with keys; NULL labels match themselves."""
     pairs = monthly.select(blank_to_null(F.col("month_label")).alias("month_label"), "month_index").distinct()
     keys = ["month_label", "month_index"]
     new = pairs if dim is None else absent(pairs, dim, keys)
     start = parse_month(F.col("month_label"))
-    rows = assign_keys(new, keys, "date_sk", dim).select(
+    return assign_keys(new, keys, "date_sk", dim).select(
         "date_sk",
         start.alias("month_start_date"),
         F.year(start).alias("year_num"),
         F.month(start).alias("month_num"),
         *keys,
     )
+
+
+def upsert_dates(dim: DataFrame | None, monthly: DataFrame) -> DataFrame:
+    """The calendar with the pairs that are new."""
+    rows = new_dates(dim, monthly)
     return rows if dim is None else dim.unionByName(rows)
 
 
@@ -121,8 +128,8 @@ def tag_items(typed: DataFrame, kinds: tuple[str, ...] = ("genre", "category"))
     )
 
 
-def upsert_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame:
-    """Insert the tag keys that are new; of several spellings the least one names the key."""
+def new_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame:
+    """The tag keys that the dimension lacks; of several spellings the least one names the key."""
     sk, name, norm = f"{kind}_sk", f"{kind}_name", f"{kind}_norm"
     found = (
         items.filter(F.col("kind") == kind)
@@ -130,12 +137,17 @@ def upsert_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame
         .agg(F.min("tag_name").alias(name))
     )
     new = found if dim is None else found.join(dim.select(norm), norm, "left_anti")
-    rows = assign_keys(new, [norm], sk, dim).select(sk, name, norm)
+    return assign_keys(new, [norm], sk, dim).select(sk, name, norm)
+
+
+def upsert_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame:
+    """The dimension with the tag keys that are new."""
+    rows = new_tags(dim, items, kind)
     return rows if dim is None else dim.unionByName(rows)
 
 
-def insert_bridge(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, tags: DataFrame, kind: str) -> DataFrame:
-    """Insert the (app, tag) pairs that are new."""
+def new_pairs(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, tags: DataFrame, kind: str) -> DataFrame:
+    """The (app, tag) pairs that the bridge lacks. A bridge bucketed by both keys is read without an exchange."""
     sk, norm = f"{kind}_sk", f"{kind}_norm"
     wanted = items.filter(F.col("kind") == kind).select("app_id", F.col("tag_norm").alias(norm)).distinct()
     pairs = (
@@ -143,9 +155,13 @@ def insert_bridge(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, t
         .join(apps.select("app_id", "app_sk"), "app_id")
         .select("app_sk", sk)
     )
-    if bridge is None:
-        return pairs
-    return bridge.unionByName(pairs.join(bridge, ["app_sk", sk], "left_anti"))
+    return pairs if bridge is None else pairs.join(bridge.hint("merge"), ["app_sk", sk], "left_anti")
+
+
+def insert_bridge(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, tags: DataFrame, kind: str) -> DataFrame:
+    """The bridge with the pairs that are new."""
+    rows = new_pairs(bridge, items, apps, tags, kind)
+    return rows if bridge is None else bridge.unionByName(rows)
 
 
 def _small(dimension: DataFrame) -> DataFrame:

@@ -48,3 +48,13 @@ def read_parts(spark: SparkSession, path: str, schema: str) -> DataFrame:
             raise
         raise FileNotFoundError(f"No parquet parts found in: {path}") from error
     return spark.read.schema(schema).parquet(path)
+
+
+#: Where a row stands: its file's path, then its place in the file.
+FILE_ORDER = ("_file", "_row")
+
+
+def read_parts_in_order(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All parts below a path as ``read_parts`` reads them, each row with its ``FILE_ORDER``."""
+    rows = read_parts(spark, path, schema)
+    return rows.select(*rows.columns, *[F.col(f"_metadata.{field}").alias(name) for field, name in zip(("file_path", "row_index"), FILE_ORDER)])

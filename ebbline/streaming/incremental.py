@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ebbline.operators.dedup import latest
+from ebbline.sources import tables
 
 
 def stream_files(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
@@ -34,23 +35,24 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 
 
 def ingest(
-    stream: DataFrame, target: str, checkpoint: str,
-    summarize: Callable[[DataFrame], DataFrame] | None = None, progress: str | None = None,
+    stream: DataFrame, target: str, checkpoint: str, measures: list[Column] | None = None, progress: str | None = None
 ) -> StreamingQuery:
     """Append each micro-batch as its own partition ``batch_id=n``.
 
-    A batch that is repeated after a failure overwrites its own partition only. With
-    ``summarize`` the written rows of each batch are summed up, with the time, as a
-    row of the ``progress`` table, which is overwritten by batch in the same way.
+    A batch that is repeated after a failure overwrites its own partition only. ``measures`` are observed while a batch
+    is written, so it is read once; with the time they are a row of the ``progress`` table, overwritten by batch in the same way.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         path = f"{target}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(path)
-        if summarize is not None:
-            written = batch.sparkSession.read.schema(batch.schema).parquet(path)
-            record = summarize(written).withColumn("updated_utc", F.current_timestamp())
-            record.coalesce(1).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
+        if measures is None:
+            batch.write.mode("overwrite").parquet(path)
+            return
+        seen = Observation()
+        batch.observe(seen, *measures).write.mode("overwrite").parquet(path)
+        spark = batch.sparkSession
+        record = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{name} long" for name in seen.get))
+        record.withColumn("updated_utc", F.current_timestamp()).write.mode("overwrite").parquet(f"{progress}/batch_id={batch_id}")
 
     return run_available(stream, checkpoint, write)
 
@@ -61,47 +63,27 @@ def read_ingested(spark: SparkSession, target: str, keys: list[str], order: list
     return latest(rows, keys, order, ["batch_id", *ties]).drop("batch_id")
 
 
-def upsert_batches(
-    stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str], merge_every: int = 20
-) -> StreamingQuery:
-    """Keep the table at ``target`` at the latest row per key. A batch costs its own rows, not the table's.
+def upsert_batches(stream: DataFrame, target: str, checkpoint: str, keys: list[str], order: list[str], ties: list[str]) -> StreamingQuery:
+    """Keep the latest row of each key in the stream's state, and write the keys of each batch with it to ``batch_id=n``.
 
-    Each batch adds its latest rows as a part ``base=b/batch_id=n``. Every ``merge_every``-th
-    one writes, as the first part of a new base, the latest of its rows and of all parts
-    of the base before. Readers take the newest base. A late row loses against a newer one,
-    and a repeated batch overwrites its own part only. Bases before the newest are not read any more.
+    The state is a streaming aggregation's own: it is checkpointed with the source's progress, so after a restart a late row
+    still loses against the newer one it has, and a repeated batch overwrites its own partition with the same rows. A batch
+    costs its own rows. Columns must be of types that can be ordered.
     """
+    rest = [c for c in stream.columns if c not in (*keys, *order, *ties)]
+    newest = stream.groupBy(*keys).agg(F.max(F.struct(*order, *ties, *rest)).alias("_row"))
+    rows = newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in stream.columns])
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = latest(batch, keys, order, ties)
-        before = [b for b in _bases(spark, target) if b < batch_id]
-        base = max(before, default=batch_id)
-        if batch_id and batch_id % merge_every == 0:
-            if before:
-                earlier = spark.read.schema(batch.schema).parquet(f"{target}/base={base}")
-                rows = latest(earlier.select(*batch.columns).unionByName(rows), keys, order, ties)
-            base = batch_id
-        rows.write.mode("overwrite").parquet(f"{target}/base={base}/batch_id={batch_id}")
-
-    return run_available(stream, checkpoint, merge)
-
-
-def _bases(spark: SparkSession, target: str) -> list[int]:
-    """The bases below a target whose first part is complete, by the names of its folders."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    found = sorted(int(n.removeprefix("base=")) for n in names if n.startswith("base="))
-    written = spark._jvm.org.apache.hadoop.fs.Path
-    return [b for b in found if files.exists(written(f"{target}/base={b}/batch_id={b}/_SUCCESS"))]
-
-
-def read_upserted(spark: SparkSession, target: str, schema: StructType, keys: list[str], order: list[str], ties: list[str]) -> DataFrame:
-    """The table as of the last batch: the latest row per key over the parts of the newest base."""
-    bases = _bases(spark, target)
-    if not bases:
-        return spark.createDataFrame([], schema)
-    return latest(spark.read.schema(schema).parquet(f"{target}/base={bases[-1]}").select(*schema.names), keys, order, ties)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    query = rows.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def read_upserted(spark: SparkSession, target: str, schema: StructType, keys: list[str]) -> DataFrame:
+    """The table as of the last batch: each key's row of the last batch that had it."""
+    names = [f"`{f.name}`" for f in schema.fields]
+    fields = StructType([*schema.fields, StructField("batch_id", LongType())])
+    return latest(tables.read_table(spark, target, fields), keys, ["batch_id"]).select(*names)

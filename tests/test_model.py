@@ -204,12 +204,58 @@ def test_steps_from_pages_to_forecast(spark, sf_dir):
     assert spark.read.options(**readers.CSV_OPTIONS).csv(f"{root}/forecast").count() == n
 
 
+def test_a_load_changes_what_it_touches_and_a_refused_one_nothing(spark, sf_dir):
+    root = new_path(spark, "touched")
+    writers.write_csv(bind.monthly_long(spark, sf_dir), f"{root}/monthly")
+    writers.write_csv(bind.landing(spark, sf_dir), f"{root}/meta")
+    star = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star")
+    top = f"{root}/star".removeprefix("file:")
+
+    def files(name):
+        return {os.path.join(d, f) for d, _, names in os.walk(f"{top}/{name}") for f in names if f.endswith(".parquet")}
+
+    before = {name: files(name) for name in star}
+    counts = {name: table.count() for name, table in star.items()}
+    keys = {r["app_id"]: r["app_sk"] for r in star["dim_app"].collect()}
+    some = sorted(keys)[:2]
+    months = bind.monthly_long(spark, sf_dir).filter(F.col("app_id").isin(*some)).filter("month_index = 1").withColumn("avg_players", F.lit(7.5))
+    writers.write_csv(months, f"{root}/monthly-2")
+    writers.write_csv(bind.landing(spark, sf_dir).filter(F.col("app_id").isin(*map(str, some))).withColumn("price_usd", F.lit("1.25")), f"{root}/meta-2")
+    star = jobs.load_warehouse(spark, f"{root}/monthly-2", f"{root}/meta-2", f"{root}/star")
+    after = {name: files(name) for name in star}
+    folders = {os.path.dirname(f) for f in before["dim_app"] ^ after["dim_app"]}
+    assert 1 <= len(folders) <= 2 < len({os.path.dirname(f) for f in before["dim_app"]})
+    assert {os.path.dirname(f) for f in before["fact_monthly"] ^ after["fact_monthly"]} < {os.path.dirname(f) for f in before["fact_monthly"]}
+    assert counts == {name: table.count() for name, table in star.items()}
+    assert keys == {r["app_id"]: r["app_sk"] for r in star["dim_app"].collect()}
+    assert {r["price_usd"] for r in star["dim_app"].filter(F.col("app_id").isin(*some)).collect()} == {1.25}
+    assert star["fact_monthly"].filter("avg_players = 7.5").count() >= months.count()
+    # Every row a new app without a price; a broken key is planted in the stored star, so the load is refused.
+    spark.createDataFrame([(1, None, None, None, "twice", 99)], star["dim_date"].schema).write.mode("append").parquet(f"{root}/star/dim_date")
+    spark.catalog.refreshByPath(f"{root}/star")
+    before = {name: files(name) for name in star}
+    writers.write_csv(bind.landing(spark, sf_dir).withColumn("price_usd", F.lit("9.75")), f"{root}/meta-3")
+    with pytest.raises(ValueError, match="violates"):
+        jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta-3", f"{root}/star")
+    assert before == {name: files(name) for name in star}
+
+
+def stored(star):
+    """A copy that a later load does not change."""
+    out = {}
+    for name, table in star.items():
+        path = new_path(table.sparkSession, f"copy-{name}")
+        table.write.parquet(path)
+        out[name] = table.sparkSession.read.parquet(path)
+    return out
+
+
 def test_warehouse_job_twice_and_mart_export(spark, sf_dir):
     root = new_path(spark, "warehouse")
     writers.write_csv(bind.monthly_long(spark, sf_dir), f"{root}/monthly")
     writers.write_csv(bind.landing(spark, sf_dir), f"{root}/meta")
-    first = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star", 1)
-    second = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star", 2, 1)
+    first = stored(jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star"))
+    second = jobs.load_warehouse(spark, f"{root}/monthly", f"{root}/meta", f"{root}/star")
     for name, table in first.items():
         assert table.count() == second[name].count() and table.exceptAll(second[name]).count() == 0, name
     jobs.export_marts(second, f"{root}/marts")
@@ -253,14 +299,13 @@ def add_file(spark, path, rows):
     spark.createDataFrame(rows, STREAM).coalesce(1).write.mode("append").parquet(path)
 
 
-@pytest.mark.parametrize("merge_every", [1, 2, 20])
-def test_upserts_resume_and_late_rows_lose(spark, merge_every):
+def test_upserts_resume_and_late_rows_lose(spark):
     source, target, progress = (new_path(spark, n) for n in ("up-in", "up-out", "up-progress"))
 
     def run():
         stream = incremental.stream_files(spark, source, STREAM, 1)
-        incremental.upsert_batches(stream, target, progress, ["k", "part"], ["t"], ["v"], merge_every)
-        rows = incremental.read_upserted(spark, target, stream.schema, ["k", "part"], ["t"], ["v"]).collect()
+        incremental.upsert_batches(stream, target, progress, ["k", "part"], ["t"], ["v"])
+        rows = incremental.read_upserted(spark, target, stream.schema, ["k", "part"]).collect()
         return sorted((r["k"], r["part"], r["t"], r["v"]) for r in rows)
 
     add_file(spark, source, [(1, "a", 5, 1.0), (1, "a", 6, 2.0), (2, "b", 5, 3.0)])
@@ -270,7 +315,7 @@ def test_upserts_resume_and_late_rows_lose(spark, merge_every):
     want = [(1, "a", 6, 2.0), (2, "b", 7, 8.0), (3, "a", 1, 4.0)]
     assert run() == want
     assert run() == want
-    assert incremental.read_upserted(spark, f"{target}-none", spark.read.parquet(source).schema, ["k"], ["t"], ["v"]).count() == 0
+    assert incremental.read_upserted(spark, f"{target}-none", spark.read.parquet(source).schema, ["k"]).count() == 0
 
 
 def test_ingest_repeats_nothing_and_latest_wins(spark):

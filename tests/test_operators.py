@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.operators import checks, dedup, keys, membership, quantile, split, upsert, versions
+from ebbline.operators import checks, dedup, keys, membership, quantile, split, upsert
 from ebbline.session import new_path, scratch
+from ebbline.sources import readers, tables
 
 
 def skewed(spark, n=20_000):
@@ -150,25 +151,46 @@ def test_delete_insert_keeps_other_keys_and_repeats(spark):
     assert {tuple(r) for r in once.collect()} == {(1, 1.0), (2, 9.0), (3, 3.0)} == {tuple(r) for r in twice.collect()}
 
 
-def test_versions_refuse_to_go_back_and_repeat_the_last(spark):
-    root = new_path(spark, "versions")
-    rows = spark.createDataFrame([(1, "a"), (2, "b b/c")], "k int, part string")
-
-    def merge(old, new):
-        return new if old is None else upsert.delete_insert(old, new, ["k"])
-
-    def table():
-        return sorted(map(tuple, versions.read_live(spark, root, rows.schema, "part").collect()))
+def test_touched_partitions_alone_are_rewritten(spark):
+    import os
 
-    versions.upsert_parts(spark, root, rows, "part", 3, merge)
-    versions.upsert_parts(spark, root, rows.filter("k = 2"), "part", 5, merge)
-    assert table() == [(1, "a"), (2, "b b/c")]
-    versions.upsert_parts(spark, root, rows.filter("k = 2"), "part", 5, merge)
-    assert table() == [(1, "a"), (2, "b b/c")]
-    with pytest.raises(ValueError, match="older"):
-        versions.upsert_parts(spark, root, rows, "part", 4, merge)
-    plan = versions.read_live(spark, root, rows.schema, "part")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: []" not in plan
+    root = new_path(spark, "partitions")
+
+    def files():
+        top = root.removeprefix("file:")
+        return {d: {f for f in os.listdir(f"{top}/{d}") if f.endswith(".parquet")} for d in os.listdir(top) if d.startswith("part=")}
+
+    rows = spark.createDataFrame([(1, "a"), (2, "b b/c"), (3, None)], "k int, part string")
+    assert tables.read_table(spark, root, "k int, part string").count() == 0
+    tables.overwrite_partitions(rows, root, "part")
+    before = files()
+    tables.overwrite_partitions(spark.createDataFrame([(7, "a"), (8, "new")], "k int, part string"), root, "part")
+    after = files()
+    assert {d for d in before if after[d] != before[d]} == {"part=a"} and len(after) == 4
+    got = tables.read_table(spark, root, "k int, part string").collect()
+    assert {tuple(r) for r in got} == {(7, "a"), (2, "b b/c"), (3, None), (8, "new")}
+
+
+def test_a_bucketed_table_is_joined_without_an_exchange(spark):
+    name = tables.bucketed_table(spark, new_path(spark, "bucketed"), "a long, b long", ["a", "b"])
+    pairs = spark.range(500).selectExpr("id % 50 as a", "id as b")
+    pairs.filter("b < 300").write.insertInto(name)
+    new = pairs.join(spark.table(name).hint("merge"), ["a", "b"], "left_anti")
+    assert new.count() == 200
+    new.write.insertInto(name)  # files of both writes are in the same buckets
+    plan = pairs.join(spark.table(name).hint("merge"), ["a", "b"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    # The only exchange is that of the other side, which comes first.
+    assert plan.count("Exchange") == 1 and "Exchange" not in plan[plan.index(":- ") :].split("+- Sort")[-1] and "Bucketed: true" in plan
+    assert spark.table(name).count() == 500 and pairs.join(spark.table(name).hint("merge"), ["a", "b"], "left_anti").count() == 0
+
+
+def test_last_in_file_order(spark):
+    root = new_path(spark, "file-order")
+    for folder, rows in (("part_000000", [(1, "new", 9), (2, "x", 1), (2, "y", 0)]), ("part_000001", [(1, "late file", 2)])):
+        spark.createDataFrame(rows, "k int, v string, t int").coalesce(1).write.parquet(f"{root}/{folder}")
+    rows = readers.read_parts_in_order(spark, f"{root}/*", "k int, v string, t int")
+    got = dedup.last_in_order(rows, ["k"], readers.FILE_ORDER)
+    assert got.columns == ["k", "v", "t"] and {tuple(r) for r in got.collect()} == {(1, "late file", 2), (2, "y", 0)}
 
 
 @pytest.mark.parametrize("small", [True, False])
@@ -199,14 +221,6 @@ def test_scratch_paths_are_removed(spark):
     assert not os.path.exists(gone.removeprefix("file:")) and spark.read.parquet(kept).count() == 3
 
 
-def test_an_unreadable_version_list_is_an_error(spark, tmp_path):
-    assert versions.last_version(spark, str(tmp_path / "none")) is None
-    (tmp_path / "versions").mkdir()
-    (tmp_path / "versions" / "part-0.parquet").write_text("not parquet")
-    with pytest.raises(Exception, match="(?i)parquet|footer|file"):
-        versions.last_version(spark, str(tmp_path))
-
-
 def test_required_columns_fail_before_any_action(spark):
     with pytest.raises(ValueError, match="app_id"):
         checks.require_columns(spark.range(1), ["app_id"], "Metrics")
