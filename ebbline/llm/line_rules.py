@@ -38,18 +38,25 @@ MOST_LOST = 0.5
 
 SYMBOLS = b"#*$%&|<>"
 SEPARATORS = frozenset([b"|", b"||", b">", b">>", b"/", b"\xc2\xbb", b"\xe2\x80\xa2", b"\xc2\xb7", b"-"])
-# Words of menus.
+# Words of menus in English, German, French and Spanish.
 MENU = frozenset(
-    b"home about contact login logout register sign in up menu search sitemap next previous prev back top faq help blog news "
-    b"archive share follow subscribe privacy terms cart account shop".split()
+    (
+        "home about contact login logout register sign in up menu search sitemap next previous prev back top faq help blog news "
+        "archive share follow subscribe privacy terms cart account shop "
+        "startseite kontakt anmelden abmelden registrieren suche menü weiter zurück hilfe impressum datenschutz warenkorb konto teilen "
+        "accueil connexion déconnexion inscription recherche suivant précédent aide panier compte partager contactez mentions légales "
+        "inicio contacto registro buscar menú siguiente anterior ayuda carrito cuenta compartir seguir privacidad"
+    ).encode().split()
 )
 # Openings and phrases of notices, lower case.
-NOTICE = re.compile(
-    rb"^\W*(?:licensed under|released under|distributed under|all rights reserved|copyright\b|\(c\)|\xc2\xa9|"
-    rb"(?:this (?:web)?site|we) uses? cookies|accept (?:all )?cookies|please enable javascript|enable javascript|"
-    rb"terms of (?:use|service)|privacy policy|subscribe to our newsletter|skip to (?:main )?content)"
-    rb"|all rights reserved\W*$|use of cookies|lorem ipsum",
+# A letter or digit of any script ends an opening, so lines that hold one are read as text.
+_OPENINGS = (
+    r"licensed under|released under|distributed under|all rights reserved|copyright\b|\(c\)|©|"
+    r"(?:this (?:web)?site|we) uses? cookies|accept (?:all )?cookies|please enable javascript|enable javascript|"
+    r"terms of (?:use|service)|privacy policy|subscribe to our newsletter|skip to (?:main )?content"
 )
+NOTICE = re.compile(rf"^\W*(?:{_OPENINGS})|all rights reserved\W*$|use of cookies|lorem ipsum")
+_NOTICE_WORDS = re.compile(rf"{_OPENINGS}|use of cookies|lorem ipsum".replace(r"\b", "").encode())
 _MARK = re.compile(rb"[!-/:-@\[-`{-~]")
 _SHOUT = re.compile(rb"[!?#$%&*]{2,}$")
 _SENTENCE_END = re.compile(rb"(?:[.!?:;]|\xe2\x80\xa6)[\"')\]]*$")
@@ -69,7 +76,7 @@ def line_fails(line: bytes, words: list[bytes]) -> str | None:
     if len(words) <= SHORT and not _SENTENCE_END.search(line.rstrip()):
         if 2 * sum(1 for w in low.split() if w.strip(b",.:;") in MENU) >= len(words):
             return "navigation"
-    if NOTICE.search(low):
+    if _NOTICE_WORDS.search(low) and NOTICE.search(low.decode("utf-8", "replace")):
         return "boilerplate"
     return None
 

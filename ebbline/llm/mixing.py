@@ -5,7 +5,8 @@ output over the source's own size in bytes, so a rate of 1 keeps its size. Each
 number of copies from the Poisson distribution with that rate: the uniform number is a hash of the
 seed and the document's id, and the count is the number of cumulative probabilities at or below it.
 So a draw is the same in every run and needs no state. Documents are exploded by their count and
-dealt out by a hash of id and copy, within which rows are sorted: a global random order.
+dealt out by a hash of id and copy, within which rows are sorted: a global random order. Rows without an id are told apart
+by their text when they draw, and by their place in the task that reads them when they are dealt out.
 
 Built of DataFrame functions only. Sizes are summed before the shuffle; the rates are a row for each
 source, written first, so the planner sees their size and broadcasts them while they are small. A
@@ -13,7 +14,7 @@ source that holds much of the data is one row there and needs no shuffle of its
 
 Defined results: source NULL is a source of its own; text NULL counts as empty; each text has a byte
 beside its own, so a source of empty texts has a size; repeated rows and rows of one id draw the
-same count; id NULL draws like the empty id; target weights that name no source here have no effect,
+same count; rows without an id draw by their text and are dealt out one by one; target weights that name no source here have no effect,
 sources without a target weight or with zero give no rows; an empty table gives no rows; input columns
 named like an output column are replaced.
 """
@@ -82,10 +83,15 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, alpha: float =
     # Stored, so that the planner knows its size before the documents are read and broadcasts it only while it is small.
     per_source = stored(rates(docs, weights, alpha, epochs, source_col, text_col), "rates").toDF("_mix_source", "_mix_rate", "_mix_sums")
     drawn = base.join(per_source, F.col(source_col).cast("string").eqNullSafe(F.col("_mix_source")))
-    drawn = drawn.withColumn("_mix_draw", uniform(seed, F.col(id_col)))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    known = F.col(id_col).cast("string")
+    drawn = drawn.withColumn("_mix_draw", uniform(seed, F.coalesce(known, F.concat(F.lit("text|"), F.md5(text.cast("binary"))))))
+    # A third of all rows may lack an id: each has a name of its own.
+    drawn = drawn.withColumn("_mix_name", F.coalesce(known, F.concat(F.lit("row|"), F.monotonically_increasing_id().cast("string"))))
     count = F.size(F.filter("_mix_sums", lambda p: p <= F.col("_mix_draw"))).cast("long")
     drawn = drawn.withColumnRenamed("_mix_rate", "rate").withColumn("n_copies", count).filter("n_copies > 0")
     copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_copies"))))
-    key = F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string")))
-    dealt = copies.select(*[F.col(f"`{c}`") for c in base.columns], "rate", "n_copies", "copy", key.alias("shuffle_key"))
-    return dealt.repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key")
+    key = F.md5(F.concat_ws("|", F.lit(f"{seed}-order"), F.col("_mix_name"), F.col("copy").cast("string")))
+    dealt = copies.select(*[F.col(f"`{c}`") for c in base.columns], "rate", "n_copies", "copy", key.alias("shuffle_key"), F.xxhash64(text).alias("_mix_text"))
+    # Rows of one id but other texts are spread too.
+    return dealt.repartition(F.col("shuffle_key"), F.col("_mix_text")).drop("_mix_text").sortWithinPartitions("shuffle_key")

@@ -10,8 +10,9 @@ or two, whatever the sample missed.
 
 Slots are the rank within the range plus the sizes of the ranges before it, so no task sorts a whole shard.
 
-Built of DataFrame functions only. Bounded by parameters: the samples (``SAMPLES`` for each range) and
-the table of ranges, which is broadcast; for more data raise ``per_shard``, so that a range stays small.
+A range has some ``RANGE_BYTES``, so their number grows with the data, from ``PER_SHARD`` for each shard up to ``MAX_RANGES`` in
+all; the samples (``SAMPLES`` for each range) and the table of ranges, which is broadcast, are bounded by that. A task sorts
+one range. Built of DataFrame functions only.
 
 Defined results: text NULL counts as empty; size is the text's UTF-8 bytes plus 1; id NULL is least; rows
 equal in text and id can't be told apart and are never cut, their slots are in any order; an empty
@@ -26,11 +27,13 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import stored, without
 
 PER_SHARD = 128
+RANGE_BYTES = 128 << 20
+MAX_RANGES = 1 << 18
 SAMPLES = 16
 OVERFULL = 2.0
 SEED = 6
 ADDED = ("size", "shard", "slot")
-_PREFIX = 12  # bits of the key's hash that find the few borders to compare with
+_PREFIX = 14  # bits of the key's hash that find the few borders to compare with
 _LEAST = -(1 << 63)
 
 
@@ -69,16 +72,21 @@ def _with_range(frame: DataFrame, borders: DataFrame) -> DataFrame:
     found = found.withColumn("_shard_before", F.coalesce(F.sum(F.size("_shard_near")).over(before), F.lit(0)))
     key = F.struct("_shard_h", "_shard_i")
     at = F.col("_shard_before") + F.size(F.filter("_shard_near", lambda b: b <= key))
-    # One row for each of the 4,096 prefixes, each border once.
+    # One row for each of the 16,384 prefixes, each border once.
     joined = frame.join(F.broadcast(found), prefix == F.col("_shard_prefix")).withColumn("_shard_range", at.cast("long"))
     return joined.drop("_shard_prefix", "_shard_near", "_shard_before")
 
 
+def n_ranges(total: int, shards: int, per_shard: int = PER_SHARD) -> int:
+    """How many ranges a table of so many bytes is cut into, before overfull ones are cut again."""
+    return max(shards * per_shard, min(MAX_RANGES, -(-total // RANGE_BYTES)))
+
+
 def layout(keys: DataFrame, shards: int, per_shard: int = PER_SHARD) -> tuple[DataFrame, DataFrame]:
     """The borders of the ranges as keys, and for each range its ``shard`` and first slot."""
     keys = keys.select("_shard_h", "_shard_i", "size")
     total = keys.agg(F.sum("size")).first()[0] or 0
-    share = max(1.0, total / (shards * per_shard))
+    share = max(1.0, total / n_ranges(total, shards, per_shard))
     ordered = Window.orderBy("_shard_h", "_shard_i")
     upto = F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     step = F.floor((upto - F.col("weight") / 2) / F.lit(share))

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from ebbline.llm import line_rules, mixing
-
 _WORD = r"[^\x20\x09-\x0D]+"
-_MENU = ", ".join(f"'{w.decode()}'" for w in sorted(line_rules.MENU))
-_SEPARATORS = ", ".join(f"'{w.decode()}'" for w in sorted(line_rules.SEPARATORS))
-_NOTICE = line_rules.NOTICE.pattern.decode("utf-8").replace("'", "''")
+# Fixed values, stated here anew: the queries are compared with them.
+_MENU = ", ".join(
+    f"'{w}'"
+    for w in (
+        "home about contact login logout register sign in up menu search sitemap next previous prev back top faq help blog news archive share "
+        "follow subscribe privacy terms cart account shop startseite kontakt anmelden abmelden registrieren suche menü weiter zurück hilfe "
+        "impressum datenschutz warenkorb konto teilen accueil connexion déconnexion inscription recherche suivant précédent aide panier compte "
+        "partager contactez mentions légales inicio contacto registro buscar menú siguiente anterior ayuda carrito cuenta compartir seguir privacidad"
+    ).split()
+)
+_SEPARATORS = "'|', '||', '>', '>>', '/', '»', '•', '·', '-'"
+_NOTICE = (
+    r"^[^\p{L}\p{N}_]*(licensed under|released under|distributed under|all rights reserved|copyright([^\p{L}\p{N}_]|$)|\(c\)|©|"
+    r"(this (web)?site|we) uses? cookies|accept (all )?cookies|please enable javascript|enable javascript|terms of (use|service)|"
+    r"privacy policy|subscribe to our newsletter|skip to (main )?content)|all rights reserved[^\p{L}\p{N}_]*$|use of cookies|lorem ipsum"
+)
 
 QUALITY_RULES = rf"""
 WITH d AS (
@@ -24,11 +35,11 @@ WITH d AS (
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
 ), judged AS (
   SELECT doc_id, line, length(array_to_string(words, '')) AS chars,
-    length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) > {line_rules.MARKS} * strlen(array_to_string(words, ''))
+    length(regexp_replace(line, '[^!-/:-@\[-`{{-~]', '', 'g')) > 0.25::DOUBLE * strlen(array_to_string(words, ''))
     OR (len(words) >= 3 AND 2 * len(list_filter(words, lambda w: regexp_matches(w, '[!?#$%&*]{{2,}}$'))) > len(words))
     OR (len(list_filter(words, lambda w: w IN ({_SEPARATORS}))) >= 3
-        AND {1 + line_rules.PER_SEPARATOR} * len(list_filter(words, lambda w: w IN ({_SEPARATORS}))) >= len(words))
-    OR (len(words) <= {line_rules.SHORT}
+        AND 4 * len(list_filter(words, lambda w: w IN ({_SEPARATORS}))) >= len(words))
+    OR (len(words) <= 10
         AND NOT regexp_matches(regexp_replace(line, '[\x20\x09-\x0D]+$', ''), '(?:[.!?:;]|…)["'')\]]*$')
         AND 2 * len(list_filter(words, lambda w: trim(lower(w), ',.:;') IN ({_MENU}))) >= len(words))
     OR regexp_matches(lower(line), '{_NOTICE}') AS fails
@@ -44,9 +55,9 @@ WITH d AS (
   FROM d LEFT JOIN repeats r USING (doc_id) LEFT JOIN per_line USING (doc_id)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-  n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MOST_REPEATED} * n_words AS base_failed,
-  NOT (n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MOST_REPEATED} * n_words)
-    AND lost_chars <= {line_rules.MOST_LOST} * word_chars AS kept,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND lost_chars <= 0.5::DOUBLE * word_chars AS kept,
   lost_chars, lost_lines
 FROM base
 """
@@ -55,9 +66,9 @@ MIXING = rf"""
 WITH sizes AS (
   SELECT source, sum(coalesce(strlen(text), 0) + 1)::DOUBLE AS bytes FROM documents GROUP BY source
 ), weighted AS (
-  SELECT source, bytes, pow(bytes, {mixing.ALPHA}) AS weight FROM sizes
+  SELECT source, bytes, pow(bytes, 0.7::DOUBLE) AS weight FROM sizes
 ), rates AS (
-  SELECT source, {mixing.EPOCHS} * (SELECT sum(bytes) FROM weighted) * weight / (SELECT sum(weight) FROM weighted) / bytes AS rate FROM weighted
+  SELECT source, 1.0::DOUBLE * (SELECT sum(bytes) FROM weighted) * weight / (SELECT sum(weight) FROM weighted) / bytes AS rate FROM weighted
 ), logs AS (
   SELECT source, rate, k, CASE WHEN k = 0 THEN 0.0 ELSE ln(rate) - ln(k) END AS part
   FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 24)::BIGINT + 1)) AS k FROM rates)
@@ -66,12 +77,12 @@ WITH sizes AS (
 ), sums AS (
   SELECT source, rate, sum(p) OVER (PARTITION BY source ORDER BY k) AS upto FROM terms
 ), drawn AS (
-  SELECT doc_id, source, text, ('0x' || left(md5('{mixing.SEED}|' || doc_id), 13))::BIGINT / 4503599627370496.0 AS draw FROM documents
+  SELECT doc_id, source, text, ('0x' || left(md5('20240|' || doc_id), 13))::BIGINT / 4503599627370496.0 AS draw FROM documents
 ), counted AS (
   SELECT d.doc_id, d.source, d.text, any_value(s.rate) AS rate, count(*) AS n_copies
   FROM drawn d JOIN sums s ON s.source IS NOT DISTINCT FROM d.source AND s.upto <= d.draw GROUP BY d.doc_id, d.source, d.text
 )
-SELECT doc_id, source, text, round(rate, 9) AS rate, n_copies, copy, md5('{mixing.SEED}-order|' || doc_id || '|' || copy) AS shuffle_key
+SELECT doc_id, source, text, round(rate, 9) AS rate, n_copies, copy, md5('20240-order|' || doc_id || '|' || copy) AS shuffle_key
 FROM (SELECT *, unnest(range(1, n_copies + 1)) AS copy FROM counted)
 """
 

@@ -37,6 +37,20 @@ def test_lines():
     assert fails("He was licensed under a strict law and drove home.") is None
 
 
+def test_notices_open_a_line_in_any_script():
+    fails = lambda line: line_rules.line_fails(line.encode(), line.encode().split())
+    for line in (
+        "Наша компания © 2020 выпустила новую книгу о море и ветре.", "我们的 privacy policy 在这里有说明，请大家仔细阅读。",
+        "Η εταιρεία copyright μας έγραψε ένα νέο βιβλίο για τη θάλασσα.", "Élan © vital et autres textes de la même main.", "２０ © words after a digit of another script.",
+    ):
+        assert fails(line) is None, line
+    for line in ("© 2020 Наша компания", "«— Copyright 2020", "…privacy policy of the site", "Весь текст: all rights reserved。", "COPYRIGHT Élan 2021"):
+        assert fails(line) == "boilerplate", line
+    assert fails("copyrighted works are many in this long line of words") is None
+    for line in ("Startseite Kontakt Impressum", "Accueil Contact Panier", "Inicio Buscar Carrito", "Menü Suche Hilfe"):
+        assert fails(line) == "navigation", line
+
+
 def test_a_text_that_loses_too_much_goes():
     good = "Sentence{0} with{0} some{0} quite{0} different{0} words{0}, number {0}.\n"
     bad = "alpha{0} | beta{0} | gamma{0} | delta{0} | epsilon{0} | zeta{0}\n"

@@ -35,6 +35,31 @@ def test_sources_come_near_their_weights(spark):
     assert len(set(keys)) == len(keys)
 
 
+def test_rows_without_an_id_are_spread_and_draw_by_their_text(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spread_and_drawn(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def spread_and_drawn(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.concat(F.lit("text "), F.col("id") % 9_000).alias("text"))
+    mixed = mixing.mix(docs)
+    parts = [r["count"] for r in mixed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) >= 4 and max(parts) < 2 * sum(parts) / len(parts)
+    rows = mixed.collect()
+    keys = {r.shuffle_key for r in rows}
+    assert len(keys) == len(rows) and 0.95 < len(rows) / 20_000 < 1.05
+    copies = {}
+    for r in rows:
+        assert copies.setdefault(r.text, r.n_copies) == r.n_copies
+    assert len(set(copies.values())) > 2
+    one_id = spark.range(20_000).select(F.lit(7).alias("doc_id"), F.lit("s").alias("source"), F.col("id").cast("string").alias("text"))
+    parts = [r["count"] for r in mixing.mix(one_id, epochs=3.0).groupBy(F.spark_partition_id()).count().collect()]
+    assert not parts or len(parts) >= 4
+
+
 def test_edge_rows(spark):
     found = mixing.mix(edge.clashing(spark), epochs=4.0)
     assert len(set(found.columns)) == len(found.columns)

@@ -26,7 +26,7 @@ def test_registered():
     from __spark_entry__ import oracle_sql, queries
 
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_no_python_in_native_plans(spark, sf_dir):
@@ -95,6 +95,22 @@ def test_stages_take_edge_rows(spark, sf_dir):
             chained = stored(stage(spark, chained, sf_dir), "edge-stage")
 
 
+def test_clashing_columns_keep_their_values(spark, sf_dir):
+    """The first four stages return the columns of documents with the values that they came with."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = [c for c in edge.CLASHING if c not in docs.columns]
+    table = docs.selectExpr("*", *[f"'{c} ' || doc_id as {c}" for c in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, table, sf_dir)
+        assert out.columns == table.columns, name
+        rows = out.selectExpr("doc_id", "source", "lang", *names).collect()
+        want = {r.doc_id: r for r in docs.select("doc_id", "source", "lang").collect()}
+        assert len(rows) > 50
+        for r in rows:
+            assert (r.source, r.lang) == (want[r.doc_id].source, want[r.doc_id].lang)
+            assert all(r[c] == f"{c} {r.doc_id}" for c in names), name
+
+
 def test_near_duplicate_stage_keeps_one_of_each(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     kept = {r.doc_id for r in simhash.deduplicate(docs).collect()}

@@ -63,3 +63,29 @@ def test_files(spark, tmp_path):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.md5(F.col("id").cast("string")).alias("text"))
     sharding.write_shards(sharding.shard(docs, 4), str(tmp_path / "shards"))
     assert spark.read.parquet(str(tmp_path / "shards")).groupBy("shard").count().count() == 4
+
+
+def test_ranges_grow_with_the_bytes():
+    assert sharding.n_ranges(0, 16) == sharding.n_ranges(1 << 38, 16) == 16 * sharding.PER_SHARD
+    assert sharding.n_ranges(1 << 40, 16) == 8192 and sharding.n_ranges(10**14, 16) == sharding.MAX_RANGES
+
+
+def test_law_and_slots_by_brute_force(spark, sf_dir):
+    """Sizes, shards near the due share, slots in order of the key within a shard, equal texts side by side."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sharding.shard(docs, 4).collect()
+    size = {r.doc_id: len((r.text or "").encode()) + 1 for r in docs.collect()}
+    assert {r.doc_id: r["size"] for r in rows} == size
+    total, shards = sum(size.values()), {}
+    for r in rows:
+        shards.setdefault(r.shard, []).append(r)
+    for own in shards.values():
+        own.sort(key=lambda r: r.slot)
+        assert [r.slot for r in own] == list(range(len(own)))
+        assert abs(sum(r["size"] for r in own) - total / 4) <= 2 * max(size.values()) + 2 * total / (4 * sharding.PER_SHARD)
+    in_order = [r.text or "" for s in sorted(shards) for r in shards[s]]
+    seen, last = set(), None
+    for text in in_order:
+        assert text == last or text not in seen
+        seen.add(text)
+        last = text
