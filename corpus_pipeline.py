@@ -1,5 +1,9 @@
 """From documents to sharded training data: five stages, each a table of its own.
 
+Operators see the columns that they need; the row's others are packed while one runs, so input columns named like an
+operator's own come out as they went in. Missing, empty, very long and repeated rows are treated as each operator's module says;
+an empty table passes through all stages.
+
 A stage takes ``(spark, docs, sf_dir)`` and returns a frame. ``run`` writes each stage's result as Parquet to the
 shared folder and hands the reread table to the next, so a lost executor costs at most part of one stage. All
 stages but the last return the columns of ``documents``.
@@ -7,7 +11,7 @@ stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm import decontaminate, line_rules, mixing, sharding, simhash
@@ -17,11 +21,21 @@ from ebbline.session import scratch
 SHARDS = 16
 
 
+def packed(docs: DataFrame, *needed: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """The columns that an operator needs, beside all others but ``without`` as one."""
+    rest = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in without]
+    return docs.select(*needed, F.struct(*rest).alias("_row"))
+
+
+def unpacked(result: DataFrame, docs: DataFrame, changed: dict[str, Column]) -> DataFrame:
+    """The columns of ``docs`` again, some of them changed."""
+    return result.select(*[(changed[c] if c in changed else F.col(f"_row.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass, without the lines that fail; ``n_chars`` counts what is left."""
-    passed = line_rules.clean(docs).filter("kept")
-    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}
-    return passed.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    passed = line_rules.clean(packed(docs, "text", without=("text",))).filter("kept")
+    return unpacked(passed, docs, {"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")})
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's rate draws them, in global random order."""
-    return mixing.mix(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpacked(mixing.mix(packed(docs, "doc_id", "source", "text", without=("text",))), docs, {"text": F.col("text")})
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
