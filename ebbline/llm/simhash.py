@@ -11,6 +11,12 @@ many different fingerprints is dealt into chunks, and each pair of chunks is one
 piece of work that returns a spanning forest of its links, not the links themselves. The
 forests of all keys together connect exactly what all links would connect.
 
+A row of a key with n fingerprints is repeated for each of its n / ``CHUNK`` chunks. In a key with more than ``DENSE`` that would
+grow with the square, so there each fingerprint is sent to the points around it instead, within the bits that the key
+leaves open: with ``max_bits`` of 3, to those one bit away (33 points) as a neighbour, and to those two bits away (496) as a
+visitor. Two fingerprints within three bits have a point that one is a neighbour and the other a neighbour or visitor of. At each
+point all are linked to the least neighbour, and all such links are close pairs. That is 529 rows for each fingerprint, however many there are.
+
 Defined results: a text that is NULL or has no words has fingerprint zero and is linked like any
 other; repeated rows are all returned by ``near_duplicates``, one of them by ``deduplicate``; a row
 whose id is NULL takes the least id of its component if that has one, else NULL; an empty table
@@ -33,6 +39,8 @@ from ebbline.llm.common import as_bytes, slices, stored
 SHINGLE, MAX_BITS = 3, 3
 SEED = 42
 CHUNK = 1024  # different fingerprints of one key that are compared in one piece
+DENSE = 1 << 18  # different fingerprints of one key from which on points take the place of chunks
+_TASK_ROWS = 65_536
 _AGREE = 3  # blocks that a key takes together
 
 
@@ -107,15 +115,45 @@ def spanning_links(fps: np.ndarray, ids: np.ndarray, max_bits: int) -> list[tupl
     return links
 
 
-def close_links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame:
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def around(max_bits: int) -> list[tuple[int, int, bool]]:
+    """``(choice, bits to flip, visitor)``: the points around a fingerprint within the bits that a choice leaves open."""
+    near = max_bits // 2
+    out = []
+    for choice, mask in enumerate(_choices(max_bits)):
+        free = [1 << b for b in range(64) if not mask >> b & 1]
+        for n in range(max_bits - near + 1):
+            out += [(choice, _signed(sum(flips)), n > near) for flips in combinations(free, n)]
+    return out
+
+
+def point_links(dense: DataFrame, max_bits: int) -> DataFrame:
+    """``(u, v)`` within the keys of ``dense (choice, block, fp, id)``, by common points."""
+    spark = dense.sparkSession
+    # A fixed table: some 10,600 rows at three bits.
+    flips = spark.createDataFrame(around(max_bits), "choice int, flip long, visitor boolean")
+    points = dense.join(F.broadcast(flips), "choice").select("choice", "block", F.col("fp").bitwiseXOR(F.col("flip")).alias("point"), "id", "visitor")
+    key = ["choice", "block", "point"]
+    hubs = points.filter("not visitor").groupBy(*key).agg(F.min("id").alias("hub"))
+    met = points.join(hubs, key).filter("id <> hub")
+    return met.select(F.least("id", "hub").alias("u"), F.greatest("id", "hub").alias("v")).distinct()
+
+
+def close_links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK, dense: int = DENSE) -> DataFrame:
     """``(u, v)``, u < v: links between nodes ``(fp, id)`` that connect all that lie within ``max_bits``.
 
     ``fp`` and ``id`` must be unique and not NULL. The links are a subset of the close pairs' closure.
     """
-    keyed = nodes.select(
+    spread = nodes.repartition(max(1, -(-nodes.count() // _TASK_ROWS)), "fp")  # each row becomes twenty
+    keyed = spread.select(
         "fp", "id", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in _choices(max_bits)])).alias("choice", "block")
     )
     shared = keyed.groupBy("choice", "block").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = stored(shared, "shared-blocks")
+    crowded, shared = shared.filter(F.col("n") > dense), shared.filter(F.col("n") <= dense)
     pieces = F.ceil(F.col("n") / F.lit(chunk)).cast("int")
     mine = F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")
     meeting = F.explode(
@@ -145,7 +183,10 @@ def close_links(nodes: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK)
             u, v = zip(*set(links)) if links else ((), ())
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    links = dealt.mapInArrow(run, "u long, v long")
+    if not crowded.isEmpty():
+        links = links.unionByName(point_links(keyed.join(crowded.select("choice", "block"), ["choice", "block"]), max_bits))
+    return links.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

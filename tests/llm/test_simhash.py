@@ -99,3 +99,59 @@ def test_spanning_links_of_a_large_group():
     fps = np.array([1 << b for b in range(60)] + [0], np.uint64)  # a star around zero, and pairs two bits apart
     assert len(simhash.spanning_links(fps, np.arange(61), 1)) == 60
     assert len(simhash.spanning_links(fps[:-1], np.arange(60), 1)) == 0
+
+
+def test_points_around_a_fingerprint():
+    points = simhash.around(3)
+    for choice, mask in enumerate(simhash._choices(3)):
+        own = [(flip, visitor) for c, flip, visitor in points if c == choice]
+        free = 64 - (mask & 2**64 - 1).bit_count()
+        assert len(own) == len({f for f, _ in own}) == 1 + free + free * (free - 1) // 2 <= 562
+        assert all((f & 2**64 - 1).bit_count() == (2 if visitor else (f != 0)) and f & mask == 0 for f, visitor in own)
+
+
+def near_copies(n, spread, seed):
+    """Fingerprints around one template, with up to ``spread`` bits changed within the upper half."""
+    rng = random.Random(seed)
+    template, found = rng.getrandbits(64), set()
+    while len(found) < n:
+        flips = rng.sample(range(33, 64), rng.randint(1, spread))
+        found.add(template ^ sum(1 << b for b in flips))
+    return sorted(found)
+
+
+def signed(fp):
+    return fp - (1 << 64) if fp >> 63 else fp
+
+
+def roots(spark, fps, **options):
+    nodes = spark.createDataFrame([(signed(f), i) for i, f in enumerate(fps)], "fp long, id long")
+    reached = {r.id: r.component for r in simhash.components(simhash.close_links(nodes, **options)).collect()}
+    return [reached.get(i, i) for i in range(len(fps))]
+
+
+def test_crowded_keys_link_by_points_as_all_pairs_do(spark):
+    fps = near_copies(300, 9, 1) + near_copies(60, 3, 2) + near_copies(40, 12, 3)
+    found = roots(spark, fps, dense=20)
+    assert found == roots(spark, fps)
+    links = simhash.spanning_links(np.array(fps, np.uint64), np.arange(len(fps)), 3)
+    plain = list(range(len(fps)))
+    for u, v in links:
+        plain[v] = u
+    assert found == plain and 20 < len(set(found)) < 300
+
+
+def test_ten_thousand_near_copies_make_rows_in_proportion(spark):
+    """Rows of a crowded key are a fixed number for each fingerprint; chunks would repeat each row for every chunk."""
+    fps = near_copies(10_000, 6, 5)
+    nodes = spark.createDataFrame([(signed(f), i) for i, f in enumerate(fps)], "fp long, id long")
+    mask = simhash._choices(3)[0]
+    key = {signed(f) & mask for f in fps}
+    assert len(key) == 1  # one key holds all
+    dense = nodes.select(F.lit(0).alias("choice"), F.lit(key.pop()).alias("block"), "fp", "id")
+    links = simhash.point_links(dense, 3)
+    found = links.collect()
+    assert all((fps[r.u] ^ fps[r.v]).bit_count() <= 3 for r in found) and len(found) <= 562 * len(fps)
+    reached = {r.id: r.component for r in simhash.components(links).collect()}
+    chunked = roots(spark, fps)
+    assert [reached.get(i, i) for i in range(len(fps))] == chunked and len(set(chunked)) < 9_000
