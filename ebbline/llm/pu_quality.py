@@ -9,12 +9,15 @@ is kept from falling below zero in its second part (non-negative risk): where th
 ``g`` is a small network with one hidden layer over counts and shares of a text, so its sigmoid, the
 score, is the chance of a good text.
 
-The prior is estimated from the labelled rows as the share of good ones, or given. Learning reads
-about ``SAMPLE`` positives and as many unlabelled rows, drawn by a hash of the id (a documented bound); what reaches
+The prior is estimated from positives and unlabelled rows alone, whatever share of the labelled rows is good: a first network is
+fitted to half of both, and above a score that held-out positives often reach, the share of the unlabelled rows over the share
+of the positives bounds the prior; the score where that bound is least, with a margin for small samples, gives the estimate, and a
+second network fitted with it a better one. It may be
+given instead (``class_prior`` is the labelled rows' share). Learning reads about ``SAMPLE`` positives and as many unlabelled rows, drawn by a hash of the id (a documented bound); what reaches
 the driver is one short vector for each of them. Scores cover all rows and whole texts.
 
 Defined results: a text that is NULL or empty has zero for every figure and is scored by that; repeated rows get the same
-score each; without positives to learn from every score is 0, without unlabelled rows it is the prior; an empty table
+score each; a document is a trusted positive if its labels, one or several, all say so; very long texts are read whole; without positives to learn from every score is 0, without unlabelled rows it is the prior; an empty table
 gives no rows; extra columns are ignored.
 """
 
@@ -170,6 +173,22 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
     return network
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray, seed: int = SEED, doubt: float = 0.1) -> float:
+    """The share of good rows among the unlabelled ones, from positives and unlabelled rows."""
+    if min(len(positive), len(unlabelled)) < 4:
+        return 0.5
+    prior = 0.5
+    for _ in range(2):  # the second network is fitted with the first estimate
+        network = fit(positive[::2], unlabelled[::2], prior, seed=seed)
+        held = [np.sort(network.scores(x[1::2])) for x in (positive, unlabelled)]
+        cuts = np.unique(held[0])
+        reach = [1 - np.searchsorted(h, cuts, "left") / len(h) for h in held]
+        margin = sum(math.sqrt(math.log(4 / doubt) / (2 * len(h))) for h in held)
+        best = int(np.argmin((reach[1] + margin) / reach[0]))
+        prior = float(np.clip(reach[1][best] / reach[0][best], 0.01, 0.99))
+    return prior
+
+
 def class_prior(labels: DataFrame, label_col: str = "quality") -> float | None:
     """Share of good rows among the labelled ones."""
     return labels.filter(F.col(label_col).isin(0, 1)).agg(F.avg(F.col(label_col).cast("double"))).first()[0]
@@ -178,16 +197,16 @@ def class_prior(labels: DataFrame, label_col: str = "quality") -> float | None:
 def learn(docs: DataFrame, labels: DataFrame, prior: float | None = None, bound: int = SAMPLE, id_col: str = "doc_id",
           text_col: str = "text", label_col: str = "quality") -> Network | Constant:
     """Fit on rows of ``docs``, all unlabelled, and those that ``labels`` trusts as good. Both must be training rows only."""
-    if prior is None:
-        prior = class_prior(labels, label_col)
-    good = labels.filter((F.col(label_col) == 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_good")).distinct()
+    judged = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_good"))
+    good = judged.agg(F.min(label_col).alias("_least")).filter("_least = 1").select("_good")
     drawn = bounded(good, bound, F.col("_good"))
     known = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"))
     # The drawn ids are bounded by the parameter.
     positive = feature_rows(known.join(F.broadcast(drawn), F.col("_id") == F.col("_good"), "left_semi"), ("_id",), "_t")
     unlabelled = feature_rows(bounded(known.select("_id", "_t"), bound, F.col("_id"), F.lit("unlabelled")), ("_id",), "_t")
     rows = lambda df: np.array([r["x"] for r in sorted(df.collect(), key=lambda r: (r["_id"], r["x"]))], np.float64).reshape(-1, N_FEATURES)
-    return fit(rows(positive), rows(unlabelled), prior if prior is not None else 0.5)
+    xs = rows(positive), rows(unlabelled)
+    return fit(*xs, estimated_prior(*xs) if prior is None else prior)
 
 
 def score(docs: DataFrame, model: Network | Constant, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -103,3 +103,31 @@ def test_quality_edge_rows(spark):
     assert {r.score for r in pu_quality.score(edge.docs(spark), none).collect()} == {0.0}
     nobody = pu_quality.learn(edge.empty(spark), labels.limit(0))
     assert pu_quality.score(edge.empty(spark), nobody).count() == 0
+
+
+@pytest.mark.parametrize("share", [0.15, 0.4, 0.75])
+def test_the_prior_is_that_of_the_unlabelled_rows(share):
+    rng = np.random.default_rng(11)
+    n = 8000
+    good = rng.normal(0, 1, (n, pu_quality.N_FEATURES)) + 1.2 * (np.arange(pu_quality.N_FEATURES) < 4)
+    bad = rng.normal(0, 1, (n, pu_quality.N_FEATURES)) - 1.2 * (np.arange(pu_quality.N_FEATURES) < 4)
+    is_good = rng.random(n) < share
+    unlabelled = np.where(is_good[:, None], rng.permutation(good), bad)
+    assert abs(pu_quality.estimated_prior(good[:4000], unlabelled) - share) < 0.06
+    assert pu_quality.estimated_prior(good[:1], unlabelled) == 0.5
+
+
+def test_the_labelled_share_does_not_decide(spark):
+    """Nine of ten labelled documents are good, a third of all are: scores follow the documents."""
+    rng = np.random.default_rng(2)
+    words = np.array("the sea was calm and old men spoke of wind rain bread light stone".split())
+    rows, good = [], {}
+    for i in range(1200):
+        good[i] = i % 3 == 0
+        text = " ".join(rng.choice(words, 90)) + "." if good[i] else " ".join(f"{w}$$$ 99!!" for w in rng.choice(words[:3], 40))
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = [(i, 1) for i in range(0, 540, 3)] + [(i, 0) for i in range(1, 60, 3)] + [(3, 0)]  # document 3 is contested
+    model = pu_quality.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int"))
+    found = {r.doc_id: r.predicted for r in pu_quality.score(docs, model).collect()}
+    assert np.mean([found[i] == good[i] for i in range(600, 1200)]) > 0.97
