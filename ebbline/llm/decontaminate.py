@@ -8,9 +8,9 @@ item once, are counted in bands of diagonals that overlap: each band is taken to
 that reach the bound are aligned, on the diagonals of their bands, and reported if the alignment keeps the edit
 budget.
 
-The scan of the texts is row-wise and needs no shuffle. The items go to the tasks as an index of
-their q-grams. Its size is bounded: items are dealt into blocks of about ``block_chars`` characters,
-and each block is one pass over the texts.
+The scan of the texts is row-wise and needs no shuffle. Items are dealt into blocks of about ``block_chars`` characters, a table in the
+shared folder; a worker reads a block there and holds the index of its q-grams, one at a time. Each block is one pass over the
+texts; with several, what a pass finds or leaves is written before the next begins. Nothing of the items goes through the driver.
 
 Defined results: texts NULL, empty or shorter than q match nothing; items NULL or shorter than q
 normalised characters can't be found by q-grams and match nothing; for items so short that the
@@ -21,13 +21,18 @@ table of texts or items gives no rows. Extra columns are ignored by ``find`` and
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import slices
+from ebbline.llm.common import slices, stored
+from ebbline.llm.warc import file_system
+from ebbline.session import new_path
 
 Q = 8
 EDIT_SHARE = 0.1
@@ -37,6 +42,7 @@ _STRETCH = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _NO_CODE = np.uint32(0xFFFFFFFF)
+_KEPT: dict[tuple, Index] = {}
 _SPACE = np.zeros(0x3001, bool)
 _SPACE[[c for c in range(0x3001) if chr(c).isspace()]] = True
 
@@ -233,13 +239,30 @@ def align(item: np.ndarray, text: np.ndarray, low: int, high: int, most: int) ->
     return edits, int(row[k] & (big - 1)) + low, int(begin[k]) + n
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of a bounded size; one block is on the driver at a time."""
+def _store_items(items: DataFrame, id_col: str, text_col: str, block_chars: int) -> tuple[str, int]:
+    """The folder of the items' blocks and how many there are."""
     usable = items.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     chars = usable.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = -(-chars // block_chars)
-    for k in range(n):
-        yield [tuple(r) for r in usable.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()]
+    n, path = -(-chars // block_chars), new_path(items.sparkSession, "benchmark-blocks")
+    if n:
+        dealt = usable.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)))
+        dealt.repartition(F.col("block")).write.partitionBy("block").parquet(path)
+    return path, n
+
+
+def _index(path: str, block: int, q: int, edit_share: float) -> Index:
+    """The index of a stored block; a worker keeps the last one between tasks."""
+    key = (path, block, q, edit_share)
+    if key not in _KEPT:
+        _KEPT.clear()
+        fs, folder = file_system(f"{path}/block={block}")
+        rows = []
+        if fs.get_file_info(folder).type != pyarrow.fs.FileType.NotFound:
+            rows = pq.read_table(folder, filesystem=fs, columns=["id", "text"], partitioning=None).to_pylist()
+        # In an order of their own, so that results don't depend on files.
+        block_items = sorted(((r["id"], r["text"]) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        _KEPT[key] = Index(block_items, q, edit_share)
+    return _KEPT[key]
 
 
 MATCH_SCHEMA = "doc_id long, item_id long, start long, n_chars long, edits long, item_chars long"
@@ -254,21 +277,17 @@ def find(
     ``start`` and ``n_chars`` are characters of the text as it is. Regions of one item don't overlap.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    spark, results = docs.sparkSession, []
-    for block in _blocks(items, item_id_col, item_text_col, block_chars):
-        shared = spark.sparkContext.broadcast((block, q, edit_share))
-        results.append(narrow.filter("text is not null").mapInArrow(_finder(shared), MATCH_SCHEMA))
+    narrow = narrow.filter("text is not null")
+    path, n = _store_items(items, item_id_col, item_text_col, block_chars)
+    results = [narrow.mapInArrow(_finder(path, k, q, edit_share), MATCH_SCHEMA) for k in range(n)]
     if not results:
-        return spark.createDataFrame([], MATCH_SCHEMA)
-    out = results[0]
-    for more in results[1:]:
-        out = out.unionAll(more)
-    return out
+        return docs.sparkSession.createDataFrame([], MATCH_SCHEMA)
+    return results[0] if n == 1 else reduce(DataFrame.unionAll, [stored(r, "matches") for r in results])
 
 
-def _finder(shared):
+def _finder(*block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*shared.value)
+        index = _index(*block)
         for part in slices(batches):
             rows = []
             ids = part.column("doc_id").to_pylist()
@@ -288,15 +307,17 @@ def remove(
     q: int = Q, edit_share: float = EDIT_SHARE, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The rows whose text holds no item, with all their columns. Rows are judged one by one; nothing is joined."""
-    spark, out = docs.sparkSession, docs
-    for block in _blocks(items, item_id_col, item_text_col, block_chars):
-        out = out.mapInArrow(_remover(spark.sparkContext.broadcast((block, q, edit_share)), text_col), docs.schema)
+    path, n = _store_items(items, item_id_col, item_text_col, block_chars)
+    out = docs
+    for k in range(n):
+        left = out.mapInArrow(_remover(text_col, path, k, q, edit_share), docs.schema)
+        out = left if k + 1 == n else stored(left, "clean-so-far")
     return out
 
 
-def _remover(shared, text_col: str):
+def _remover(text_col: str, *block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*shared.value)
+        index = _index(*block)
         for part in slices(batches):
             keep = np.ones(part.num_rows, bool)
             keep[[n for n, _, _ in index.scan(part.column(text_col).to_pylist())]] = False
