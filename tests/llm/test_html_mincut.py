@@ -140,3 +140,49 @@ def test_edge_rows(spark):
     assert h.extract(pages).count() == 6
     assert found[2, None] == "" and found[3, "u"] == "" and found[4, "u"] == "" and found[None, "u"] == "Text of a page."
     assert h.extract(pages.limit(0)).count() == 0
+
+
+def built_page(rng):
+    """A page without article, main part or telling names, and its right text: headings that are links and short lines belong to
+    the story or to the lists of links by where they stand."""
+    words = "sea wind rain old calm stone bread light town field river night song horse winter".split()
+
+    def sentence():
+        return " ".join(rng.choice(words) for _ in range(rng.randint(14, 30))).capitalize() + "."
+
+    def links():
+        return "<ul>" + "".join(f"<li><a href=/{rng.randint(0, 99)}>{' '.join(rng.sample(words, 2))}</a></li>" for _ in range(rng.randint(3, 6))) + "</ul>"
+
+    def lists():
+        out = ""
+        for _ in range(rng.randint(1, 3)):
+            out += f"{links()}<p>{rng.choice(words).capitalize()}</p>{links()}"
+        return f"<div>{out}</div>"
+
+    story, told = "", []
+    for part in range(rng.randint(2, 4)):
+        title = " ".join(rng.sample(words, 2)).capitalize()
+        heading = f"<a href=/t>{title}</a>" if rng.random() < 0.5 else title
+        story += f"<h2>{heading}</h2>"
+        told.append(title)
+        for _ in range(rng.randint(2, 4)):
+            told.append(sentence())
+            story += f"<p>{told[-1]}</p>"
+    return f"<div>{lists()}<div>{story}</div>{lists()}</div>", " ".join(told)
+
+
+def test_pages_that_need_the_edges():
+    """The cut turns blocks against their own cost, and is right where costs alone are not."""
+    rng, turned, blocks, right, alone = random.Random(8), 0, 0, 0, 0
+    for _ in range(200):
+        page, told = built_page(rng)
+        found = h.blocks(page)
+        texts = [b.text for b in found]
+        gains = [h.block_cost(b, t, h.Costs()) for b, t in zip(found, texts)]
+        kept = h.min_cut(gains, h.smoothness(found, h.Costs()))
+        turned += sum(k != (g > 0) for k, g in zip(kept, gains))
+        blocks += len(found)
+        right += h.main_text(page) == told
+        alone += " ".join(t for t, g in zip(texts, gains) if g > 0) == told
+    assert right >= 190 and alone <= 20, (right, alone)
+    assert 0.05 < turned / blocks < 0.5, turned / blocks
