@@ -18,7 +18,7 @@ def app_persistence(
     """One row per app: recent average, average so many calendar months before, and their ratio.
 
     The recent month is the newest one that stands at ``recent_index`` in its load. The past month is found by the
-    calendar, at whatever index and in whichever load it stands; if no load has it, it is missing. Where several
+    calendar, at whatever index and in whichever load it stands; if no load has it, it is missing. An app without a recent month has no row. Where several
     loads have a month, the greatest index is that of the last load. A month with an unreadable label is older than
     any other and has no month before it. Rows are summed up by app and month before their months meet, a window
     of at most as many rows as an app has months.
@@ -34,7 +34,7 @@ def app_persistence(
         F.count("*").alias("_rows"),
     )
     newest = F.max(F.when(F.col("_here"), F.col("_month"))).over(Window.partitionBy("app_id"))
-    paired = months.withColumn("_newest", newest)
+    paired = months.withColumn("_newest", newest).filter("_newest is not null")
     pairs = paired.groupBy("app_id").agg(
         F.max(F.when(F.col("_month") == F.col("_newest"), F.col("_recent"))).alias("avg_players_recent"),
         F.max(F.when(F.col("_month") == F.col("_newest") - months_apart, F.col("_avg"))).alias("avg_players_6mo_ago"),
