@@ -53,13 +53,6 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable, in the shared folder."""
-    root = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; never one that holds data."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
