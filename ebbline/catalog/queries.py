@@ -503,8 +503,9 @@ def bridge_tags(spark, sf):
         tags = stored(warehouse.upsert_tags(None, items, kind), "tags")
         keys = ["app_sk", f"{kind}_sk"]
         bridge = tables.bucketed_table(spark, new_path(spark, "bridge"), schemas.bridge(kind), keys)
-        warehouse.new_pairs(None, early, apps, tags, kind).select(*keys).write.insertInto(bridge)
-        stored(warehouse.new_pairs(spark.table(bridge), items, apps, tags, kind).select(*keys), "new-pairs").write.insertInto(bridge)
+        tables.append_bucketed(warehouse.new_pairs(None, early, apps, tags, kind).select(*keys), bridge, keys)
+        added = stored(warehouse.new_pairs(spark.table(bridge), items, apps, tags, kind).select(*keys), "new-pairs")
+        tables.append_bucketed(added, bridge, keys)
         found.append(spark.table(bridge).toDF("app_sk", "tag_sk").withColumn("kind", F.lit(kind)))
     return found[0].unionByName(found[1])
 

@@ -157,7 +157,7 @@ def load_warehouse(spark: SparkSession, monthly_csv: str, metadata_csv: str, roo
         new[dimension].write.mode("append").parquet(f"{root}/{dimension}")
     tables.overwrite_partitions(new["dim_app"], f"{root}/dim_app", "bucket")
     for kind, _, bridge in _tag_tables():
-        new[bridge].write.insertInto(_bridge(spark, root, kind))
+        tables.append_bucketed(new[bridge], _bridge(spark, root, kind), ["app_sk", f"{kind}_sk"])
     tables.overwrite_partitions(new[FACT], f"{root}/{FACT}", "date_sk")
     spark.catalog.refreshByPath(root)
     star = read_star(spark, root)

@@ -47,3 +47,8 @@ def bucketed_table(spark: SparkSession, path: str, schema: str, keys: list[str])
         f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY ({columns}) SORTED BY ({columns}) INTO {BUCKETS} BUCKETS LOCATION '{path}'"
     )
     return name
+
+
+def append_bucketed(rows: DataFrame, name: str, keys: list[str]) -> None:
+    """Add rows to a bucketed table. They are dealt out as its buckets are, so each bucket gets one file."""
+    rows.repartition(BUCKETS, *keys).write.insertInto(name)
