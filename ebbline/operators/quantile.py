@@ -2,82 +2,104 @@
 
 Every double has a 64-bit code whose order is the numbers' own. A pass cuts the codes that are still in question by their
 next sixteen bits, adds up the weights of the cells and keeps the cell that holds the wanted rank; after four passes the
-cell is one number. No pass ranks rows or gathers a group: a task sends at most 65,536 sums for each key, and what is
-ordered are those cells. A group may hold any share of the rows.
+cell is one number. Where few rows are left, one pass looks at all their remaining bits. No pass ranks rows or gathers a
+group: a task sends at most 65,536 sums for each key (of few rows, one for each), and what is ordered are those cells. A
+group may hold any share of the rows. The cells that were kept are stored and, where they are few, broadcast,
+so that only the sums of a pass are shuffled, never the rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbline.functions.text import finite
+from ebbline.session import new_path
 
 _DIGIT = 16
-_PASSES = 4
+_BITS = 64
+_FEW_ROWS = 1_000_000  # so many rows in kept cells are told apart in one pass
+_BROADCAST_CELLS = 100_000  # kept cells; beyond it they are joined by shuffle
 _SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
 
 
+def _arrow_codes() -> Callable:
+    """Made inside a function, so that workers need not have this package."""
+    import numpy as np
+    import pyarrow as pa
+
+    def codes(values):
+        numbers = values.to_numpy(zero_copy_only=False)
+        bits = np.abs(numbers).view(np.int64)
+        return pa.array(np.where(numbers < 0, -bits, bits), pa.int64(), mask=np.isnan(numbers))
+
+    codes.__annotations__ = {"values": pa.Array, "return": pa.Array}  # as types: Spark does not read them from text
+    return codes
+
+
 def order_code(value: Column) -> Column:
     """The bits of a finite double as a long in the order of the numbers; both zeros are 0.
 
-    The size of a number is its mantissa times a power of two. Scaling by powers of two is exact, so the code is too.
+    Read from Arrow batches: by arithmetic alone a code takes a logarithm and several powers. Marked as not deterministic so that the planner
+    does not work it out again for each place that reads it.
     """
-    size = F.abs(value)
-    scaled = F.when(size < 2.0**-900, size * 2.0**120).otherwise(size)
-    guess = F.floor(F.log2(scaled))  # may be one beside the exponent
-    guess = F.when(F.pow(F.lit(2.0), guess) > scaled, guess - 1).when(F.pow(F.lit(2.0), guess + 1) <= scaled, guess + 1).otherwise(guess)
-    exponent = F.greatest(guess - F.when(size < 2.0**-900, 120).otherwise(0), F.lit(-1022))
-    # Below the least exponent the mantissa is under one, and the same formula holds.
-    half = F.floor(exponent / 2)
-    mantissa = size * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent)
-    bits = (exponent + 1022).cast("long") * F.lit(1 << 52) + (mantissa * float(1 << 52)).cast("long")
-    return F.when(size == 0, F.lit(0).cast("long")).when(value < 0, -bits).otherwise(bits)
-
-
-def select_ranks(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``(_key, _target, value)``: the least value whose weight, with all below, reaches the target's ``_want``.
-
-    ``rows`` has ``_key, _code, _value, _weight`` and is read once for each pass; ``targets`` has a few rows for each key. The
-    key is a struct, whose missing fields equal each other.
+    return F.arrow_udf(_arrow_codes(), "long").asNondeterministic()(value)
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    """Sums or cells, written to the shared folder and read back."""
+    path = new_path(df.sparkSession, "cells")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def select_ranks(rows: DataFrame, wants: Column) -> DataFrame:
+    """``(_key, _target, value)``: the least value whose weight, with all below, reaches the target's wanted one.
+
+    ``rows`` has ``_key, _code, _value, _weight`` and is read once for each pass; ``wants`` is an array of a few wanted weights
+    of a key, the targets, by its weight ``_total``. The key is a struct, whose missing fields equal each other.
     """
-    found = None
-    for number in range(_PASSES):
-        shift = 64 - _DIGIT * (number + 1)
+    found, shift = None, _BITS - _DIGIT
+    while True:
         cell = F.shiftright("_code", shift).alias("_cell")
-        # All targets of a key share the first pass.
-        near = rows if found is None else rows.withColumn("_prefix", F.shiftright("_code", shift + _DIGIT)).join(found, ["_key", "_prefix"])
-        keys = ["_key"] if found is None else ["_key", "_target"]
-        carried = [] if found is None else ["_want"]
-        cells = near.groupBy(*keys, *carried, cell).agg(F.sum("_weight").alias("_sum"), F.min("_value").alias("_value"))
-        upto = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = cells.withColumn("_upto", F.sum("_sum").over(upto))
-        ranked = ranked.join(targets, "_key") if found is None else ranked
-        reached = ranked.filter(F.col("_upto") >= F.col("_want") * _SLACK)
-        first = F.min(F.struct("_cell", (F.col("_upto") - F.col("_sum")).alias("before"), "_value")).alias("_first")
-        found = reached.groupBy("_key", "_target", "_want").agg(first).select(
-            "_key", "_target", (F.col("_want") - F.col("_first.before")).alias("_want"), F.col("_first._cell").alias("_prefix"),
-            F.col("_first._value").alias("value"),
+        sums = (F.sum("_weight").alias("_sum"), F.count("*").alias("_rows"), F.min("_value").alias("_value"))
+        if found is None:  # all targets of a key share the first pass
+            cells = _stored(rows.groupBy("_key", cell).agg(*sums))
+            totals = cells.groupBy("_key").agg(F.sum("_sum").alias("_total"))
+            targets = totals.select("_key", F.posexplode(wants).alias("_target", "_want"))
+            cells = cells.join(targets, "_key")
+        else:
+            kept = F.broadcast(found) if found.count() <= _BROADCAST_CELLS else found
+            near = rows.withColumn("_prefix", F.shiftright("_code", before)).join(kept.drop("_rows"), ["_key", "_prefix"])
+            cells = near.groupBy("_key", "_target", "_want", cell).agg(*sums)
+        upto = Window.partitionBy("_key", "_target").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        reached = cells.withColumn("_upto", F.sum("_sum").over(upto)).filter(F.col("_upto") >= F.col("_want") * _SLACK)
+        first = F.min(F.struct("_cell", (F.col("_upto") - F.col("_sum")).alias("before"), "_rows", "_value")).alias("_first")
+        kept = reached.groupBy("_key", "_target", "_want").agg(first)
+        if shift == 0:
+            return kept.select("_key", "_target", F.col("_first._value").alias("value"))
+        found = _stored(
+            kept.select(
+                "_key", "_target", (F.col("_want") - F.col("_first.before")).alias("_want"), F.col("_first._cell").alias("_prefix"), "_first._rows"
+            )
         )
-        if number + 1 < _PASSES:
-            found = found.drop("value")
-    return found.select("_key", "_target", "value")
+        before, left = shift, found.agg(F.sum("_rows")).first()[0] or 0
+        shift = 0 if left <= _FEW_ROWS else shift - _DIGIT
 
 
 def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Exact median of each column in each group: rows ``(groups..., column_name, median)``.
 
-    NaN and the infinities are missing values; a column without values gives no row. ``df`` is read five times, so it should be stored.
+    NaN and the infinities are missing values; a column without values gives no row. ``df`` is read two to four times, so it should be stored.
     """
     keys = [*groups, "column_name"]
     long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(groups, columns, "column_name", "_value")
-    long = long.filter("_value is not null").select(
-        F.struct(*keys).alias("_key"), "_value", order_code(F.col("_value")).alias("_code"), F.lit(1.0).alias("_weight")
-    )
-    counts = long.groupBy("_key").agg(F.count("*").alias("_n"))
-    both = F.array(F.floor((F.col("_n") + 1) / 2).cast("double"), (F.floor(F.col("_n") / 2) + 1).cast("double"))
-    targets = counts.select("_key", F.posexplode(both).alias("_target", "_want"))
-    middle = select_ranks(long, targets).groupBy("_key").agg((F.sum("value") / 2).alias("median"))
+    long = long.filter("_value is not null").withColumn("_code", order_code(F.col("_value"))).select(F.struct(*keys).alias("_key"), "_value", "_code", F.lit(1.0).alias("_weight"))
+    n = F.col("_total")
+    both = F.array(F.floor((n + 1) / 2).cast("double"), (F.floor(n / 2) + 1).cast("double"))
+    middle = select_ranks(long, both).groupBy("_key").agg((F.sum("value") / 2).alias("median"))
     return middle.select("_key.*", "median")
 
 
@@ -90,5 +112,4 @@ def weighted_quantiles(df: DataFrame, groups: list[str], value: Column, weight:
         F.struct(*(groups or [F.lit(0).alias("_all")])).alias("_key"), finite(value.cast("double")).alias("_value"), weight.cast("double").alias("_weight")
     )
     rows = rows.filter("_value is not null and _weight > 0").withColumn("_code", order_code(F.col("_value")))
-    targets = rows.groupBy("_key").agg((F.sum("_weight") * q).alias("_want")).withColumn("_target", F.lit(0))
-    return select_ranks(rows, targets).select(*[F.col(f"_key.`{g}`") for g in groups], F.col("value").alias("quantile"))
+    return select_ranks(rows, F.array(F.col("_total") * q)).select(*[F.col(f"_key.`{g}`") for g in groups], F.col("value").alias("quantile"))

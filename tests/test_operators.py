@@ -45,6 +45,18 @@ def test_medians_of_a_missing_group(spark):
     assert sorted(map(tuple, quantile.exact_medians(df, ["g"], ["v"]).collect()), key=str) == [("a", "v", 7.0), (None, "v", 2.0)]
 
 
+def test_rows_of_medians_are_not_shuffled_for_each_pass(spark):
+    """Kept cells are few and broadcast, whatever the planner guesses of them, and a code is worked out once for each pass."""
+    df = spark.range(1000).selectExpr("id % 3 as g", "cast(id as double) as v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = quantile.exact_medians(df, ["g"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan and plan.count("ArrowEvalPython") == 1
+
+
 AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308, 1.0, -1.0,
            np.nextafter(1, 2), np.nextafter(1, 0), np.nextafter(-1, 0), 1e-300, 1e-270, 3.0, 4.0, np.nextafter(4, 0), 8.5e-250, 0.1, 1e22, 2.0**-900, 2.0**-901]
 
