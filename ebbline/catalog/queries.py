@@ -158,7 +158,8 @@ def _parsed(spark, sf) -> DataFrame:
 
 @query
 def parse_month_table(spark, sf):
-    rows = _parsed(spark, sf).select("app_id", F.posexplode("rows").alias("position", "r"))
+    # The outer form, since Spark lets the plain one filter pages by a parse of its own.
+    rows = _parsed(spark, sf).select("app_id", F.posexplode_outer("rows").alias("position", "r")).filter("position is not null")
     return shown(rows.select("app_id", "position", "r.label", "r.avg_players", "r.peak_players"))
 
 

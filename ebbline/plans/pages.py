@@ -63,7 +63,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         .when(F.size("rows") == 0, "no_table")
         .otherwise("ok")
     )
-    parsed = pages.withColumn("rows", F.when(~F.col("status_code").eqNullSafe(404), rows))
+    found = F.when(~F.col("status_code").eqNullSafe(404), rows)
+    # Out of an array of one: filters on the outcome are not pushed below, where the page would be parsed for each of them again.
+    parsed = pages.select("*", F.explode_outer(F.array(found)).alias("rows"))
     return parsed.select(
         "app_id",
         status.alias("status"),
