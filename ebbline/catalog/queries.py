@@ -576,7 +576,7 @@ def mart_app_persistence(spark, sf):
 @query
 def mart_persistence_two_loads(spark, sf):
     """A load without each app's newest month, then the whole one on top: the marts must read the newest months."""
-    monthly = bind.monthly_long(spark, sf)
+    monthly = stored(bind.monthly_long(spark, sf), "monthly-long")
     before = monthly.filter("month_index > 1").withColumn("month_index", F.col("month_index") - 1)
     first = _facts(spark, sf, before)
     first["fact_monthly"] = stored(first["fact_monthly"], "fact")

@@ -6,6 +6,8 @@ repeated or resumed alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,7 +66,9 @@ def stream_metrics(
     ``out`` holds one row per fetch; the panel takes the latest usable one.
     """
     stream = incremental.stream_files(spark, raw_pages, schemas.RAW_PAGES, files_per_batch)
-    parsed = pages.wide_metrics(pages.parse_pages(stream))
+    # A batch is a few files of any size; dealt out, all cores parse it.
+    dealt = stream.repartition(spark.sparkContext.defaultParallelism)
+    parsed = pages.wide_metrics(pages.parse_pages(dealt))
     incremental.ingest(parsed, out, checkpoint, pages.counters(), progress)
     return spark.read.parquet(progress).agg(*[F.sum(c).alias(c) for c in ("processed", *pages.OUTCOMES)])
 
@@ -171,10 +175,10 @@ def _refuse_violations(star: dict[str, DataFrame]) -> None:
         raise ValueError("The star violates its keys: " + "; ".join(f"{r['check_name']}: {r['key_value']}" for r in found))
 
 
-def build_marts(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The six marts over a stored star."""
+def build_marts(star: dict[str, DataFrame], store: Callable[[DataFrame], DataFrame] = lambda mart: mart) -> dict[str, DataFrame]:
+    """The six marts over a stored star. ``store`` may write the app mart, which four others read, and give it back read."""
     activity = warehouse.activity(star["fact_monthly"], star["dim_app"], star["dim_date"])
-    persistence = marts.app_persistence(activity, star["dim_app"])
+    persistence = store(marts.app_persistence(activity, star["dim_app"]))
     return {
         "app_persistence": persistence,
         "decay_curve": marts.decay_curve(activity),
@@ -197,8 +201,16 @@ def register_views(star: dict[str, DataFrame]) -> None:
 
 def export_marts(star: dict[str, DataFrame], out: str) -> None:
     """The marts as headed CSV folders."""
-    for name, mart in build_marts(star).items():
-        writers.write_csv(mart, f"{out}/{name}")
+    spark = star["dim_app"].sparkSession
+
+    def store(mart: DataFrame) -> DataFrame:
+        path = new_path(spark, "app-mart")
+        mart.write.parquet(path)
+        return spark.read.schema(mart.schema).parquet(path)
+
+    with scratch(spark):
+        for name, mart in build_marts(star, store).items():
+            writers.write_csv(mart, f"{out}/{name}")
 
 
 def build_charts(mart: dict[str, DataFrame], excluded: DataFrame | None = None) -> dict[str, DataFrame]:
