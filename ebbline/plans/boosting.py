@@ -36,8 +36,10 @@ from ebbline.plans.training import fit_medians, model_rows, sample_weight, usabl
 from ebbline.session import new_path
 
 BLOCK_ROWS = 16_384
+_TASK_BLOCKS = 8  # blocks of a task where there are more than one for each core
 _KEPT_ROUNDS = 10  # after so many rounds blocks are made anew with the fit so far
 _CELLS = 4_096  # ranges of a counting pass
+_FEW_TASKS = 16  # sums of so many tasks are added up at once
 _FETCHED = 200_000  # residuals of all leaves that are fetched at most
 _SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
 
@@ -275,7 +277,8 @@ class Booster:
             if total is not None:
                 yield total
 
-        return self.kept.mapPartitions(all_blocks).treeReduce(np.add)
+        # The sums of a few tasks are added up by the driver; a stage between would take longer than the work.
+        return self.kept.mapPartitions(all_blocks).treeReduce(np.add, 1 if self.kept.getNumPartitions() <= _FEW_TASKS else 2)
 
     def _with_fit(self, number: int | None) -> Callable[[dict], tuple[np.ndarray, np.ndarray]]:
         """Of a block: the fit before the round, and the round's bag."""
@@ -422,8 +425,9 @@ def boost(vectors: DataFrame, thresholds: list[list[float]], config: BoostingCon
     """``(starts, trees)`` of all quantiles from stored rows ``features, delta, weight, row_hash``."""
     spark = vectors.sparkSession
     n_rows = vectors.count()
-    # A task for each block, up to some tasks for each core.
-    tasks = max(1, min(-(-n_rows // BLOCK_ROWS), 8 * spark.sparkContext.defaultParallelism))
+    # A task for each block while there are cores for them, then for each few blocks, up to some tasks for each core.
+    blocks, cores = -(-n_rows // BLOCK_ROWS), spark.sparkContext.defaultParallelism
+    tasks = max(1, min(blocks, max(cores, -(-blocks // _TASK_BLOCKS)), 8 * cores))
     path = new_path(spark, "model-blocks")
     _blocks(vectors.repartition(tasks), thresholds, BLOCK_ROWS).write.parquet(path)
     booster = Booster(spark.read.parquet(path), n_rows, thresholds, config)

@@ -3,9 +3,11 @@
 import datetime
 import glob
 
+import numpy as np
+
 from ebbline import jobs, schemas
 from ebbline.catalog import bind
-from ebbline.plans import pages, warehouse
+from ebbline.plans import boosting, pages, warehouse
 
 PAGE = "<table><th>Month</th><th>Avg. Players</th><th>Peak Players</th><tr><td>May 2020</td><td>1</td><td></td><td></td><td>2</td></tr></table>"
 
@@ -48,3 +50,16 @@ def test_an_export_works_out_the_app_mart_once(spark, tmp_path, monkeypatch):
     jobs.export_marts({name: spark.createDataFrame([], schema) for name, schema in warehouse.STAR_SCHEMAS.items()}, str(tmp_path))
     for name in ("app_persistence", "price_tier_retention", "growth_decay"):
         assert len(files[name]) == 1 and "/app-mart-" in files[name][0]
+
+
+def test_the_sums_of_a_few_tasks_take_one_stage(spark):
+    context = spark.sparkContext
+    booster = boosting.Booster.__new__(boosting.Booster)
+    booster.kept = context.parallelize(range(9), 9)
+    context.setJobGroup("one-stage", "sums")
+    try:
+        assert booster._sum(lambda block: np.array([1.0, block])).tolist() == [9.0, 36.0]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("one-stage")] == [1]
