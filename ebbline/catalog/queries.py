@@ -863,10 +863,9 @@ def score_multihot(spark, sf):
 @query
 def score_forecast(spark, sf):
     model, _, _ = _fitted(spark, sf)
-    path = new_path(spark, "forecast-csv")
-    writers.write_csv(scoring.score(bind.score_input(spark, sf), model), path)
-    schema = bind.score_input(spark, sf).schema
-    columns = ", ".join(f"{f.name} string" for f in schema.fields)
+    path, given = new_path(spark, "forecast-csv"), bind.score_input(spark, sf)
+    writers.write_csv(scoring.score(given, model), path)
+    columns = ", ".join(f"{f.name} string" for f in given.schema.fields)
     forecasts = "pred_p10_players double, pred_p50_players double, pred_p90_players double, row_error string"
     return shown(spark.read.options(**readers.CSV_OPTIONS).schema(f"{columns}, {forecasts}").csv(path))
 

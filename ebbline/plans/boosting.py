@@ -6,7 +6,9 @@ as leaf value the exact weighted quantile of the leaf's residuals, and moves the
 Features are binned once, into blocks of a few thousand rows. A level of the trees is one pass over the blocks: it sums rows, weights
 and weights below the fit by (quantile, node, feature, bin), for all quantiles at once, of left children only; the right ones
 are what is left of their parents. Leaf values come from passes that count residuals by ranges of their 64-bit codes, each
-a 4,096th of the one before, until few enough are left to be fetched. Sums are added up in a tree of tasks; the driver sees one array of
+a 4,096th of the one before, until few enough are left to be fetched. Where a few tasks hold all blocks, one pass gives the leaf
+values and the root sums of the next round: each task sends the residuals around its own quantile, which hold the exact one or show
+that they don't, and the few rows whose side of the next fit is still open. Sums are added up in a tree of tasks; the driver sees one array of
 sums for each pass, whose size depends on the model alone. Blocks with the current fit are kept in memory every few rounds and are
 made from the stored rows and the trees so far, so a lost executor costs its blocks and no lineage builds up.
 
@@ -41,6 +43,7 @@ _KEPT_ROUNDS = 10  # after so many rounds blocks are made anew with the fit so f
 _CELLS = 4_096  # ranges of a counting pass
 _FEW_TASKS = 16  # sums of so many tasks are added up at once
 _FETCHED = 200_000  # residuals of all leaves that are fetched at most
+_SPREAD = 4.0  # a task's quantile is trusted to be so many standard deviations from that of all rows; what isn't is seen
 _SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
 
 
@@ -124,13 +127,12 @@ def _kernels() -> SimpleNamespace:
 
     def grow(bins: np.ndarray, tree: dict) -> np.ndarray:
         """The node of each row: children of node i are 2i+1 and 2i+2; a row stays where there is no split."""
-        at, rows = np.zeros(bins.shape[1], np.int64), np.arange(bins.shape[1])
-        feature, cut = tree["feature"], tree["cut"]
-        for _ in range(tree["levels"]):
-            chosen = feature[at]
-            below = bins[np.maximum(chosen, 0), rows] <= cut[at]
-            at = np.where(chosen >= 0, 2 * at + 2 - below, at)
-        return at
+        at = np.zeros(bins.shape[1], np.min_scalar_type(-2 * len(tree["feature"]) - 2))
+        # Node by node, parents first: comparing whole rows of bins takes a fraction of looking up a bin for each row.
+        for node in np.flatnonzero(tree["feature"][: 2 ** tree["levels"] - 1] >= 0).tolist():
+            below = bins[tree["feature"][node]] <= tree["cut"][node]
+            at += (at == node) * (at.dtype.type(node + 2) - below)
+        return at.astype(np.int64)
 
     def fitted(block: dict, start: list[float], trees: list[list[dict]]) -> np.ndarray:
         """The fit of each quantile, from nothing, added up in order of the rounds."""
@@ -162,20 +164,20 @@ def _kernels() -> SimpleNamespace:
         bins, weight = block["bins"], block["weight"]
         for q, tree in enumerate(trees):
             level = tree["levels"]
-            at = grow(bins, tree)
             first, n_nodes = 2**level - 1, max(1, 2 ** (level - 1))
-            here = bag & (at >= first)
-            if level:
-                here &= at % 2 == 1  # left children have odd numbers
-            rows = np.flatnonzero(here)
-            seat = (at[rows] - first) // 2 if level else np.zeros(len(rows), np.int64)
+            if level or not q:  # the roots have the same rows
+                at = grow(bins, tree)
+                here = bag & (at >= first)
+                if level:
+                    here &= at % 2 == 1  # left children have odd numbers
+                rows = np.flatnonzero(here)
+                seat = (at[rows] - first) // 2 if level else np.zeros(len(rows), np.int64)
+                cells = [seat * n_bins + bins[f, rows] for f in range(wide)]
+                plain = [[np.bincount(c, s, n_nodes * n_bins) for s in (None, weight[rows])] for c in cells]
+                hot = bins[wide:, rows].astype(np.float64)
             stats = [None, weight[rows], weight[rows] * (block["delta"][rows] <= fit[q, rows])]
-            base = seat * n_bins
             for f in range(wide):
-                cells = base + bins[f, rows]
-                found = [np.bincount(cells, s, n_nodes * n_bins) for s in stats]
-                out.append(np.stack(found, axis=-1).reshape(n_nodes, n_bins, 3).ravel())
-            hot = bins[wide:, rows].astype(np.float64)
+                out.append(np.stack([*plain[f], np.bincount(cells[f], stats[2], n_nodes * n_bins)], axis=-1).ravel())
             total = np.stack([np.bincount(seat, s, n_nodes) for s in stats], axis=-1)
             member = np.zeros((len(rows), n_nodes * 3))
             for k, s in enumerate(stats):
@@ -191,6 +193,46 @@ def _kernels() -> SimpleNamespace:
             residual = (block["delta"] - fit[q])[bag]
             yield q, seats[q][grow(block["bins"], tree)[bag]], codes(residual), residual, block["weight"][bag]
 
+    def windows(groups: list[tuple], n_nodes: int, shares: list[float], spread: float) -> list[tuple]:
+        """For each quantile: ``[leaf, (weight below, weight, first, last)]``, and leaf, residual and weight of the rows around the quantile.
+
+        Rows that are left out are at most ``first`` or at least ``last``; these are infinite where none is.
+        """
+        out = []
+        for q, share in enumerate(shares):
+            at, residual, weight = (np.concatenate([g[k] for g in groups if g[0] == q]) for k in (1, 3, 4))
+            order = np.lexsort((residual, at))
+            at, residual, weight = at[order], residual[order], weight[order]
+            ends = np.searchsorted(at, np.arange(n_nodes + 1))
+            edges, kept = np.tile([0.0, 0.0, -np.inf, np.inf], (n_nodes, 1)), []
+            for leaf in range(n_nodes):
+                first, last = int(ends[leaf]), int(ends[leaf + 1])
+                if first == last:
+                    continue
+                upto = np.cumsum(weight[first:last])
+                middle, half = int(np.searchsorted(upto, share * upto[-1])), int(spread * np.sqrt(len(upto) * share * (1 - share))) + 2
+                low, high = max(middle - half, 0), min(middle + half, len(upto))
+                edges[leaf, :2] = upto[low - 1] if low else 0.0, upto[-1]
+                if low:
+                    edges[leaf, 2] = residual[first + low]
+                if high < len(upto):
+                    edges[leaf, 3] = residual[first + high - 1]
+                kept.append(np.arange(first + low, first + high))
+            rows = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+            out.append((edges, at[rows], residual[rows], weight[rows]))
+        return out
+
+    def ahead(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], low: list[np.ndarray], high: list[np.ndarray], wide: int, n_bins: int) -> tuple[np.ndarray, list[tuple]]:
+        """Root sums of the next bag, if node values were ``low``, and the rows above that fit that ``high`` values would bring below."""
+        nodes = [grow(block["bins"], t) for t in trees]
+        least, most = (np.stack([fit[q] + v[q][nodes[q]] for q in range(len(trees))]) for v in (low, high))
+        root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
+        found = []
+        for q, at in enumerate(nodes):
+            rows = np.flatnonzero(bag & (block["delta"] > least[q]) & (block["delta"] <= most[q]))
+            found.append((at[rows], fit[q, rows], block["delta"][rows], block["weight"][rows], block["bins"][:, rows]))
+        return histograms(block, least, bag, [root] * len(trees), wide, n_bins), found
+
     def counted(groups: Iterator[tuple], n_nodes: int, low: np.ndarray, width: np.uint64, cells: int) -> np.ndarray:
         """``[quantile, leaf, cell, (rows, weight)]`` of the codes from ``low`` on, cut into ``cells`` ranges of ``width``."""
         out = np.zeros((len(low), n_nodes, cells, 2))
@@ -249,6 +291,7 @@ class Booster:
         self.rounds: list[list[dict]] = []
         self.kept: RDD | None = None
         self.kept_rounds = 0
+        self.ahead: np.ndarray | None = None  # root sums of the round to come
 
         def unpacked(row) -> dict:
             arrays = {"row_hash": np.int64, "delta": np.float64, "weight": np.float64}
@@ -292,17 +335,20 @@ class Booster:
         total, least = sums[0].sum(axis=0), self.config.min_leaf_rows
         gradient = q * total[1] - total[2]
         best, found = gradient * gradient / total[1] if total[1] > 0 else 0.0, None
-        for f, cells in enumerate(sums):
-            left = np.cumsum(cells, axis=0)[:-1]
+        # Features of as many bins at once: the wide ones, then the tags.
+        for start, own in ((0, sums[: self.wide]), (self.wide, sums[self.wide :])):
+            if not own:
+                continue
+            left = np.cumsum(np.stack(own), axis=1)[:, :-1]
             right = total - left
-            fits = np.minimum(left[:, 0], right[:, 0]) >= max(least, 1)
+            fits = np.minimum(left[..., 0], right[..., 0]) >= max(least, 1)
             if fits.any():
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    gains = [(q * s[:, 1] - s[:, 2]) * (q * s[:, 1] - s[:, 2]) / s[:, 1] for s in (left, right)]
+                    gains = [(q * s[..., 1] - s[..., 2]) * (q * s[..., 1] - s[..., 2]) / s[..., 1] for s in (left, right)]
                 gain = np.where(fits, gains[0] + gains[1], -np.inf)
-                at = int(np.argmax(gain))
-                if gain[at] > best:
-                    best, found = float(gain[at]), (f, at)
+                f, at = np.unravel_index(np.argmax(gain), gain.shape)
+                if gain[f, at] > best:
+                    best, found = float(gain[f, at]), (start + int(f), int(at))
         return found
 
     def _grow(self, number: int) -> list[dict]:
@@ -315,7 +361,10 @@ class Booster:
             if level and not any(parents):
                 break
             now = [{"feature": t["feature"], "cut": t["cut"], "levels": level} for t in trees]
-            flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
+            if level == 0 and self.ahead is not None:
+                flat = self.ahead
+            else:
+                flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
             n_nodes = max(1, 2 ** (level - 1))
             flat, at = flat.reshape(n_q, -1), 0
             first = 2**level - 1
@@ -386,6 +435,72 @@ class Booster:
             values.append(own[seats[q]])
         return values
 
+    def _one_pass(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
+        """What ``_quantiles`` gives, and the root sums of the next round, from one pass; None where it can't be told so."""
+        config, kernels, with_fit, shares = self.config, self.kernels, self._with_fit(number), list(self.config.quantiles)
+        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
+        size, tasks, spread = 2**config.max_depth, self.kept.getNumPartitions(), _SPREAD
+        sent = sum(2 * (spread * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in shares) * tasks
+        if tasks > _FEW_TASKS or sent > _FETCHED:
+            return None
+        size = 1 + max(int(s[-1]) for s in seats)
+        leaves, windows, ahead, bagged = kernels.leaves, kernels.windows, kernels.ahead, kernels.bagged
+        rate, seed, share, wide, n_bins = config.learning_rate, config.seed, config.subsample, self.wide, self.n_bins
+        more, most_open = number + 1 < config.rounds, _FETCHED // tasks
+
+        def run(blocks: Iterator[dict]) -> Iterator[tuple]:
+            held = [(b, *with_fit(b)) for b in blocks]
+            if not held:
+                return
+            found = windows([g for b, fit, bag in held for g in leaves(b, fit, bag, trees, seats)], size, shares, spread)
+            sums, still_open = None, []
+            if more:
+                low, high = ([rate * w[0][:, k][s] for w, s in zip(found, seats)] for k in (2, 3))
+                for b, fit, _ in held:
+                    own, rows = ahead(b, fit, bagged(b, number + 1, seed, share), trees, low, high, wide, n_bins)
+                    sums = own if sums is None else sums + own
+                    still_open.append(rows)
+                if sum(len(r[0]) for rows in still_open for r in rows) > most_open:
+                    sums, still_open = None, []
+            yield found, sums, still_open
+
+        parts = self.kept.mapPartitions(run).collect()
+        values = []
+        for q, seat in enumerate(seats):
+            edges = np.stack([found[q][0] for found, _, _ in parts])
+            at, residual, weight = (np.concatenate([found[q][k] for found, _, _ in parts]) for k in (1, 2, 3))
+            order = np.lexsort((residual, at))
+            at, residual, weight = at[order], residual[order], weight[order]
+            own = np.zeros(size)
+            for leaf in np.unique(at):
+                span = slice(*np.searchsorted(at, [leaf, leaf + 1]))
+                upto = edges[:, leaf, 0].sum() + np.cumsum(weight[span])
+                reached = int(np.searchsorted(upto, edges[:, leaf, 1].sum() * shares[q] * _SLACK))
+                if reached == len(upto):
+                    return None
+                own[leaf] = residual[span][reached]
+                # Then what the tasks left out is on the side where they counted it.
+                if not (edges[:, leaf, 2].max() < own[leaf] < edges[:, leaf, 3].min()):
+                    return None
+            values.append(own[seat])
+        if more and all(sums is not None for _, sums, _ in parts):
+            self.ahead = self._closed(sum(sums for _, sums, _ in parts), [rows for _, _, rows in parts for rows in rows], values)
+        return values
+
+    def _closed(self, sums: np.ndarray, still_open: list[list[tuple]], values: list[np.ndarray]) -> np.ndarray:
+        """Root sums with the weights of the rows that the node values brought below the fit."""
+        sums = sums.reshape(len(values), -1).copy()
+        wide, n_bins, narrow = self.wide, self.n_bins, self.n_features - self.wide
+        # As ``histograms`` lays them out: wide features, tags, and the total of each.
+        first = np.r_[np.arange(wide) * n_bins, wide * n_bins + 2 * np.arange(narrow)].astype(np.int64)[:, None]
+        for q in range(len(values)):
+            at, fit, delta, weight, bins = (np.concatenate([rows[q][k] for rows in still_open], axis=-1) for k in range(5))
+            below = delta <= fit + self.config.learning_rate * values[q][at]
+            weight, cells = weight[below], (first + bins[:, below]) * 3 + 2
+            sums[q] += np.bincount(cells.ravel(), np.tile(weight, len(first)), sums.shape[1])
+            sums[q, -1] += weight.sum()
+        return sums.ravel()
+
     def run(self) -> None:
         config = self.config
         root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
@@ -396,7 +511,9 @@ class Booster:
             if number % _KEPT_ROUNDS == 0:
                 self._keep()
             trees = self._grow(number)
-            for tree, values in zip(trees, self._quantiles(trees, number)):
+            self.ahead = None
+            found = self._one_pass(trees, number)
+            for tree, values in zip(trees, self._quantiles(trees, number) if found is None else found):
                 tree["leaf"] = values
                 tree["value"] = config.learning_rate * values
             self.rounds.append(trees)

@@ -4,6 +4,7 @@ import datetime
 import glob
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
 
 from ebbline import jobs, schemas
 from ebbline.catalog import bind
@@ -63,3 +64,32 @@ def test_the_sums_of_a_few_tasks_take_one_stage(spark):
         context.setLocalProperty("spark.jobGroup.id", None)
     tracker = context.statusTracker()
     assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("one-stage")] == [1]
+
+
+def test_a_round_takes_three_jobs_and_the_trees_stay_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(list(map(float, x)), float(d), float(1 + (x[0] > 4)), i) for i, (x, d) in enumerate(zip(
+        np.c_[rng.integers(0, 9, (3000, 3)), rng.integers(0, 2, (3000, 2))], rng.normal(size=3000)))]
+    rows = [(x, d + x[0] / 9 - x[3], w, i * 7_919) for x, d, w, i in rows]
+    vectors = spark.createDataFrame(rows, "x array<double>, delta double, weight double, row_hash long").repartition(3)
+    vectors = vectors.withColumn("features", array_to_vector("x")).drop("x").cache()
+    cuts = [[i + 0.5 for i in range(8)]] * 3 + [[0.5]] * 2
+    config = boosting.BoostingConfig(rounds=12, learning_rate=0.5, subsample=0.8)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 250)
+    context, jobs_of, run = spark.sparkContext, [], boosting.Booster.run
+
+    def counted(booster):
+        name = f"rounds-{len(jobs_of)}"
+        context.setJobGroup(name, "rounds")
+        try:
+            run(booster)
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        jobs_of.append(len(context.statusTracker().getJobIdsForGroup(name)))
+
+    monkeypatch.setattr(boosting.Booster, "run", counted)
+    shared = boosting.boost(vectors, cuts, config)
+    monkeypatch.setattr(boosting.Booster, "_one_pass", lambda *_: None)
+    assert boosting.boost(vectors, cuts, config) == shared
+    assert jobs_of[0] <= 3 * config.rounds + 6 and jobs_of[1] >= 4 * config.rounds
+    assert all(len(t["feature"]) > 1 for trees in shared[1].values() for t in trees)
