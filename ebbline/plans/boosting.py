@@ -7,8 +7,7 @@ Features are binned once, into blocks of a few thousand rows. A level of the tre
 and weights below the fit by (quantile, node, feature, bin), for all quantiles at once, of left children only; the right ones
 are what is left of their parents. Leaf values come from passes that count residuals by ranges of their 64-bit codes, each
 a 4,096th of the one before, until few enough are left to be fetched. Where a few tasks hold all blocks, one pass gives the leaf
-values and the root sums of the next round: each task sends the residuals around its own quantile, which hold the exact one or show
-that they don't, and the few rows whose side of the next fit is still open. Sums are added up in a tree of tasks; the driver sees one array of
+values: each task sends the residuals around its own quantile, which hold the exact one or show that they don't. Sums are added up in a tree of tasks; the driver sees one array of
 sums for each pass, whose size depends on the model alone. Blocks with the current fit are kept in memory every few rounds and are
 made from the stored rows and the trees so far, so a lost executor costs its blocks and no lineage builds up.
 
@@ -222,17 +221,6 @@ def _kernels() -> SimpleNamespace:
             out.append((edges, at[rows], residual[rows], weight[rows]))
         return out
 
-    def ahead(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], low: list[np.ndarray], high: list[np.ndarray], wide: int, n_bins: int) -> tuple[np.ndarray, list[tuple]]:
-        """Root sums of the next bag, if node values were ``low``, and the rows above that fit that ``high`` values would bring below."""
-        nodes = [grow(block["bins"], t) for t in trees]
-        least, most = (np.stack([fit[q] + v[q][nodes[q]] for q in range(len(trees))]) for v in (low, high))
-        root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
-        found = []
-        for q, at in enumerate(nodes):
-            rows = np.flatnonzero(bag & (block["delta"] > least[q]) & (block["delta"] <= most[q]))
-            found.append((at[rows], fit[q, rows], block["delta"][rows], block["weight"][rows], block["bins"][:, rows]))
-        return histograms(block, least, bag, [root] * len(trees), wide, n_bins), found
-
     def counted(groups: Iterator[tuple], n_nodes: int, low: np.ndarray, width: np.uint64, cells: int) -> np.ndarray:
         """``[quantile, leaf, cell, (rows, weight)]`` of the codes from ``low`` on, cut into ``cells`` ranges of ``width``."""
         out = np.zeros((len(low), n_nodes, cells, 2))
@@ -291,7 +279,6 @@ class Booster:
         self.rounds: list[list[dict]] = []
         self.kept: RDD | None = None
         self.kept_rounds = 0
-        self.ahead: np.ndarray | None = None  # root sums of the round to come
 
         def unpacked(row) -> dict:
             arrays = {"row_hash": np.int64, "delta": np.float64, "weight": np.float64}
@@ -361,10 +348,7 @@ class Booster:
             if level and not any(parents):
                 break
             now = [{"feature": t["feature"], "cut": t["cut"], "levels": level} for t in trees]
-            if level == 0 and self.ahead is not None:
-                flat = self.ahead
-            else:
-                flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
+            flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
             n_nodes = max(1, 2 ** (level - 1))
             flat, at = flat.reshape(n_q, -1), 0
             first = 2**level - 1
@@ -436,39 +420,26 @@ class Booster:
         return values
 
     def _one_pass(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
-        """What ``_quantiles`` gives, and the root sums of the next round, from one pass; None where it can't be told so."""
-        config, kernels, with_fit, shares = self.config, self.kernels, self._with_fit(number), list(self.config.quantiles)
+        """What ``_quantiles`` gives, from one pass; None where it can't be told so."""
+        config, with_fit, shares = self.config, self._with_fit(number), list(self.config.quantiles)
         seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
         size, tasks, spread = 2**config.max_depth, self.kept.getNumPartitions(), _SPREAD
         sent = sum(2 * (spread * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in shares) * tasks
         if tasks > _FEW_TASKS or sent > _FETCHED:
             return None
         size = 1 + max(int(s[-1]) for s in seats)
-        leaves, windows, ahead, bagged = kernels.leaves, kernels.windows, kernels.ahead, kernels.bagged
-        rate, seed, share, wide, n_bins = config.learning_rate, config.seed, config.subsample, self.wide, self.n_bins
-        more, most_open = number + 1 < config.rounds, _FETCHED // tasks
-
-        def run(blocks: Iterator[dict]) -> Iterator[tuple]:
-            held = [(b, *with_fit(b)) for b in blocks]
-            if not held:
-                return
-            found = windows([g for b, fit, bag in held for g in leaves(b, fit, bag, trees, seats)], size, shares, spread)
-            sums, still_open = None, []
-            if more:
-                low, high = ([rate * w[0][:, k][s] for w, s in zip(found, seats)] for k in (2, 3))
-                for b, fit, _ in held:
-                    own, rows = ahead(b, fit, bagged(b, number + 1, seed, share), trees, low, high, wide, n_bins)
-                    sums = own if sums is None else sums + own
-                    still_open.append(rows)
-                if sum(len(r[0]) for rows in still_open for r in rows) > most_open:
-                    sums, still_open = None, []
-            yield found, sums, still_open
+        leaves, windows = self.kernels.leaves, self.kernels.windows
+
+        def run(blocks: Iterator[dict]) -> Iterator[list[tuple]]:
+            groups = [g for b in blocks for g in leaves(b, *with_fit(b), trees, seats)]
+            if groups:
+                yield windows(groups, size, shares, spread)
 
         parts = self.kept.mapPartitions(run).collect()
         values = []
         for q, seat in enumerate(seats):
-            edges = np.stack([found[q][0] for found, _, _ in parts])
-            at, residual, weight = (np.concatenate([found[q][k] for found, _, _ in parts]) for k in (1, 2, 3))
+            edges = np.stack([found[q][0] for found in parts])
+            at, residual, weight = (np.concatenate([found[q][k] for found in parts]) for k in (1, 2, 3))
             order = np.lexsort((residual, at))
             at, residual, weight = at[order], residual[order], weight[order]
             own = np.zeros(size)
@@ -483,24 +454,8 @@ class Booster:
                 if not (edges[:, leaf, 2].max() < own[leaf] < edges[:, leaf, 3].min()):
                     return None
             values.append(own[seat])
-        if more and all(sums is not None for _, sums, _ in parts):
-            self.ahead = self._closed(sum(sums for _, sums, _ in parts), [rows for _, _, rows in parts for rows in rows], values)
         return values
 
-    def _closed(self, sums: np.ndarray, still_open: list[list[tuple]], values: list[np.ndarray]) -> np.ndarray:
-        """Root sums with the weights of the rows that the node values brought below the fit."""
-        sums = sums.reshape(len(values), -1).copy()
-        wide, n_bins, narrow = self.wide, self.n_bins, self.n_features - self.wide
-        # As ``histograms`` lays them out: wide features, tags, and the total of each.
-        first = np.r_[np.arange(wide) * n_bins, wide * n_bins + 2 * np.arange(narrow)].astype(np.int64)[:, None]
-        for q in range(len(values)):
-            at, fit, delta, weight, bins = (np.concatenate([rows[q][k] for rows in still_open], axis=-1) for k in range(5))
-            below = delta <= fit + self.config.learning_rate * values[q][at]
-            weight, cells = weight[below], (first + bins[:, below]) * 3 + 2
-            sums[q] += np.bincount(cells.ravel(), np.tile(weight, len(first)), sums.shape[1])
-            sums[q, -1] += weight.sum()
-        return sums.ravel()
-
     def run(self) -> None:
         config = self.config
         root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
@@ -511,7 +466,6 @@ class Booster:
             if number % _KEPT_ROUNDS == 0:
                 self._keep()
             trees = self._grow(number)
-            self.ahead = None
             found = self._one_pass(trees, number)
             for tree, values in zip(trees, self._quantiles(trees, number) if found is None else found):
                 tree["leaf"] = values

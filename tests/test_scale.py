@@ -66,7 +66,7 @@ def test_the_sums_of_a_few_tasks_take_one_stage(spark):
     assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("one-stage")] == [1]
 
 
-def test_a_round_takes_three_jobs_and_the_trees_stay_the_same(spark, monkeypatch):
+def test_leaf_values_take_one_job_of_a_round_and_the_trees_stay_the_same(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(list(map(float, x)), float(d), float(1 + (x[0] > 4)), i) for i, (x, d) in enumerate(zip(
         np.c_[rng.integers(0, 9, (3000, 3)), rng.integers(0, 2, (3000, 2))], rng.normal(size=3000)))]
@@ -76,7 +76,7 @@ def test_a_round_takes_three_jobs_and_the_trees_stay_the_same(spark, monkeypatch
     cuts = [[i + 0.5 for i in range(8)]] * 3 + [[0.5]] * 2
     config = boosting.BoostingConfig(rounds=12, learning_rate=0.5, subsample=0.8)
     monkeypatch.setattr(boosting, "BLOCK_ROWS", 250)
-    context, jobs_of, run = spark.sparkContext, [], boosting.Booster.run
+    context, jobs_of, run, one_pass = spark.sparkContext, [], boosting.Booster.run, boosting.Booster._one_pass
 
     def counted(booster):
         name = f"rounds-{len(jobs_of)}"
@@ -91,5 +91,9 @@ def test_a_round_takes_three_jobs_and_the_trees_stay_the_same(spark, monkeypatch
     shared = boosting.boost(vectors, cuts, config)
     monkeypatch.setattr(boosting.Booster, "_one_pass", lambda *_: None)
     assert boosting.boost(vectors, cuts, config) == shared
-    assert jobs_of[0] <= 3 * config.rounds + 6 and jobs_of[1] >= 4 * config.rounds
+    assert jobs_of[0] <= 4 * config.rounds + 6 and jobs_of[1] == jobs_of[0]
+    monkeypatch.setattr(boosting, "_FETCHED", 8_000)  # too few for the rows of all quantiles, enough around them
+    assert boosting.boost(vectors, cuts, config) == shared and jobs_of[2] >= 5 * config.rounds
+    monkeypatch.setattr(boosting.Booster, "_one_pass", one_pass)
+    assert boosting.boost(vectors, cuts, config) == shared and jobs_of[3] <= jobs_of[2] - config.rounds // 2
     assert all(len(t["feature"]) > 1 for trees in shared[1].values() for t in trees)
