@@ -257,9 +257,9 @@ def sweep_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def score_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoring rows, as text: the three newest months of each part, oldest first, with its metadata."""
-    wide = metrics_wide(spark, sf_dir)
+def score_input(spark: SparkSession, sf_dir: str, wide: DataFrame | None = None) -> DataFrame:
+    """Scoring rows, as text: the three newest months of each part, oldest first, with its metadata. ``wide`` may be its stored months."""
+    wide = metrics_wide(spark, sf_dir) if wide is None else wide
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("app_id"),
         F.when(F.col("p_type") == "PROMO", "1").when(F.col("p_size") == 31, "maybe").otherwise("0").alias("is_free"),

@@ -362,8 +362,8 @@ def finite_values(spark, sf):
 # --- panel -------------------------------------------------------------------
 
 
-def _joined(spark, sf) -> DataFrame:
-    return panel.metrics_with_metadata(bind.metrics_wide(spark, sf), bind.metadata(spark, sf))
+def _joined(spark, sf, wide: DataFrame | None = None) -> DataFrame:
+    return panel.metrics_with_metadata(bind.metrics_wide(spark, sf) if wide is None else wide, bind.metadata(spark, sf))
 
 
 def _panel(spark, sf) -> DataFrame:
@@ -759,9 +759,9 @@ def downtrend_slice(spark, sf):
 _MODELS: dict[tuple[str, str], boosting.QuantileModel] = {}
 
 
-def _fitted(spark, sf):
+def _fitted(spark, sf, wide: DataFrame | None = None):
     """Model, training rows and held-out rows. Queries of one session over the same tables share one fit."""
-    joined = stored(_joined(spark, sf), "joined")
+    joined = stored(_joined(spark, sf, wide), "joined")
     train, held_out = boosting.sides(stored(panel.build_panel(joined), "panel"))
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
@@ -862,8 +862,9 @@ def score_multihot(spark, sf):
 
 @query
 def score_forecast(spark, sf):
-    model, _, _ = _fitted(spark, sf)
-    path, given = new_path(spark, "forecast-csv"), bind.score_input(spark, sf)
+    wide = stored(bind.metrics_wide(spark, sf), "wide")  # of the panel and of the scoring rows
+    model, _, _ = _fitted(spark, sf, wide)
+    path, given = new_path(spark, "forecast-csv"), bind.score_input(spark, sf, wide)
     writers.write_csv(scoring.score(given, model), path)
     columns = ", ".join(f"{f.name} string" for f in given.schema.fields)
     forecasts = "pred_p10_players double, pred_p50_players double, pred_p90_players double, row_error string"

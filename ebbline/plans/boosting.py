@@ -7,7 +7,9 @@ Features are binned once, into blocks of a few thousand rows. A level of the tre
 and weights below the fit by (quantile, node, feature, bin), for all quantiles at once, of left children only; the right ones
 are what is left of their parents. Leaf values come from passes that count residuals by ranges of their 64-bit codes, each
 a 4,096th of the one before, until few enough are left to be fetched. Where a few tasks hold all blocks, one pass gives the leaf
-values: each task sends the residuals around its own quantile, which hold the exact one or show that they don't. Sums are added up in a tree of tasks; the driver sees one array of
+values: each task sends the residuals around its own quantile, which hold the exact one or show that they don't. That pass also foresees
+the root sums of the next round, with the tasks' own quantiles as leaf values; the best splits they name are only guesses, by which the pass
+over the roots takes along the sums of the next level. Where the exact root sums name another split, that level takes its own pass. Sums are added up in a tree of tasks; the driver sees one array of
 sums for each pass, whose size depends on the model alone. Blocks with the current fit are kept in memory every few rounds and are
 made from the stored rows and the trees so far, so a lost executor costs its blocks and no lineage builds up.
 
@@ -43,6 +45,7 @@ _CELLS = 4_096  # ranges of a counting pass
 _FEW_TASKS = 16  # sums of so many tasks are added up at once
 _FETCHED = 200_000  # residuals of all leaves that are fetched at most
 _SPREAD = 4.0  # a task's quantile is trusted to be so many standard deviations from that of all rows; what isn't is seen
+_GUESSES = 2  # likely root splits of a quantile for which the next level is taken along
 _SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
 
 
@@ -193,9 +196,9 @@ def _kernels() -> SimpleNamespace:
             yield q, seats[q][grow(block["bins"], tree)[bag]], codes(residual), residual, block["weight"][bag]
 
     def windows(groups: list[tuple], n_nodes: int, shares: list[float], spread: float) -> list[tuple]:
-        """For each quantile: ``[leaf, (weight below, weight, first, last)]``, and leaf, residual and weight of the rows around the quantile.
+        """For each quantile: ``[leaf, (weight below, weight, first, last, middle)]``, and leaf, residual and weight of the rows around the quantile.
 
-        Rows that are left out are at most ``first`` or at least ``last``; these are infinite where none is.
+        Rows that are left out are at most ``first`` or at least ``last``; these are infinite where none is. ``middle`` is the quantile of these groups.
         """
         out = []
         for q, share in enumerate(shares):
@@ -203,7 +206,7 @@ def _kernels() -> SimpleNamespace:
             order = np.lexsort((residual, at))
             at, residual, weight = at[order], residual[order], weight[order]
             ends = np.searchsorted(at, np.arange(n_nodes + 1))
-            edges, kept = np.tile([0.0, 0.0, -np.inf, np.inf], (n_nodes, 1)), []
+            edges, kept = np.tile([0.0, 0.0, -np.inf, np.inf, 0.0], (n_nodes, 1)), []
             for leaf in range(n_nodes):
                 first, last = int(ends[leaf]), int(ends[leaf + 1])
                 if first == last:
@@ -212,6 +215,7 @@ def _kernels() -> SimpleNamespace:
                 middle, half = int(np.searchsorted(upto, share * upto[-1])), int(spread * np.sqrt(len(upto) * share * (1 - share))) + 2
                 low, high = max(middle - half, 0), min(middle + half, len(upto))
                 edges[leaf, :2] = upto[low - 1] if low else 0.0, upto[-1]
+                edges[leaf, 4] = residual[first + min(middle, len(upto) - 1)]
                 if low:
                     edges[leaf, 2] = residual[first + low]
                 if high < len(upto):
@@ -221,6 +225,15 @@ def _kernels() -> SimpleNamespace:
             out.append((edges, at[rows], residual[rows], weight[rows]))
         return out
 
+    def foreseen(blocks: list[tuple], trees: list[dict], steps: list[np.ndarray], next_bag: Callable[[dict], np.ndarray], wide: int, n_bins: int) -> np.ndarray:
+        """Root sums of the next round, if ``steps`` are what the nodes of this one add to the fit."""
+        root, total = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}, None
+        for block, fit, _ in blocks:
+            ahead = np.stack([fit[q] + steps[q][grow(block["bins"], tree)] for q, tree in enumerate(trees)])
+            found = histograms(block, ahead, next_bag(block), [root] * len(trees), wide, n_bins)
+            total = found if total is None else total + found
+        return total
+
     def counted(groups: Iterator[tuple], n_nodes: int, low: np.ndarray, width: np.uint64, cells: int) -> np.ndarray:
         """``[quantile, leaf, cell, (rows, weight)]`` of the codes from ``low`` on, cut into ``cells`` ranges of ``width``."""
         out = np.zeros((len(low), n_nodes, cells, 2))
@@ -277,6 +290,8 @@ class Booster:
         self.n_features = len(thresholds)
         self.start: list[float] = []
         self.rounds: list[list[dict]] = []
+        self.guess: list[list[tuple[int, int]]] = []  # of each quantile, the likely root splits of the next round
+        self.past = None  # the broadcast rounds of the kept blocks
         self.kept: RDD | None = None
         self.kept_rounds = 0
 
@@ -289,14 +304,18 @@ class Booster:
     def close(self) -> None:
         if self.kept is not None:
             self.kept.unpersist()
+            self.past.unpersist()
 
     def _keep(self) -> None:
         """Blocks with the fit so far, from the stored rows and all trees."""
-        fitted, start, rounds, old = self.kernels.fitted, list(self.start), list(self.rounds), self.kept
-        self.kept = self.source.map(lambda b: b | {"fit": fitted(b, start, rounds)}).persist(StorageLevel.MEMORY_AND_DISK)
-        self.kept_rounds = len(rounds)
+        fitted, start, old, old_past = self.kernels.fitted, list(self.start), self.kept, self.past
+        # In the closure itself the trees would go out with each of the passes over the kept blocks.
+        rounds = self.past = self.source.context.broadcast(list(self.rounds))
+        self.kept = self.source.map(lambda b: b | {"fit": fitted(b, start, rounds.value)}).persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept_rounds = len(self.rounds)
         if old is not None:
             old.unpersist()
+            old_past.unpersist()
 
     def _sum(self, work: Callable[[dict], np.ndarray]) -> np.ndarray:
         def all_blocks(blocks: Iterator[dict]) -> Iterator[np.ndarray]:
@@ -317,59 +336,116 @@ class Booster:
         advanced, bagged = kernels.advanced, kernels.bagged
         return lambda b: (advanced(b, b["fit"], since), bagged(b, number or 0, seed, share))
 
-    def _split(self, sums: np.ndarray, q: float) -> tuple[int, int] | None:
-        """Feature and bin of the best split of a node; the first of equal ones. ``sums`` is a list of arrays by feature."""
-        total, least = sums[0].sum(axis=0), self.config.min_leaf_rows
+    def _gains(self, sums: tuple[np.ndarray, np.ndarray], q: float) -> tuple[float, list[tuple[int, np.ndarray]]]:
+        """The score of a node and, by first feature, that of its splits; ``sums`` are by feature, the wide ones and the tags."""
+        total, least = (sums[0] if len(sums[0]) else sums[1])[0].sum(axis=0), self.config.min_leaf_rows
         gradient = q * total[1] - total[2]
-        best, found = gradient * gradient / total[1] if total[1] > 0 else 0.0, None
-        # Features of as many bins at once: the wide ones, then the tags.
-        for start, own in ((0, sums[: self.wide]), (self.wide, sums[self.wide :])):
-            if not own:
-                continue
-            left = np.cumsum(np.stack(own), axis=1)[:, :-1]
+        found = []
+        for start, own in ((0, sums[0]), (self.wide, sums[1])):
+            left = np.cumsum(own, axis=1)[:, :-1]
             right = total - left
             fits = np.minimum(left[..., 0], right[..., 0]) >= max(least, 1)
             if fits.any():
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gains = [(q * s[..., 1] - s[..., 2]) * (q * s[..., 1] - s[..., 2]) / s[..., 1] for s in (left, right)]
-                gain = np.where(fits, gains[0] + gains[1], -np.inf)
-                f, at = np.unravel_index(np.argmax(gain), gain.shape)
-                if gain[f, at] > best:
-                    best, found = float(gain[f, at]), (start + int(f), int(at))
+                found.append((start, np.where(fits, gains[0] + gains[1], -np.inf)))
+        return gradient * gradient / total[1] if total[1] > 0 else 0.0, found
+
+    def _split(self, sums: tuple[np.ndarray, np.ndarray], q: float) -> tuple[int, int] | None:
+        """Feature and bin of the best split of a node; the first of equal ones."""
+        best, by_group = self._gains(sums, q)
+        found = None
+        for start, gain in by_group:
+            f, at = np.unravel_index(np.argmax(gain), gain.shape)
+            if gain[f, at] > best:
+                best, found = float(gain[f, at]), (start + int(f), int(at))
         return found
 
+    def _likely(self, sums: tuple[np.ndarray, np.ndarray], q: float) -> list[tuple[int, int]]:
+        """Some of the best splits of a node."""
+        least, by_group = self._gains(sums, q)
+        best = []
+        for start, gain in by_group:
+            for place in np.argsort(-gain, axis=None, kind="stable")[:_GUESSES]:
+                f, at = np.unravel_index(place, gain.shape)
+                if gain[f, at] > least:
+                    best.append((float(gain[f, at]), (start + int(f), int(at))))
+        return [split for _, split in sorted(best, key=lambda b: -b[0])[:_GUESSES]]
+
+    def _by_feature(self, own: np.ndarray, n_nodes: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of a quantile's nodes as ``[feature, node, bin, (rows, weight, weight below the fit)]``: the wide features, then the tags."""
+        split, narrow = self.wide * n_nodes * self.n_bins * 3, self.n_features - self.wide
+        tags = own[split : split + narrow * n_nodes * 6].reshape(narrow, n_nodes, 2, 3)
+        return own[:split].reshape(self.wide, n_nodes, self.n_bins, 3), tags
+
+    def _foresight(self, trees: list[dict], seats: list[np.ndarray], number: int) -> Callable[[list[tuple], list[np.ndarray]], np.ndarray | None]:
+        """Of a task's blocks with fit and bag, and the task's own quantiles of the leaves: the root sums of the next round as it foresees them."""
+        config, wide, n_bins, foreseen, bagged = self.config, self.wide, self.n_bins, self.kernels.foreseen, self.kernels.bagged
+        rate, seed, share = config.learning_rate, config.seed, config.subsample
+        if number + 1 >= config.rounds or config.max_depth < 2:
+            return lambda blocks, middles: None
+        return lambda blocks, middles: foreseen(
+            blocks, trees, [rate * m[s] for m, s in zip(middles, seats)], lambda b: bagged(b, number + 1, seed, share), wide, n_bins
+        )
+
+    def _foresee(self, sums: list[np.ndarray | None]) -> None:
+        sums = [s for s in sums if s is not None]
+        if sums and self.n_features:
+            by_quantile = np.sum(sums, axis=0).reshape(len(self.config.quantiles), -1)
+            nodes = [[group[:, 0] for group in self._by_feature(own, 1)] for own in by_quantile]
+            self.guess = [self._likely(node, q) for node, q in zip(nodes, self.config.quantiles)]
+
+    def _with_guesses(self, roots: list[dict], guess: list[list[tuple[int, int]]], size: int, number: int) -> tuple[np.ndarray, list[dict[tuple, np.ndarray]]]:
+        """The sums of the roots and, of each quantile, those of the next level by likely root split."""
+        with_fit, histograms, wide, n_bins, n_q = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins, len(guess)
+        levels = [roots]
+        for k in range(max(map(len, guess))):
+            trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 1} for _ in range(n_q)]
+            for tree, splits in zip(trees, guess):
+                if k < len(splits):
+                    tree["feature"][0], tree["cut"][0] = splits[k]
+            levels.append(trees)
+
+        def work(block: dict) -> np.ndarray:
+            state = with_fit(block)
+            return np.stack([histograms(block, *state, trees, wide, n_bins) for trees in levels])
+
+        sums = self._sum(work).reshape(len(levels), n_q, -1)
+        return sums[0], [{split: sums[1 + k, q] for k, split in enumerate(splits)} for q, splits in enumerate(guess)]
+
     def _grow(self, number: int) -> list[dict]:
         config, n_q = self.config, len(self.config.quantiles)
         size = 2 ** (config.max_depth + 1) - 1
         trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 0} for _ in range(n_q)]
-        with_fit, histograms, wide, n_bins, narrow = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins, self.n_features - self.wide
+        with_fit, histograms, wide, n_bins = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins
+        guess, self.guess, ahead = self.guess, [], []
         parents: list[dict[int, list[np.ndarray]]] = [{} for _ in range(n_q)]
         for level in range(config.max_depth):
             if level and not any(parents):
                 break
             now = [{"feature": t["feature"], "cut": t["cut"], "levels": level} for t in trees]
-            flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
+            chosen = [(int(t["feature"][0]), int(t["cut"][0])) if p else None for p, t in zip(parents, trees)]
+            if level == 0 and any(guess):
+                flat, ahead = self._with_guesses(now, guess, size, number)
+            elif level == 1 and ahead and all(split is None or split in a for split, a in zip(chosen, ahead)):
+                flat = np.stack([np.zeros_like(flat[q]) if split is None else ahead[q][split] for q, split in enumerate(chosen)])
+            else:
+                flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
             n_nodes = max(1, 2 ** (level - 1))
-            flat, at = flat.reshape(n_q, -1), 0
+            flat = flat.reshape(n_q, -1)
             first = 2**level - 1
             for q, tree in enumerate(trees):
-                own, at = flat[q], 0
-                by_feature = []
-                for _ in range(wide):
-                    by_feature.append(own[at : at + n_nodes * n_bins * 3].reshape(n_nodes, n_bins, 3))
-                    at += n_nodes * n_bins * 3
-                tags = own[at : at + narrow * n_nodes * 6].reshape(narrow, n_nodes, 2, 3)
-                by_feature += list(tags)
+                by_feature = self._by_feature(flat[q], n_nodes)
                 found: dict[int, list[np.ndarray]] = {}
                 if level == 0:
-                    found[0] = [cells[0] for cells in by_feature]
+                    found[0] = [group[:, 0] for group in by_feature]
                 for node, whole in parents[q].items():
                     left, seat = 2 * node + 1, (2 * node + 1 - first) // 2
-                    found[left] = [cells[seat] for cells in by_feature]
-                    found[left + 1] = [w - cells for w, cells in zip(whole, found[left])]
+                    found[left] = [group[:, seat] for group in by_feature]
+                    found[left + 1] = [w - group for w, group in zip(whole, found[left])]
                 parents[q] = {}
                 for node, sums in found.items():
-                    split = self._split(sums, config.quantiles[q]) if sums else None
+                    split = self._split(sums, config.quantiles[q]) if self.n_features else None
                     if split:
                         tree["feature"][node], tree["cut"][node] = split
                         parents[q][node] = sums
@@ -404,7 +480,20 @@ class Booster:
             left = np.take_along_axis(sums[..., 0], cell, axis=2)[:, :, 0]
             low = low + cell[:, :, 0].astype(np.uint64) * width
             high = low + (width - np.uint64(1))
-        rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
+        if want is None and number is not None:
+            foresight, windows, spread, quantiles = self._foresight(trees, seats, number), kernels.windows, _SPREAD, list(config.quantiles)
+
+            def run(blocks: Iterator[dict]) -> Iterator[tuple]:
+                blocks = [(b, *with_fit(b)) for b in blocks]
+                groups = [g for b in blocks for g in leaves(*b, trees, seats)]
+                if groups:
+                    yield fetched(groups, low, high), foresight(blocks, [w[0][:, 4] for w in windows(groups, size, quantiles, spread)])
+
+            parts = self.kept.mapPartitions(run).collect()
+            self._foresee([p[1] for p in parts])
+            rows = [r for p in parts for r in p[0]]
+        else:
+            rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
         values = []
         for q in range(n_q):
             at, residual, weight = (np.concatenate([r[k] for r in rows if r[0] == q]) for k in (1, 2, 3))
@@ -428,14 +517,18 @@ class Booster:
         if tasks > _FEW_TASKS or sent > _FETCHED:
             return None
         size = 1 + max(int(s[-1]) for s in seats)
-        leaves, windows = self.kernels.leaves, self.kernels.windows
+        leaves, windows, foresight = self.kernels.leaves, self.kernels.windows, self._foresight(trees, seats, number)
 
-        def run(blocks: Iterator[dict]) -> Iterator[list[tuple]]:
-            groups = [g for b in blocks for g in leaves(b, *with_fit(b), trees, seats)]
+        def run(blocks: Iterator[dict]) -> Iterator[tuple]:
+            blocks = [(b, *with_fit(b)) for b in blocks]
+            groups = [g for b in blocks for g in leaves(*b, trees, seats)]
             if groups:
-                yield windows(groups, size, shares, spread)
+                found = windows(groups, size, shares, spread)
+                yield found, foresight(blocks, [w[0][:, 4] for w in found])
 
         parts = self.kept.mapPartitions(run).collect()
+        self._foresee([p[1] for p in parts])
+        parts = [p[0] for p in parts]
         values = []
         for q, seat in enumerate(seats):
             edges = np.stack([found[q][0] for found in parts])
