@@ -10,25 +10,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbline.operators.spread import ROWS_PER_TASK, spread
 from ebbline.params import MONTHS_KEPT
 from ebbline.schemas import MONTH_COLUMNS
 
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 METADATA_UTC = "2024-01-01T00:00:00+00:00"
-ROWS_PER_TASK = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str, n_rows: int) -> DataFrame:
-    """Rows by key, in so many partitions that what a task holds does not grow with the table."""
-    tasks = -(-n_rows // ROWS_PER_TASK)
-    # A stated number is not merged again into a task or two for each core.
-    return rows.repartition(tasks, key) if tasks > rows.sparkSession.sparkContext.defaultParallelism else rows.repartition(key)
-
-
 def monthly(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFrame:
     """Activity per part and calendar month. A part has few shipments in a month, so rows are dealt out by part once and
     all that follows by part, windows and joins included, needs no other shuffle and has tasks of bounded size.
@@ -42,7 +35,7 @@ def monthly(spark: SparkSession, sf_dir: str, id_type: str = "long") -> DataFram
         "l_discount", "l_quantity", "l_tax", "l_extendedprice", "l_shipdate",
     )
     return (
-        spread(rows, "app_id", shipped.count())
+        spread(rows, "app_id", shipped.count(), ROWS_PER_TASK)
         .groupBy("app_id", "month")
         .agg(
             F.avg(F.when(F.col("l_discount") > 0, F.col("l_quantity"))).alias("avg_players"),

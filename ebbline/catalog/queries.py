@@ -562,10 +562,10 @@ def _persistence(spark, sf) -> DataFrame:
 
 def _tag_mart(spark, sf, kind: str) -> DataFrame:
     typed = _typed(spark, sf)
-    apps, items = warehouse.upsert_apps(None, typed), warehouse.tag_items(typed, (kind,))
-    tags = warehouse.upsert_tags(None, items, kind)
-    bridge = warehouse.insert_bridge(None, items, apps, tags, kind)
-    return marts.tag_retention(_persistence(spark, sf), bridge, tags, kind)
+    apps, items = stored(warehouse.upsert_apps(None, typed), "dim_app"), warehouse.tag_items(typed, (kind,))
+    tags = stored(warehouse.upsert_tags(None, items, kind), "dim_tag")
+    bridge = stored(warehouse.insert_bridge(None, items, apps, tags, kind), "bridge")
+    return marts.tag_retention(marts.app_persistence(bind.monthly_long(spark, sf), apps), bridge, tags, kind)
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.dates import parse_month
 from ebbline.operators.quantile import exact_medians
+from ebbline.operators.spread import spread
 from ebbline.params import HORIZON
 
 MART_APP = ("app_id", "app_sk", "price_tier", "is_free", "avg_players_recent", "avg_players_6mo_ago", "persistence_6m_ratio")
@@ -71,11 +72,11 @@ def tag_retention(persistence: DataFrame, bridge: DataFrame, tags: DataFrame, ki
     """Retention by genre or category.
 
     Apps of one tag are averaged on the small surrogate key first; the names are
-    joined to the finished groups.
+    joined to the finished groups. The bridge is counted, so it should be stored, and dealt out by app.
     """
     sk, name = f"{kind}_sk", f"{kind}_name"
     measures = persistence.select("app_sk", "persistence_6m_ratio", "avg_players_recent", "avg_players_6mo_ago")
-    grouped = _retention(bridge.join(measures, "app_sk"), sk)
+    grouped = _retention(spread(bridge, "app_sk", bridge.count()).join(measures, "app_sk"), sk)
     return grouped.join(tags.select(sk, name), sk).select(
         name, "game_count", "avg_retention_ratio", "avg_players_recent", "avg_players_6mo_ago"
     )

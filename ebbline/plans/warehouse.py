@@ -15,6 +15,7 @@ from ebbline.operators.checks import key_violations, orphans
 from ebbline.operators.dedup import latest
 from ebbline.operators.keys import assign_keys
 from ebbline.operators.membership import is_small
+from ebbline.operators.spread import spread
 from ebbline.operators.upsert import absent, delete_insert
 
 
@@ -129,10 +130,13 @@ def tag_items(typed: DataFrame, kinds: tuple[str, ...] = ("genre", "category"))
 
 
 def new_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame:
-    """The tag keys that the dimension lacks; of several spellings the least one names the key."""
+    """The tag keys that the dimension lacks; of several spellings the least one names the key. Only different spellings are sorted."""
     sk, name, norm = f"{kind}_sk", f"{kind}_name", f"{kind}_norm"
     found = (
         items.filter(F.col("kind") == kind)
+        .groupBy("tag_norm", "tag_name")
+        .agg(F.count("*").alias("_rows"))
+        .filter("_rows > 0")  # always; below a minimum Catalyst drops a plain distinct
         .groupBy(F.col("tag_norm").alias(norm))
         .agg(F.min("tag_name").alias(name))
     )
@@ -147,9 +151,13 @@ def upsert_tags(dim: DataFrame | None, items: DataFrame, kind: str) -> DataFrame
 
 
 def new_pairs(bridge: DataFrame | None, items: DataFrame, apps: DataFrame, tags: DataFrame, kind: str) -> DataFrame:
-    """The (app, tag) pairs that the bridge lacks. A bridge bucketed by both keys is read without an exchange."""
+    """The (app, tag) pairs that the bridge lacks. A bridge bucketed by both keys is read without an exchange.
+
+    Items are dealt out by app before their repeats go, so no task holds the pairs of a whole split of a file.
+    """
     sk, norm = f"{kind}_sk", f"{kind}_norm"
-    wanted = items.filter(F.col("kind") == kind).select("app_id", F.col("tag_norm").alias(norm)).distinct()
+    own = items.filter(F.col("kind") == kind).select("app_id", F.col("tag_norm").alias(norm))
+    wanted = spread(own, "app_id", own.count()).distinct()
     pairs = (
         wanted.join(_small(tags.select(norm, sk)), norm)
         .join(apps.select("app_id", "app_sk"), "app_id")

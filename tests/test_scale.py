@@ -5,10 +5,12 @@ import glob
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector
+from pyspark.serializers import CPickleSerializer
 
 from ebbline import jobs, schemas
 from ebbline.catalog import bind
-from ebbline.plans import boosting, pages, warehouse
+from ebbline.operators import spread
+from ebbline.plans import boosting, marts, pages, warehouse
 
 PAGE = "<table><th>Month</th><th>Avg. Players</th><th>Peak Players</th><tr><td>May 2020</td><td>1</td><td></td><td></td><td>2</td></tr></table>"
 
@@ -97,3 +99,66 @@ def test_leaf_values_take_one_job_of_a_round_and_the_trees_stay_the_same(spark,
     monkeypatch.setattr(boosting.Booster, "_one_pass", one_pass)
     assert boosting.boost(vectors, cuts, config) == shared and jobs_of[3] <= jobs_of[2] - config.rounds // 2
     assert all(len(t["feature"]) > 1 for trees in shared[1].values() for t in trees)
+
+
+def test_the_pass_over_the_roots_takes_along_the_next_level(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(list(map(float, x)), float(d + x[0] / 3 + x[3]), float(1 + 0.8 * (x[0] > 4)), i * 104_729) for i, (x, d) in enumerate(zip(
+        np.c_[rng.integers(0, 9, (2000, 3)), rng.integers(0, 2, (2000, 2))], rng.normal(size=2000)))]
+    vectors = spark.createDataFrame(rows, "x array<double>, delta double, weight double, row_hash long").coalesce(1)
+    vectors = vectors.withColumn("features", array_to_vector("x")).drop("x").cache()
+    cuts = [[i + 0.5 for i in range(8)]] * 3 + [[0.5]] * 2
+    config = boosting.BoostingConfig(rounds=10, learning_rate=0.5, subsample=0.8)
+    passes, summed = [], boosting.Booster._sum
+    monkeypatch.setattr(boosting.Booster, "_sum", lambda booster, work: (passes.append(1), summed(booster, work))[1])
+    taken = boosting.boost(vectors, cuts, config)
+    with_guesses = len(passes)
+    assert with_guesses <= 3 * config.rounds - 5
+    passes.clear()
+    monkeypatch.setattr(boosting.Booster, "_likely", lambda *_: [])
+    assert boosting.boost(vectors, cuts, config) == taken and len(passes) == 3 * config.rounds
+    passes.clear()
+    monkeypatch.setattr(boosting.Booster, "_likely", lambda *_: [(4, 0)])  # wrong guesses cost passes, never splits
+    assert boosting.boost(vectors, cuts, config) == taken and len(passes) > with_guesses
+
+
+def test_passes_do_not_carry_the_rounds_of_the_kept_blocks(spark):
+    booster = boosting.Booster.__new__(boosting.Booster)
+    booster.kernels, booster.kept, booster.past, booster.start = boosting._kernels(), None, None, [0.0]
+    block = {"bins": np.zeros((1, 2), np.uint8), "delta": np.zeros(2)}
+    booster.source = spark.sparkContext.parallelize([block], 1)
+    booster.rounds = [[{"feature": np.full(15, -1), "cut": np.zeros(15, np.int64), "levels": 3, "value": np.full(15, i + 0.5)}] for i in range(200)]
+    booster._keep()
+    assert booster.kept.first()["fit"].tolist() == [[20_000.0, 20_000.0]]
+    assert len(CPickleSerializer().dumps(booster.kept.func)) < 50_000
+    booster.close()
+
+
+def tagged_parts(spark, n=400):
+    rows = [(i % 200, "category", f" Tag {i % 7}" if i % 2 else f"tag {i % 7}", f"tag {i % 7}") for i in range(n)]
+    return spark.createDataFrame(rows, "app_id int, kind string, tag_name string, tag_norm string").coalesce(1)
+
+
+def test_pairs_of_tags_are_dealt_out_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 10)
+    items = tagged_parts(spark)
+    apps = spark.createDataFrame([(i, i + 1000) for i in range(200)], "app_id int, app_sk long")
+    tags = warehouse.new_tags(None, items, "category").localCheckpoint()
+    pairs = warehouse.new_pairs(None, items, apps, tags, "category")
+    wanted = {(r.app_id + 1000, r.tag_norm) for r in items.collect()}
+    key = {r.category_sk: r.category_norm for r in tags.collect()}
+    assert {(r.app_sk, key[r.category_sk]) for r in pairs.collect()} == wanted and pairs.count() == len(wanted)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(app_id" in plan and ", 40)" in plan
+    bridge = pairs.localCheckpoint()
+    persistence = spark.createDataFrame([(i + 1000, 1.0, 2.0, 2.0) for i in range(200)], "app_sk long, persistence_6m_ratio double, avg_players_recent double, avg_players_6mo_ago double")
+    mart = marts.tag_retention(persistence, bridge, tags, "category")
+    assert {r.category_name: r.game_count for r in mart.collect()} == {r.category_name: sum(n == r.category_norm for _, n in wanted) for r in tags.collect()}
+    assert f", {-(-len(wanted) // 10)})" in mart._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_different_spellings_of_tags_are_sorted(spark):
+    tags = warehouse.new_tags(None, tagged_parts(spark), "category").select("category_name", "category_norm")
+    assert {tuple(r) for r in tags.collect()} == {(f" Tag {i}", f"tag {i}") for i in range(7)}
+    plan = tags._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [tag_norm" in plan and "count(1)" in plan
