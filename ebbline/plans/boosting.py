@@ -7,9 +7,11 @@ Features are binned once, into blocks of a few thousand rows. A level of the tre
 and weights below the fit by (quantile, node, feature, bin), for all quantiles at once, of left children only; the right ones
 are what is left of their parents. Leaf values come from passes that count residuals by ranges of their 64-bit codes, each
 a 4,096th of the one before, until few enough are left to be fetched. Where a few tasks hold all blocks, one pass gives the leaf
-values: each task sends the residuals around its own quantile, which hold the exact one or show that they don't. That pass also foresees
-the root sums of the next round, with the tasks' own quantiles as leaf values; the best splits they name are only guesses, by which the pass
-over the roots takes along the sums of the next level. Where the exact root sums name another split, that level takes its own pass. Sums are added up in a tree of tasks; the driver sees one array of
+values: each task sends the residuals around its own quantile, which hold the exact one or show that they don't. These also bound each
+leaf value, which tells of nearly all rows whether they will lie below the next fit; so the pass takes along the root sums of the next round,
+with the few rows left open sent one by one and added by the driver once the value is known. For some likely root splits it takes along the next
+level too; they are guesses from the sums of the last level's pass, where the tasks' own quantiles of the nodes stand in for leaf values.
+Where the exact root sums name another split, that level takes its own pass. Sums are added up in a tree of tasks; the driver sees one array of
 sums for each pass, whose size depends on the model alone. Blocks with the current fit are kept in memory every few rounds and are
 made from the stored rows and the trees so far, so a lost executor costs its blocks and no lineage builds up.
 
@@ -157,13 +159,21 @@ def _kernels() -> SimpleNamespace:
             x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
         return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * 2**64))
 
+    def prepared(block: dict, wide: int) -> dict:
+        """What the sums of a block need: the pairs of tags and rows, which are few of all, and its distinct weights where these are few."""
+        tag, row = np.nonzero(block["bins"][wide:])
+        kinds, kind = np.unique(block["weight"], return_inverse=True)
+        few = {"kinds": kinds, "kind": kind.astype(np.uint8)} if len(kinds) <= 4 else {}
+        return block | {"tags": (tag.astype(np.int32), row.astype(np.int32))} | few
+
     def histograms(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], wide: int, n_bins: int) -> np.ndarray:
         """``[quantile, node, feature, bin, (rows, weight, weight below the fit)]`` of the left nodes of a level, or of the root.
 
         Features up to ``wide`` have ``n_bins`` bins, the others two.
         """
         out = []
-        bins, weight = block["bins"], block["weight"]
+        bins, weight, (tag, tag_row), kinds = block["bins"], block["weight"], block["tags"], block.get("kinds")
+        n_tags = len(bins) - wide
         for q, tree in enumerate(trees):
             level = tree["levels"]
             first, n_nodes = 2**level - 1, max(1, 2 ** (level - 1))
@@ -172,21 +182,37 @@ def _kernels() -> SimpleNamespace:
                 here = bag & (at >= first)
                 if level:
                     here &= at % 2 == 1  # left children have odd numbers
-                rows = np.flatnonzero(here)
-                seat = (at[rows] - first) // 2 if level else np.zeros(len(rows), np.int64)
-                cells = [seat * n_bins + bins[f, rows] for f in range(wide)]
-                plain = [[np.bincount(c, s, n_nodes * n_bins) for s in (None, weight[rows])] for c in cells]
-                hot = bins[wide:, rows].astype(np.float64)
-            stats = [None, weight[rows], weight[rows] * (block["delta"][rows] <= fit[q, rows])]
-            for f in range(wide):
-                out.append(np.stack([*plain[f], np.bincount(cells[f], stats[2], n_nodes * n_bins)], axis=-1).ravel())
-            total = np.stack([np.bincount(seat, s, n_nodes) for s in stats], axis=-1)
-            member = np.zeros((len(rows), n_nodes * 3))
-            for k, s in enumerate(stats):
-                member[np.arange(len(rows)), seat * 3 + k] = 1.0 if s is None else s
-            ones = (hot @ member).reshape(len(hot), n_nodes, 3)
-            out.append(np.stack([total - ones, ones], axis=2).ravel())
-            out.append(total.ravel())
+                rows, seats = np.flatnonzero(here), (at - first) // 2 if level else at
+                seat, held = seats[rows], here[tag_row]
+                columns = np.take(bins[:wide], rows, axis=1)
+                hot_rows = tag_row[held]
+                hot = tag[held] * np.int64(n_nodes) + seats[hot_rows]
+
+                def sums(stat: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                    own, of_tags = (None, None) if stat is None else (stat[rows], stat[hot_rows])
+                    cells = [np.bincount(seat * n_bins + column, own, n_nodes * n_bins) for column in columns]
+                    return np.array(cells).ravel(), np.bincount(hot, of_tags, n_tags * n_nodes), np.bincount(seat, own, n_nodes)
+
+                def by_kind(found: np.ndarray) -> np.ndarray:
+                    """Rows, weight and weight below the fit from ``[..., kind, side of the fit]``, the number of rows."""
+                    every, below = found.sum(axis=-1), found[..., 1]
+                    return np.stack([every.sum(axis=-1), *[sum(c[..., k] * w for k, w in enumerate(kinds)) for c in (every, below)]], axis=-1).reshape(-1, 3)
+
+                plain = [sums(None), sums(weight)] if kinds is None else []
+            below = block["delta"] <= fit[q]
+            if kinds is None:
+                dense, ones, total = (np.stack([s[k] for s in [*plain, sums(weight * below)]], axis=-1) for k in range(3))
+            else:
+                # One count of rows by weight and side of the fit has all three sums; small arrays stay in the caches.
+                n_codes, code = 2 * len(kinds), block["kind"] * np.uint8(2) + below
+                of_seat = seat * n_codes + code[rows]
+                place = of_seat * n_bins
+                dense = np.array([np.bincount(place + column, None, n_nodes * n_codes * n_bins) for column in columns])
+                dense = by_kind(dense.reshape(wide, n_nodes, len(kinds), 2, n_bins).transpose(0, 1, 4, 2, 3))
+                ones = by_kind(np.bincount(hot * n_codes + code[hot_rows], None, n_tags * n_nodes * n_codes).reshape(-1, len(kinds), 2))
+                total = by_kind(np.bincount(of_seat, None, n_nodes * n_codes).reshape(-1, len(kinds), 2))
+            ones = ones.reshape(n_tags, n_nodes, 3).astype(np.float64)
+            out += [dense.ravel(), np.stack([total - ones, ones], axis=2).ravel(), total.ravel()]
         return np.concatenate(out)
 
     def leaves(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], seats: list[np.ndarray]) -> Iterator[tuple]:
@@ -195,7 +221,7 @@ def _kernels() -> SimpleNamespace:
             residual = (block["delta"] - fit[q])[bag]
             yield q, seats[q][grow(block["bins"], tree)[bag]], codes(residual), residual, block["weight"][bag]
 
-    def windows(groups: list[tuple], n_nodes: int, shares: list[float], spread: float) -> list[tuple]:
+    def windows(groups: list[tuple], n_nodes: int, shares: list[float], spread: float, slack: float) -> list[tuple]:
         """For each quantile: ``[leaf, (weight below, weight, first, last, middle)]``, and leaf, residual and weight of the rows around the quantile.
 
         Rows that are left out are at most ``first`` or at least ``last``; these are infinite where none is. ``middle`` is the quantile of these groups.
@@ -212,7 +238,7 @@ def _kernels() -> SimpleNamespace:
                 if first == last:
                     continue
                 upto = np.cumsum(weight[first:last])
-                middle, half = int(np.searchsorted(upto, share * upto[-1])), int(spread * np.sqrt(len(upto) * share * (1 - share))) + 2
+                middle, half = int(np.searchsorted(upto, upto[-1] * share * slack)), int(spread * np.sqrt(len(upto) * share * (1 - share))) + 2
                 low, high = max(middle - half, 0), min(middle + half, len(upto))
                 edges[leaf, :2] = upto[low - 1] if low else 0.0, upto[-1]
                 edges[leaf, 4] = residual[first + min(middle, len(upto) - 1)]
@@ -225,14 +251,36 @@ def _kernels() -> SimpleNamespace:
             out.append((edges, at[rows], residual[rows], weight[rows]))
         return out
 
-    def foreseen(blocks: list[tuple], trees: list[dict], steps: list[np.ndarray], next_bag: Callable[[dict], np.ndarray], wide: int, n_bins: int) -> np.ndarray:
-        """Root sums of the next round, if ``steps`` are what the nodes of this one add to the fit."""
-        root, total = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}, None
+    def nearly(block: dict, fit: np.ndarray, bag: np.ndarray, trees: list[dict], shares: list[float], rate: float) -> np.ndarray:
+        """The fit after a round whose trees are not yet fully grown, with the block's own quantiles of their nodes."""
+        out = fit.copy()
+        for q, tree in enumerate(trees):
+            at, residual = grow(block["bins"], tree), block["delta"] - fit[q]
+            order = np.flatnonzero(bag)
+            order = order[np.argsort(residual[order])]
+            steps = np.zeros(len(tree["feature"]))
+            for node in np.unique(at).tolist():
+                rows = order[at[order] == node]
+                if len(rows):
+                    upto = np.cumsum(block["weight"][rows])
+                    steps[node] = rate * residual[rows[min(int(np.searchsorted(upto, shares[q] * upto[-1])), len(rows) - 1)]]
+            out[q] += steps[at]
+        return out
+
+    def ahead(blocks: list[tuple], trees: list[dict], low: list[np.ndarray], high: list[np.ndarray], next_bag: Callable[[dict], np.ndarray], levels: list[list[dict]], wide: int, n_bins: int) -> tuple[np.ndarray, list[tuple]]:
+        """Sums of the next round by ``levels``, and the rows they leave open, if the nodes add from ``low`` to ``high`` to the fit.
+
+        An open row, by quantile: node, bins, target, fit and weight. It counts as above the fit in the sums.
+        """
+        total, left_open = 0.0, []
         for block, fit, _ in blocks:
-            ahead = np.stack([fit[q] + steps[q][grow(block["bins"], tree)] for q, tree in enumerate(trees)])
-            found = histograms(block, ahead, next_bag(block), [root] * len(trees), wide, n_bins)
-            total = found if total is None else total + found
-        return total
+            bag, delta, at = next_bag(block), block["delta"], [grow(block["bins"], tree) for tree in trees]
+            least = np.stack([fit[q] + low[q][nodes] for q, nodes in enumerate(at)])
+            total = total + np.stack([histograms(block, least, bag, level, wide, n_bins) for level in levels])
+            for q, nodes in enumerate(at):
+                rows = np.flatnonzero(bag & (delta > least[q]) & (delta <= fit[q] + high[q][nodes]))
+                left_open.append((q, nodes[rows], block["bins"][:, rows], delta[rows], fit[q, rows], block["weight"][rows]))
+        return total, left_open
 
     def counted(groups: Iterator[tuple], n_nodes: int, low: np.ndarray, width: np.uint64, cells: int) -> np.ndarray:
         """``[quantile, leaf, cell, (rows, weight)]`` of the codes from ``low`` on, cut into ``cells`` ranges of ``width``."""
@@ -291,6 +339,8 @@ class Booster:
         self.start: list[float] = []
         self.rounds: list[list[dict]] = []
         self.guess: list[list[tuple[int, int]]] = []  # of each quantile, the likely root splits of the next round
+        # The sums of the next round's roots and, of each quantile, those of the next level by likely root split.
+        self.ahead: tuple[np.ndarray, list[dict[tuple, np.ndarray]]] | None = None
         self.past = None  # the broadcast rounds of the kept blocks
         self.kept: RDD | None = None
         self.kept_rounds = 0
@@ -308,10 +358,10 @@ class Booster:
 
     def _keep(self) -> None:
         """Blocks with the fit so far, from the stored rows and all trees."""
-        fitted, start, old, old_past = self.kernels.fitted, list(self.start), self.kept, self.past
+        fitted, prepared, wide, start, old, old_past = self.kernels.fitted, self.kernels.prepared, self.wide, list(self.start), self.kept, self.past
         # In the closure itself the trees would go out with each of the passes over the kept blocks.
         rounds = self.past = self.source.context.broadcast(list(self.rounds))
-        self.kept = self.source.map(lambda b: b | {"fit": fitted(b, start, rounds.value)}).persist(StorageLevel.MEMORY_AND_DISK)
+        self.kept = self.source.map(lambda b: prepared(b, wide) | {"fit": fitted(b, start, rounds.value)}).persist(StorageLevel.MEMORY_AND_DISK)
         self.kept_rounds = len(self.rounds)
         if old is not None:
             old.unpersist()
@@ -378,57 +428,77 @@ class Booster:
         tags = own[split : split + narrow * n_nodes * 6].reshape(narrow, n_nodes, 2, 3)
         return own[:split].reshape(self.wide, n_nodes, self.n_bins, 3), tags
 
-    def _foresight(self, trees: list[dict], seats: list[np.ndarray], number: int) -> Callable[[list[tuple], list[np.ndarray]], np.ndarray | None]:
-        """Of a task's blocks with fit and bag, and the task's own quantiles of the leaves: the root sums of the next round as it foresees them."""
-        config, wide, n_bins, foreseen, bagged = self.config, self.wide, self.n_bins, self.kernels.foreseen, self.kernels.bagged
-        rate, seed, share = config.learning_rate, config.seed, config.subsample
-        if number + 1 >= config.rounds or config.max_depth < 2:
-            return lambda blocks, middles: None
-        return lambda blocks, middles: foreseen(
-            blocks, trees, [rate * m[s] for m, s in zip(middles, seats)], lambda b: bagged(b, number + 1, seed, share), wide, n_bins
-        )
+    def _few_tasks(self) -> bool:
+        """Whether all blocks are in so few tasks that one pass gives the leaf values."""
+        size, tasks = 2**self.config.max_depth, self.kept.getNumPartitions()
+        sent = sum(2 * (_SPREAD * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in self.config.quantiles) * tasks
+        return tasks <= _FEW_TASKS and sent <= _FETCHED
 
-    def _foresee(self, sums: list[np.ndarray | None]) -> None:
-        sums = [s for s in sums if s is not None]
-        if sums and self.n_features:
-            by_quantile = np.sum(sums, axis=0).reshape(len(self.config.quantiles), -1)
-            nodes = [[group[:, 0] for group in self._by_feature(own, 1)] for own in by_quantile]
-            self.guess = [self._likely(node, q) for node, q in zip(nodes, self.config.quantiles)]
-
-    def _with_guesses(self, roots: list[dict], guess: list[list[tuple[int, int]]], size: int, number: int) -> tuple[np.ndarray, list[dict[tuple, np.ndarray]]]:
-        """The sums of the roots and, of each quantile, those of the next level by likely root split."""
-        with_fit, histograms, wide, n_bins, n_q = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins, len(guess)
-        levels = [roots]
-        for k in range(max(map(len, guess))):
+    def _with_guesses(self, now: list[dict], number: int) -> np.ndarray:
+        """The sums of the last level; the pass also names the likely root splits of the next round."""
+        with_fit, config, wide, n_bins, n_q = self._with_fit(number), self.config, self.wide, self.n_bins, len(now)
+        histograms, nearly, bagged = self.kernels.histograms, self.kernels.nearly, self.kernels.bagged
+        rate, seed, share, shares = config.learning_rate, config.seed, config.subsample, list(config.quantiles)
+        roots = [{"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}] * n_q
+
+        def work(block: dict) -> np.ndarray:
+            fit, bag = with_fit(block)
+            later = nearly(block, fit, bag, now, shares, rate), bagged(block, number + 1, seed, share)
+            return np.concatenate([histograms(block, fit, bag, now, wide, n_bins), histograms(block, *later, roots, wide, n_bins)])
+
+        sums = self._sum(work)
+        held = n_q * 3 * (wide * n_bins + 2 * (self.n_features - wide) + 1)  # of the roots
+        nodes = [[group[:, 0] for group in self._by_feature(own, 1)] for own in sums[len(sums) - held :].reshape(n_q, -1)]
+        self.guess = [self._likely(node, q) for node, q in zip(nodes, shares)]
+        return sums[: len(sums) - held]
+
+    def _next_levels(self) -> list[list[dict]]:
+        """The roots of the next round and, by likely split, the level after them."""
+        n_q, size, guess = len(self.config.quantiles), 2 ** (self.config.max_depth + 1) - 1, self.guess
+        levels = [[{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 0} for _ in range(n_q)]]
+        for k in range(max(map(len, guess), default=0)):
             trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 1} for _ in range(n_q)]
             for tree, splits in zip(trees, guess):
                 if k < len(splits):
                     tree["feature"][0], tree["cut"][0] = splits[k]
             levels.append(trees)
-
-        def work(block: dict) -> np.ndarray:
-            state = with_fit(block)
-            return np.stack([histograms(block, *state, trees, wide, n_bins) for trees in levels])
-
-        sums = self._sum(work).reshape(len(levels), n_q, -1)
-        return sums[0], [{split: sums[1 + k, q] for k, split in enumerate(splits)} for q, splits in enumerate(guess)]
+        return levels
+
+    def _settle(self, parts: list[tuple[np.ndarray, list[tuple]]], levels: list[list[dict]], steps: list[np.ndarray]) -> None:
+        """Sums of the next round, now that it is known what the nodes add to the fit: open rows are added where they lie below."""
+        sums = np.sum([p[0] for p in parts], axis=0).reshape(len(levels), len(steps), -1)
+        for q, step in enumerate(steps):
+            own = [r for p in parts for r in p[1] if r[0] == q]
+            at, delta, fit, weight = (np.concatenate([r[k] for r in own]) for k in (1, 3, 4, 5))
+            below = np.flatnonzero(delta <= fit + step[at])
+            if len(below):
+                nothing = np.zeros(len(below))
+                block = {"bins": np.concatenate([r[2] for r in own], axis=1)[:, below], "weight": weight[below], "delta": nothing}
+                for k, trees in enumerate(levels):
+                    found = self.kernels.histograms(self.kernels.prepared(block, self.wide), nothing[None], nothing == 0, [trees[q]], self.wide, self.n_bins)
+                    sums[k, q].reshape(-1, 3)[:, 2] += found.reshape(-1, 3)[:, 2]
+        children = [{split: sums[1 + k, q] for k, split in enumerate(splits)} for q, splits in enumerate(self.guess or [[]] * len(steps))]
+        self.ahead = sums[0], children
 
     def _grow(self, number: int) -> list[dict]:
         config, n_q = self.config, len(self.config.quantiles)
         size = 2 ** (config.max_depth + 1) - 1
         trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 0} for _ in range(n_q)]
         with_fit, histograms, wide, n_bins = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins
-        guess, self.guess, ahead = self.guess, [], []
+        (roots, ahead), self.ahead, self.guess = self.ahead or (None, []), None, []
+        last = config.max_depth - 1 if number + 1 < config.rounds and self.n_features and self._few_tasks() else 0
         parents: list[dict[int, list[np.ndarray]]] = [{} for _ in range(n_q)]
         for level in range(config.max_depth):
             if level and not any(parents):
                 break
             now = [{"feature": t["feature"], "cut": t["cut"], "levels": level} for t in trees]
             chosen = [(int(t["feature"][0]), int(t["cut"][0])) if p else None for p, t in zip(parents, trees)]
-            if level == 0 and any(guess):
-                flat, ahead = self._with_guesses(now, guess, size, number)
+            if level == 0 and roots is not None:
+                flat = roots
             elif level == 1 and ahead and all(split is None or split in a for split, a in zip(chosen, ahead)):
                 flat = np.stack([np.zeros_like(flat[q]) if split is None else ahead[q][split] for q, split in enumerate(chosen)])
+            elif level and level == last:
+                flat = self._with_guesses(now, number)
             else:
                 flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
             n_nodes = max(1, 2 ** (level - 1))
@@ -480,20 +550,7 @@ class Booster:
             left = np.take_along_axis(sums[..., 0], cell, axis=2)[:, :, 0]
             low = low + cell[:, :, 0].astype(np.uint64) * width
             high = low + (width - np.uint64(1))
-        if want is None and number is not None:
-            foresight, windows, spread, quantiles = self._foresight(trees, seats, number), kernels.windows, _SPREAD, list(config.quantiles)
-
-            def run(blocks: Iterator[dict]) -> Iterator[tuple]:
-                blocks = [(b, *with_fit(b)) for b in blocks]
-                groups = [g for b in blocks for g in leaves(*b, trees, seats)]
-                if groups:
-                    yield fetched(groups, low, high), foresight(blocks, [w[0][:, 4] for w in windows(groups, size, quantiles, spread)])
-
-            parts = self.kept.mapPartitions(run).collect()
-            self._foresee([p[1] for p in parts])
-            rows = [r for p in parts for r in p[0]]
-        else:
-            rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
+        rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
         values = []
         for q in range(n_q):
             at, residual, weight = (np.concatenate([r[k] for r in rows if r[0] == q]) for k in (1, 2, 3))
@@ -509,26 +566,27 @@ class Booster:
         return values
 
     def _one_pass(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
-        """What ``_quantiles`` gives, from one pass; None where it can't be told so."""
-        config, with_fit, shares = self.config, self._with_fit(number), list(self.config.quantiles)
-        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
-        size, tasks, spread = 2**config.max_depth, self.kept.getNumPartitions(), _SPREAD
-        sent = sum(2 * (spread * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in shares) * tasks
-        if tasks > _FEW_TASKS or sent > _FETCHED:
+        """What ``_quantiles`` gives, from one pass, which takes along the sums of the next round; None where it can't be told so."""
+        if not self._few_tasks():
             return None
-        size = 1 + max(int(s[-1]) for s in seats)
-        leaves, windows, foresight = self.kernels.leaves, self.kernels.windows, self._foresight(trees, seats, number)
+        config, with_fit, shares, spread = self.config, self._with_fit(number), list(self.config.quantiles), _SPREAD
+        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
+        size, alone, slack = 1 + max(int(s[-1]) for s in seats), self.kept.getNumPartitions() == 1, _SLACK
+        leaves, windows, ahead, bagged = self.kernels.leaves, self.kernels.windows, self.kernels.ahead, self.kernels.bagged
+        rate, seed, share, wide, n_bins = config.learning_rate, config.seed, config.subsample, self.wide, self.n_bins
+        levels = self._next_levels() if number + 1 < config.rounds and self.n_features else []
 
         def run(blocks: Iterator[dict]) -> Iterator[tuple]:
             blocks = [(b, *with_fit(b)) for b in blocks]
             groups = [g for b in blocks for g in leaves(*b, trees, seats)]
             if groups:
-                found = windows(groups, size, shares, spread)
-                yield found, foresight(blocks, [w[0][:, 4] for w in found])
+                found = windows(groups, size, shares, spread, slack)
+                # A task with all blocks knows the leaf values.
+                low, high = ([rate * w[0][s, 4 if alone else k] for w, s in zip(found, seats)] for k in (2, 3))
+                yield found, levels and ahead(blocks, trees, low, high, lambda b: bagged(b, number + 1, seed, share), levels, wide, n_bins)
 
         parts = self.kept.mapPartitions(run).collect()
-        self._foresee([p[1] for p in parts])
-        parts = [p[0] for p in parts]
+        later, parts = [p[1] for p in parts if p[1]], [p[0] for p in parts]
         values = []
         for q, seat in enumerate(seats):
             edges = np.stack([found[q][0] for found in parts])
@@ -547,6 +605,10 @@ class Booster:
                 if not (edges[:, leaf, 2].max() < own[leaf] < edges[:, leaf, 3].min()):
                     return None
             values.append(own[seat])
+            if alone and (own != parts[0][q][0][:, 4]).any():  # sums of weights by another order of addition
+                later = []
+        if later:
+            self._settle(later, levels, [rate * v for v in values])
         return values
 
     def run(self) -> None:

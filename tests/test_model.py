@@ -128,6 +128,55 @@ def test_trees_are_those_of_all_splits(spark, monkeypatch, fetched, subsample):
             assert nested(tree) == plain
 
 
+def test_a_round_takes_two_passes_and_seldom_a_third(spark, monkeypatch):
+    """Blocks in several tasks: the pass for the leaf values also has the exact root sums of the next round."""
+    from pyspark.ml.functions import array_to_vector
+
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 500)
+    rng = np.random.default_rng(8)
+    n, rounds = 2000, 12
+    x = np.stack([rng.integers(0, 9, n), rng.integers(0, 4, n), rng.integers(0, 2, n)], axis=1).astype(float)
+    delta = x[:, 0] + 0.2 * x[:, 1] + 0.1 * x[:, 2] + rng.normal(size=n)
+    rows = [(x[i].tolist(), float(delta[i]), 1.8 if delta[i] < 3 else 1.0, int(h)) for i, h in enumerate(rng.integers(-(2**63), 2**63 - 1, n))]
+    df = spark.createDataFrame(rows, "features array<double>, delta double, weight double, row_hash long").withColumn("features", array_to_vector("features"))
+    cuts = [[(a + b) / 2 for a, b in zip(v, v[1:])] for v in (np.unique(x[:, f]).tolist() for f in range(3))]
+    passes, exact = [0], []
+    grow, plain_sum, one_pass = boosting.Booster._grow, boosting.Booster._sum, boosting.Booster._one_pass
+
+    def checked(self, number):
+        if number:
+            plain = self._sum(lambda b, k=self.kernels, f=self._with_fit(number), r=self._next_levels()[0], w=self.wide, m=self.n_bins: k.histograms(b, *f(b), r, w, m))
+            passes[0] -= 1
+            exact.append(np.allclose(self.ahead[0].ravel(), plain, rtol=1e-12, atol=1e-9))
+        return grow(self, number)
+
+    monkeypatch.setattr(boosting.Booster, "_grow", checked)
+    monkeypatch.setattr(boosting.Booster, "_sum", lambda self, work: (passes.__setitem__(0, passes[0] + 1), plain_sum(self, work))[1])
+    monkeypatch.setattr(boosting.Booster, "_one_pass", lambda self, *a: (passes.__setitem__(0, passes[0] + 1), one_pass(self, *a))[1])
+    boosting.boost(df, cuts, boosting.BoostingConfig(rounds=rounds, learning_rate=0.1, max_depth=3, min_leaf_rows=15, seed=4))
+    assert len(exact) == rounds - 1 and all(exact)
+    assert passes[0] < 3 * rounds
+
+
+def test_sums_are_the_same_for_few_and_for_many_weights():
+    rng = np.random.default_rng(9)
+    n, wide, n_bins = 300, 2, 5
+    bins = np.concatenate([rng.integers(0, n_bins, (wide, n)), rng.integers(0, 2, (3, n))]).astype(np.uint8)
+    tree = {"feature": np.array([0, 3, 1] + [-1] * 4), "cut": np.array([2, 0, 1] + [0] * 4), "levels": 2}
+    fit, bag, k = rng.normal(size=(1, n)), rng.random(n) < 0.8, boosting._kernels()
+    for weight in (rng.choice([1.0, 1.8], n), rng.random(n)):
+        block = k.prepared({"bins": bins, "delta": rng.normal(size=n), "weight": weight}, wide)
+        assert ("kinds" in block) == (len(np.unique(weight)) <= 4)
+        got, at, want = k.histograms(block, fit, bag, [tree], wide, n_bins), k.grow(bins, tree), []
+        stats = np.stack([np.ones(n), weight, weight * (block["delta"] <= fit[0])])
+        for f in range(5):
+            for node in (3, 5):
+                for value in range(n_bins if f < wide else 2):
+                    want.append(stats[:, bag & (at == node) & (bins[f] == value)].sum(axis=1))
+        want += [stats[:, bag & (at == node)].sum(axis=1) for node in (3, 5)]
+        assert np.allclose(got, np.concatenate(want))
+
+
 def test_thresholds_stand_between_values_or_at_quantiles(spark):
     rows = spark.createDataFrame([(float(i % 3), float(i), 7.0, None if i % 2 else 1.0) for i in range(1000)], "few double, many double, one double, some double")
     cuts = boosting.learned_thresholds(rows, ["few", "many", "one", "some"], 16)
