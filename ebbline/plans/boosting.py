@@ -377,7 +377,7 @@ class Booster:
     def _keep(self) -> None:
         """Blocks with the fit so far, from the stored rows and all trees."""
         # One task adds up in the order of the rows; sums of several depend on how rows were dealt out anyway.
-        wide, prepared = self.wide, self.kernels.prepared if self.source.getNumPartitions() > 1 else lambda b, _: b
+        wide, prepared = (self.wide, self.kernels.prepared) if self.source.getNumPartitions() > 1 else (0, lambda b, _: b)
         fitted, start, old, old_past = self.kernels.fitted, list(self.start), self.kept, self.past
         # In the closure itself the trees would go out with each of the passes over the kept blocks.
         rounds = self.past = self.source.context.broadcast(list(self.rounds))
@@ -594,7 +594,7 @@ class Booster:
         size, alone, slack = 1 + max(int(s[-1]) for s in seats), self.kept.getNumPartitions() == 1, _SLACK
         leaves, windows, ahead, bagged = self.kernels.leaves, self.kernels.windows, self.kernels.ahead, self.kernels.bagged
         rate, seed, share, wide, n_bins = config.learning_rate, config.seed, config.subsample, self.wide, self.n_bins
-        levels = self._next_levels() if number + 1 < config.rounds and self.n_features else []
+        levels = self._next_levels() if number + 1 < config.rounds and any(self.guess) else []
 
         def run(blocks: Iterator[dict]) -> Iterator[tuple]:
             blocks = [(b, *with_fit(b)) for b in blocks]
