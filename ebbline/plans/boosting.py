@@ -21,6 +21,9 @@ larger; this is the one place that uses the RDD interface.
 
 from __future__ import annotations
 
+import functools
+import os
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from types import SimpleNamespace
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 from ebbline import params
 from ebbline.functions.text import clean_items
 from ebbline.operators.split import apply_split, group_split
+from ebbline.plans import packed
 from ebbline.plans.panel import TAG_FIELDS, TAG_PREFIX
 from ebbline.plans.training import fit_medians, model_rows, sample_weight, usable_features
 from ebbline.session import new_path
@@ -46,6 +50,8 @@ _KEPT_ROUNDS = 10  # after so many rounds blocks are made anew with the fit so f
 _CELLS = 4_096  # ranges of a counting pass
 _FEW_TASKS = 16  # sums of so many tasks are added up at once
 _FETCHED = 200_000  # residuals of all leaves that are fetched at most
+_AROUND = 1_000_000  # residuals around the quantiles of the tasks' packed rows that are sent at most
+_PART_ROWS = 1_048_576  # packed rows of a task where there are more than one for each core
 _SPREAD = 4.0  # a task's quantile is trusted to be so many standard deviations from that of all rows; what isn't is seen
 _GUESSES = 2  # likely root splits of a quantile for which the next level is taken along
 _SLACK = 1 - 1e-12  # sums of weights differ in their last bits by the order of addition
@@ -129,14 +135,17 @@ def _kernels() -> SimpleNamespace:
         bits = (code ^ np.uint64(1 << 63)).view(np.int64)
         return np.where(bits < 0, -1.0, 1.0) * np.abs(bits).view(np.float64)
 
-    def grow(bins: np.ndarray, tree: dict) -> np.ndarray:
+    def nodes(bins: np.ndarray, tree: dict) -> np.ndarray:
         """The node of each row: children of node i are 2i+1 and 2i+2; a row stays where there is no split."""
         at = np.zeros(bins.shape[1], np.min_scalar_type(-2 * len(tree["feature"]) - 2))
         # Node by node, parents first: comparing whole rows of bins takes a fraction of looking up a bin for each row.
         for node in np.flatnonzero(tree["feature"][: 2 ** tree["levels"] - 1] >= 0).tolist():
             below = bins[tree["feature"][node]] <= tree["cut"][node]
             at += (at == node) * (at.dtype.type(node + 2) - below)
-        return at.astype(np.int64)
+        return at
+
+    def grow(bins: np.ndarray, tree: dict) -> np.ndarray:
+        return nodes(bins, tree).astype(np.int64)
 
     def fitted(block: dict, start: list[float], trees: list[list[dict]]) -> np.ndarray:
         """The fit of each quantile, from nothing, added up in order of the rounds."""
@@ -147,7 +156,7 @@ def _kernels() -> SimpleNamespace:
         fit = fit.copy()
         for of_round in trees:
             for q, tree in enumerate(of_round):
-                fit[q] += tree["value"][grow(block["bins"], tree)]
+                fit[q] += tree["value"][nodes(block["bins"], tree)]
         return fit
 
     def bagged(block: dict, number: int, seed: int, share: float) -> np.ndarray:
@@ -348,7 +357,11 @@ def _blocks(vectors: DataFrame, thresholds: list[list[float]], block_rows: int)
 class Booster:
     """Trees of all quantiles, level by level, over blocks."""
 
-    def __init__(self, blocks: DataFrame, n_rows: int, thresholds: list[list[float]], config: BoostingConfig):
+    packed: SimpleNamespace | None = None  # the work on packed rows
+    n_measures = 3  # of a bin: rows, weight, weight below the fit; of packed rows the number by weight and side of the fit
+
+    def __init__(self, blocks: DataFrame, n_rows: int, thresholds: list[list[float]], config: BoostingConfig, kinds: list[float] | None = None):
+        """``kinds``: the distinct weights, where rows are to be packed."""
         self.n_rows = n_rows
         self.config, self.thresholds, self.kernels = config, thresholds, _kernels()
         self.wide = next((f for f in range(len(thresholds), 0, -1) if thresholds[f - 1] != [0.5]), 0)
@@ -368,14 +381,28 @@ class Booster:
             return {"bins": np.frombuffer(row["bins"], np.uint8).reshape(-1, row["n"])} | {k: np.frombuffer(row[k], t) for k, t in arrays.items()}
 
         self.source = blocks.rdd.map(unpacked)
+        if kinds is not None:
+            self.n_measures = 2 * len(kinds)
+            self.packed = packed.kernels(self.kernels, self.wide, self.n_bins, self.n_features - self.wide, kinds, len(config.quantiles))
 
     def close(self) -> None:
         if self.kept is not None:
+            if self.packed is not None:
+                self.kept.foreach(self.packed.removed)
             self.kept.unpersist()
+        if self.past is not None:
             self.past.unpersist()
 
     def _keep(self) -> None:
-        """Blocks with the fit so far, from the stored rows and all trees."""
+        """Blocks with the fit so far, from the stored rows and all trees; packed rows are kept once, and only the trees go out again."""
+        if self.packed is not None:
+            if self.past is not None:
+                self.past.unpersist()
+            self.past, self.kept_rounds = self.source.context.broadcast(list(self.rounds)), len(self.rounds)
+            if self.kept is None:
+                store, name = self.packed.store, f"fit-{uuid.uuid4().hex}"
+                self.kept = self.source.mapPartitionsWithIndex(lambda i, blocks: [store(i, blocks, name)]).persist(StorageLevel.MEMORY_AND_DISK)
+            return
         # One task adds up in the order of the rows; sums of several depend on how rows were dealt out anyway.
         wide, prepared = (self.wide, self.kernels.prepared) if self.source.getNumPartitions() > 1 else (0, lambda b, _: b)
         fitted, start, old, old_past = self.kernels.fitted, list(self.start), self.kept, self.past
@@ -399,6 +426,39 @@ class Booster:
         # The sums of a few tasks are added up by the driver; a stage between would take longer than the work.
         return self.kept.mapPartitions(all_blocks).treeReduce(np.add, 1 if self.kept.getNumPartitions() <= _FEW_TASKS else 2)
 
+    def _passed(self, work: Callable[[Iterator[tuple[dict, np.ndarray]]], object], add: Callable | None = None) -> list:
+        """What ``work`` finds in each part's packed rows with their fit, added up where ``add`` is given.
+
+        Parts whose files a task doesn't find, as after a lost executor, are worked on from the stored rows and all trees.
+        """
+        own, start, done, base, past, recent = self.packed, list(self.start), len(self.rounds), self.kept_rounds, self.past, self.rounds[self.kept_rounds :]
+        opened, arrays_of, chunk, fitted = own.opened, own.arrays_of, own.chunk, self.kernels.fitted
+
+        def trees(since: int) -> list[list[dict]]:
+            return recent[since - base :] if since >= base else [*past.value[since:], *recent]
+
+        def kept(handles: Iterator[tuple]) -> Iterator[tuple[list[int], list]]:
+            for handle in handles:
+                found = os.path.exists(handle[1])
+                yield ([], [work(opened(handle, start, done, trees))]) if found else ([handle[0]], [])
+
+        def stored(blocks: Iterator[dict]) -> Iterator:
+            every = (chunk(*c) for c in arrays_of(blocks))
+            yield work((b, fitted(b, start, trees(0))) for b in every)
+
+        def both(a: tuple[list[int], list], b: tuple[list[int], list]) -> tuple[list[int], list]:
+            return a[0] + b[0], [add(*a[1], *b[1])] if a[1] and b[1] else a[1] + b[1]
+
+        parts = self.kept.mapPartitions(kept)
+        if add is not None and parts.getNumPartitions() > _FEW_TASKS:
+            parts = [parts.treeReduce(both)]
+        else:
+            parts = parts.collect()
+        lost, found = [i for p in parts for i in p[0]], [f for p in parts for f in p[1]]
+        if lost:
+            found += self.source.context.runJob(self.source.mapPartitions(stored), lambda rows: rows, lost)
+        return found if add is None else [functools.reduce(add, found)]
+
     def _with_fit(self, number: int | None) -> Callable[[dict], tuple[np.ndarray, np.ndarray]]:
         """Of a block: the fit before the round, and the round's bag."""
         since, config, kernels = self.rounds[self.kept_rounds :], self.config, self.kernels
@@ -406,14 +466,22 @@ class Booster:
         advanced, bagged = kernels.advanced, kernels.bagged
         return lambda b: (advanced(b, b["fit"], since), bagged(b, number or 0, seed, share))
 
+    def _measured(self, sums: np.ndarray) -> np.ndarray:
+        """``[..., (rows, weight, weight below the fit)]``."""
+        if self.packed is None:
+            return sums
+        by_kind = sums.reshape(*sums.shape[:-1], -1, 2)
+        return np.stack([sums.sum(axis=-1), by_kind.sum(axis=-1) @ self.packed.weights, by_kind[..., 1] @ self.packed.weights], axis=-1)
+
     def _gains(self, sums: tuple[np.ndarray, np.ndarray], q: float) -> tuple[float, list[tuple[int, np.ndarray]]]:
         """The score of a node and, by first feature, that of its splits; ``sums`` are by feature, the wide ones and the tags."""
-        total, least = (sums[0] if len(sums[0]) else sums[1])[0].sum(axis=0), self.config.min_leaf_rows
+        whole, least = (sums[0] if len(sums[0]) else sums[1])[0].sum(axis=0), self.config.min_leaf_rows
+        total = self._measured(whole)
         gradient = q * total[1] - total[2]
         found = []
         for start, own in ((0, sums[0]), (self.wide, sums[1])):
             left = np.cumsum(own, axis=1)[:, :-1]
-            right = total - left
+            left, right = self._measured(left), self._measured(whole - left)
             fits = np.minimum(left[..., 0], right[..., 0]) >= max(least, 1)
             if fits.any():
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -443,16 +511,21 @@ class Booster:
         return [split for _, split in sorted(best, key=lambda b: -b[0])[:_GUESSES]]
 
     def _by_feature(self, own: np.ndarray, n_nodes: int) -> tuple[np.ndarray, np.ndarray]:
-        """The sums of a quantile's nodes as ``[feature, node, bin, (rows, weight, weight below the fit)]``: the wide features, then the tags."""
-        split, narrow = self.wide * n_nodes * self.n_bins * 3, self.n_features - self.wide
-        tags = own[split : split + narrow * n_nodes * 6].reshape(narrow, n_nodes, 2, 3)
-        return own[:split].reshape(self.wide, n_nodes, self.n_bins, 3), tags
+        """The sums of a quantile's nodes as ``[feature, node, bin, measure]``: the wide features, then the tags."""
+        m = self.n_measures
+        split, narrow = self.wide * n_nodes * self.n_bins * m, self.n_features - self.wide
+        tags = own[split : split + narrow * n_nodes * 2 * m].reshape(narrow, n_nodes, 2, m)
+        return own[:split].reshape(self.wide, n_nodes, self.n_bins, m), tags
 
     def _few_tasks(self) -> bool:
         """Whether all blocks are in so few tasks that one pass gives the leaf values."""
-        size, tasks = 2**self.config.max_depth, self.kept.getNumPartitions()
-        sent = sum(2 * (_SPREAD * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in self.config.quantiles) * tasks
-        return tasks <= _FEW_TASKS and sent <= _FETCHED
+        tasks = self.kept.getNumPartitions()
+        return tasks <= _FEW_TASKS and self._sent(tasks) <= _FETCHED
+
+    def _sent(self, tasks: int) -> float:
+        """How many residuals around the leaves' quantiles so many tasks send about."""
+        size = 2**self.config.max_depth
+        return sum(2 * (_SPREAD * np.sqrt(self.n_rows * size / tasks * q * (1 - q)) + 2 * size) for q in self.config.quantiles) * tasks
 
     def _with_guesses(self, now: list[dict], number: int) -> np.ndarray:
         """The sums of the last level; the pass also names the likely root splits of the next round."""
@@ -506,7 +579,7 @@ class Booster:
         trees = [{"feature": np.full(size, -1), "cut": np.zeros(size, np.int64), "levels": 0} for _ in range(n_q)]
         with_fit, histograms, wide, n_bins = self._with_fit(number), self.kernels.histograms, self.wide, self.n_bins
         (roots, ahead), self.ahead, self.guess = self.ahead or (None, []), None, []
-        last = config.max_depth - 1 if number + 1 < config.rounds and self.n_features and self._few_tasks() else 0
+        last = config.max_depth - 1 if self.packed is None and number + 1 < config.rounds and self.n_features and self._few_tasks() else 0
         parents: list[dict[int, list[np.ndarray]]] = [{} for _ in range(n_q)]
         for level in range(config.max_depth):
             if level and not any(parents):
@@ -519,6 +592,8 @@ class Booster:
                 flat = np.stack([np.zeros_like(flat[q]) if split is None else ahead[q][split] for q, split in enumerate(chosen)])
             elif level and level == last:
                 flat = self._with_guesses(now, number)
+            elif self.packed is not None:
+                flat = self._packed_level(now, number)
             else:
                 flat = self._sum(lambda b: histograms(b, *with_fit(b), now, wide, n_bins))
             n_nodes = max(1, 2 ** (level - 1))
@@ -542,6 +617,14 @@ class Booster:
                 tree["levels"] = level + 1
         return trees
 
+    def _bag(self, number: int | None) -> Callable[[dict], np.ndarray]:
+        bagged, seed, share = self.kernels.bagged, self.config.seed, self.config.subsample if number is not None else 1.0
+        return lambda b: bagged(b, number or 0, seed, share)
+
+    def _packed_level(self, trees: list[dict], number: int) -> np.ndarray:
+        level, bag = self.packed.level, self._bag(number)
+        return self._passed(lambda chunks: level(chunks, bag, trees), np.add)[0]
+
     def _quantiles(self, trees: list[dict], number: int | None) -> list[np.ndarray]:
         """The exact weighted quantile of the residuals in each leaf, of the target itself where there is no round yet."""
         config, kernels, with_fit = self.config, self.kernels, self._with_fit(number)
@@ -551,6 +634,12 @@ class Booster:
         width, cells = np.uint64(1 << 52), _CELLS
         want, before = None, np.zeros((n_q, size))
         leaves, counted, fetched = kernels.leaves, kernels.counted, kernels.fetched
+        if self.packed is not None:
+            weights, bag = self.packed.weights, self._bag(number)
+
+            def groups(chunks: Iterator[tuple[dict, np.ndarray]]) -> Iterator[Iterator[tuple]]:
+                return (leaves(b | {"weight": weights[b["kind"]]}, fit, bag(b), trees, seats) for b, fit in chunks)
+
         while want is None and self.n_rows * n_q > _FETCHED or want is not None and left.sum() > _FETCHED:
             if want is not None:
                 if width == 1:  # many equal residuals: the code says which
@@ -558,7 +647,10 @@ class Booster:
                 finer = max(width >> np.uint64(12), np.uint64(1))
                 cells, width = int(width // finer), finer
             bounds = (size, low, width, cells)
-            sums = self._sum(lambda b: counted(leaves(b, *with_fit(b), trees, seats), *bounds))
+            if self.packed is None:
+                sums = self._sum(lambda b: counted(leaves(b, *with_fit(b), trees, seats), *bounds))
+            else:
+                sums = self._passed(lambda chunks: sum(counted(g, *bounds) for g in groups(chunks)), np.add)[0]
             upto = before[:, :, None] + np.cumsum(sums[..., 1], axis=2)
             if want is None:
                 want = upto[:, :, -1] * shares * _SLACK
@@ -570,8 +662,15 @@ class Booster:
             left = np.take_along_axis(sums[..., 0], cell, axis=2)[:, :, 0]
             low = low + cell[:, :, 0].astype(np.uint64) * width
             high = low + (width - np.uint64(1))
-        rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
-        values = []
+        parts, levels = [], []
+        if self.packed is None and want is None and number is not None and self._few_tasks():
+            parts, levels = self._around(trees, number, seats, size, lambda groups: fetched(groups, low, high))
+            rows = [r for p in parts for r in p[2]]
+        elif self.packed is None:
+            rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
+        else:
+            rows = [r for part in self._passed(lambda chunks: [r for g in groups(chunks) for r in fetched(g, low, high)]) for r in part]
+        values, later = [], [p[1] for p in parts if p[1]]
         for q in range(n_q):
             at, residual, weight = (np.concatenate([r[k] for r in rows if r[0] == q]) for k in (1, 2, 3))
             order = np.lexsort((residual, at))
@@ -582,30 +681,48 @@ class Booster:
                 upto = before[q, leaf] + np.cumsum(weight[span])
                 wanted = upto[-1] * config.quantiles[q] * _SLACK if want is None else want[q, leaf]
                 own[leaf] = residual[span][min(int(np.searchsorted(upto, wanted)), len(upto) - 1)]
+                if later and not self._bounded([p[0][q][0][leaf] for p in parts], own[leaf]):
+                    later = []
             values.append(own[seats[q]])
+        if later:
+            self._settle(later, levels, [config.learning_rate * v for v in values])
         return values
 
-    def _one_pass(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
-        """What ``_quantiles`` gives, from one pass, which takes along the sums of the next round; None where it can't be told so."""
-        if not self._few_tasks():
-            return None
-        config, with_fit, shares, spread = self.config, self._with_fit(number), list(self.config.quantiles), _SPREAD
-        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
-        size, alone, slack = 1 + max(int(s[-1]) for s in seats), self.kept.getNumPartitions() == 1, _SLACK
+    def _bounded(self, edges: list[np.ndarray], value: float) -> bool:
+        """Whether a leaf value is what the tasks took it to be when they summed up the next round."""
+        if len(edges) == 1 and self.kept.getNumPartitions() == 1:
+            return value == edges[0][4]  # else sums of weights were added up in another order
+        return max(e[2] for e in edges) < value < min(e[3] for e in edges)
+
+    def _around(self, trees: list[dict], number: int, seats: list[np.ndarray], size: int, more: Callable | None = None) -> tuple[list[tuple], list[list[dict]]]:
+        """Of each task the residuals around its own quantiles, the sums of the next round by the levels returned, and what ``more`` gives."""
+        config, with_fit, shares, spread, slack = self.config, self._with_fit(number), list(self.config.quantiles), _SPREAD, _SLACK
         leaves, windows, ahead, bagged = self.kernels.leaves, self.kernels.windows, self.kernels.ahead, self.kernels.bagged
         rate, seed, share, wide, n_bins = config.learning_rate, config.seed, config.subsample, self.wide, self.n_bins
         levels = self._next_levels() if number + 1 < config.rounds and any(self.guess) else []
+        alone = self.kept.getNumPartitions() == 1
 
-        def run(blocks: Iterator[dict]) -> Iterator[tuple]:
+        def run(blocks: Iterator[tuple]) -> Iterator[tuple]:
             blocks = [(b, *with_fit(b)) for b in blocks]
             groups = [g for b in blocks for g in leaves(*b, trees, seats)]
             if groups:
                 found = windows(groups, size, shares, spread, slack)
                 # A task with all blocks knows the leaf values.
                 low, high = ([rate * w[0][s, 4 if alone else k] for w, s in zip(found, seats)] for k in (2, 3))
-                yield found, levels and ahead(blocks, trees, low, high, lambda b: bagged(b, number + 1, seed, share), levels, wide, n_bins)
+                yield found, levels and ahead(blocks, trees, low, high, lambda b: bagged(b, number + 1, seed, share), levels, wide, n_bins), more and more(groups)
+
+        return self.kept.mapPartitions(run).collect(), levels
 
-        parts = self.kept.mapPartitions(run).collect()
+    def _one_pass(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
+        """What ``_quantiles`` gives, from one pass, which takes along the sums of the next round; None where it can't be told so."""
+        if self.packed is not None:
+            return self._packed_values(trees, number)
+        if not self._few_tasks():
+            return None
+        shares, rate = self.config.quantiles, self.config.learning_rate
+        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
+        size, alone = 1 + max(int(s[-1]) for s in seats), self.kept.getNumPartitions() == 1
+        parts, levels = self._around(trees, number, seats, size)
         later, parts = [p[1] for p in parts if p[1]], [p[0] for p in parts]
         values = []
         for q, seat in enumerate(seats):
@@ -631,6 +748,34 @@ class Booster:
             self._settle(later, levels, [rate * v for v in values])
         return values
 
+    def _packed_values(self, trees: list[dict], number: int) -> list[np.ndarray] | None:
+        """What ``_quantiles`` gives, from one pass over packed rows; None where it can't be told so."""
+        if self._sent(self.kept.getNumPartitions()) > _AROUND:
+            return None
+        windows, bag, weights, shares, spread, slack = self.packed.windows, self._bag(number), self.packed.weights, list(self.config.quantiles), _SPREAD, _SLACK
+        seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
+        parts = [p for p in self._passed(lambda chunks: windows(chunks, bag, trees, seats, shares, spread, slack)) if p]
+        values = []
+        for q, seat in enumerate(seats):
+            under, whole = (np.sum([p[q][k] for p in parts], axis=0) for k in (0, 1))
+            edges = np.stack([p[q][2] for p in parts])
+            first, last = edges[:, :, 0].max(axis=0), edges[:, :, 1].min(axis=0)
+            at, residual, alike = (np.concatenate([p[q][k] for p in parts]) for k in (3, 4, 5))
+            order = np.argsort(residual)
+            order = order[np.argsort(at[order], kind="stable")]
+            at, residual, alike = at[order], residual[order], alike[order]
+            ends = np.searchsorted(at, np.arange(len(whole) + 1))
+            own = np.zeros(len(whole))
+            for leaf in np.flatnonzero(whole.sum(axis=1)):
+                span = slice(ends[leaf], ends[leaf + 1])
+                upto = (under[leaf] + np.cumsum(alike[span], axis=0)) @ weights
+                reached = int(np.searchsorted(upto, whole[leaf] @ weights * shares[q] * _SLACK))
+                if reached == len(upto) or not first[leaf] <= residual[span][reached] <= last[leaf]:
+                    return None
+                own[leaf] = residual[span][reached]
+            values.append(own[seat])
+        return values
+
     def run(self) -> None:
         config = self.config
         root = {"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}
@@ -667,16 +812,29 @@ class Booster:
         return out
 
 
+def _kinds(vectors: DataFrame) -> list[float] | None:
+    """The distinct weights, least first, if they are few; None otherwise."""
+    found = [r["weight"] for r in vectors.select("weight").distinct().limit(packed.MOST_KINDS + 1).collect()]
+    return sorted(found) if len(found) <= packed.MOST_KINDS and all(w is not None and np.isfinite(w) for w in found) else None
+
+
 def boost(vectors: DataFrame, thresholds: list[list[float]], config: BoostingConfig) -> tuple[dict[float, float], dict[float, list[dict]]]:
     """``(starts, trees)`` of all quantiles from stored rows ``features, delta, weight, row_hash``."""
     spark = vectors.sparkSession
     n_rows = vectors.count()
     # A task for each block while there are cores for them, then for each few blocks, up to some tasks for each core.
     blocks, cores = -(-n_rows // BLOCK_ROWS), spark.sparkContext.defaultParallelism
-    tasks = max(1, min(blocks, max(cores, -(-blocks // _TASK_BLOCKS)), 8 * cores))
-    path = new_path(spark, "model-blocks")
-    _blocks(vectors.repartition(tasks), thresholds, BLOCK_ROWS).write.parquet(path)
-    booster = Booster(spark.read.parquet(path), n_rows, thresholds, config)
+    kinds = _kinds(vectors) if n_rows > packed.CHUNK_ROWS and thresholds else None
+    if kinds is None:
+        tasks = max(1, min(blocks, max(cores, -(-blocks // _TASK_BLOCKS)), 8 * cores))
+    else:  # packed rows take little time
+        tasks = min(-(-n_rows // packed.CHUNK_ROWS), max(cores, -(-n_rows // _PART_ROWS)), 8 * cores)
+    dealt = _blocks(vectors.repartition(tasks), thresholds, BLOCK_ROWS)
+    if kinds is None:
+        path = new_path(spark, "model-blocks")
+        dealt.write.parquet(path)
+        dealt = spark.read.parquet(path)
+    booster = Booster(dealt, n_rows, thresholds, config, kinds)
     try:
         booster.run()
     finally:
