@@ -55,25 +55,84 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def select_ranks(rows: DataFrame, wants: Column) -> DataFrame:
+def _summed(rows: DataFrame) -> Callable[[int, DataFrame | None, int | None], DataFrame]:
+    """Sums of the rows' cells at a shift: of all, or by target of those in the kept cells, whose prefixes stand before another shift."""
+
+    def cells(shift: int, kept: DataFrame | None, before: int | None) -> DataFrame:
+        cell = F.shiftright("_code", shift).alias("_cell")
+        sums = (F.sum("_weight").alias("_sum"), F.count("*").alias("_rows"), F.min("_value").alias("_value"))
+        if kept is None:
+            return rows.groupBy("_key", cell).agg(*sums)
+        kept = F.broadcast(kept) if kept.count() <= _BROADCAST_CELLS else kept
+        near = rows.withColumn("_prefix", F.shiftright("_code", before)).join(kept, ["_key", "_prefix"])
+        return near.groupBy("_key", "_target", "_want", cell).agg(*sums)
+
+    return cells
+
+
+def _summed_columns(df: DataFrame, columns: list[str]) -> Callable[[int, DataFrame | None, int | None], DataFrame]:
+    """The same of whole columns, a row weighing one. Cells of a batch are counted column by column, so rows are never unpivoted."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def cells(shift: int, kept: DataFrame | None, before: int | None) -> DataFrame:
+        prefixes = None
+        if kept is not None:  # a cell or two of each column
+            prefixes = {c: [] for c in columns}
+            for row in kept.select("_key.column_name", "_prefix").distinct().collect():
+                prefixes[row["column_name"]].append(row["_prefix"])
+        counted = wide.mapInArrow(_arrow_cells(columns, shift, prefixes, before), "column_name string, _cell long, _rows long, _value double")
+        found = counted.groupBy(F.struct("column_name").alias("_key"), "_cell").agg(
+            F.sum("_rows").cast("double").alias("_sum"), F.sum("_rows").alias("_rows"), F.min("_value").alias("_value")
+        )
+        if kept is None:
+            return found
+        return found.withColumn("_prefix", F.shiftright("_cell", before - shift)).join(F.broadcast(kept), ["_key", "_prefix"]).drop("_prefix")
+
+    return cells
+
+
+def _arrow_cells(columns: list[str], shift: int, prefixes: dict[str, list[int]] | None, before: int | None) -> Callable:
+    """Made inside a function, so that workers need not have this package."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for at, name in enumerate(columns):
+                numbers = batch.column(at).to_numpy(zero_copy_only=False)
+                numbers = numbers[np.isfinite(numbers)]
+                bits = np.abs(numbers).view(np.int64)
+                codes = np.where(numbers < 0, -bits, bits)
+                if prefixes is not None:
+                    near = np.isin(codes >> before, np.array(prefixes[name], np.int64))
+                    numbers, codes = numbers[near], codes[near]
+                order = np.argsort(codes)
+                cell = codes[order] >> shift
+                first = np.flatnonzero(np.concatenate([np.ones(min(len(cell), 1), bool), cell[1:] != cell[:-1]]))
+                found.append((np.full(len(first), at), cell[first], np.diff(first, append=len(cell)), numbers[order[first]]))
+            at, cell, rows, value = (np.concatenate(f) for f in zip(*found))
+            names = pa.DictionaryArray.from_arrays(pa.array(at, pa.int32()), pa.array(columns, pa.string())).cast(pa.string())
+            yield pa.record_batch([names, pa.array(cell, pa.int64()), pa.array(rows, pa.int64()), pa.array(value, pa.float64())], ["column_name", "_cell", "_rows", "_value"])
+
+    return run
+
+
+def select_ranks(cells_at: Callable[[int, DataFrame | None, int | None], DataFrame], wants: Column) -> DataFrame:
     """``(_key, _target, value)``: the least value whose weight, with all below, reaches the target's wanted one.
 
-    ``rows`` has ``_key, _code, _value, _weight`` and is read once for each pass; ``wants`` is an array of a few wanted weights
+    ``cells_at`` reads the rows once for each pass, see :func:`_summed`; ``wants`` is an array of a few wanted weights
     of a key, the targets, by its weight ``_total``. The key is a struct, whose missing fields equal each other.
     """
     found, shift = None, _BITS - _DIGIT
     while True:
-        cell = F.shiftright("_code", shift).alias("_cell")
-        sums = (F.sum("_weight").alias("_sum"), F.count("*").alias("_rows"), F.min("_value").alias("_value"))
         if found is None:  # all targets of a key share the first pass
-            cells = _stored(rows.groupBy("_key", cell).agg(*sums))
+            cells = _stored(cells_at(shift, None, None))
             totals = cells.groupBy("_key").agg(F.sum("_sum").alias("_total"))
             targets = totals.select("_key", F.posexplode(wants).alias("_target", "_want"))
             cells = cells.join(targets, "_key")
         else:
-            kept = F.broadcast(found) if found.count() <= _BROADCAST_CELLS else found
-            near = rows.withColumn("_prefix", F.shiftright("_code", before)).join(kept.drop("_rows"), ["_key", "_prefix"])
-            cells = near.groupBy("_key", "_target", "_want", cell).agg(*sums)
+            cells = cells_at(shift, found.drop("_rows"), before)
         upto = Window.partitionBy("_key", "_target").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
         reached = cells.withColumn("_upto", F.sum("_sum").over(upto)).filter(F.col("_upto") >= F.col("_want") * _SLACK)
         first = F.min(F.struct("_cell", (F.col("_upto") - F.col("_sum")).alias("before"), "_rows", "_value")).alias("_first")
@@ -94,13 +153,16 @@ def exact_medians(df: DataFrame, groups: list[str], columns: list[str]) -> DataF
 
     NaN and the infinities are missing values; a column without values gives no row. ``df`` is read two to four times, so it should be stored.
     """
-    keys = [*groups, "column_name"]
-    long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(groups, columns, "column_name", "_value")
-    long = long.filter("_value is not null").withColumn("_code", order_code(F.col("_value"))).select(F.struct(*keys).alias("_key"), "_value", "_code", F.lit(1.0).alias("_weight"))
     n = F.col("_total")
     both = F.array(F.floor((n + 1) / 2).cast("double"), (F.floor(n / 2) + 1).cast("double"))
-    middle = select_ranks(long, both).groupBy("_key").agg((F.sum("value") / 2).alias("median"))
-    return middle.select("_key.*", "median")
+    middle = select_ranks(_summed(_long(df, groups, columns)) if groups else _summed_columns(df, columns), both)
+    return middle.groupBy("_key").agg((F.sum("value") / 2).alias("median")).select("_key.*", "median")
+
+
+def _long(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
+    keys = [*groups, "column_name"]
+    long = df.select(*groups, *[finite(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(groups, columns, "column_name", "_value")
+    return long.filter("_value is not null").withColumn("_code", order_code(F.col("_value"))).select(F.struct(*keys).alias("_key"), "_value", "_code", F.lit(1.0).alias("_weight"))
 
 
 def weighted_quantiles(df: DataFrame, groups: list[str], value: Column, weight: Column, q: float) -> DataFrame:
@@ -112,4 +174,4 @@ def weighted_quantiles(df: DataFrame, groups: list[str], value: Column, weight:
         F.struct(*(groups or [F.lit(0).alias("_all")])).alias("_key"), finite(value.cast("double")).alias("_value"), weight.cast("double").alias("_weight")
     )
     rows = rows.filter("_value is not null and _weight > 0").withColumn("_code", order_code(F.col("_value")))
-    return select_ranks(rows, F.array(F.col("_total") * q)).select(*[F.col(f"_key.`{g}`") for g in groups], F.col("value").alias("quantile"))
+    return select_ranks(_summed(rows), F.array(F.col("_total") * q)).select(*[F.col(f"_key.`{g}`") for g in groups], F.col("value").alias("quantile"))

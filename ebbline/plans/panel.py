@@ -127,7 +127,8 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
     ``joined`` is :func:`metrics_with_metadata`. Positions with a value at or below
     zero in their window or target give no row. Tags stay arrays.
     """
-    eligible = with_history(joined, max(min_months, horizon + 3))
+    # Texts and features are worked out in steps of their own: the code of all in one step is too long to be compiled.
+    eligible = with_history(joined, max(min_months, horizon + 3)).withColumn("_released", parse_release_month(F.col("release_date_str")))
 
     def window_at(k: Column) -> Column:
         fields = [k.cast("int").alias("k_index"), F.get("series", k)["label"].alias("month_k_label")]
@@ -139,7 +140,7 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
     positions = F.sequence(F.lit(2), F.size("series") - horizon - 1)
     rows = eligible.select(
         "app_id", "is_free", "price_usd", "release_date_str", "genres", "categories",
-        parse_release_month(F.col("release_date_str")).alias("_released"),
+        "_released",
         F.inline(F.transform(positions, window_at)),
     )
     values = [f"_{measure}{name}" for measure in ("avg", "peak") for name in ("2", "1", "0", "y")]
@@ -147,7 +148,8 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
     shape = shape_features(
         tuple(F.col(f"_avg{n}") for n in "210"), tuple(F.col(f"_peak{n}") for n in "210")
     )
-    age = months_between(F.col("_released"), parse_month(F.col("month_k_label")))
+    positive = positive.withColumn("_month", parse_month(F.col("month_k_label"))).withColumns({f"_{name}": c for name, c in shape.items()})
+    age = months_between(F.col("_released"), F.col("_month"))
     return positive.select(
         "app_id",
         "k_index",
@@ -158,7 +160,7 @@ def build_panel(joined: DataFrame, horizon: int = HORIZON, min_months: int = MIN
         F.col("_peaky").alias("y_peak"),
         F.ln("_avgy").alias("y_log_avg"),
         F.ln("_peaky").alias("y_log_peak"),
-        *[finite(c).alias(name) for name, c in shape.items()],
+        *[finite(F.col(f"_{name}")).alias(name) for name in shape],
         F.coalesce(F.col("is_free"), F.lit(False)).cast("int").alias("is_free"),
         finite(F.col("price_usd")).alias("price_usd"),
         "release_date_str",
