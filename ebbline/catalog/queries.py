@@ -817,19 +817,22 @@ def boost_invariants(spark, sf):
         gap = F.col("delta") - predicted
         return F.sum(F.col("weight") * F.greatest(q * gap, (q - 1) * gap))
 
-    found = []
+    sums, found = [F.count("*").alias("n_rows"), F.sum("weight").alias("sum_weight")], []
     for q, start in sorted(model.start.items()):
-        below = F.sum(F.when(F.col("delta") < start, F.col("weight")).otherwise(0.0))
-        upto = F.sum(F.when(F.col("delta") <= start, F.col("weight")).otherwise(0.0))
-        wanted = q * F.sum("weight") * (1 - 1e-12)
+        own, wanted = boosting.column_name(q), q * F.col("sum_weight") * (1 - 1e-12)
+        sums += [
+            F.sum(F.when(F.col("delta") < start, F.col("weight")).otherwise(0.0)).alias(f"below_{own}"),
+            F.sum(F.when(F.col("delta") <= start, F.col("weight")).otherwise(0.0)).alias(f"upto_{own}"),
+            loss(q, F.col(own)).alias(f"loss_{own}"), loss(q, F.lit(start)).alias(f"first_{own}"),
+        ]
         found.append(
-            rows.agg(
-                F.lit(q).alias("quantile"), F.count("*").alias("n_rows"), F.sum("weight").alias("sum_weight"),
-                ((below < wanted) & (upto >= wanted)).alias("start_is_quantile"),
-                (loss(q, F.col(boosting.column_name(q))) < loss(q, F.lit(start))).alias("loss_fell"),
+            F.struct(
+                F.lit(q).alias("quantile"), "n_rows", "sum_weight",
+                ((F.col(f"below_{own}") < wanted) & (F.col(f"upto_{own}") >= wanted)).alias("start_is_quantile"),
+                (F.col(f"loss_{own}") < F.col(f"first_{own}")).alias("loss_fell"),
             )
         )
-    return shown(found[0].unionByName(found[1]).unionByName(found[2]))
+    return shown(rows.agg(*sums).select(F.inline(F.array(*found))))  # all rows are forecast once
 
 
 # --- scoring -----------------------------------------------------------------
