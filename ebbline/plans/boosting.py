@@ -426,8 +426,8 @@ class Booster:
         # The sums of a few tasks are added up by the driver; a stage between would take longer than the work.
         return self.kept.mapPartitions(all_blocks).treeReduce(np.add, 1 if self.kept.getNumPartitions() <= _FEW_TASKS else 2)
 
-    def _passed(self, work: Callable[[Iterator[tuple[dict, np.ndarray]]], object], add: Callable | None = None) -> list:
-        """What ``work`` finds in each part's packed rows with their fit, added up where ``add`` is given.
+    def _passed(self, work: Callable[[Callable[[], Iterator[tuple[dict, np.ndarray]]]], object], add: Callable | None = None) -> list:
+        """What ``work`` finds in each part's packed rows with their fit, which it may go through again; added up where ``add`` is given.
 
         Parts whose files a task doesn't find, as after a lost executor, are worked on from the stored rows and all trees.
         """
@@ -440,11 +440,11 @@ class Booster:
         def kept(handles: Iterator[tuple]) -> Iterator[tuple[list[int], list]]:
             for handle in handles:
                 found = os.path.exists(handle[1])
-                yield ([], [work(opened(handle, start, done, trees))]) if found else ([handle[0]], [])
+                yield ([], [work(lambda handle=handle: opened(handle, start, done, trees))]) if found else ([handle[0]], [])
 
         def stored(blocks: Iterator[dict]) -> Iterator:
-            every = (chunk(*c) for c in arrays_of(blocks))
-            yield work((b, fitted(b, start, trees(0))) for b in every)
+            every = [chunk(*c) for c in arrays_of(blocks)]
+            yield work(lambda: ((b, fitted(b, start, trees(0))) for b in every))
 
         def both(a: tuple[list[int], list], b: tuple[list[int], list]) -> tuple[list[int], list]:
             return a[0] + b[0], [add(*a[1], *b[1])] if a[1] and b[1] else a[1] + b[1]
@@ -623,7 +623,7 @@ class Booster:
 
     def _packed_level(self, trees: list[dict], number: int) -> np.ndarray:
         level, bag = self.packed.level, self._bag(number)
-        return self._passed(lambda chunks: level(chunks, bag, trees), np.add)[0]
+        return self._passed(lambda chunks: level(chunks(), bag, trees), np.add)[0]
 
     def _quantiles(self, trees: list[dict], number: int | None) -> list[np.ndarray]:
         """The exact weighted quantile of the residuals in each leaf, of the target itself where there is no round yet."""
@@ -650,7 +650,7 @@ class Booster:
             if self.packed is None:
                 sums = self._sum(lambda b: counted(leaves(b, *with_fit(b), trees, seats), *bounds))
             else:
-                sums = self._passed(lambda chunks: sum(counted(g, *bounds) for g in groups(chunks)), np.add)[0]
+                sums = self._passed(lambda chunks: sum(counted(g, *bounds) for g in groups(chunks())), np.add)[0]
             upto = before[:, :, None] + np.cumsum(sums[..., 1], axis=2)
             if want is None:
                 want = upto[:, :, -1] * shares * _SLACK
@@ -669,7 +669,7 @@ class Booster:
         elif self.packed is None:
             rows = self.kept.flatMap(lambda b: fetched(leaves(b, *with_fit(b), trees, seats), low, high)).collect()
         else:
-            rows = [r for part in self._passed(lambda chunks: [r for g in groups(chunks) for r in fetched(g, low, high)]) for r in part]
+            rows = [r for part in self._passed(lambda chunks: [r for g in groups(chunks()) for r in fetched(g, low, high)]) for r in part]
         values, later = [], [p[1] for p in parts if p[1]]
         for q in range(n_q):
             at, residual, weight = (np.concatenate([r[k] for r in rows if r[0] == q]) for k in (1, 2, 3))
@@ -752,9 +752,19 @@ class Booster:
         """What ``_quantiles`` gives, from one pass over packed rows; None where it can't be told so."""
         if self._sent(self.kept.getNumPartitions()) > _AROUND:
             return None
-        windows, bag, weights, shares, spread, slack = self.packed.windows, self._bag(number), self.packed.weights, list(self.config.quantiles), _SPREAD, _SLACK
+        windows, ahead, bag, next_bag = self.packed.windows, self.packed.ahead, self._bag(number), self._bag(number + 1)
+        weights, shares, spread, slack, rate = self.packed.weights, list(self.config.quantiles), _SPREAD, _SLACK, self.config.learning_rate
         seats = [np.cumsum(t["feature"] < 0) - 1 for t in trees]
-        parts = [p for p in self._passed(lambda chunks: windows(chunks, bag, trees, seats, shares, spread, slack)) if p]
+        roots = [{"feature": np.full(1, -1), "cut": np.zeros(1, np.int64), "levels": 0}] * len(trees) if number + 1 < self.config.rounds else []
+
+        def work(chunks: Callable[[], Iterator]) -> tuple | None:
+            found = windows(chunks(), bag, trees, seats, shares, spread, slack)
+            return found and (found, roots and ahead(chunks, found, next_bag, trees, seats, rate, roots))
+
+        later, parts = [], [p for p in self._passed(work) if p]
+        if roots:
+            later = [p[1] for p in parts]
+        parts = [p[0] for p in parts]
         values = []
         for q, seat in enumerate(seats):
             under, whole = (np.sum([p[q][k] for p in parts], axis=0) for k in (0, 1))
@@ -774,6 +784,11 @@ class Booster:
                     return None
                 own[leaf] = residual[span][reached]
             values.append(own[seat])
+        if later:
+            sums = np.sum([sums for sums, _ in later], axis=0).reshape(len(values), -1)
+            for q, own in enumerate(values):
+                self.packed.settled(sums[q], [r for _, left_open in later for r in left_open[q]], rate * own)
+            self.ahead = sums, []
         return values
 
     def run(self) -> None:

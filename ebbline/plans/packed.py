@@ -6,6 +6,8 @@ through a socket again. The fit of a round stands in a second file, which the fi
 before. Both are caches: the kept handles have the files' names; where a file isn't found, the driver has the pass over
 that part done from the stored rows and all trees, and a lost executor's parts are packed anew.
 
+The pass for leaf values takes along the root sums of the next round, as ``boosting`` does for blocks.
+
 Sums of a level are whole numbers, counts by weight and side of the fit, so they are the same however rows are dealt out. One count of a
 feature serves several quantiles: a row's code says for each of them which node it is in, and on which side of the fit.
 """
@@ -242,4 +244,39 @@ def kernels(base: SimpleNamespace, wide: int, n_bins: int, n_tags: int, kinds: l
             out.append((before, whole, edges, at[new], residual[new], alike))
         return out
 
-    return SimpleNamespace(arrays_of=arrays_of, chunk=chunk, store=store, opened=opened, removed=removed, level=level, windows=windows, weights=weights)
+    def ahead(chunks: Callable[[], Iterator], found: list[tuple], next_bag: Callable[[dict], np.ndarray], trees: list[dict], seats: list[np.ndarray], rate: float, roots: list[dict]) -> tuple[np.ndarray, list[list[tuple]]]:
+        """The root sums of the next round as far as the windows tell on which side of the fit a row will be, and the rows they leave open.
+
+        An open row, by quantile: node, target, fit, kind, bins and tags. It counts as above the fit in the sums.
+        """
+        low, high = ([rate * f[2][s, k] for f, s in zip(found, seats)] for k in (0, 1))
+        left_open = [[] for _ in range(n_q)]
+
+        def moved() -> Iterator[tuple[dict, np.ndarray]]:
+            for block, fit in chunks():
+                bag, delta, bins, least = next_bag(block), block["delta"], block["bins"], np.empty_like(fit)
+                for q, tree in enumerate(trees):
+                    at = nodes(bins, tree)
+                    least[q] = fit[q] + low[q][at]
+                    rows = np.flatnonzero(bag & (delta > least[q]) & (delta <= fit[q] + high[q][at]))
+                    if len(rows):
+                        tags = np.stack([bins[f][rows] for f in range(wide, wide + n_tags)]) if n_tags else np.zeros((0, len(rows)), np.uint8)
+                        left_open[q].append((at[rows], delta[rows], fit[q, rows], block["kind"][rows], bins.dense[:, rows], tags))
+                yield block, least
+
+        return level(moved(), next_bag, roots), left_open
+
+    def settled(sums: np.ndarray, left_open: list[tuple], step: np.ndarray) -> None:
+        """Counts a quantile's open rows where they lie, now that it is known what the nodes add to the fit."""
+        if not left_open:
+            return
+        at, delta, fit, kind, dense, tags = (np.concatenate([r[k] for r in left_open], axis=-1) for k in range(6))
+        below, m = delta <= fit + step[at], 2 * n_kinds
+        of_bins, of_tags = sums[: wide * n_bins * m].reshape(wide, n_bins, m), sums[wide * n_bins * m : -m].reshape(n_tags, 2, m)
+        kind, dense, tags = kind[below].astype(np.int64), dense[:, below], tags[:, below]
+        for side, n in ((1, 1), (0, -1)):
+            np.add.at(of_bins, (np.arange(wide)[:, None], dense, 2 * kind + side), n)
+            np.add.at(of_tags, (np.arange(n_tags)[:, None], tags, 2 * kind + side), n)
+            np.add.at(sums[-m:], 2 * kind + side, n)
+
+    return SimpleNamespace(ahead=ahead, settled=settled, arrays_of=arrays_of, chunk=chunk, store=store, opened=opened, removed=removed, level=level, windows=windows, weights=weights)

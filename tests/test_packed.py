@@ -32,7 +32,7 @@ def plain(spark, monkeypatch):
     return vectors, boosting.boost(vectors, CUTS, CONFIG)
 
 
-def test_packed_rows_give_the_trees_of_blocks_in_four_jobs_a_round(spark, monkeypatch, plain):
+def test_packed_rows_give_the_trees_of_blocks_in_three_jobs_a_round(spark, monkeypatch, plain):
     vectors, want = plain
     monkeypatch.setattr(packed, "CHUNK_ROWS", 400)
     jobs, handles, run = [], [], boosting.Booster.run
@@ -50,7 +50,7 @@ def test_packed_rows_give_the_trees_of_blocks_in_four_jobs_a_round(spark, monkey
 
     monkeypatch.setattr(boosting.Booster, "run", counted)
     assert boosting.boost(vectors, CUTS, CONFIG) == want
-    assert jobs[0] <= 4 * CONFIG.rounds + 6
+    assert jobs[0] <= 3 * CONFIG.rounds + 8, jobs
     assert sum(sum(sizes) for _, _, sizes in handles) == 3000 and len(handles) == 8
     assert not any(os.path.exists(path) for _, path, _ in handles)
 
