@@ -3,10 +3,13 @@
 import os
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.serializers import CPickleSerializer
 
+from ebbline.catalog import queries
+from ebbline.operators import quantile
 from ebbline.plans import boosting, packed
 
 CUTS = [[i + 0.5 for i in range(8)]] * 3 + [[0.5]] * 3
@@ -107,3 +110,37 @@ def test_windows_tell_the_exact_quantile_of_residuals_that_come_often():
             assert edges[leaf, 0] <= exact <= edges[leaf, 1]
         sent += len(value)
     assert sent < len(delta) / 4
+
+
+def test_medians_of_whole_columns_are_counted_without_unpivoting(spark):
+    rng = np.random.default_rng(4)
+    rows = [(float(a), b) for a, b in zip(rng.normal(size=501), np.where(rng.random(501) < 0.5, rng.integers(-2, 2, 501), rng.normal(size=501)).tolist())]
+    rows += [(None, -0.0), (float("nan"), float("inf")), (float("-inf"), None)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(4)
+    found = quantile.exact_medians(df, [], ["a", "b"])
+    got = {r["column_name"]: r["median"] for r in found.collect()}
+    for k, name in enumerate("ab"):
+        assert got[name] == np.median([r[k] for r in rows if r[k] is not None and np.isfinite(r[k])])
+    cells = quantile._summed_columns(df, ["a", "b"])(48, None, None)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in cells and "Expand" not in cells
+
+
+def test_rows_are_forecast_once_for_all_checks_of_a_fit(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(queries, "_fitted", lambda spark, sf: (queries.literal_model(), queries._rows(spark, sf), None))
+    found = queries.boost_invariants(spark, sf_dir)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["quantile"] for r in found.collect()] == [0.1, 0.5, 0.9]
+
+
+def test_a_release_text_is_parsed_once_for_all_rows_of_an_entity(spark, sf_dir):
+    plan = queries._panel(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("MMM d, yyyy")
+
+
+def test_trees_give_the_value_of_the_leaf_a_row_falls_in():
+    model = boosting.QuantileModel([], {}, {}, 0.5)
+    tree = {"feature": [1, 0, -1, -1, -1], "threshold": [0.0, 1.0, 0.0, 0.0, 0.0], "left": [1, 2, 2, 3, 4], "right": [4, 3, 2, 3, 4], "value": [0.0, 0.0, 1.0, 2.0, 4.0]}
+    model.start, model.trees = {0.5: 10.0}, {0.5: [tree, tree]}
+    rows = pd.Series([[1.0, 0.0], [1.5, -1.0], [0.0, 0.5], [float("nan"), 0.0], [0.0, float("nan")]])
+    got = list(boosting.tree_evaluator(model)(iter([rows, rows[:0]])))
+    assert got[0]["delta_q50"].tolist() == [11.0, 12.0, 14.0, 12.0, 14.0] and len(got[1]) == 0
